@@ -84,12 +84,13 @@ def carrier_channel(c, lgu_token: str = "uplus") -> Column:
 
 
 def event_name(ev, conv_type, click, blank_aware: bool = False) -> Column:
-    """Conversions are named by their type, clicks by their target."""
+    """Conversions are named by their type and clicks by their target,
+    falling back to the raw event name when that is missing (or blank)."""
     ev, conv_type, click = _c(ev), _c(conv_type), _c(click)
     if blank_aware:
-        return (F.when((ev == "conversion") & is_present(conv_type), conv_type)
-                .when((ev == "click") & is_present(click), click).otherwise(ev))
-    return F.when(ev == "conversion", conv_type).when(ev == "click", click).otherwise(ev)
+        conv_type, click = nullif_blank(conv_type), nullif_blank(click)
+    return (F.when(ev == "conversion", F.coalesce(conv_type, ev))
+            .when(ev == "click", F.coalesce(click, ev)).otherwise(ev))
 
 
 def area_code(c, missing=("", "-99", "undefined")) -> Column:

@@ -35,3 +35,43 @@ def q_summary_daily(spark, sf):
     pb = fx.fx_postback(spark, sf)
     return summary.summary_daily(pb, pb, pb, fx.fx_media(spark, sf), fx.fx_rate(spark, sf),
                                  fx.fx_area(spark, sf))
+
+
+# ---------------------------------------------------------------- attribution
+from .oracle import attribution_sql as asql  # noqa: E402
+from .plans import attribution as attr  # noqa: E402
+
+
+def _attr_inputs(spark, sf):
+    return dict(postback=fx.fx_postback(spark, sf), gtm=fx.fx_gtm(spark, sf), info=fx.fx_info(spark, sf),
+                visits=fx.fx_visit(spark, sf), skb=fx.fx_skb(spark, sf), tg=fx.fx_tg(spark, sf))
+
+
+@register("attr_direct_first", asql.ATTR_DIRECT)
+def q_attr_direct_first(spark, sf):
+    """Direct-ip first touch, every event day."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), routes=("direct",))
+
+
+@register("attr_visit_first", asql.ATTR_VISIT)
+def q_attr_visit_first(spark, sf):
+    """Device-visit route, every event day."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), routes=("visit",))
+
+
+@register("attr_graph_first", asql.ATTR_GRAPH)
+def q_attr_graph_first(spark, sf):
+    """Id-graph route, every event day."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), routes=("graph",))
+
+
+@register("attr_web_v1", asql.ATTR_WEB_V1)
+def q_attr_web_v1(spark, sf):
+    """Union of the three routes over the whole range."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf))
+
+
+@register("attr_web_imp", asql.ATTR_WEB_IMP)
+def q_attr_web_imp(spark, sf):
+    """C4 plus the impression date."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), imp_date=True)

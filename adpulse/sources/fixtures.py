@@ -95,6 +95,107 @@ def fx_area(spark: SparkSession, sf_dir: str) -> DataFrame:
         "concat('RG', cast(n_nationkey as string)) AS google_ab_region")
 
 
+
+def _dialect(dialect: str):
+    if dialect == "spark":
+        return dict(s="string", div="div",
+                    fmt=lambda c, f: f"date_format({c}, '{f}')",
+                    addd=lambda d, n: f"date_add(DATE'{d}', cast({n} as int))",
+                    addm=lambda d, n: f"add_months(DATE'{d}', cast({n} as int))")
+    jfmt = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S"}
+
+    def fmt(c, f):
+        for k, v in jfmt.items():
+            f = f.replace(k, v)
+        return f"strftime({c}, '{f.replace(chr(39) + 'T' + chr(39), 'T')}')"
+    return dict(s="varchar", div="//", fmt=fmt,
+                addd=lambda d, n: f"(DATE '{d}' + CAST({n} AS INTEGER))",
+                addm=lambda d, n: f"CAST(DATE '{d}' + to_months(CAST({n} AS INTEGER)) AS DATE)")
+
+
+def _gtm_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s = x["s"]
+    return [
+        f"{x['fmt']('ts', 'yyyy/MM/dd/HH:mm:ss')} AS log_time",
+        f"concat('e', cast(event_id as {s})) AS eid",
+        "CASE WHEN event_type = 'purchase' THEN 'conversion' ELSE event_type END AS ev",
+        f"CASE WHEN event_id % 3 = 0 THEN cast(event_id % 100 as {s}) WHEN event_id % 3 = 1 THEN ' ' END AS scroll",
+        "CASE WHEN event_type = 'click' AND event_id % 2 = 0 THEN 'cta' END AS click",
+        f"CASE WHEN event_type = 'purchase' AND user_id % 3 <> 0 THEN concat('buy', cast(user_id % 3 as {s})) END"
+        " AS conv_type",
+        f"CASE WHEN event_type = 'purchase' THEN cast(value as {s}) END AS conv_value",
+        "CAST(NULL AS " + s + ") AS conv_meta",
+        f"concat('px', cast(user_id % 10 as {s})) AS pid",
+        f"CASE WHEN event_id % 53 = 0 THEN ' ' ELSE concat('10.0.', cast(user_id % 40 as {s}), '.', "
+        f"cast(event_id % 5 as {s})) END AS ip",
+        f"{x['fmt']('ts', 'yyyy')} AS year", f"{x['fmt']('ts', 'MM')} AS month", f"{x['fmt']('ts', 'dd')} AS day",
+    ]
+
+
+def fx_gtm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web (GTM) event log projected from click/purchase/signup ``events``."""
+    return (load(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase", "signup"))
+            .selectExpr(*_gtm_cols("spark")))
+
+
+def _info_cols(dialect: str) -> list[str]:
+    s = _dialect(dialect)["s"]
+    return ["CAST(n_nationkey AS BIGINT) AS cmp_no", f"concat('px', cast(n_nationkey as {s})) AS pixel_id_web",
+            f"concat('app', cast(n_nationkey % 7 as {s})) AS pixel_id",
+            f"cast(1000 + n_nationkey as {s}) AS cmp_you_no",
+            f"CASE WHEN n_nationkey % 2 = 0 THEN 'singular' ELSE 'appsflyer' END AS app_mmp_cd"]
+
+
+def fx_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign info (cmp_no, pixel ids, ad-platform campaign id) from ``nation``."""
+    return load(spark, sf_dir, "nation").selectExpr(*_info_cols("spark"))
+
+
+def _visit_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s, at = x["s"], x["addd"]("2023-08-01", "o_orderkey % 160")
+    ts = f"({at} + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER))" if dialect != "spark" else \
+        f"(cast({at} as timestamp) + make_interval(0, 0, 0, 0, cast(o_orderkey % 24 as int), 0, 0))"
+    return [
+        f"concat('ad-', cast(o_custkey % 500 as {s})) AS ifa",
+        f"concat('10.0.', cast(o_orderkey % 40 as {s}), '.', cast(o_orderkey % 7 as {s})) AS request_ip",
+        f"concat({x['fmt'](ts, 'yyyy-MM-dd')}, 'T', {x['fmt'](ts, 'HH:mm:ss')}, 'Z') AS created_at",
+        f"{x['fmt'](ts, 'yyyy')} AS year", f"{x['fmt'](ts, 'MM')} AS month", f"{x['fmt'](ts, 'dd')} AS day",
+    ]
+
+
+def fx_visit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ABI visit log (mobile ifa, ip, time) projected from ``orders``."""
+    return load(spark, sf_dir, "orders").selectExpr(*_visit_cols("spark"))
+
+
+def _skb_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s, m = x["s"], x["addm"]("2023-08-01", "p_partkey % 6")
+    return [f"concat('ad-', cast(p_partkey % 500 as {s})) AS ad_id",
+            f"concat('stb-', cast(p_partkey % 150 as {s})) AS platform_ad_id",
+            f"{x['fmt'](m, 'yyyy')} AS year", f"{x['fmt'](m, 'MM')} AS month"]
+
+
+def fx_skb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set-top-box to mobile-id bridge (monthly) projected from ``part``."""
+    return load(spark, sf_dir, "part").selectExpr(*_skb_cols("spark"))
+
+
+def _tg_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s, m = x["s"], x["addm"]("2023-08-01", "c_custkey % 6")
+    return [f"concat('10.0.', cast(c_custkey % 40 as {s}), '.', cast(c_custkey % 7 as {s})) AS ip",
+            f"concat('ad-', cast(c_custkey % 500 as {s})) AS uuid",
+            f"{x['fmt'](m, 'yyyy')} AS year", f"{x['fmt'](m, 'MM')} AS month"]
+
+
+def fx_tg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mobile-id to ip graph (monthly) projected from ``customer``."""
+    return load(spark, sf_dir, "customer").selectExpr(*_tg_cols("spark"))
+
+
 FX_SQL = {
     "fx_postback": "SELECT " + ",\n  ".join(_postback_cols("duckdb")) + " FROM events",
     "fx_media": f"SELECT {_pick(MEDIA_CODES, 'r_regionkey', 'duckdb')} AS mediacd, "
@@ -104,6 +205,12 @@ FX_SQL = {
                "1300.0 + n_nationkey * 1.25 AS exchangerate FROM nation",
     "fx_area": "SELECT cast(n_nationkey + 100 as varchar) AS areacd, "
                "'RG' || cast(n_nationkey as varchar) AS google_ab_region FROM nation",
+    "fx_gtm": "SELECT " + ", ".join(_gtm_cols("duckdb")) +
+              " FROM events WHERE event_type IN ('click', 'purchase', 'signup')",
+    "fx_info": "SELECT " + ", ".join(_info_cols("duckdb")) + " FROM nation",
+    "fx_visit": "SELECT " + ", ".join(_visit_cols("duckdb")) + " FROM orders",
+    "fx_skb": "SELECT " + ", ".join(_skb_cols("duckdb")) + " FROM part",
+    "fx_tg": "SELECT " + ", ".join(_tg_cols("duckdb")) + " FROM customer",
 }
 
 
