@@ -75,3 +75,38 @@ def q_attr_web_v1(spark, sf):
 def q_attr_web_imp(spark, sf):
     """C4 plus the impression date."""
     return attr.attribute_v1(**_attr_inputs(spark, sf), imp_date=True)
+
+
+# ---------------------------------------------------------------- reports
+from .oracle import reports_sql as rsql  # noqa: E402
+from .plans import reports  # noqa: E402
+
+
+@register("report_web", rsql.REPORT_WEB)
+def q_report_web(spark, sf):
+    """Daily unique ips over the v1 attribution output."""
+    return reports.report_web(attr.attribute_v1(**_attr_inputs(spark, sf)))
+
+
+@register("report_web_imp", rsql.REPORT_WEB_IMP)
+def q_report_web_imp(spark, sf):
+    """Impression-date matrix with the 8-day window."""
+    return reports.report_web_imp(attr.attribute_v1(**_attr_inputs(spark, sf), imp_date=True))
+
+
+@register("report_app", rsql.REPORT_APP)
+def q_report_app(spark, sf):
+    """D3: app postback report."""
+    return reports.report_app(fx.fx_app(spark, sf), fx.fx_info(spark, sf))
+
+
+@register("report_click_utm", rsql.REPORT_CLICK_UTM)
+def q_report_click_utm(spark, sf):
+    """Click-id and utm routes."""
+    return reports.report_click_utm(fx.fx_gtm(spark, sf), fx.fx_gclid(spark, sf), fx.fx_info(spark, sf))
+
+
+@register("report_metrics", rsql.REPORT_METRICS)
+def q_report_metrics(spark, sf):
+    """Ad-platform metrics joined to the campaign map."""
+    return reports.report_metrics(fx.fx_metric(spark, sf), fx.fx_info(spark, sf), fx.fx_ytlist(spark, sf))

@@ -129,6 +129,10 @@ def _gtm_cols(dialect: str) -> list[str]:
         f"concat('px', cast(user_id % 10 as {s})) AS pid",
         f"CASE WHEN event_id % 53 = 0 THEN ' ' ELSE concat('10.0.', cast(user_id % 40 as {s}), '.', "
         f"cast(event_id % 5 as {s})) END AS ip",
+        f"CASE WHEN event_id % 3 = 0 THEN concat('https://shop.example.com/p?utm_campaign=', "
+        f"cast(1000 + user_id % 12 as {s}), '&src=tv') WHEN event_id % 3 = 1 THEN 'https://shop.example.com/p?utm_campaign=' "
+        "ELSE 'https://shop.example.com/p' END AS url",
+        f"CASE WHEN event_id % 4 = 0 THEN concat('gc', cast(event_id % 40 as {s})) END AS gclid",
         f"{x['fmt']('ts', 'yyyy')} AS year", f"{x['fmt']('ts', 'MM')} AS month", f"{x['fmt']('ts', 'dd')} AS day",
     ]
 
@@ -196,6 +200,59 @@ def fx_tg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "customer").selectExpr(*_tg_cols("spark"))
 
 
+def _app_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s = x["s"]
+    num = "format_string('%.2f', value)" if dialect == "spark" else "printf('%.2f', value)"
+    return [f"concat({x['fmt']('ts', 'yyyy-MM-dd')}, 'T', {x['fmt']('ts', 'HH:mm:ss')}, 'Z') AS created_at",
+            "CASE WHEN user_id % 2 = 0 THEN 'singular' ELSE 'appsflyer' END AS tracker",
+            f"CASE WHEN event_id % 29 = 0 THEN ' ' ELSE cast(user_id % 12 as {s}) END AS cmp",
+            "event_type AS event",
+            f"CASE WHEN event_id % 31 = 0 THEN '' ELSE concat('10.1.', cast(user_id % 40 as {s}), '.', "
+            f"cast(event_id % 3 as {s})) END AS ip",
+            f"CASE WHEN event_type = 'purchase' THEN {num} WHEN event_type = 'signup' THEN ' ' ELSE 'x' END AS revenue",
+            "CASE WHEN event_id % 11 = 0 THEN 'TEST' WHEN event_id % 11 = 1 THEN ' TEST ' END AS click_id"]
+
+
+def fx_app(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Third-party app postback log projected from ``events``."""
+    return load(spark, sf_dir, "events").selectExpr(*_app_cols("spark"))
+
+
+def _gclid_cols(dialect: str) -> list[str]:
+    s = _dialect(dialect)["s"]
+    return ["CAST(1000 + s_suppkey % 12 AS BIGINT) AS cmp_you_no", f"concat('gc', cast(s_suppkey % 40 as {s})) AS gclid"]
+
+
+def fx_gclid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-platform click-id list (cmp_you_no, gclid) projected from ``supplier``."""
+    return load(spark, sf_dir, "supplier").selectExpr(*_gclid_cols("spark"))
+
+
+def _metric_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s, d = x["s"], x["addd"]("2024-01-01", "l_orderkey % 30")
+    return [f"{x['fmt'](d, 'yyyy-MM-dd')} AS date", "CAST(1000 + l_partkey % 30 AS BIGINT) AS campaign_no",
+            f"CASE WHEN l_partkey % 30 = 7 THEN NULL ELSE concat('yt', cast(l_partkey % 30 as {s})) END AS campaign_name",
+            "CAST(l_quantity AS BIGINT) AS impressions", "CAST(l_linenumber AS BIGINT) AS clicks",
+            "CAST(l_quantity AS BIGINT) % 7 AS trueviews", "round(l_discount * 10, 2) AS conversions"]
+
+
+def fx_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-platform daily campaign metrics projected from ``lineitem``."""
+    return load(spark, sf_dir, "lineitem").selectExpr(*_metric_cols("spark"))
+
+
+def _ytlist_cols(dialect: str) -> list[str]:
+    s = _dialect(dialect)["s"]
+    return ["CAST(p_partkey % 25 AS BIGINT) AS campaign_no", f"cast(1000 + p_partkey % 40 as {s}) AS campaign_id"]
+
+
+def fx_ytlist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-platform campaign list (campaign_no, campaign_id) projected from ``part``."""
+    return load(spark, sf_dir, "part").selectExpr(*_ytlist_cols("spark"))
+
+
 FX_SQL = {
     "fx_postback": "SELECT " + ",\n  ".join(_postback_cols("duckdb")) + " FROM events",
     "fx_media": f"SELECT {_pick(MEDIA_CODES, 'r_regionkey', 'duckdb')} AS mediacd, "
@@ -211,6 +268,10 @@ FX_SQL = {
     "fx_visit": "SELECT " + ", ".join(_visit_cols("duckdb")) + " FROM orders",
     "fx_skb": "SELECT " + ", ".join(_skb_cols("duckdb")) + " FROM part",
     "fx_tg": "SELECT " + ", ".join(_tg_cols("duckdb")) + " FROM customer",
+    "fx_app": "SELECT " + ", ".join(_app_cols("duckdb")) + " FROM events",
+    "fx_gclid": "SELECT " + ", ".join(_gclid_cols("duckdb")) + " FROM supplier",
+    "fx_metric": "SELECT " + ", ".join(_metric_cols("duckdb")) + " FROM lineitem",
+    "fx_ytlist": "SELECT " + ", ".join(_ytlist_cols("duckdb")) + " FROM part",
 }
 
 
