@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .oracle import summary_sql as ssql
 from .plans import summary
+from pyspark.sql import functions as F
+
 from .registry import register
 from .sources import fixtures as fx
 
@@ -110,3 +112,66 @@ def q_report_click_utm(spark, sf):
 def q_report_metrics(spark, sf):
     """Ad-platform metrics joined to the campaign map."""
     return reports.report_metrics(fx.fx_metric(spark, sf), fx.fx_info(spark, sf), fx.fx_ytlist(spark, sf))
+
+
+# ---------------------------------------------------------------- mapping
+from .oracle import mapping_sql as msql  # noqa: E402
+from .plans import mapping  # noqa: E402
+
+
+def _weekly(spark, sf):
+    return mapping.mapping_weekly(fx.fx_apm_flat(spark, sf), fx.fx_addi_bid(spark, sf), fx.fx_postback(spark, sf),
+                                  fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
+
+
+def _current(spark, sf):
+    """All weeks merged oldest-first: the fold of every week but the newest,
+    then the newest week through the incremental MERGE (U1)."""
+    weekly = _weekly(spark, sf)
+    newest = weekly.agg(F.max("batch_week").alias("_nw"))
+    older = weekly.join(newest, F.col("batch_week") < F.col("_nw"), "left_semi")
+    latest = weekly.join(newest, F.col("batch_week") == F.col("_nw"), "left_semi")
+    return mapping.merge_week(mapping.merge_fold(older), latest)
+
+
+@register("mapping_weekly", msql.MAPPING_WEEKLY)
+def q_mapping_weekly(spark, sf):
+    """M2: weekly stb/mobile rows for every week."""
+    return _weekly(spark, sf)
+
+
+@register("mapping_merge", msql.MAPPING_MERGE)
+def q_mapping_merge(spark, sf):
+    """Cumulative current table after merging every week."""
+    return _current(spark, sf)
+
+
+@register("mapping_view", msql.MAPPING_VIEW)
+def q_mapping_view(spark, sf):
+    """M4: relation view as of a fixed date."""
+    return mapping.mapping_view(_current(spark, sf), msql.AS_OF)
+
+
+@register("mapping_active", msql.MAPPING_ACTIVE)
+def q_mapping_active(spark, sf):
+    """M5: active relations."""
+    return mapping.mapping_active(_current(spark, sf), msql.AS_OF)
+
+
+@register("stb_summary", msql.STB_SUMMARY)
+def q_stb_summary(spark, sf):
+    """M6: per set-top summary."""
+    return mapping.stb_summary(_current(spark, sf), msql.AS_OF)
+
+
+@register("mapping_once", msql.MAPPING_ONCE)
+def q_mapping_once(spark, sf):
+    """M1: population-preserving mapping over all months."""
+    return mapping.mapping_once(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
+
+
+@register("mapping_report", msql.MAPPING_REPORT)
+def q_mapping_report(spark, sf):
+    """M7: per-carrier report over M1."""
+    return mapping.mapping_report(
+        mapping.mapping_once(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf)))

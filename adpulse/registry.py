@@ -19,10 +19,15 @@ ORACLES: dict[str, str] = {}
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Round double columns so order-dependent float sums compare exactly."""
-    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
-                       if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else F.col(f.name)
-                       for f in df.schema.fields])
+    """Round double columns so order-dependent float sums compare exactly, and
+    present timestamps as UTC wall-clock values (independent of the client zone)."""
+    def conv(f):
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return F.round(F.col(f.name), digits).alias(f.name)
+        if isinstance(f.dataType, T.TimestampType):
+            return F.col(f.name).cast("timestamp_ntz").alias(f.name)
+        return F.col(f.name)
+    return df.select(*[conv(f) for f in df.schema.fields])
 
 
 def register(name: str, oracle: str | None = None):

@@ -190,7 +190,8 @@ def fx_skb(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _tg_cols(dialect: str) -> list[str]:
     x = _dialect(dialect)
     s, m = x["s"], x["addm"]("2023-08-01", "c_custkey % 6")
-    return [f"concat('10.0.', cast(c_custkey % 40 as {s}), '.', cast(c_custkey % 7 as {s})) AS ip",
+    return [f"CASE WHEN c_custkey % 10 = 0 THEN '10.9.9.9' ELSE concat('10.0.', cast(c_custkey % 40 as {s}), '.', "
+            f"cast(c_custkey % 7 as {s})) END AS ip",
             f"concat('ad-', cast(c_custkey % 500 as {s})) AS uuid",
             f"{x['fmt'](m, 'yyyy')} AS year", f"{x['fmt'](m, 'MM')} AS month"]
 
@@ -253,6 +254,61 @@ def fx_ytlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").selectExpr(*_ytlist_cols("spark"))
 
 
+def _hour_parts(x, ts: str) -> list[str]:
+    return [f"{x['fmt'](ts, 'yyyy')} AS year", f"{x['fmt'](ts, 'MM')} AS month",
+            f"{x['fmt'](ts, 'dd')} AS day", f"{x['fmt'](ts, 'HH')} AS hour"]
+
+
+def _apm_flat_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s = x["s"]
+    ip = f"concat('10.0.', cast(user_id % 40 as {s}), '.', cast(event_id % 5 as {s}))"
+    return [f"{_pick(APP_BUNDLES, 'cast(user_id % 6 as int)', dialect)} AS app_bundle",
+            f"CASE WHEN event_id % 41 = 0 THEN 'undefined' WHEN event_id % 43 = 0 THEN ' ' "
+            f"ELSE concat('STB-', cast(user_id as {s})) END AS ifa",
+            f"CASE WHEN event_id % 37 = 0 THEN '::1' WHEN event_id % 7 = 0 THEN concat('::ffff:', {ip}) "
+            f"ELSE {ip} END AS ip"] + _hour_parts(x, "ts")
+
+
+def fx_apm_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened APM bid log (set-top id, ip, app bundle) projected from ``events``."""
+    return load(spark, sf_dir, "events").selectExpr(*_apm_flat_cols("spark"))
+
+
+def _addi_bid_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s = x["s"]
+    d = x["addd"]("2024-01-01", "o_orderkey % 30")
+    ts = (f"(cast({d} as timestamp) + make_interval(0, 0, 0, 0, cast(o_orderkey % 24 as int), 0, 0))"
+          if dialect == "spark" else f"({d} + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER))")
+    return ["CASE WHEN o_orderkey % 3 = 0 THEN 'B8BKL2YDDVZQ' ELSE 'M4' END AS media_id",
+            f"concat('stb-', cast(o_custkey % 150 as {s})) AS device_ifa",
+            f"CASE WHEN o_orderkey % 13 = 0 THEN '10.9.9.9' ELSE concat('10.0.', cast(o_orderkey % 40 as {s}), '.', "
+            f"cast(o_orderkey % 5 as {s})) END AS device_ip",
+            f"{_pick(APP_BUNDLES, 'cast(o_orderkey % 6 as int)', dialect)} AS app_bundle"] + _hour_parts(x, ts)
+
+
+def fx_addi_bid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened own-exchange bid log projected from ``orders`` (January 2024)."""
+    return load(spark, sf_dir, "orders").selectExpr(*_addi_bid_cols("spark"))
+
+
+def _nhn_flat_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s = x["s"]
+    d = x["addd"]("2024-01-01", "l_orderkey % 30")
+    ts = (f"(cast({d} as timestamp) + make_interval(0, 0, 0, 0, cast(l_linenumber as int), 0, 0))"
+          if dialect == "spark" else f"({d} + INTERVAL 1 HOUR * CAST(l_linenumber AS INTEGER))")
+    return [f"CASE WHEN l_orderkey % 17 = 0 THEN '10.9.9.9' ELSE concat('10.0.', cast(l_partkey % 500 % 40 as {s}), "
+            f"'.', cast(l_partkey % 500 % 5 as {s})) END AS device_ip",
+            f"concat('AD-', cast(l_partkey % 500 as {s})) AS device_ifa"] + _hour_parts(x, ts)
+
+
+def fx_nhn_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flattened NHN bid log (mobile ifa, ip) projected from ``lineitem`` (January 2024)."""
+    return load(spark, sf_dir, "lineitem").selectExpr(*_nhn_flat_cols("spark"))
+
+
 FX_SQL = {
     "fx_postback": "SELECT " + ",\n  ".join(_postback_cols("duckdb")) + " FROM events",
     "fx_media": f"SELECT {_pick(MEDIA_CODES, 'r_regionkey', 'duckdb')} AS mediacd, "
@@ -272,6 +328,9 @@ FX_SQL = {
     "fx_gclid": "SELECT " + ", ".join(_gclid_cols("duckdb")) + " FROM supplier",
     "fx_metric": "SELECT " + ", ".join(_metric_cols("duckdb")) + " FROM lineitem",
     "fx_ytlist": "SELECT " + ", ".join(_ytlist_cols("duckdb")) + " FROM part",
+    "fx_apm_flat": "SELECT " + ", ".join(_apm_flat_cols("duckdb")) + " FROM events",
+    "fx_addi_bid": "SELECT " + ", ".join(_addi_bid_cols("duckdb")) + " FROM orders",
+    "fx_nhn_flat": "SELECT " + ", ".join(_nhn_flat_cols("duckdb")) + " FROM lineitem",
 }
 
 
