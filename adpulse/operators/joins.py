@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for a side that may be shipped to every executor.
-BROADCAST_MAX_ROWS = 2_000_000
+# Upper bound (bytes) for a side that may be shipped to every executor.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count; otherwise leave the
-    choice to Catalyst/AQE (shuffle join).  Meant for dimensions and
-    aggregates whose size does not grow with the fact table."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def plan_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (an upper bound derived from the
+    scanned files and the operators above them); no job is run."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when its estimated size is under ``max_bytes``;
+    otherwise leave the strategy to Catalyst/AQE, which still converts the join
+    at runtime if the *measured* shuffle output turns out small.  Meant for
+    dimensions and aggregates whose size does not grow with the fact table."""
+    try:
+        small = plan_size_bytes(df) <= max_bytes
+    except Exception:  # noqa: BLE001 - statistics unavailable: keep the shuffle join
+        small = False
+    return F.broadcast(df) if small else df
 
 
 def match_weights(dim: DataFrame, dim_key: str, weight_col: str = "_w") -> DataFrame:

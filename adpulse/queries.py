@@ -175,3 +175,35 @@ def q_mapping_report(spark, sf):
     """M7: per-carrier report over M1."""
     return mapping.mapping_report(
         mapping.mapping_once(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf)))
+
+
+# ---------------------------------------------------------------- channel and checks
+from .oracle import channel_sql as csql  # noqa: E402
+from .plans import channel, quality  # noqa: E402
+
+
+def _channel(spark, sf):
+    pb = fx.fx_postback(spark, sf)
+    return channel.channel_daily(pb, pb, fx.fx_bid_log(spark, sf), fx.fx_media(spark, sf))
+
+
+@register("channel_daily", csql.CHANNEL_DAILY)
+def q_channel_daily(spark, sf):
+    """Channel report for every day."""
+    return _channel(spark, sf)
+
+
+@register("check_hour_vs_daily", csql.CHECK_HOUR_VS_DAILY)
+def q_check_hour_vs_daily(spark, sf):
+    """Q1: per-day consistency of hour and day summaries."""
+    pb, media, rates = fx.fx_postback(spark, sf), fx.fx_media(spark, sf), fx.fx_rate(spark, sf)
+    return quality.check_hour_vs_daily(summary.summary_hour(pb, pb, pb, media, rates),
+                                       summary.summary_daily(pb, pb, pb, media, rates, fx.fx_area(spark, sf)))
+
+
+@register("check_daily_vs_channel", csql.CHECK_DAILY_VS_CHANNEL)
+def q_check_daily_vs_channel(spark, sf):
+    """Q2: per-day consistency of the daily summary and the channel report."""
+    pb, media, rates = fx.fx_postback(spark, sf), fx.fx_media(spark, sf), fx.fx_rate(spark, sf)
+    return quality.check_daily_vs_channel(
+        summary.summary_daily(pb, pb, pb, media, rates, fx.fx_area(spark, sf)), _channel(spark, sf))

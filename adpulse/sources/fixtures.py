@@ -309,6 +309,27 @@ def fx_nhn_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "lineitem").selectExpr(*_nhn_flat_cols("spark"))
 
 
+def _bid_log_cols(dialect: str) -> list[str]:
+    x = _dialect(dialect)
+    s, div = x["s"], x["div"]
+    rid = f"concat('r', cast(event_id {div} 4 as {s}))"
+    fields = [("req_id", rid), ("media_id", _pick(MEDIA_CODES, 'cast(user_id % 5 as int)', dialect)),
+              ("app_bundle", _pick(APP_BUNDLES, 'cast(user_id % 6 as int)', dialect)),
+              ("content_id", f"concat('ct', cast(user_id % 9 as {s}))")]
+    if dialect == "spark":
+        req = "named_struct(" + ", ".join(f"'{n}', {e}" for n, e in fields) + ")"
+    else:
+        req = "struct_pack(" + ", ".join(f"{n} := {e}" for n, e in fields) + ")"
+    return [f"{req} AS req"] + _hour_parts(x, "ts")
+
+
+def fx_bid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat bid log with a ``req`` struct: the first event of every request
+    carries that request's bid."""
+    return (load(spark, sf_dir, "events").where(F.col("event_id") % 4 == 0)
+            .selectExpr(*_bid_log_cols("spark")))
+
+
 FX_SQL = {
     "fx_postback": "SELECT " + ",\n  ".join(_postback_cols("duckdb")) + " FROM events",
     "fx_media": f"SELECT {_pick(MEDIA_CODES, 'r_regionkey', 'duckdb')} AS mediacd, "
@@ -331,6 +352,7 @@ FX_SQL = {
     "fx_apm_flat": "SELECT " + ", ".join(_apm_flat_cols("duckdb")) + " FROM events",
     "fx_addi_bid": "SELECT " + ", ".join(_addi_bid_cols("duckdb")) + " FROM orders",
     "fx_nhn_flat": "SELECT " + ", ".join(_nhn_flat_cols("duckdb")) + " FROM lineitem",
+    "fx_bid_log": "SELECT " + ", ".join(_bid_log_cols("duckdb")) + " FROM events WHERE event_id % 4 = 0",
 }
 
 
