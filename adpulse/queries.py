@@ -207,3 +207,42 @@ def q_check_daily_vs_channel(spark, sf):
     pb, media, rates = fx.fx_postback(spark, sf), fx.fx_media(spark, sf), fx.fx_rate(spark, sf)
     return quality.check_daily_vs_channel(
         summary.summary_daily(pb, pb, pb, media, rates, fx.fx_area(spark, sf)), _channel(spark, sf))
+
+
+# ---------------------------------------------------------------- flatten
+from .oracle import flatten_sql as fsql  # noqa: E402
+from .plans import flatten  # noqa: E402
+from .sources import bidlog  # noqa: E402
+
+
+def _deal_ids(df, col="imp_deals_array"):
+    """Present the deals of the first impression by id (scalar list, stable to compare)."""
+    pos = df.columns.index(col)
+    cols = [F.col(c) for c in df.columns]
+    cols[pos] = F.transform(col, lambda d: d["id"]).alias("imp_deal_ids")
+    return df.select(*cols)
+
+
+@register("flatten_bids_outer", fsql.FLATTEN_OUTER)
+def q_flatten_bids_outer(spark, sf):
+    """one row per seat bid, NULL bid row when none."""
+    return _deal_ids(flatten.flatten_bids(bidlog.fx_bid_nested(spark, sf)))
+
+
+@register("flatten_bids_inner", fsql.FLATTEN_INNER)
+def q_flatten_bids_inner(spark, sf):
+    """requests without seat bids dropped."""
+    return _deal_ids(flatten.flatten_bids(bidlog.fx_bid_nested(spark, sf), outer=False))
+
+
+@register("flatten_bids_nested_first", fsql.FLATTEN_NESTED_FIRST)
+def q_flatten_bids_nested_first(spark, sf):
+    """first metric by position, fail code kept."""
+    return _deal_ids(flatten.flatten_bids(bidlog.fx_bid_nested(spark, sf), metrics_by_type=False,
+                                          keep_fail_code=True), "imp_deals")
+
+
+@register("flatten_bids_matched", fsql.FLATTEN_MATCHED)
+def q_flatten_bids_matched(spark, sf):
+    """only bids on the first impression; ISO creation time."""
+    return _deal_ids(flatten.flatten_bids_matched(bidlog.fx_bid_nested(spark, sf)), "imp_deals")
