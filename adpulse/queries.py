@@ -246,3 +246,53 @@ def q_flatten_bids_nested_first(spark, sf):
 def q_flatten_bids_matched(spark, sf):
     """only bids on the first impression; ISO creation time."""
     return _deal_ids(flatten.flatten_bids_matched(bidlog.fx_bid_nested(spark, sf)), "imp_deals")
+
+
+# ---------------------------------------------------------------- weather
+from .oracle import weather_sql as wsql  # noqa: E402
+from .plans import weather  # noqa: E402
+from .sources import weather_fx as wfx  # noqa: E402
+
+
+def _weather_parts(spark, sf):
+    regions = wfx.fx_regions(spark, sf)
+    return (weather.classify_forecast(wfx.fx_fcst(spark, sf)), weather.classify_dust(wfx.fx_dust(spark, sf), regions),
+            weather.classify_uv(wfx.fx_uv(spark, sf)), regions)
+
+
+@register("weather_forecast", wsql.WEATHER_FORECAST)
+def q_weather_forecast(spark, sf):
+    """Forecast classification per fetch."""
+    return weather.classify_forecast(wfx.fx_fcst(spark, sf))
+
+
+@register("weather_dust", wsql.WEATHER_DUST)
+def q_weather_dust(spark, sf):
+    """Fine-dust classification per fetch."""
+    return weather.classify_dust(wfx.fx_dust(spark, sf), wfx.fx_regions(spark, sf))
+
+
+@register("weather_uv", wsql.WEATHER_UV)
+def q_weather_uv(spark, sf):
+    """UV classification per fetch."""
+    return weather.classify_uv(wfx.fx_uv(spark, sf))
+
+
+@register("weather_latest", wsql.WEATHER_LATEST)
+def q_weather_latest(spark, sf):
+    """Latest codes per region (1-day lookback from a fixed date)."""
+    f, d, u, regions = _weather_parts(spark, sf)
+    return weather.weather_latest(f, d, u, regions, wsql.AS_OF)
+
+
+@register("weather_alerts", wsql.WEATHER_ALERTS)
+def q_weather_alerts(spark, sf):
+    """Active alert codes per region."""
+    return weather.active_alerts(wfx.fx_alert(spark, sf), wfx.fx_regions(spark, sf))
+
+
+@register("weather_codes", wsql.WEATHER_CODES)
+def q_weather_codes(spark, sf):
+    """Full current code table."""
+    f, d, u, regions = _weather_parts(spark, sf)
+    return weather.weather_codes(f, d, u, wfx.fx_alert(spark, sf), regions, wsql.AS_OF)
