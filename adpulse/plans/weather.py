@@ -174,3 +174,36 @@ def weather_codes(forecast: DataFrame, dust: DataFrame, uv: DataFrame, alerts: D
                   as_of: str) -> DataFrame:
     """The full current code table (replaced as a whole on write, S17)."""
     return weather_latest(forecast, dust, uv, regions, as_of).unionByName(active_alerts(alerts, regions))
+
+
+def _keep_days(pdf, retention_days: int):
+    """Greedy retention over one alert hash's fetch days (pandas, one group per hash)."""
+    import pandas as pd
+    days = sorted(pdf["_day"])
+    kept, last = [], None
+    for d in days:
+        if last is None or (d - last).days > retention_days:
+            kept.append(d)
+            last = d
+    return pd.DataFrame({"item_hash": [pdf["item_hash"].iloc[0]] * len(kept), "_day": kept})
+
+
+def dedup_alerts(alerts: DataFrame, retention_days: int = 8) -> DataFrame:
+    """X6 (batch form of T4): an alert fetch is stored only if the same
+    identifying fields were not stored within the last ``retention_days`` days
+    (by fetch date); it is then stored once, at its first fetch that day.
+
+    Spark reduces the fetch log to one row per (hash, day) first; only that
+    day list -- bounded by the alert's lifetime in days, not by fetch volume --
+    goes through the sequential retention rule, grouped by hash."""
+    from ..streaming.jobs import alert_hash
+    h = alerts.withColumn("item_hash", alert_hash()).withColumn("_day", F.to_date("fetched_at"))
+    days = h.groupBy("item_hash", "_day").agg(F.min("fetched_at").alias("_first"))
+    kept = days.select("item_hash", "_day").groupBy("item_hash").applyInPandas(
+        lambda pdf: _keep_days(pdf, retention_days), schema="item_hash string, _day date")
+    first = days.join(kept, ["item_hash", "_day"])
+    cols = [c for c in alerts.columns]
+    rec = F.struct(*[F.col(c) for c in cols])
+    return (h.join(first, ["item_hash", "_day"]).where(F.col("fetched_at") == F.col("_first"))
+            .groupBy("item_hash", "_day").agg(F.min(rec).alias("_r"))
+            .select(*[F.col(f"_r.{c}").alias(c) for c in cols], "item_hash"))

@@ -296,3 +296,10 @@ def q_weather_codes(spark, sf):
     """Full current code table."""
     f, d, u, regions = _weather_parts(spark, sf)
     return weather.weather_codes(f, d, u, wfx.fx_alert(spark, sf), regions, wsql.AS_OF)
+
+
+@register("alert_dedup")
+def q_alert_dedup(spark, sf):
+    """Stored alert records after the 8-day seen-state dedup (no SQL oracle:
+    the retention rule is sequential; tested against a Python replay)."""
+    return weather.dedup_alerts(wfx.fx_alert(spark, sf))
