@@ -303,3 +303,29 @@ def q_alert_dedup(spark, sf):
     """Stored alert records after the 8-day seen-state dedup (no SQL oracle:
     the retention rule is sequential; tested against a Python replay)."""
     return weather.dedup_alerts(wfx.fx_alert(spark, sf))
+
+
+# ---------------------------------------------------------------- sinks (frames that are published)
+from .sinks import tables as sinks  # noqa: E402
+from .sources.tables import load  # noqa: E402
+
+_SD = ssql.SUMMARY_DAILY
+
+
+@register("publish_summary_daily", f"""SELECT MEDIACD, INVENTORYNM, AREACD, CMPNO, AGNO, CREATIVENO, EXCHANGEWON,
+  IMPS, CLICKS, PAYMENT, PAYMENTCNT, Q1, Q2, Q3, Q4, ERRORIMPS, ERRORPAYMENT, DATE AS day FROM ({_SD}) s""")
+def q_publish_summary_daily(spark, sf):
+    """The daily summary as published to the serving table (partitions dropped, date -> day)."""
+    return sinks.serving_projection(q_summary_daily(spark, sf), "report_summary_daily")
+
+
+@register("export_pages_tsv", """SELECT
+  CASE WHEN t = 'None' THEN '' ELSE t END AS page_id_t, CASE WHEN u = 'None' THEN '' ELSE u END AS url,
+  CASE WHEN h = 'None' THEN '' ELSE h END AS html FROM (
+  SELECT trim(regexp_replace(replace(regexp_replace(COALESCE(CAST(page_id AS VARCHAR), ''), '[\\n\\r\\t|]', ' ', 'g'), '"', ''''), '\\s+', ' ', 'g')) AS t,
+         trim(regexp_replace(replace(regexp_replace(COALESCE(url, ''), '[\\n\\r\\t|]', ' ', 'g'), '"', ''''), '\\s+', ' ', 'g')) AS u,
+         trim(regexp_replace(replace(regexp_replace(COALESCE(html, ''), '[\\n\\r\\t|]', ' ', 'g'), '"', ''''), '\\s+', ' ', 'g')) AS h
+  FROM pages)""")
+def q_export_pages_tsv(spark, sf):
+    """Sanitised text frame of a table as written to the TSV export."""
+    return sinks.sanitize_for_tsv(load(spark, sf, "pages").withColumnRenamed("page_id", "page_id_t"))

@@ -17,6 +17,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
+    # Partition values are text ('01', not 1), as the jobs compare and concatenate them.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 
