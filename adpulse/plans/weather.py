@@ -199,8 +199,15 @@ def dedup_alerts(alerts: DataFrame, retention_days: int = 8) -> DataFrame:
     from ..streaming.jobs import alert_hash
     h = alerts.withColumn("item_hash", alert_hash()).withColumn("_day", F.to_date("fetched_at"))
     days = h.groupBy("item_hash", "_day").agg(F.min("fetched_at").alias("_first"))
-    kept = days.select("item_hash", "_day").groupBy("item_hash").applyInPandas(
-        lambda pdf: _keep_days(pdf, retention_days), schema="item_hash string, _day date")
+    span = days.groupBy("item_hash").agg(F.min("_day").alias("_d0"), F.max("_day").alias("_d1"))
+    # Fast path in Spark: a hash whose fetch days all lie within the retention of
+    # its first day keeps only that first day; only longer-lived alerts need the
+    # sequential rule.
+    short = (span.where(F.datediff("_d1", "_d0") <= retention_days)
+             .select("item_hash", F.col("_d0").alias("_day")))
+    long_days = days.join(span.where(F.datediff("_d1", "_d0") > retention_days), "item_hash", "left_semi")
+    kept = short.unionByName(long_days.select("item_hash", "_day").groupBy("item_hash").applyInPandas(
+        lambda pdf: _keep_days(pdf, retention_days), schema="item_hash string, _day date"))
     first = days.join(kept, ["item_hash", "_day"])
     cols = [c for c in alerts.columns]
     rec = F.struct(*[F.col(c) for c in cols])

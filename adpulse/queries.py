@@ -146,22 +146,27 @@ def q_mapping_merge(spark, sf):
     return _current(spark, sf)
 
 
+def _current_fold(spark, sf):
+    """All weeks merged in one aggregation (same state as week-by-week MERGE)."""
+    return mapping.merge_fold(_weekly(spark, sf))
+
+
 @register("mapping_view", msql.MAPPING_VIEW)
 def q_mapping_view(spark, sf):
     """M4: relation view as of a fixed date."""
-    return mapping.mapping_view(_current(spark, sf), msql.AS_OF)
+    return mapping.mapping_view(_current_fold(spark, sf), msql.AS_OF)
 
 
 @register("mapping_active", msql.MAPPING_ACTIVE)
 def q_mapping_active(spark, sf):
     """M5: active relations."""
-    return mapping.mapping_active(_current(spark, sf), msql.AS_OF)
+    return mapping.mapping_active(_current_fold(spark, sf), msql.AS_OF)
 
 
 @register("stb_summary", msql.STB_SUMMARY)
 def q_stb_summary(spark, sf):
     """M6: per set-top summary."""
-    return mapping.stb_summary(_current(spark, sf), msql.AS_OF)
+    return mapping.stb_summary(_current_fold(spark, sf), msql.AS_OF)
 
 
 @register("mapping_once", msql.MAPPING_ONCE)
