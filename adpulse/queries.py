@@ -334,3 +334,33 @@ def q_publish_summary_daily(spark, sf):
 def q_export_pages_tsv(spark, sf):
     """Sanitised text frame of a table as written to the TSV export."""
     return sinks.sanitize_for_tsv(load(spark, sf, "pages").withColumnRenamed("page_id", "page_id_t"))
+
+
+# ---------------------------------------------------------------- reach
+from .oracle import reach_sql as rchsql  # noqa: E402
+from .plans import reach  # noqa: E402
+
+
+def _reach(spark, sf, grain):
+    pb = fx.fx_postback(spark, sf)
+    flights = fx.fx_adgroup(spark, sf) if grain == "ag" else fx.fx_adcampaign(spark, sf)
+    prior = reach.reach_daily(pb, pb, flights, rchsql.PRIOR_DATE, grain)
+    return reach.reach_daily(pb, pb, flights, rchsql.REPORT_DATE, grain, prior=prior)
+
+
+@register("reach_adgroup_daily", rchsql.REACH_ADGROUP)
+def q_reach_adgroup_daily(spark, sf):
+    """Ad-group reach for the report date, the previous day's output as prior."""
+    return _reach(spark, sf, "ag")
+
+
+@register("reach_campaign_daily", rchsql.REACH_CAMPAIGN)
+def q_reach_campaign_daily(spark, sf):
+    """Campaign reach for the report date."""
+    return _reach(spark, sf, "cmp")
+
+
+@register("check_reach_negative", rchsql.CHECK_REACH_NEGATIVE)
+def q_check_reach_negative(spark, sf):
+    """Q3: reach rows with a negative metric."""
+    return quality.check_reach_negative(_reach(spark, sf, "ag"))

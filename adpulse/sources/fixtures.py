@@ -330,6 +330,29 @@ def fx_bid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
             .selectExpr(*_bid_log_cols("spark")))
 
 
+def _flight_cols(dialect: str, campaign: bool) -> list[str]:
+    s = _dialect(dialect)["s"]
+    k = "n_nationkey"
+    if campaign:
+        return [f"CAST({k} AS BIGINT) AS cmpno",
+                f"concat('2024-01-', lpad(cast(1 + {k} % 5 as {s}), 2, '0'), ' 00:00:00') AS startdt",
+                f"concat('2024-01-', lpad(cast(18 + {k} % 10 as {s}), 2, '0'), ' 23:59:59') AS enddt"]
+    return [f"CAST({k} AS BIGINT) AS agno",
+            f"concat('2024-01-', lpad(cast(1 + {k} % 10 as {s}), 2, '0'), ' 00:00:00') AS startdt",
+            f"concat('2024-01-', lpad(cast(19 + {k} % 11 as {s}), 2, '0'), ' 23:59:59') AS enddt",
+            f"CASE WHEN {k} % 7 = 0 THEN 'N' ELSE 'Y' END AS logparsefg"]
+
+
+def fx_adgroup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ad-group flights (agno, startdt, enddt, logparsefg) projected from ``nation``."""
+    return load(spark, sf_dir, "nation").selectExpr(*_flight_cols("spark", False))
+
+
+def fx_adcampaign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Campaign flights (cmpno, startdt, enddt) projected from ``nation``."""
+    return load(spark, sf_dir, "nation").selectExpr(*_flight_cols("spark", True))
+
+
 FX_SQL = {
     "fx_postback": "SELECT " + ",\n  ".join(_postback_cols("duckdb")) + " FROM events",
     "fx_media": f"SELECT {_pick(MEDIA_CODES, 'r_regionkey', 'duckdb')} AS mediacd, "
@@ -352,6 +375,8 @@ FX_SQL = {
     "fx_apm_flat": "SELECT " + ", ".join(_apm_flat_cols("duckdb")) + " FROM events",
     "fx_addi_bid": "SELECT " + ", ".join(_addi_bid_cols("duckdb")) + " FROM orders",
     "fx_nhn_flat": "SELECT " + ", ".join(_nhn_flat_cols("duckdb")) + " FROM lineitem",
+    "fx_adgroup": "SELECT " + ", ".join(_flight_cols("duckdb", False)) + " FROM nation",
+    "fx_adcampaign": "SELECT " + ", ".join(_flight_cols("duckdb", True)) + " FROM nation",
     "fx_bid_log": "SELECT " + ", ".join(_bid_log_cols("duckdb")) + " FROM events WHERE event_id % 4 = 0",
 }
 
