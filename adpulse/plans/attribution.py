@@ -168,25 +168,100 @@ def attribute_v1(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: D
     return out
 
 
-def attribute_v3(postback: DataFrame, gtm: DataFrame, info: DataFrame, start: str | None = None,
-                 end: str | None = None) -> DataFrame:
-    """C8 direct route: first view per (campaign, view ip) -- ties broken by the
-    device id -- then every distinct web event on that ip after it (1:N)."""
+V3_EVENT_COLS = ["cmp_no", "pid", "eid", "log_time", "ev", "scroll", "click", "conv_type", "conv_value",
+                 "conv_meta", "mall_dt"]
+
+
+def _v3_links(skb: DataFrame, months: DataFrame) -> DataFrame:
+    return (skb.where(is_present("platform_ad_id") & is_present("ad_id")).withColumn("ym", _ym())
+            .join(months, "ym").select("cmp_no", "ad_id", F.col("platform_ad_id").alias("ifa")).distinct())
+
+
+def first_view_direct(views: DataFrame) -> DataFrame:
+    """v3 direct route: first view per (campaign, view ip); ties by device id."""
+    return (views.groupBy("cmp_no", "post_ip").agg(F.min(F.struct("post_datetime", "ifa")).alias("_f"))
+            .select("cmp_no", F.col("post_ip").alias("ip"), F.col("_f.post_datetime").alias("post_datetime"),
+                    F.col("_f.ifa").alias("stp_id"), F.lit(None).cast("string").alias("m_adid"),
+                    F.col("post_ip").alias("raw_ip")))
+
+
+def first_view_graph(views: DataFrame, tg: DataFrame, skb: DataFrame, months_back: int = 5) -> DataFrame:
+    """v3 graph route: per (campaign, graph ip) the first (view time, device,
+    mobile id, view ip) over the devices linked to the ip -- each device
+    contributes only its own first view, so no view x link pairs are formed."""
+    months = broadcast_if_bounded(campaign_months(views, months_back))
+    links = (_v3_links(skb, months)
+             .join(tg.where(is_present("ip")).withColumn("ym", _ym()).join(months, "ym")
+                   .select("cmp_no", F.col("uuid").alias("ad_id"), "ip").distinct(), ["cmp_no", "ad_id"]))
+    first = views.groupBy("cmp_no", "ifa").agg(F.min(F.struct("post_datetime", "post_ip")).alias("_v"))
+    best = (links.join(first, ["cmp_no", "ifa"])
+            .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), F.col("ifa"),
+                                                        F.col("ad_id"), F.col("_v.post_ip").alias("r"))).alias("_b")))
+    return best.select("cmp_no", "ip", F.col("_b.t").alias("post_datetime"), F.col("_b.ifa").alias("stp_id"),
+                       F.col("_b.ad_id").alias("m_adid"), F.col("_b.r").alias("raw_ip"))
+
+
+def first_view_visit(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_days: int = 180,
+                     months_back: int = 5) -> DataFrame:
+    """v3 visit route: per (campaign, visit ip) the earliest view that follows a
+    bridged visit within ``visit_days``; ties go to the latest such visit, then
+    device, mobile id, view ip.  Every visit that maps to the earliest view has
+    that view as its own next view, so the as-of lookup per visit suffices."""
+    months = broadcast_if_bounded(campaign_months(views, months_back))
+    sk = _v3_links(skb, months)
+    v = (visits.where(is_present("request_ip") & is_present("ifa")).withColumn("ym", _ym()).join(months, "ym")
+         .select("cmp_no", F.col("ifa").alias("ad_id"), F.to_timestamp("created_at").alias("visit_at"),
+                 F.col("request_ip").alias("ip")).distinct())
+    vis = v.join(sk, ["cmp_no", "ad_id"]).select("cmp_no", "ifa", "ad_id", "visit_at", "ip").distinct()
+    vt = views.select("cmp_no", "ifa", "post_datetime", "post_ip")
+    nxt = next_event_within(vis, vt.select("cmp_no", "ifa", "post_datetime").distinct(), keys=["cmp_no", "ifa"],
+                            probe_ts="visit_at", event_ts="post_datetime", horizon_days=visit_days,
+                            out="post_datetime").where(F.col("post_datetime").isNotNull())
+    raw = vt.groupBy("cmp_no", "ifa", "post_datetime").agg(F.min("post_ip").alias("raw_ip"))
+    cand = nxt.join(raw, ["cmp_no", "ifa", "post_datetime"])
+    key = F.struct(F.col("post_datetime").alias("t"), (-F.unix_micros("visit_at")).alias("nv"),
+                   F.col("ifa"), F.col("ad_id"), F.col("raw_ip"))
+    best = cand.groupBy("cmp_no", "ip").agg(F.min(key).alias("_b"))
+    return best.select("cmp_no", "ip", F.col("_b.t").alias("post_datetime"), F.col("_b.ifa").alias("stp_id"),
+                       F.col("_b.ad_id").alias("m_adid"), F.col("_b.raw_ip").alias("raw_ip"))
+
+
+def all_after(first: DataFrame, mall: DataFrame, cate: str, keep_m_adid: bool = True) -> DataFrame:
+    """v3: every distinct web event on the ip strictly after the first view (1:N)."""
+    j = mall.join(first, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("post_datetime"))
+    m = F.col("m_adid") if keep_m_adid else F.lit(None).cast("string")
+    return j.select(*V3_EVENT_COLS, F.date_format("post_datetime", TS_FMT).alias("post_datetime"),
+                    F.date_format("mall_datetime", TS_FMT).alias("mall_datetime"), F.col("ip").alias("mall_ip"),
+                    F.lit(cate).alias("cate"), "stp_id", m.alias("m_adid"), "raw_ip",
+                    F.substring("mall_dt", 1, 4).alias("year"), F.substring("mall_dt", 6, 2).alias("month"),
+                    F.substring("mall_dt", 9, 2).alias("day")).distinct()
+
+
+def attribute_v3(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: DataFrame | None = None,
+                 skb: DataFrame | None = None, tg: DataFrame | None = None, start: str | None = None,
+                 end: str | None = None, routes: tuple[str, ...] = ("direct", "visit", "graph"),
+                 visit_days: int = 180) -> DataFrame:
+    """First touch picked per (campaign, ip) *before* meeting the events,
+    then all later events (1:N).  The earliest view is the same for every event
+    day, so the range form equals the union of daily runs."""
     mall = web_events(gtm, info, start, end, blank_aware=True, extra=True)
     cmps = mall.select("cmp_no").distinct()
-    views = completed_views(postback, end, cmps, "ip")
-    first = (views.groupBy("cmp_no", "post_ip")
-             .agg(F.min(F.struct("post_datetime", "ifa")).alias("_f"))
-             .select("cmp_no", F.col("post_ip").alias("ip"), F.col("_f.post_datetime").alias("post_datetime"),
-                     F.col("_f.ifa").alias("stp_id")))
-    j = mall.join(first, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("post_datetime"))
-    return j.select("cmp_no", "pid", "eid", "log_time", "ev", "scroll", "click", "conv_type", "conv_value",
-                    "conv_meta", "mall_dt", F.date_format("post_datetime", TS_FMT).alias("post_datetime"),
-                    F.date_format("mall_datetime", TS_FMT).alias("mall_datetime"),
-                    F.col("ip").alias("mall_ip"), "stp_id", F.col("ip").alias("raw_ip"),
-                    F.lit("Addi").alias("cate"), F.substring("mall_dt", 1, 4).alias("year"),
-                    F.substring("mall_dt", 6, 2).alias("month"), F.substring("mall_dt", 9, 2).alias("day")).distinct()
+    parts = []
+    if "direct" in routes:
+        parts.append(all_after(first_view_direct(completed_views(postback, end, cmps, "ip")), mall, "Addi",
+                               keep_m_adid=False))
+    if "visit" in routes or "graph" in routes:
+        iv = completed_views(postback, end, cmps, "ifa")
+        if "visit" in routes:
+            parts.append(all_after(first_view_visit(iv, visits, skb, visit_days), mall, "Abi"))
+        if "graph" in routes:
+            parts.append(all_after(first_view_graph(iv, tg, skb), mall, "ODM"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 __all__ = ["web_events", "completed_views", "campaign_months", "touch_direct", "touch_graph", "touch_visit",
-           "first_match", "attribute_v1", "attribute_v3", "Window"]
+           "first_match", "attribute_v1", "attribute_v3", "first_view_direct", "first_view_graph",
+           "first_view_visit", "all_after", "Window"]

@@ -364,3 +364,9 @@ def q_reach_campaign_daily(spark, sf):
 def q_check_reach_negative(spark, sf):
     """Q3: reach rows with a negative metric."""
     return quality.check_reach_negative(_reach(spark, sf, "ag"))
+
+
+@register("attr_web_v3", asql.ATTR_WEB_V3)
+def q_attr_web_v3(spark, sf):
+    """First touch per (campaign, ip), then every later event, three routes."""
+    return attr.attribute_v3(**_attr_inputs(spark, sf))
