@@ -262,6 +262,81 @@ def attribute_v3(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: D
     return out
 
 
+def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame, weekly: DataFrame,
+                          visits: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Set-top -> mobile id through the weekly mapping table, then mobile id
+    -> ip either from ABI visits (cate 'ABI') or from the mapping's own ips
+    (cate 'STB_MOBILE_MAPPING'); ids and ips normalised, no time window.  One
+    row per (campaign, event ip) for the whole range (the range form keeps no
+    day in the key).
+
+    Per (campaign, ip) the first candidate in (view, device, mobile id, view
+    ip, carrier) order is found from each device's first view; the event is
+    the earliest one after that view (ties: pid, ev, payload)."""
+    from ..functions.normalize import norm_id, norm_ip
+    junk = ["0000000-0000-0000-0000-000000000000", "00000000-0000-0000-0000-000000000000", "adid_none"]
+    day = yyyymmdd("year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
+    g = gtm.where(is_present(F.col("ip").cast("string")))
+    if start is not None:
+        g = g.where(day >= _day_int(start))
+    if end is not None:
+        g = g.where(day <= _day_int(end))
+    pixels = info.select("cmp_no", F.col("pixel_id_web").alias("pid")).distinct()
+    mall = (g.join(broadcast_if_bounded(pixels), "pid")
+            .select(F.regexp_replace(F.substring("log_time", 1, 10), "/", "-").alias("mall_dt"),
+                    F.to_timestamp("log_time", "yyyy/MM/dd/HH:mm:ss").alias("mall_datetime"),
+                    event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string")).alias("ev"),
+                    "conv_meta", "conv_value", "pid", norm_ip(F.col("ip").cast("string")).alias("ip"), "cmp_no")
+            .distinct())
+    cmps = mall.select("cmp_no").distinct()
+    v = postback.where((F.col("log_type") == "v_complete") & is_present(F.col("ifa").cast("string")))
+    if end is not None:
+        v = v.where(day <= _day_int(end))
+    views = (v.join(broadcast_if_bounded(cmps), "cmp_no", "left_semi")
+             .select(F.to_timestamp("created_at").alias("post_datetime"), "cmp_no",
+                     norm_id(F.col("ifa").cast("string")).alias("stp_id"),
+                     norm_ip(F.col("request_ip").cast("string")).alias("raw_ip")).distinct())
+    first = views.groupBy("cmp_no", "stp_id").agg(F.min(F.struct("post_datetime", "raw_ip")).alias("_v"))
+    wk = weekly.where(is_present(F.col("ad_id").cast("string")))
+    stb_mobile = (wk.where(is_present(F.col("plattform_id").cast("string")))
+                  .select(norm_id(F.col("plattform_id").cast("string")).alias("stp_id"),
+                          norm_id(F.col("ad_id").cast("string")).alias("m_adid"), "carrier")
+                  .where(~F.col("m_adid").isin(*junk)).distinct())
+    vis = visits.where(is_present(F.col("ifa").cast("string")) & is_present(F.col("request_ip").cast("string")))
+    if end is not None:
+        vis = vis.where(day <= _day_int(end))
+    abi_ip = (vis.select(norm_id(F.col("ifa").cast("string")).alias("m_adid"),
+                         norm_ip(F.col("request_ip").cast("string")).alias("ip"))
+              .where(~F.col("m_adid").isin(*junk)).distinct())
+    map_ip = (wk.where(is_present(F.col("ip").cast("string")))
+              .select(norm_id(F.col("ad_id").cast("string")).alias("m_adid"),
+                      norm_ip(F.col("ip").cast("string")).alias("ip"))
+              .where(~F.col("m_adid").isin(*junk)).distinct())
+
+    def route(ips: DataFrame, cate: str) -> DataFrame:
+        links = stb_mobile.join(ips, "m_adid").distinct()
+        touch = (links.join(first, "stp_id")
+                 .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), "stp_id",
+                                                             "m_adid", F.col("_v.raw_ip").alias("r"),
+                                                             "carrier")).alias("_c")))
+        j = mall.join(touch, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("_c.t"))
+        best = j.groupBy("cmp_no", "ip").agg(
+            F.first("_c").alias("_c"),
+            F.min(F.struct("mall_datetime", "pid", "ev", "conv_meta", "conv_value", "mall_dt")).alias("_e"))
+        return best.select("cmp_no", F.col("_e.pid").alias("pid"), F.col("_e.ev").alias("ev"),
+                           F.col("_e.conv_meta").alias("conv_meta"), F.col("_e.conv_value").alias("conv_value"),
+                           F.col("_e.mall_dt").alias("mall_dt"),
+                           F.date_format("_c.t", TS_FMT).alias("post_datetime"),
+                           F.date_format("_e.mall_datetime", TS_FMT).alias("mall_datetime"),
+                           F.col("ip").alias("mall_ip"), F.lit(cate).alias("cate"),
+                           F.col("_c.stp_id").alias("stp_id"), F.col("_c.m_adid").alias("m_adid"),
+                           F.col("_c.r").alias("raw_ip"), F.col("_c.carrier").alias("carrier"),
+                           F.substring(F.col("_e.mall_dt"), 1, 4).alias("year"),
+                           F.substring(F.col("_e.mall_dt"), 6, 2).alias("month"),
+                           F.substring(F.col("_e.mall_dt"), 9, 2).alias("day"))
+    return route(abi_ip, "ABI").unionByName(route(map_ip, "STB_MOBILE_MAPPING"))
+
+
 __all__ = ["web_events", "completed_views", "campaign_months", "touch_direct", "touch_graph", "touch_visit",
            "first_match", "attribute_v1", "attribute_v3", "first_view_direct", "first_view_graph",
-           "first_view_visit", "all_after", "Window"]
+           "first_view_visit", "all_after", "attribute_via_mapping", "Window"]

@@ -370,3 +370,10 @@ def q_check_reach_negative(spark, sf):
 def q_attr_web_v3(spark, sf):
     """First touch per (campaign, ip), then every later event, three routes."""
     return attr.attribute_v3(**_attr_inputs(spark, sf))
+
+
+@register("attr_mapping_new", msql.ATTR_MAPPING_NEW)
+def q_attr_mapping_new(spark, sf):
+    """Attribution through the weekly set-top/mobile mapping, whole range."""
+    return attr.attribute_via_mapping(fx.fx_postback(spark, sf), fx.fx_gtm(spark, sf), fx.fx_info(spark, sf),
+                                      _weekly(spark, sf), fx.fx_visit(spark, sf))
