@@ -81,6 +81,24 @@ def _ym(year="year", month="month") -> Column:
     return F.concat(F.col(year), F.lpad(F.col(month), 2, "0")).cast("int")
 
 
+def visit_extremes(visits: DataFrame) -> DataFrame:
+    """Mobile visits reduced to the first and last visit per (mobile id, ip, day).
+
+    Exact for "earliest view within N days after some visit" (N >= 1 day): the
+    next view after the day's first visit is the answer when it is in range;
+    otherwise no view lies within N days of that first visit, every later visit
+    of the day sees the same next view, and the last visit has the widest
+    window for it.  Pre-aggregating before the campaign fan-out keeps app
+    sessions with many hits per day from multiplying the rows."""
+    t = F.to_timestamp("created_at")
+    agg = (visits.where(is_present("request_ip") & is_present("ifa"))
+           .select(F.col("ifa").alias("ad_id"), F.col("request_ip").alias("ip"), t.alias("_t"), "year", "month")
+           .groupBy("ad_id", "ip", F.to_date("_t").alias("_day"), "year", "month")
+           .agg(F.min("_t").alias("_a"), F.max("_t").alias("_b")))
+    return agg.select("ad_id", "ip", _ym().alias("ym"),
+                      F.explode(F.array_distinct(F.array("_a", "_b"))).alias("visit_at"))
+
+
 def touch_direct(views: DataFrame) -> DataFrame:
     """C1 route: earliest view per (campaign, view ip)."""
     return views.groupBy("cmp_no", F.col("post_ip").alias("ip")).agg(F.min("post_datetime").alias("post_datetime"))
@@ -111,12 +129,12 @@ def touch_visit(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_days:
     months = broadcast_if_bounded(campaign_months(views, months_back))
     sk = (skb.where(is_present("platform_ad_id")).withColumn("ym", _ym())
           .join(months, "ym").select("cmp_no", "ad_id", F.col("platform_ad_id").alias("ifa")).distinct())
-    v = (visits.where(is_present("request_ip") & is_present("ifa")).withColumn("ym", _ym())
-         .join(months, "ym")
-         .select("cmp_no", F.col("ifa").alias("ad_id"), F.to_timestamp("created_at").alias("visit_at"),
-                 F.col("request_ip").alias("ip")).distinct())
-    vis = v.join(sk, ["cmp_no", "ad_id"]).select("cmp_no", "ifa", "visit_at", "ip").distinct()
-    nxt = next_event_within(vis, views.select("cmp_no", "ifa", "post_datetime").distinct(),
+    # Only (campaign, device) pairs that have views can yield a touch: cut the
+    # bridge to those before the visits fan out per campaign.
+    sk = sk.join(views.select("cmp_no", "ifa").distinct(), ["cmp_no", "ifa"], "left_semi")
+    vis = (visit_extremes(visits).join(sk, "ad_id").join(months, ["cmp_no", "ym"])
+           .select("cmp_no", "ifa", "visit_at", "ip"))
+    nxt = next_event_within(vis, views.select("cmp_no", "ifa", "post_datetime"),
                             keys=["cmp_no", "ifa"], probe_ts="visit_at", event_ts="post_datetime",
                             horizon_days=visit_days, out="post_datetime")
     return nxt.where(F.col("post_datetime").isNotNull()).groupBy("cmp_no", "ip") \
@@ -208,11 +226,12 @@ def first_view_visit(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_
     device, mobile id, view ip.  Every visit that maps to the earliest view has
     that view as its own next view, so the as-of lookup per visit suffices."""
     months = broadcast_if_bounded(campaign_months(views, months_back))
-    sk = _v3_links(skb, months)
-    v = (visits.where(is_present("request_ip") & is_present("ifa")).withColumn("ym", _ym()).join(months, "ym")
-         .select("cmp_no", F.col("ifa").alias("ad_id"), F.to_timestamp("created_at").alias("visit_at"),
-                 F.col("request_ip").alias("ip")).distinct())
-    vis = v.join(sk, ["cmp_no", "ad_id"]).select("cmp_no", "ifa", "ad_id", "visit_at", "ip").distinct()
+    sk = _v3_links(skb, months).join(views.select("cmp_no", "ifa").distinct(), ["cmp_no", "ifa"], "left_semi")
+    v = (visits.where(is_present("request_ip") & is_present("ifa"))
+         .select(F.col("ifa").alias("ad_id"), F.to_timestamp("created_at").alias("visit_at"),
+                 F.col("request_ip").alias("ip"), _ym().alias("ym")))
+    vis = (v.join(sk, "ad_id").join(months, ["cmp_no", "ym"])
+           .select("cmp_no", "ifa", "ad_id", "visit_at", "ip"))
     vt = views.select("cmp_no", "ifa", "post_datetime", "post_ip")
     nxt = next_event_within(vis, vt.select("cmp_no", "ifa", "post_datetime").distinct(), keys=["cmp_no", "ifa"],
                             probe_ts="visit_at", event_ts="post_datetime", horizon_days=visit_days,

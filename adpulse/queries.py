@@ -142,7 +142,15 @@ def q_mapping_weekly(spark, sf):
 
 @register("mapping_merge", msql.MAPPING_MERGE)
 def q_mapping_merge(spark, sf):
-    """Cumulative current table after merging every week."""
+    """M3: cumulative current table after merging every week oldest-first,
+    computed as one aggregation over all weeks."""
+    return mapping.merge_fold(_weekly(spark, sf))
+
+
+@register("mapping_merge_incremental", msql.MAPPING_MERGE)
+def q_mapping_merge_incremental(spark, sf):
+    """The same state reached through the incremental MERGE of the newest
+    week into the state of all earlier weeks."""
     return _current(spark, sf)
 
 
