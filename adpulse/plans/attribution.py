@@ -281,6 +281,87 @@ def attribute_v3(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: D
     return out
 
 
+def first_view_visit_v2(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_days: int = 180,
+                        months_back: int = 5) -> DataFrame:
+    """v2 visit route: per (campaign, visit ip) the first candidate in (view
+    time, device, mobile id, view ip) order; visits are reduced to their daily
+    first/last (exact for this order, see ``visit_extremes``)."""
+    months = broadcast_if_bounded(campaign_months(views, months_back))
+    sk = _v3_links(skb, months).join(views.select("cmp_no", "ifa").distinct(), ["cmp_no", "ifa"], "left_semi")
+    vis = (visit_extremes(visits).join(sk, "ad_id").join(months, ["cmp_no", "ym"])
+           .select("cmp_no", "ifa", "ad_id", "visit_at", "ip"))
+    vt = views.select("cmp_no", "ifa", "post_datetime", "post_ip")
+    nxt = next_event_within(vis, vt.select("cmp_no", "ifa", "post_datetime"), keys=["cmp_no", "ifa"],
+                            probe_ts="visit_at", event_ts="post_datetime", horizon_days=visit_days,
+                            out="post_datetime").where(F.col("post_datetime").isNotNull())
+    raw = vt.groupBy("cmp_no", "ifa", "post_datetime").agg(F.min("post_ip").alias("raw_ip"))
+    best = (nxt.join(raw, ["cmp_no", "ifa", "post_datetime"]).groupBy("cmp_no", "ip")
+            .agg(F.min(F.struct(F.col("post_datetime").alias("t"), "ifa", "ad_id", "raw_ip")).alias("_b")))
+    return best.select("cmp_no", "ip", F.col("_b.t").alias("post_datetime"), F.col("_b.ifa").alias("stp_id"),
+                       F.col("_b.ad_id").alias("m_adid"), F.col("_b.raw_ip").alias("raw_ip"))
+
+
+def first_match_v2(touch: DataFrame, mall: DataFrame, cate: str, per_day: bool = True,
+                   raw_is_event_ip: bool = False) -> DataFrame:
+    """v2 first pair per (campaign, event ip[, day]): the touch's earliest
+    candidate and the earliest later event (ties: pid, ev, payload)."""
+    keys = ["cmp_no", "ip"] + (["mall_dt"] if per_day else [])
+    j = mall.join(touch, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("post_datetime"))
+    best = j.groupBy(*keys).agg(
+        F.min(F.struct("post_datetime", "stp_id", "m_adid", "raw_ip")).alias("_c"),
+        F.min(F.struct("mall_datetime", "pid", "ev", "conv_meta", "conv_value", "mall_dt")).alias("_e"))
+    return best.select("cmp_no", F.col("_e.pid").alias("pid"), F.col("_e.ev").alias("ev"),
+                       F.col("_e.conv_meta").alias("conv_meta"), F.col("_e.conv_value").alias("conv_value"),
+                       F.col("_e.mall_dt").alias("mall_dt"), F.date_format("_c.post_datetime", TS_FMT).alias("post_datetime"),
+                       F.date_format("_e.mall_datetime", TS_FMT).alias("mall_datetime"), F.col("ip").alias("mall_ip"),
+                       F.lit(cate).alias("cate"), F.col("_c.stp_id").alias("stp_id"),
+                       F.col("_c.m_adid").alias("m_adid"),
+                       (F.col("ip") if raw_is_event_ip else F.col("_c.raw_ip")).alias("raw_ip"),
+                       F.substring(F.col("_e.mall_dt"), 1, 4).alias("year"),
+                       F.substring(F.col("_e.mall_dt"), 6, 2).alias("month"),
+                       F.substring(F.col("_e.mall_dt"), 9, 2).alias("day"))
+
+
+def attribute_v2(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: DataFrame, skb: DataFrame,
+                 tg: DataFrame, start: str | None = None, end: str | None = None, direct_lookback_months: int | None = None,
+                 visit_days: int = 180) -> DataFrame:
+    """C6 (v2): v1 plus device id, mobile id, view ip and the conversion
+    payload, ties broken by device then mobile id.  C7 (home) is v2 with the
+    direct route's views limited to ``direct_lookback_months`` before ``end``."""
+    mall = web_events_payload(gtm, info, start, end)
+    cmps = mall.select("cmp_no").distinct()
+    dv = completed_views(postback, end, None, "ip")
+    if direct_lookback_months is not None and end is not None:
+        lo = F.date_format(F.add_months(F.to_date(F.lit(end)), -direct_lookback_months), "yyyyMMdd").cast("int")
+        dv = dv.where(F.date_format("post_datetime", "yyyyMMdd").cast("int") >= lo)
+    direct = (dv.groupBy("cmp_no", "post_ip").agg(F.min(F.struct("post_datetime", "ifa")).alias("_f"))
+              .select("cmp_no", F.col("post_ip").alias("ip"), F.col("_f.post_datetime").alias("post_datetime"),
+                      F.col("_f.ifa").alias("stp_id"), F.lit(None).cast("string").alias("m_adid"),
+                      F.col("post_ip").alias("raw_ip")))
+    iv = completed_views(postback, end, cmps, "ifa")
+    parts = [first_match_v2(direct, mall, "Addi", raw_is_event_ip=True),
+             first_match_v2(first_view_visit_v2(iv, visits, skb, visit_days), mall, "Abi"),
+             first_match_v2(first_view_graph(iv, tg, skb), mall, "ODM")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def web_events_payload(gtm: DataFrame, info: DataFrame, start: str | None = None,
+                       end: str | None = None) -> DataFrame:
+    """``web_events`` plus the conversion payload columns (distinct)."""
+    day = yyyymmdd("year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
+    g = gtm.where(is_present("ip"))
+    if start is not None:
+        g = g.where(day >= _day_int(start))
+    if end is not None:
+        g = g.where(day <= _day_int(end))
+    pixels = info.select("cmp_no", F.col("pixel_id_web").alias("pid")).distinct()
+    return (g.join(broadcast_if_bounded(pixels), "pid")
+            .select(F.regexp_replace(F.substring("log_time", 1, 10), "/", "-").alias("mall_dt"),
+                    F.to_timestamp("log_time", "yyyy/MM/dd/HH:mm:ss").alias("mall_datetime"),
+                    event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string")).alias("ev"),
+                    "pid", "ip", "cmp_no", "conv_meta", "conv_value").distinct())
+
+
 def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame, weekly: DataFrame,
                           visits: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
     """Set-top -> mobile id through the weekly mapping table, then mobile id

@@ -385,3 +385,15 @@ def q_attr_mapping_new(spark, sf):
     """Attribution through the weekly set-top/mobile mapping, whole range."""
     return attr.attribute_via_mapping(fx.fx_postback(spark, sf), fx.fx_gtm(spark, sf), fx.fx_info(spark, sf),
                                       _weekly(spark, sf), fx.fx_visit(spark, sf))
+
+
+@register("attr_web_v2", asql.ATTR_WEB_V2)
+def q_attr_web_v2(spark, sf):
+    """v2 attribution (device, mobile id, view ip, payload), every event day."""
+    return attr.attribute_v2(**_attr_inputs(spark, sf))
+
+
+@register("attr_web_home", asql.ATTR_WEB_HOME)
+def q_attr_web_home(spark, sf):
+    """v2 with the direct route's views limited to six months before the end date."""
+    return attr.attribute_v2(**_attr_inputs(spark, sf), end=asql.HOME_END, direct_lookback_months=6)
