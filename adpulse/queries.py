@@ -397,3 +397,9 @@ def q_attr_web_v2(spark, sf):
 def q_attr_web_home(spark, sf):
     """v2 with the direct route's views limited to six months before the end date."""
     return attr.attribute_v2(**_attr_inputs(spark, sf), end=asql.HOME_END, direct_lookback_months=6)
+
+
+@register("mapping_analysis", msql.MAPPING_ANALYSIS)
+def q_mapping_analysis(spark, sf):
+    """M8: per-carrier mapping summary with union rates, all months."""
+    return mapping.mapping_analysis(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
