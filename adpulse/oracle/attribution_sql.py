@@ -204,3 +204,23 @@ ATTR_WEB_HOME = v2_sql(f" AND CAST(strftime(strptime(p.created_at, '%Y-%m-%dT%H:
                        f"CAST(strftime(DATE '{HOME_END}' - INTERVAL 6 MONTH, '%Y%m%d') AS INTEGER)"
                        f" AND CAST(concat(p.year, lpad(p.month, 2, '0'), lpad(p.day, 2, '0')) AS INTEGER) <= "
                        f"CAST(strftime(DATE '{HOME_END}', '%Y%m%d') AS INTEGER)")
+
+
+def v1_range_sql(start: str, end: str, imp: bool = False) -> str:
+    """v1 range form (C10): events between ``start`` and ``end``, views up to ``end``."""
+    day = "CAST(concat({t}.year, lpad({t}.month, 2, '0'), lpad({t}.day, 2, '0')) AS INTEGER)"
+    s_, e_ = start.replace("-", ""), end.replace("-", "")
+    mall = _MALL.replace("WHERE NULLIF(TRIM(g.ip), '') IS NOT NULL",
+                         f"WHERE NULLIF(TRIM(g.ip), '') IS NOT NULL AND {day.format(t='g')} BETWEEN {s_} AND {e_}")
+    addi = _ADDI.replace("WHERE post.log_type = 'v_complete'",
+                         f"WHERE post.log_type = 'v_complete' AND {day.format(t='post')} <= {e_}")
+    common = _COMMON.replace("WHERE post.log_type = 'v_complete'",
+                             f"WHERE post.log_type = 'v_complete' AND {day.format(t='post')} <= {e_}")
+    return with_fixtures(
+        "\nUNION ALL\n".join([_sel("addi_dedup", "Addi", imp), _sel("abi_first_touch", "Abi", imp),
+                               _sel("odm_first_touch", "ODM", imp)]),
+        *FIX, ctes=[mall, addi, common, _ABI, _ODM])
+
+
+RANGE_START, RANGE_END = "2024-01-10", "2024-01-20"
+ATTR_RANGE_V1 = v1_range_sql(RANGE_START, RANGE_END)

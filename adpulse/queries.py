@@ -403,3 +403,33 @@ def q_attr_web_home(spark, sf):
 def q_mapping_analysis(spark, sf):
     """M8: per-carrier mapping summary with union rates, all months."""
     return mapping.mapping_analysis(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
+
+
+# ---------------------------------------------------------------- range (backfill) forms and gates
+from .streaming import jobs as stream_jobs  # noqa: E402
+
+
+@register("attr_range_v1", asql.ATTR_RANGE_V1)
+def q_attr_range_v1(spark, sf):
+    """v1 over an event-date range in one job (equals the union of the daily runs)."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), start=asql.RANGE_START, end=asql.RANGE_END)
+
+
+@register("report_range_web", rsql.REPORT_RANGE_WEB)
+def q_report_range_web(spark, sf):
+    """The daily unique-ip report over a date range, from the range attribution."""
+    raw = attr.attribute_v1(**_attr_inputs(spark, sf), start=asql.RANGE_START, end=asql.RANGE_END)
+    return reports.report_web(raw, asql.RANGE_START, asql.RANGE_END)
+
+
+@register("sync_incremental", rsql.SYNC_INCREMENTAL)
+def q_sync_incremental(spark, sf):
+    """Rows above the stored high-watermark of the platform metrics."""
+    new, _mark = stream_jobs.incremental_extract(fx.fx_metric(spark, sf), "campaign_no", rsql.SYNC_WATERMARK)
+    return new
+
+
+@register("check_gate", f"SELECT *, error_cnt = 0 AS passed FROM ({csql.CHECK_HOUR_VS_DAILY}) c")
+def q_check_gate(spark, sf):
+    """Q4: pass/fail of the hour-vs-day check against the expected 0."""
+    return quality.expect(q_check_hour_vs_daily(spark, sf), 0)

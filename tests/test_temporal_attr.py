@@ -54,3 +54,14 @@ def test_campaign_months_explode(spark):
     got = sorted(r["ym"] for r in attr.campaign_months(v).collect())
     assert got == [202309, 202310, 202311, 202312, 202401, 202402]
     assert attr.campaign_months(v).where(F.col("ym") == 202402).count() == 1
+
+
+def test_range_equals_union_of_daily_runs(spark):
+    from adpulse.queries import _attr_inputs
+    from tests.conftest import SF_SMALL
+    inp = _attr_inputs(spark, SF_SMALL)
+    days = ["2024-01-10", "2024-01-11", "2024-01-12"]
+    for fn in (attr.attribute_v1, attr.attribute_v3):
+        rng = sorted(map(tuple, fn(**inp, start=days[0], end=days[-1]).collect()))
+        daily = sorted(r for d in days for r in map(tuple, fn(**inp, start=d, end=d).collect()))
+        assert rng == daily and len(rng) > 0, fn.__name__
