@@ -106,15 +106,19 @@ def touch_direct(views: DataFrame) -> DataFrame:
 
 def touch_graph(views: DataFrame, tg: DataFrame, skb: DataFrame, months_back: int = 5) -> DataFrame:
     """C3 route: stb -> mobile id (skb) -> ip (tg), both tables limited to the
-    campaign's month range; earliest view over all stbs linked to the ip."""
+    campaign's month range; earliest view over all stbs linked to the ip.
+
+    The earliest view is first reduced per (campaign, mobile id) and only then
+    spread to that mobile id's ips, so (set-top x ip) pairs are never formed."""
     months = broadcast_if_bounded(campaign_months(views, months_back))
     sk = (skb.where(is_present("platform_ad_id")).withColumn("ym", _ym())
           .join(months, "ym").select("cmp_no", "ad_id", F.col("platform_ad_id").alias("ifa")).distinct())
     t = (tg.where(is_present("ip")).withColumn("ym", _ym()).join(months, "ym")
          .select("cmp_no", F.col("uuid").alias("ad_id"), "ip").distinct())
-    links = sk.join(t, ["cmp_no", "ad_id"]).select("cmp_no", "ifa", "ip").distinct()
     first_view = views.groupBy("cmp_no", "ifa").agg(F.min("post_datetime").alias("post_datetime"))
-    return (links.join(first_view, ["cmp_no", "ifa"])
+    per_id = (sk.join(first_view, ["cmp_no", "ifa"])
+              .groupBy("cmp_no", "ad_id").agg(F.min("post_datetime").alias("post_datetime")))
+    return (t.join(per_id, ["cmp_no", "ad_id"])
             .groupBy("cmp_no", "ip").agg(F.min("post_datetime").alias("post_datetime")))
 
 
@@ -204,17 +208,22 @@ def first_view_direct(views: DataFrame) -> DataFrame:
 
 
 def first_view_graph(views: DataFrame, tg: DataFrame, skb: DataFrame, months_back: int = 5) -> DataFrame:
-    """v3 graph route: per (campaign, graph ip) the first (view time, device,
-    mobile id, view ip) over the devices linked to the ip -- each device
-    contributes only its own first view, so no view x link pairs are formed."""
+    """v2/v3 graph route: per (campaign, graph ip) the first (view time, device,
+    mobile id, view ip) over the devices linked to the ip.  Each device
+    contributes only its first view, and the best device is picked per
+    (campaign, mobile id) before spreading to that id's ips -- the
+    lexicographic minimum is unchanged, and no (device x ip) pairs are formed."""
     months = broadcast_if_bounded(campaign_months(views, months_back))
-    links = (_v3_links(skb, months)
-             .join(tg.where(is_present("ip")).withColumn("ym", _ym()).join(months, "ym")
-                   .select("cmp_no", F.col("uuid").alias("ad_id"), "ip").distinct(), ["cmp_no", "ad_id"]))
+    sk = _v3_links(skb, months)
+    ips = (tg.where(is_present("ip")).withColumn("ym", _ym()).join(months, "ym")
+           .select("cmp_no", F.col("uuid").alias("ad_id"), "ip").distinct())
     first = views.groupBy("cmp_no", "ifa").agg(F.min(F.struct("post_datetime", "post_ip")).alias("_v"))
-    best = (links.join(first, ["cmp_no", "ifa"])
-            .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), F.col("ifa"),
-                                                        F.col("ad_id"), F.col("_v.post_ip").alias("r"))).alias("_b")))
+    per_id = (sk.join(first, ["cmp_no", "ifa"]).groupBy("cmp_no", "ad_id")
+              .agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), F.col("ifa"),
+                                  F.col("_v.post_ip").alias("r"))).alias("_m")))
+    best = (ips.join(per_id, ["cmp_no", "ad_id"])
+            .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_m.t").alias("t"), F.col("_m.ifa").alias("ifa"),
+                                                        F.col("ad_id"), F.col("_m.r").alias("r"))).alias("_b")))
     return best.select("cmp_no", "ip", F.col("_b.t").alias("post_datetime"), F.col("_b.ifa").alias("stp_id"),
                        F.col("_b.ad_id").alias("m_adid"), F.col("_b.r").alias("raw_ip"))
 
@@ -414,11 +423,15 @@ def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame,
               .where(~F.col("m_adid").isin(*junk)).distinct())
 
     def route(ips: DataFrame, cate: str) -> DataFrame:
-        links = stb_mobile.join(ips, "m_adid").distinct()
-        touch = (links.join(first, "stp_id")
-                 .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), "stp_id",
-                                                             "m_adid", F.col("_v.raw_ip").alias("r"),
-                                                             "carrier")).alias("_c")))
+        # Best (view, device, view ip, carrier) per (campaign, mobile id) first, then
+        # spread to the mobile id's ips: same lexicographic minimum, no device x ip pairs.
+        per_id = (stb_mobile.join(first, "stp_id").groupBy("cmp_no", "m_adid")
+                  .agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), "stp_id",
+                                      F.col("_v.raw_ip").alias("r"), "carrier")).alias("_m")))
+        touch = (ips.join(per_id, "m_adid")
+                 .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_m.t").alias("t"), F.col("_m.stp_id").alias("stp_id"),
+                                                             "m_adid", F.col("_m.r").alias("r"),
+                                                             F.col("_m.carrier").alias("carrier"))).alias("_c")))
         j = mall.join(touch, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("_c.t"))
         best = j.groupBy("cmp_no", "ip").agg(
             F.first("_c").alias("_c"),
