@@ -100,9 +100,10 @@ def area_code(c, missing=("", "-99", "undefined")) -> Column:
 
 
 def observed_at(year, month, day, hour) -> Column:
-    """Timestamp of an hour partition, tolerant of unpadded parts."""
-    txt = F.concat_ws("-", _c(year), F.lpad(_c(month), 2, "0"), F.lpad(_c(day), 2, "0"))
-    return F.to_timestamp(F.concat(txt, F.lit(" "), F.lpad(_c(hour), 2, "0"), F.lit(":00:00")))
+    """Timestamp of an hour partition (unpadded parts accepted); built from
+    integers rather than by parsing text."""
+    i = lambda c: _c(c).cast("int")
+    return F.make_timestamp(i(year), i(month), i(day), i(hour), F.lit(0), F.lit(0))
 
 
 def month_bounds(year: int, month: int) -> tuple[Column, Column]:
