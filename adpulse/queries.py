@@ -433,3 +433,15 @@ def q_sync_incremental(spark, sf):
 def q_check_gate(spark, sf):
     """Q4: pass/fail of the hour-vs-day check against the expected 0."""
     return quality.expect(q_check_hour_vs_daily(spark, sf), 0)
+
+
+
+@register("stream_hourly_requests", fx.with_fixtures(
+    """SELECT date_trunc('hour', strptime(created_at, '%Y-%m-%dT%H:%M:%SZ')) AS hour_start, cmp_no, ag_no, creative_no,
+  media_id, log_type, COUNT(DISTINCT req_id) AS requests FROM fx_postback
+WHERE req_id IS NOT NULL AND cmp_no IS NOT NULL AND ag_no IS NOT NULL AND creative_no IS NOT NULL
+GROUP BY ALL""", "fx_postback"))
+def q_stream_hourly_requests(spark, sf):
+    """The result the streaming hourly distinct-request job converges to
+    when nothing arrives after the watermark (its batch form)."""
+    return stream_jobs.hourly_request_counts_batch(fx.fx_postback(spark, sf))
