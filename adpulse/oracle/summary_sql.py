@@ -120,3 +120,15 @@ SUMMARY_DAILY = with_fixtures(
     _final(["abi", "apm", "nhn"], "day", ["INVENTORYNM", "AREACD"]), *FIX, "fx_area",
     ctes=[_RATE, lookup_cte("abi", "day", _ABI_DIMS, area=True), dedup_cte("apm", "day", _APM_DIMS),
           lookup_cte("nhn", "day", _NHN_DIMS)])
+
+
+def _old_rule(cte: str) -> str:
+    """No castability filter on the lookup (unparseable maxima read as NULL), no ELSE 0 in PAYMENT."""
+    cte = cte.replace("   WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL GROUP BY ALL", "   GROUP BY ALL")
+    cte = cte.replace("CAST(p.price AS DOUBLE) AS price", "TRY_CAST(p.price AS DOUBLE) AS price")
+    return cte.replace("sum(CASE WHEN log_type = 'i' THEN price ELSE 0 END) AS PAYMENT",
+                       "sum(CASE WHEN log_type = 'i' THEN price END) AS PAYMENT")
+
+
+SUMMARY_HOUR_OLD_RULE = with_fixtures(_final(["abi"], "hour", []), *FIX,
+                                      ctes=[_RATE, _old_rule(lookup_cte("abi", "hour"))])

@@ -62,3 +62,14 @@ def hour_completeness(logs: DataFrame, expected: DataFrame, file_col: str = "_fi
     per_hour = f.groupBy("feed", *DAY, "hour").agg(F.count_distinct(file_col).alias("n_files"))
     return (per_hour.join(F.broadcast(expected), "feed")
             .withColumn("missing", (F.col("n_files") > 0) & (F.col("n_files") < F.col("n_expected"))))
+
+
+def load_summary(tables: dict[str, DataFrame], date_col: str = "mall_dt") -> DataFrame:
+    """Q5/Q6: per table and date, rows, distinct ips and campaigns (the load check)."""
+    out = None
+    for name, df in tables.items():
+        part = df.groupBy(F.col(date_col).alias(date_col)).agg(
+            F.count(F.lit(1)).alias("row_cnt"), F.count_distinct("mall_ip").alias("unique_ip_cnt"),
+            F.count_distinct("cmp_no").alias("cmp_no_cnt")).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out

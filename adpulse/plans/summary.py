@@ -84,7 +84,9 @@ def summary_lookup(pb: DataFrame, grain: list[str] = HOUR, media: DataFrame | No
                      *[e.alias(n) for n, e in dims.items()],
                      F.col("cmp_no").cast("int").alias("CMPNO"), F.col("ag_no").cast("int").alias("AGNO"),
                      F.col("creative_no").cast("int").alias("CREATIVENO"),
-                     "req_id", "log_type", "is_cpvc", F.col("_lp").cast("double").alias("price"), "_w", *grain)
+                     "req_id", "log_type", "is_cpvc",
+                     (F.col("_lp").try_cast("double") if older_price_rule else F.col("_lp").cast("double"))
+                     .alias("price"), "_w", *grain)
     raw = _with_rate(raw, rates)
     lt, w, p = F.col("log_type"), F.col("_w"), F.col("price")
     keys = [raw.columns[0], "MEDIACD", *dims, "CMPNO", "AGNO", "CREATIVENO", "EXCHANGEWON", *grain]
@@ -95,7 +97,9 @@ def summary_lookup(pb: DataFrame, grain: list[str] = HOUR, media: DataFrame | No
                         "Q1": lt == "v_firstQ", "Q2": lt == "v_mid", "Q3": lt == "v_thirdQ",
                         "Q4": lt == "v_complete"},
         row_sums={"CLICKS": F.when((lt == "c") & rid, w).otherwise(0),
-                  "PAYMENT": F.when(lt == "i", p * w).otherwise(F.lit(0.0)),
+                  # the older rule has no ELSE 0: PAYMENT is NULL for a group without impressions
+                  "PAYMENT": (F.when(lt == "i", p * w) if older_price_rule
+                              else F.when(lt == "i", p * w).otherwise(F.lit(0.0))),
                   "ERRORIMPS": F.when((lt == "e_i") & rid, w).otherwise(0),
                   "ERRORPAYMENT": F.when(lt == "e_i", p * w).otherwise(F.lit(0.0))})
     return _finish(out, keys, grain)

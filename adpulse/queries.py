@@ -445,3 +445,21 @@ def q_stream_hourly_requests(spark, sf):
     """The result the streaming hourly distinct-request job converges to
     when nothing arrives after the watermark (its batch form)."""
     return stream_jobs.hourly_request_counts_batch(fx.fx_postback(spark, sf))
+
+
+@register("summary_hour_old_rule", ssql.SUMMARY_HOUR_OLD_RULE)
+def q_summary_hour_old_rule(spark, sf):
+    """The older price rule (no castability filter, PAYMENT NULL without impressions)."""
+    return summary.summary_lookup(fx.fx_postback(spark, sf), summary.HOUR, fx.fx_media(spark, sf),
+                                  fx.fx_rate(spark, sf), older_price_rule=True)
+
+
+@register("check_raw_loads", asql.CHECK_RAW_LOADS)
+def q_check_raw_loads(spark, sf):
+    """Q5: rows, distinct ips and campaigns per attribution table and event date."""
+    inp = _attr_inputs(spark, sf)
+    return quality.load_summary({
+        "raw_conv_web": attr.attribute_v1(**inp),
+        "raw_conv_web_home": attr.attribute_v2(**inp, end=asql.HOME_END, direct_lookback_months=6),
+        "raw_conv_web_v2": attr.attribute_v2(**inp), "raw_conv_web_v3": attr.attribute_v3(**inp),
+        "raw_conv_web_imp": attr.attribute_v1(**inp, imp_date=True)})
