@@ -324,10 +324,11 @@ def _bid_log_cols(dialect: str) -> list[str]:
 
 
 def fx_bid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat bid log with a ``req`` struct: the first event of every request
-    carries that request's bid."""
-    return (load(spark, sf_dir, "events").where(F.col("event_id") % 4 == 0)
-            .selectExpr(*_bid_log_cols("spark")))
+    """Flat bid log with a ``req`` struct: one bid per request, taken from the
+    request's first event (all events are read; the earliest per request wins)."""
+    ev = load(spark, sf_dir, "events")
+    first = ev.groupBy(F.expr("event_id div 4").alias("_r")).agg(F.min("event_id").alias("event_id"))
+    return ev.join(first, "event_id", "left_semi").selectExpr(*_bid_log_cols("spark"))
 
 
 def _flight_cols(dialect: str, campaign: bool) -> list[str]:
@@ -377,7 +378,8 @@ FX_SQL = {
     "fx_nhn_flat": "SELECT " + ", ".join(_nhn_flat_cols("duckdb")) + " FROM lineitem",
     "fx_adgroup": "SELECT " + ", ".join(_flight_cols("duckdb", False)) + " FROM nation",
     "fx_adcampaign": "SELECT " + ", ".join(_flight_cols("duckdb", True)) + " FROM nation",
-    "fx_bid_log": "SELECT " + ", ".join(_bid_log_cols("duckdb")) + " FROM events WHERE event_id % 4 = 0",
+    "fx_bid_log": "SELECT " + ", ".join(_bid_log_cols("duckdb")) +
+                  " FROM events QUALIFY row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) = 1",
 }
 
 
