@@ -23,26 +23,21 @@ _RUNTIME_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply runtime settings to an existing session (idempotent).
-
-    The checkpoint folder is only set when the cluster has not named one;
-    on a cluster ``spark.checkpoint.dir`` points at shared storage.
-    """
+    """Apply the runtime settings to an existing session (idempotent).  Cluster
+    settings such as ``spark.checkpoint.dir`` are left as the cluster set them."""
     for k, v in _RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    """The shared folder for checkpoints and intermediate tables, as named by
+    the cluster in ``spark.checkpoint.dir``.  Only local sessions built by
+    ``get_session`` (tests, bench) fill it in themselves."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = tempfile.mkdtemp(prefix="adpulse-ckpt-", dir=os.environ.get("ADPULSE_SCRATCH", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
@@ -65,4 +60,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        # Local session only (tests, bench): a scratch folder on this machine.
+        spark.conf.set("spark.checkpoint.dir",
+                       tempfile.mkdtemp(prefix="adpulse-ckpt-", dir=os.environ.get("ADPULSE_SCRATCH", "/tmp")))
     return configure(spark)
