@@ -178,7 +178,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict |
              .join(F.broadcast(chosen), "doc_id"))  # at most ``rows`` rows
     # Repeated ids could bring in more: the bound holds for texts as well.
     texts = texts.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(rows)
-    found = texts.groupBy(F.lit(0)).applyInPandas(_fit, "weights binary, slope double, offset double").collect()
+    found = texts.groupBy(F.lit("all").alias("_all")).applyInPandas(_fit, "weights binary, slope double, offset double").collect()
     if not found:
         return None
     return {"weights": np.frombuffer(found[0].weights, np.int64), "slope": found[0].slope, "offset": found[0].offset}

@@ -5,15 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from . import quality
+from . import packing, quality, token_counts
 from .common import columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """Where the installed vocabulary file lies (the same place on every executor)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def byte_tokenizer() -> dict[str, str]:
+    import public_tokenizers
+
+    return {"path": tokenizer("byte_bpe_50k.json"), "ranks_path": tokenizer("byte_bpe_50k.tiktoken"),
+            "pattern": public_tokenizers.PATTERN}
+
+
 def _query(name: str, sql: str | None = None):
     def add(fn):
         QUERIES[name] = fn
@@ -27,3 +40,13 @@ def _query(name: str, sql: str | None = None):
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = columns(table(spark, sf_dir, "documents"), "doc_id", "text")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+@_query("op7_token_counts")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@_query("op9_packing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), byte_tokenizer())
