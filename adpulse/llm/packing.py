@@ -34,8 +34,8 @@ SALTS = 256              # parts that each class is ranked in
 CLOSE = 1                # the id that ends each document
 CACHE_ENTRIES = 400_000  # segments that a worker remembers; it starts anew when full
 LONGEST = 48
-GAP = 1e-3               # of the linear program's bound, where column generation may stop
-MAX_COLUMNS = 2000
+GAP = 5e-4               # of the linear program's bound, where column generation may stop
+MAX_COLUMNS = 4000
 
 _WORKER: dict = {}
 
