@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, packing, quality, token_counts
+from . import langid, line_dedup, mixing, packing, quality, sharding, token_counts
 from .common import columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,17 +37,35 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op1_line_dedup", line_dedup.SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = columns(table(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    return line_dedup.clean(docs).select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @_query("op3_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = columns(table(spark, sf_dir, "documents"), "doc_id", "text")
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@_query("op5_mixing", mixing.SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 @_query("op7_token_counts")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+@_query("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 @_query("op9_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_tokenizer())
