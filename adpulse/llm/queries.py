@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, mixing, packing, quality, sharding, token_counts
+from . import jaccard_join, langid, line_dedup, mixing, packing, quality, sharding, token_counts
 from .common import columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+@_query("op4_jaccard_join", jaccard_join.SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 @_query("op5_mixing", mixing.SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
