@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, line_dedup, mixing, packing, quality, sharding, token_counts, topk
+from . import jaccard_join, langid, line_dedup, mixing, packing, quality, sharding, substring_dedup, token_counts, topk
 from .common import columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@_query("op2_substring_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 @_query("op3_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = columns(table(spark, sf_dir, "documents"), "doc_id", "text")
