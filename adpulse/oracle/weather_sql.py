@@ -88,3 +88,20 @@ WEATHER_LATEST = with_fixtures("SELECT * FROM latest", "fx_fcst", "fx_dust", "fx
 WEATHER_ALERTS = with_fixtures("SELECT * FROM alerts", "fx_alert", "fx_regions", ctes=_A)
 WEATHER_CODES = with_fixtures("SELECT * FROM latest UNION ALL SELECT * FROM alerts",
                               "fx_fcst", "fx_dust", "fx_uv", "fx_alert", "fx_regions", ctes=_F + _D + _U + _L + _A)
+
+# From each stored fetch, the next one stored is the first whose preceding run came
+# more than eight days after the stored day (only then has the hash been forgotten).
+_HASHED = ["areaCode", "cancel", "command", "stnId", "tmFc", "tmSeq", "warnStress", "warnVar"]
+_JSON = " || ', ' || ".join(f"""'"{k}": ' || CASE WHEN {k} IS NULL THEN 'null' ELSE '"' || {k} || '"' END""" for k in _HASHED)
+ALERT_DEDUP = with_fixtures(
+    """SELECT x.* FROM stored JOIN (SELECT DISTINCT * FROM hashed) x ON x.item_hash = stored.h AND x.fetched_at = stored.t""",
+    "fx_alert", ctes=[
+        f"hashed AS (SELECT *, sha256('{{' || {_JSON} || '}}') AS item_hash FROM fx_alert)",
+        "seen_by AS (SELECT t, CAST(max(t) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DATE) AS earlier "
+        "FROM (SELECT DISTINCT fetched_at AS t FROM hashed))",
+        "tries AS (SELECT DISTINCT h.item_hash AS h, s.t, s.earlier FROM hashed h JOIN seen_by s ON s.t = h.fetched_at)",
+        """stored AS (SELECT h, min(t) AS t FROM tries GROUP BY h
+ UNION ALL
+ SELECT * FROM (SELECT s.h, (SELECT min(n.t) FROM tries n WHERE n.h = s.h AND n.t > s.t
+                             AND n.earlier > CAST(s.t AS DATE) + 8) AS t FROM stored s) WHERE t IS NOT NULL)"""])
+ALERT_DEDUP = ALERT_DEDUP.replace("WITH ", "WITH RECURSIVE ", 1)

@@ -22,14 +22,21 @@ def date_range(start: str, end: str) -> list[str]:
     return [(s + dt.timedelta(days=i)).isoformat() for i in range((e - s).days + 1)]
 
 
+def day_partitions(start: str, end: str) -> list[dict]:
+    """The day partitions that a run over [start, end] stands for."""
+    return [{"year": d[:4], "month": d[5:7], "day": d[8:10]} for d in date_range(start, end)]
+
+
 def backfill_range(job: Callable[[str, str], DataFrame], start: str, end: str, path: str,
                    partition_cols: list[str] = PARTS_DAY) -> dict:
-    """One job over [start, end]; returns the load audit (written rows)."""
-    return replace_partitions(job(start, end), path, partition_cols)
+    """One job over [start, end]; returns the load audit (written rows).  Days of the
+    range that came out without rows lose their old partitions."""
+    return replace_partitions(job(start, end), path, partition_cols, day_partitions(start, end))
 
 
 def backfill_by_day(job: Callable[[str, str], DataFrame], start: str, end: str, path: str,
                     partition_cols: list[str] = PARTS_DAY) -> dict[str, int]:
     """One job per day; each write ends that day's lineage.  Returns rows per day
     (0 is a warning case for the caller, as in the reference's load audit)."""
-    return {d: replace_partitions(job(d, d), path, partition_cols)["rows"] for d in date_range(start, end)}
+    return {d: replace_partitions(job(d, d), path, partition_cols, day_partitions(d, d))["rows"]
+            for d in date_range(start, end)}

@@ -12,7 +12,7 @@ missing values as missing and closes the gaps.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
@@ -176,41 +176,32 @@ def weather_codes(forecast: DataFrame, dust: DataFrame, uv: DataFrame, alerts: D
     return weather_latest(forecast, dust, uv, regions, as_of).unionByName(active_alerts(alerts, regions))
 
 
-def _keep_days(pdf, retention_days: int):
-    """Greedy retention over one alert hash's fetch days (pandas, one group per hash)."""
-    import pandas as pd
-    days = sorted(pdf["_day"])
-    kept, last = [], None
-    for d in days:
-        if last is None or (d - last).days > retention_days:
-            kept.append(d)
-            last = d
-    return pd.DataFrame({"item_hash": [pdf["item_hash"].iloc[0]] * len(kept), "_day": kept})
-
-
 def dedup_alerts(alerts: DataFrame, retention_days: int = 8) -> DataFrame:
-    """X6 (batch form of T4): an alert fetch is stored only if the same
-    identifying fields were not stored within the last ``retention_days`` days
-    (by fetch date); it is then stored once, at its first fetch that day.
-
-    Spark reduces the fetch log to one row per (hash, day) first; only that
-    day list -- bounded by the alert's lifetime in days, not by fetch volume --
-    goes through the sequential retention rule, grouped by hash."""
+    """X6 (batch form of T4): what a chain of fetch runs stores.
+
+    A run skips an item whose hash is among the seen ones, stores it otherwise and
+    notes the day; at its end it forgets the hashes noted more than
+    ``retention_days`` days before.  So a hash noted on day d is stored again at its
+    first fetch after a run later than d + retention, i.e. when the run before
+    that fetch was that late.  Runs are the distinct fetch times; each fetch knows the
+    day of the run before it, and one fold over a hash's fetches in time order (a few
+    a day at most) decides, on the JVM."""
     from ..streaming.jobs import alert_hash
-    h = alerts.withColumn("item_hash", alert_hash()).withColumn("_day", F.to_date("fetched_at"))
-    days = h.groupBy("item_hash", "_day").agg(F.min("fetched_at").alias("_first"))
-    span = days.groupBy("item_hash").agg(F.min("_day").alias("_d0"), F.max("_day").alias("_d1"))
-    # Fast path in Spark: a hash whose fetch days all lie within the retention of
-    # its first day keeps only that first day; only longer-lived alerts need the
-    # sequential rule.
-    short = (span.where(F.datediff("_d1", "_d0") <= retention_days)
-             .select("item_hash", F.col("_d0").alias("_day")))
-    long_days = days.join(span.where(F.datediff("_d1", "_d0") > retention_days), "item_hash", "left_semi")
-    kept = short.unionByName(long_days.select("item_hash", "_day").groupBy("item_hash").applyInPandas(
-        lambda pdf: _keep_days(pdf, retention_days), schema="item_hash string, _day date"))
-    first = days.join(kept, ["item_hash", "_day"])
-    cols = [c for c in alerts.columns]
-    rec = F.struct(*[F.col(c) for c in cols])
-    return (h.join(first, ["item_hash", "_day"]).where(F.col("fetched_at") == F.col("_first"))
-            .groupBy("item_hash", "_day").agg(F.min(rec).alias("_r"))
+    h = alerts.withColumn("item_hash", alert_hash())
+    runs = (h.select("fetched_at").distinct()
+            .withColumn("_before", F.to_date(F.lag("fetched_at").over(Window.orderBy("fetched_at")))))  # one row a run
+    step = F.struct(F.col("fetched_at").alias("t"), F.col("_before").alias("before"))
+    fetches = (h.select("item_hash", "fetched_at").distinct().join(broadcast_if_bounded(runs), "fetched_at")
+               .groupBy("item_hash").agg(F.array_sort(F.collect_set(step)).alias("_f")))
+    start = F.struct(F.lit(None).cast("date").alias("noted"), F.array().cast("array<timestamp>").alias("kept"))
+
+    def fold(acc: Column, f: Column) -> Column:
+        store = acc["noted"].isNull() | (f["before"] > F.date_add(acc["noted"], retention_days))
+        return F.when(F.coalesce(store, F.lit(False)),
+                      F.struct(F.to_date(f["t"]).alias("noted"), F.concat(acc["kept"], F.array(f["t"])).alias("kept"))).otherwise(acc)
+
+    kept = fetches.select("item_hash", F.explode(F.aggregate("_f", start, fold, lambda acc: acc["kept"])).alias("fetched_at"))
+    cols = list(alerts.columns)
+    return (h.join(kept, ["item_hash", "fetched_at"])
+            .groupBy("item_hash", "fetched_at").agg(F.min(F.struct(*cols)).alias("_r"))
             .select(*[F.col(f"_r.{c}").alias(c) for c in cols], "item_hash"))

@@ -311,10 +311,9 @@ def q_weather_codes(spark, sf):
     return weather.weather_codes(f, d, u, wfx.fx_alert(spark, sf), regions, wsql.AS_OF)
 
 
-@register("alert_dedup")
+@register("alert_dedup", wsql.ALERT_DEDUP)
 def q_alert_dedup(spark, sf):
-    """Stored alert records after the 8-day seen-state dedup (no SQL oracle:
-    the retention rule is sequential; tested against a Python replay)."""
+    """What the fetch runs store, given the hashes that they still remember."""
     return weather.dedup_alerts(wfx.fx_alert(spark, sf))
 
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_bounded
+
 PARTS_DAY = ["year", "month", "day"]
 PARTS_HOUR = ["year", "month", "day", "hour"]
 
@@ -22,22 +24,33 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
     (df.write.mode(mode).option("compression", compression).partitionBy(*partition_cols).parquet(path))
 
 
-def replace_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> dict:
-    """Replace exactly the partitions present in ``df`` (one day or a
-    whole range in one job) and return the written row count per the
-    ``Observation`` attached to the write (the load audit; 0 rows is a warning
-    case for the caller, not an error)."""
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder wherever Spark's file systems reach."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_cols: list[str],
+                       requested: list[dict] | None = None) -> dict:
+    """Replace partitions in one job and return the written row count
+    per the ``Observation`` attached to the write (the load audit).
+
+    ``requested`` lists the partitions that the run stands for (a day, or every
+    day of a range): those of them that came out without rows are removed, as the
+    reference deletes them before it inserts.  Without it only the partitions
+    present in ``df`` are replaced."""
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     obs = Observation("load_audit")
-    try:
-        (df.observe(obs, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite").option("compression", "snappy").partitionBy(*partition_cols).parquet(path))
-    finally:
-        if prev is not None:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return obs.get
+    name = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in partition_cols])
+    (df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set(name).alias("partitions"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
+     .partitionBy(*partition_cols).parquet(path))
+    made = obs.get
+    empty = ["/".join(f"{c}={r[c]}" for c in partition_cols) for r in requested or []]
+    for part in sorted(set(empty) - set(made.get("partitions") or [])):
+        delete_folder(spark, f"{path.rstrip('/')}/{part}")
+    return {"rows": made.get("rows", 0)}
 
 
 def serving_projection(df: DataFrame, table: str) -> DataFrame:
@@ -68,15 +81,17 @@ def scoped_replace(existing: DataFrame, new: DataFrame, in_scope, keep_codes: Da
         kept = existing.where(~scope | scope.isNull())
     else:
         codes = keep_codes.select(F.col(keep_codes.columns[0]).alias("_code"))
-        has_null = codes.where(F.col("_code").isNull()).limit(1).count() > 0
-        flagged = existing.join(F.broadcast(codes.where(F.col("_code").isNotNull()).distinct()),
-                                existing[code_col] == F.col("_code"), "left")
+        # One row, computed within the plan: does the list hold a NULL?
+        null = codes.agg(F.coalesce(F.max(F.col("_code").isNull()), F.lit(False)).alias("_null"))
+        known = broadcast_if_bounded(codes.where(F.col("_code").isNotNull()).distinct())
+        flagged = existing.join(known, existing[code_col] == F.col("_code"), "left")
         in_list = F.col("_code").isNotNull()
         if keep_if == "not_in":
-            deleted = scope & (~in_list) & F.lit(not has_null) & existing[code_col].isNotNull()
+            flagged = flagged.crossJoin(F.broadcast(null))                     # one row
+            deleted = scope & (~in_list) & ~F.col("_null") & existing[code_col].isNotNull()
         else:
             deleted = scope & in_list
-        kept = flagged.where(~F.coalesce(deleted, F.lit(False))).drop("_code")
+        kept = flagged.where(~F.coalesce(deleted, F.lit(False))).drop("_code", "_null")
     return kept.unionByName(new.select(*existing.columns))
 
 
@@ -106,10 +121,3 @@ def rename_columns(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 def full_refresh(df: DataFrame, path: str) -> None:
     """Replace a whole (dimension / code) table."""
     df.write.mode("overwrite").parquet(path)
-
-
-def read_latest_version(spark: SparkSession, base: str, version_col: str = "v") -> DataFrame:
-    """Read the newest version folder of a versioned state table."""
-    df = spark.read.parquet(base)
-    top = df.agg(F.max(version_col).alias("_top"))
-    return df.join(F.broadcast(top), F.col(version_col) == F.col("_top"), "left_semi").drop(version_col)

@@ -29,7 +29,7 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                 "l_discount", "l_tax", "l_extendedprice")
     ln, pk, sk = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    m_view = F.struct(F.lit("viewability").alias("type"), (F.col("l_tax") * 10).alias("value"),
+    m_view = F.struct(F.lit("viewability").alias("type"), F.round(F.round(F.col("l_tax") * 10, 4), 4).alias("value"),
                       F.lit("ias").alias("vendor"))
     m_ctr = F.struct(F.lit("click_through_rate").alias("type"), F.col("l_discount").alias("value"),
                      F.lit("moat").alias("vendor"))
@@ -55,7 +55,7 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = j.groupBy("o_orderkey", "o_custkey").agg(
         F.count("l_orderkey").alias("_n"),
         F.array_sort(F.collect_list(F.struct(k.alias("k"), imp.alias("v")))).alias("_imps"),
-        F.array_sort(F.collect_list(F.when(ln <= 2, F.struct(k.alias("k"), bid.alias("v"))))).alias("_bids"))
+        F.array_sort(F.collect_list(F.struct(k.alias("k"), bid.alias("v")))).alias("_bids"))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     ts = (F.date_add(F.lit("2024-01-01").cast("date"), (ok % 30).cast("int")).cast("timestamp")
           + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), (ok % 24).cast("int")))
@@ -94,7 +94,7 @@ _IMP = ("struct_pack(id := 'imp' || l_linenumber, tagid := 't' || (l_partkey % 5
         "at := CAST(1 AS INTEGER))], "
         "banner := struct_pack(w := CAST(300 + l_linenumber AS INTEGER), h := CAST(250 AS INTEGER), "
         "pos := CAST(l_linenumber % 3 AS INTEGER)), "
-        "metric := CASE WHEN l_suppkey % 3 = 0 THEN [struct_pack(type := 'viewability', value := l_tax * 10, "
+        "metric := CASE WHEN l_suppkey % 3 = 0 THEN [struct_pack(type := 'viewability', value := round(l_tax * 10, 4), "
         "vendor := 'ias'), struct_pack(type := 'click_through_rate', value := l_discount, vendor := 'moat')] "
         "WHEN l_suppkey % 3 = 1 THEN [struct_pack(type := 'click_through_rate', value := l_discount, "
         "vendor := 'moat')] ELSE [] END, ad_type := 'video', secure := CAST(1 AS INTEGER))")
@@ -120,7 +120,7 @@ BID_NESTED_SQL = f"""SELECT struct_pack(id := 'q' || o_orderkey, at := CAST(1 +
   strftime({_TS}, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE struct_pack(id := 'res' || o_orderkey,
     seatbid := CASE WHEN count(l_orderkey) = 0 THEN NULL
-               ELSE COALESCE(list({_BID} ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax) FILTER (WHERE l_linenumber <= 2), []) END) END AS res,
+               ELSE COALESCE(list({_BID} ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_discount, l_tax) FILTER (WHERE l_orderkey IS NOT NULL), []) END) END AS res,
   CAST(o_orderkey % 4 AS INTEGER) AS fail_code,
   strftime({_TS}, '%Y') AS year, strftime({_TS}, '%m') AS month, strftime({_TS}, '%d') AS day,
   strftime({_TS}, '%H') AS hour

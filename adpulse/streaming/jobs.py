@@ -19,6 +19,7 @@ seen-hash dedup, high-watermark sync and weekly MERGE map onto:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..plans.mapping import merge_fold, merge_week
+from ..sinks.tables import delete_folder
 
 POSTBACK_KEYS = ["cmp_no", "ag_no", "creative_no", "media_id"]
 
@@ -92,24 +94,57 @@ def incremental_extract(source: DataFrame, watermark_col: str, last_value) -> tu
     return new, mark
 
 
-def merge_batches_into_state(state_dir: str) -> Callable[[DataFrame, int], None]:
+_VERSION = re.compile(r"^v(\d{10})__(.*)__(-?\d+)$")
+
+
+def _state_versions(spark: SparkSession, state_dir: str) -> list[tuple[int, str, int, str]]:
+    """(number, query id, batch id, path) of the complete versions, oldest first.
+    Only a missing folder means that there is no state; any other error is raised."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(state_dir)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return []
+    found = []
+    for entry in fs.listStatus(base):
+        m = _VERSION.match(entry.getPath().getName())
+        if m and fs.exists(jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
+            found.append((int(m[1]), m[2], int(m[3]), entry.getPath().toString()))
+    return sorted(found)
+
+
+def read_state(spark: SparkSession, state_dir: str) -> DataFrame | None:
+    """The newest complete version of the state, or None before the first."""
+    versions = _state_versions(spark, state_dir)
+    return spark.read.parquet(versions[-1][3]) if versions else None
+
+
+def merge_batches_into_state(state_dir: str, keep: int = 2) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that merges each micro-batch of weekly
-    mapping rows into the current state.  Every batch writes a new version
-    folder (``v=<batch_id>``) and never rewrites the one it reads, so a retried
-    batch recomputes the same version; re-merging a week is a no-op by rule."""
+    mapping rows into the current state.
+
+    Versions are numbered on from the newest one, whatever the batch id, so a query
+    that starts anew with a fresh checkpoint goes on from the state it finds.  A
+    version's folder also names the query and batch that made it: a retried batch
+    starts from the version before its own and replaces that.  Each version is
+    written to its own folder, never over the one that is read, and the last
+    ``keep`` stay."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = state_dir.rstrip("/")
-        try:
-            versions = [int(r[0]) for r in spark.read.parquet(base).select("v").distinct().collect()]
-        except Exception:  # noqa: BLE001 - no state yet
-            versions = []
-        prior = [v for v in versions if v < batch_id]
-        weeks = sorted(r[0] for r in batch.select("batch_week").distinct().collect())
-        cur = (spark.read.parquet(base).where(F.col("v") == max(prior)).drop("v") if prior else None)
+        query = re.sub(r"[^0-9A-Za-z-]", "", spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch")
+        versions = _state_versions(spark, state_dir)
+        prior = [v for v in versions if (v[1], v[2]) != (query, batch_id)]
+        own = [v[0] for v in versions if (v[1], v[2]) == (query, batch_id)]
+        prior = [v for v in prior if not own or v[0] < own[0]]
+        number = own[0] if own else (prior[-1][0] + 1 if prior else 0)
+        weeks = sorted(r[0] for r in batch.select("batch_week").distinct().collect())   # a few weeks
+        cur = spark.read.parquet(prior[-1][3]) if prior else None
         for w in weeks:  # a micro-batch may carry several weeks: oldest first
             wk = batch.where(F.col("batch_week") == w)
             cur = merge_fold(wk) if cur is None else merge_week(cur, wk)
-        if cur is not None:
-            cur.withColumn("v", F.lit(batch_id)).write.mode("overwrite").partitionBy("v").parquet(base)
+        if cur is None or not weeks:
+            return
+        cur.write.mode("overwrite").parquet(f"{state_dir.rstrip('/')}/v{number:010d}__{query}__{batch_id}")
+        for old in _state_versions(spark, state_dir)[:-keep]:
+            delete_folder(spark, old[3])
     return run
