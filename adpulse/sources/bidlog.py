@@ -29,7 +29,7 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                                 "l_discount", "l_tax", "l_extendedprice")
     ln, pk, sk = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    m_view = F.struct(F.lit("viewability").alias("type"), F.round(F.round(F.col("l_tax") * 10, 4), 4).alias("value"),
+    m_view = F.struct(F.lit("viewability").alias("type"), F.round(F.col("l_tax") * 10, 4).alias("value"),
                       F.lit("ias").alias("vendor"))
     m_ctr = F.struct(F.lit("click_through_rate").alias("type"), F.col("l_discount").alias("value"),
                      F.lit("moat").alias("vendor"))
