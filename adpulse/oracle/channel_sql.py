@@ -3,54 +3,43 @@
 from ..sources.fixtures import with_fixtures
 from .summary_sql import SUMMARY_DAILY, SUMMARY_HOUR
 
-_CH = [
-    "media AS (SELECT mediacd FROM fx_media WHERE lower(logparsefg) = 'y')",
-    """apm_bid AS (SELECT req.req_id AS req_id,
-   CASE WHEN lower(req.app_bundle) LIKE '%kt%' THEN 'KT' WHEN lower(req.app_bundle) LIKE '%uplus%' THEN 'LGU'
-        WHEN lower(req.app_bundle) LIKE '%skb%' THEN 'SKB' ELSE req.app_bundle END AS carrier,
-   req.content_id AS contentid, CAST(concat(year, '-', month, '-', day) AS DATE) AS bid_day
- FROM fx_bid_log WHERE req.media_id IN (SELECT mediacd FROM media))""",
-    """apm_postback AS (SELECT DISTINCT concat(year, '-', month, '-', day) AS date, req_id, cmp_no AS cmpno,
-   ag_no AS agno, media_id AS mediacd, log_type, year, month, day
- FROM fx_postback WHERE cmp_no IS NOT NULL AND ag_no IS NOT NULL AND media_id IN (SELECT mediacd FROM media))""",
-    """apm_report AS (SELECT p.date, p.cmpno, p.agno, b.carrier, b.contentid, p.mediacd,
-   count(DISTINCT p.req_id) AS reqidcnt, CAST(sum(CASE WHEN p.log_type = 'i' THEN 1 ELSE 0 END) AS BIGINT) AS impcnt,
-   CAST(sum(CASE WHEN p.log_type = 'v_complete' THEN 1 ELSE 0 END) AS BIGINT) AS q4cnt, p.year, p.month, p.day
- FROM apm_postback p LEFT JOIN apm_bid b ON b.req_id = p.req_id
-   AND b.bid_day IN (CAST(p.date AS DATE), CAST(p.date AS DATE) - 1)
- GROUP BY p.date, b.carrier, b.contentid, p.cmpno, p.agno, p.mediacd, p.year, p.month, p.day)""",
-    """abi_postback AS (SELECT DISTINCT concat(year, '-', month, '-', day) AS date, req_id, media_id AS mediacd,
-   cmp_no AS cmpno, ag_no AS agno, log_type,
-   CASE WHEN lower(ctv_media) LIKE '%kt%' THEN 'KT' WHEN lower(ctv_media) LIKE '%lguplus%' THEN 'LGU'
-        WHEN lower(ctv_media) LIKE '%skb%' THEN 'SKB' ELSE ctv_media END AS carrier,
-   content_id AS contentid, year, month, day
- FROM fx_postback WHERE cmp_no IS NOT NULL AND ag_no IS NOT NULL AND media_id IN (SELECT mediacd FROM media)
-   AND g_targetid = '174297362776')""",
-    """abi_report AS (SELECT date, cmpno, agno, carrier, contentid, mediacd, count(DISTINCT req_id) AS reqidcnt,
-   CAST(sum(CASE WHEN log_type = 'i' THEN 1 ELSE 0 END) AS BIGINT) AS impcnt,
-   CAST(sum(CASE WHEN log_type = 'v_complete' THEN 1 ELSE 0 END) AS BIGINT) AS q4cnt, year, month, day
- FROM abi_postback GROUP BY date, cmpno, agno, carrier, contentid, mediacd, year, month, day)""",
-]
-
-CHANNEL_DAILY = with_fixtures("SELECT * FROM abi_report UNION ALL SELECT * FROM apm_report",
-                              "fx_postback", "fx_bid_log", "fx_media", ctes=_CH)
-
-CHECK_HOUR_VS_DAILY = f"""WITH h AS (SELECT year, month, day, COALESCE(SUM(IMPS), 0) AS imps, COALESCE(SUM(CLICKS), 0) AS clicks,
-   SUM(Q1) AS q1, SUM(Q2) AS q2, SUM(Q3) AS q3, SUM(Q4) AS q4 FROM ({SUMMARY_HOUR}) x GROUP BY year, month, day),
-d AS (SELECT year, month, day, COALESCE(SUM(IMPS), 0) AS imps, COALESCE(SUM(CLICKS), 0) AS clicks,
-   SUM(Q1) AS q1, SUM(Q2) AS q2, SUM(Q3) AS q3, SUM(Q4) AS q4 FROM ({SUMMARY_DAILY}) y GROUP BY year, month, day)
-SELECT COALESCE(h.year, d.year) AS year, COALESCE(h.month, d.month) AS month, COALESCE(h.day, d.day) AS day,
-  CAST(CASE WHEN COALESCE(h.imps, 0) - COALESCE(d.imps, 0) != 0 OR COALESCE(h.clicks, 0) - COALESCE(d.clicks, 0) != 0
-    OR COALESCE(h.q1, 0) - COALESCE(d.q1, 0) != 0 OR COALESCE(h.q2, 0) - COALESCE(d.q2, 0) != 0
-    OR COALESCE(h.q3, 0) - COALESCE(d.q3, 0) != 0 OR COALESCE(h.q4, 0) - COALESCE(d.q4, 0) != 0
-    THEN 1 ELSE 0 END AS BIGINT) AS error_cnt
-FROM h FULL OUTER JOIN d ON h.year = d.year AND h.month = d.month AND h.day = d.day"""
-
-CHECK_DAILY_VS_CHANNEL = f"""WITH d AS (SELECT year, month, day, COALESCE(SUM(IMPS), 0) AS imps, SUM(Q4) AS q4
-   FROM ({SUMMARY_DAILY}) x WHERE INVENTORYNM != '' GROUP BY year, month, day),
-c AS (SELECT year, month, day, COALESCE(SUM(impcnt), 0) AS imps, SUM(q4cnt) AS q4
-   FROM ({CHANNEL_DAILY}) y GROUP BY year, month, day)
-SELECT COALESCE(c.year, d.year) AS year, COALESCE(c.month, d.month) AS month, COALESCE(c.day, d.day) AS day,
-  CAST(CASE WHEN COALESCE(c.imps, 0) - COALESCE(d.imps, 0) != 0 OR COALESCE(c.q4, 0) - COALESCE(d.q4, 0) != 0
-    THEN 1 ELSE 0 END AS BIGINT) AS error_cnt
-FROM c FULL OUTER JOIN d ON c.year = d.year AND c.month = d.month AND c.day = d.day"""
+_DAY = "year || '-' || month || '-' || day"
+
+
+def _channel(c: str, lg: str) -> str:
+    """The carrier named in a text, else the text itself."""
+    return f"coalesce(list_filter([{{'p': 'kt', 'n': 'KT'}}, {{'p': '{lg}', 'n': 'LGU'}}, {{'p': 'skb', 'n': 'SKB'}}], lambda k: contains(lower({c}), k.p))[1].n, {c})"
+
+
+# One row for each distinct postback of a parsed medium; its channel is its own (own feed)
+# or that of the bids that its request had on the day or the day before.
+CHANNEL_DAILY = with_fixtures(f"""SELECT date, cmpno, agno, carrier, contentid, mediacd, count(DISTINCT req_id) AS reqidcnt,
+  count(*) FILTER (log_type = 'i') AS impcnt, count(*) FILTER (log_type = 'v_complete') AS q4cnt, year, month, day
+FROM (
+  SELECT DISTINCT true AS own, {_DAY} AS date, year, month, day, req_id, cmp_no AS cmpno, ag_no AS agno, media_id AS mediacd, log_type,
+    {_channel('ctv_media', 'lguplus')} AS carrier, content_id AS contentid
+  FROM fx_postback WHERE g_targetid = '174297362776'
+  UNION ALL
+  SELECT false, p.* FROM (
+    SELECT h.* EXCLUDE (bids), unnest(ifnull(bids, [NULL])).carrier AS carrier, unnest(ifnull(bids, [NULL])).contentid AS contentid
+    FROM (SELECT h.*, list(b) FILTER (b IS NOT NULL) AS bids
+          FROM (SELECT DISTINCT {_DAY} AS date, year, month, day, req_id, cmp_no AS cmpno, ag_no AS agno, media_id AS mediacd, log_type FROM fx_postback) h
+          LEFT JOIN (SELECT req.req_id AS id, CAST({_DAY} AS DATE) AS d, struct_pack(carrier := {_channel('req.app_bundle', 'uplus')}, contentid := req.content_id) AS b
+                     FROM fx_bid_log WHERE req.media_id IN (SELECT mediacd FROM fx_media WHERE lower(logparsefg) = 'y'))
+            ON id = h.req_id AND CAST(h.date AS DATE) - d BETWEEN 0 AND 1
+          GROUP BY ALL) h) p)
+WHERE cmpno IS NOT NULL AND agno IS NOT NULL AND mediacd IN (SELECT mediacd FROM fx_media WHERE lower(logparsefg) = 'y')
+GROUP BY own, date, cmpno, agno, carrier, contentid, mediacd, year, month, day""", "fx_postback", "fx_bid_log", "fx_media")
+
+
+def _differ(a: str, b: str, figures: dict[str, str]) -> str:
+    """Per day, 1 if any figure's sums over the two tables differ (missing: 0)."""
+    left = ", ".join(x for x in figures)
+    right = ", ".join(f"-{y}" for y in figures.values())
+    off = " OR ".join(f"ifnull(sum({x}), 0) <> 0" for x in figures)
+    return (f"SELECT year, month, day, CAST({off} AS BIGINT) AS error_cnt FROM (SELECT year, month, day, {left} FROM ({a}) "
+            f"UNION ALL SELECT year, month, day, {right} FROM ({b})) GROUP BY year, month, day")
+
+
+CHECK_HOUR_VS_DAILY = _differ(SUMMARY_HOUR, SUMMARY_DAILY, {c: c for c in ("IMPS", "CLICKS", "Q1", "Q2", "Q3", "Q4")})
+CHECK_DAILY_VS_CHANNEL = _differ(f"SELECT * FROM ({SUMMARY_DAILY}) WHERE INVENTORYNM <> ''", CHANNEL_DAILY, {"IMPS": "impcnt", "Q4": "q4cnt"})

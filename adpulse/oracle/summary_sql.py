@@ -1,134 +1,96 @@
-"""DuckDB oracles for the postback summaries, written the way the reference
-writes them (COUNT(DISTINCT CASE ...), scalar rate per month, LEFT JOIN media)."""
+"""DuckDB oracles for the postback summaries.
+
+Lists instead of conditional counts: each group's rows are gathered once, and every
+figure is read off that list.  A month's rate is that of the month before."""
 
 from ..sources.fixtures import with_fixtures
 
-_RATE = """rate AS (
-  SELECT CAST(strftime(CAST(date_trunc('month', d) + INTERVAL 1 MONTH AS DATE), '%Y%m') AS INTEGER) AS rate_ym,
-         exchangerate
-  FROM (SELECT d, CAST(exchangerate AS DOUBLE) AS exchangerate,
-               row_number() OVER (PARTITION BY date_trunc('month', d) ORDER BY regd DESC, exchangerate DESC) AS rn
-        FROM (SELECT try_strptime(CAST(regd AS VARCHAR), '%Y%m%d') AS d, regd, exchangerate FROM fx_rate)
-        WHERE d IS NOT NULL) WHERE rn = 1)"""
+FIX = ("fx_postback", "fx_media", "fx_rate")
 
-_GRAINS = {
-    "hour": (["year", "month", "day", "hour"],
-             "concat(b.year, '-', b.month, '-', b.day, ' ', b.hour, ':00:00') AS DATETIME", "DATETIME"),
-    "day": (["year", "month", "day"], "concat(b.year, '-', b.month, '-', b.day) AS DATE", "DATE"),
-}
+# yyyymm -> the last rate registered in the month before it.
+_RATE = """rate AS (SELECT CAST(strftime(date_trunc('month', d) + to_months(1), '%Y%m') AS INT) AS ym,
+   arg_max(CAST(exchangerate AS DOUBLE), (regd, CAST(exchangerate AS DOUBLE))) AS won
+ FROM (SELECT *, try_strptime(CAST(regd AS VARCHAR), '%Y%m%d') AS d FROM fx_rate) WHERE d IS NOT NULL GROUP BY 1)"""
 
-_METRIC_TYPES = """CAST(IMPS AS BIGINT) AS IMPS, CAST(CLICKS AS BIGINT) AS CLICKS,
-  round(CAST(PAYMENT AS DOUBLE), 4) AS PAYMENT, round(CAST(PAYMENTCNT AS DOUBLE), 4) AS PAYMENTCNT,
-  CAST(Q1 AS BIGINT) AS Q1, CAST(Q2 AS BIGINT) AS Q2, CAST(Q3 AS BIGINT) AS Q3, CAST(Q4 AS BIGINT) AS Q4,
-  CAST(ERRORIMPS AS BIGINT) AS ERRORIMPS, round(CAST(ERRORPAYMENT AS DOUBLE), 4) AS ERRORPAYMENT"""
+_LABEL = {"hour": ("DATETIME", "year || '-' || month || '-' || day || ' ' || hour || ':00:00'", "year, month, day, hour"),
+          "day": ("DATE", "year || '-' || month || '-' || day", "year, month, day")}
+# A medium that is listed several times as parsed counts its rows as often.
+_TIMES = "greatest(1, (SELECT count(*) FROM fx_media m WHERE m.mediacd = media_id AND m.logparsefg = 'Y'))"
+_QUARTILES = {"Q1": "v_firstQ", "Q2": "v_mid", "Q3": "v_thirdQ", "Q4": "v_complete"}
 
 
-def lookup_cte(name: str, grain: str, dims: dict[str, str] | None = None, area: bool = False) -> str:
-    g, label, lname = _GRAINS[grain]
-    dims = dims or {}
-    dim_sel = "".join(f", {e} AS {n}" for n, e in dims.items())
-    dim_keys = "".join(f", {n}" for n in dims)
-    gj = " AND ".join(f"p.{c} = b.{c}" for c in g)
-    gb = ", ".join(f"b.{c}" for c in g)
-    area_join = ("LEFT JOIN (SELECT DISTINCT areacd, google_ab_region AS region FROM fx_area) am "
-                 "ON am.region = b.region" if area else "")
-    return f"""{name}_base AS (SELECT * FROM fx_postback
-   WHERE cmp_no IS NOT NULL AND ag_no IS NOT NULL AND creative_no IS NOT NULL),
-{name}_price AS (SELECT {', '.join(g)}, req_id, max(price) AS price FROM {name}_base
-   WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL GROUP BY ALL),
-{name}_raw AS (SELECT {label}, b.media_id AS MEDIACD{dim_sel},
-   CAST(b.cmp_no AS INTEGER) AS CMPNO, CAST(b.ag_no AS INTEGER) AS AGNO,
-   CAST(b.creative_no AS INTEGER) AS CREATIVENO, COALESCE(rate.exchangerate, 0) AS EXCHANGEWON,
-   b.req_id, b.log_type, b.is_cpvc, CAST(p.price AS DOUBLE) AS price, {gb}
- FROM {name}_base b
- LEFT JOIN fx_media m ON m.mediacd = b.media_id AND m.logparsefg = 'Y'
- LEFT JOIN {name}_price p ON p.req_id = b.req_id AND {gj}
- {area_join}
- LEFT JOIN rate ON rate.rate_ym = CAST(b.year AS INTEGER) * 100 + CAST(b.month AS INTEGER)),
-{name} AS (SELECT {lname}, MEDIACD{dim_keys}, CMPNO, AGNO, CREATIVENO, EXCHANGEWON,
-   count(DISTINCT CASE WHEN log_type = 'i' THEN req_id END) AS IMPS,
-   count(CASE WHEN log_type = 'c' THEN req_id END) AS CLICKS,
-   sum(CASE WHEN log_type = 'i' THEN price ELSE 0 END) AS PAYMENT,
-   count(DISTINCT CASE WHEN log_type != 'e_i' AND is_cpvc = '1' THEN req_id END) AS PAYMENTCNT,
-   count(DISTINCT CASE WHEN log_type = 'v_firstQ' THEN req_id END) AS Q1,
-   count(DISTINCT CASE WHEN log_type = 'v_mid' THEN req_id END) AS Q2,
-   count(DISTINCT CASE WHEN log_type = 'v_thirdQ' THEN req_id END) AS Q3,
-   count(DISTINCT CASE WHEN log_type = 'v_complete' THEN req_id END) AS Q4,
-   count(CASE WHEN log_type = 'e_i' THEN req_id END) AS ERRORIMPS,
-   sum(CASE WHEN log_type = 'e_i' THEN price ELSE 0 END) AS ERRORPAYMENT,
-   {', '.join(g)}
- FROM {name}_raw GROUP BY {lname}, MEDIACD{dim_keys}, CMPNO, AGNO, CREATIVENO, EXCHANGEWON, {', '.join(g)})"""
-
-
-def dedup_cte(name: str, grain: str, dims: dict[str, str] | None = None) -> str:
-    g, label, lname = _GRAINS[grain]
-    dims = dims or {}
-    dim_sel = "".join(f", {e} AS {n}" for n, e in dims.items())
-    dim_keys = "".join(f", {n}" for n in dims)
-    gb = ", ".join(f"b.{c}" for c in g)
-    return f"""{name}_raw AS (SELECT DISTINCT {label}, b.req_id, CAST(b.cmp_no AS INTEGER) AS CMPNO,
-   CAST(b.ag_no AS INTEGER) AS AGNO, CAST(b.creative_no AS INTEGER) AS CREATIVENO,
-   b.media_id AS MEDIACD{dim_sel}, COALESCE(rate.exchangerate, 0) AS EXCHANGEWON,
-   b.log_type, b.is_cpvc, b.price, {gb}
- FROM fx_postback b
- LEFT JOIN fx_media m ON m.mediacd = b.media_id AND m.logparsefg = 'Y'
- LEFT JOIN rate ON rate.rate_ym = CAST(b.year AS INTEGER) * 100 + CAST(b.month AS INTEGER)
- WHERE b.req_id IS NOT NULL AND b.cmp_no IS NOT NULL AND b.ag_no IS NOT NULL AND b.creative_no IS NOT NULL),
-{name} AS (SELECT {lname}, MEDIACD{dim_keys}, CMPNO, AGNO, CREATIVENO, EXCHANGEWON,
-   sum(CASE WHEN log_type = 'i' THEN 1 ELSE 0 END) AS IMPS,
-   sum(CASE WHEN log_type = 'c' THEN 1 ELSE 0 END) AS CLICKS,
-   sum(CASE WHEN is_cpvc = '1' THEN CAST(price AS DOUBLE) ELSE 0 END) AS PAYMENT,
-   sum(CASE WHEN log_type != 'e_i' THEN CAST(is_cpvc AS DOUBLE) ELSE 0 END) AS PAYMENTCNT,
-   sum(CASE WHEN log_type = 'v_firstQ' THEN 1 ELSE 0 END) AS Q1,
-   sum(CASE WHEN log_type = 'v_mid' THEN 1 ELSE 0 END) AS Q2,
-   sum(CASE WHEN log_type = 'v_thirdQ' THEN 1 ELSE 0 END) AS Q3,
-   sum(CASE WHEN log_type = 'v_complete' THEN 1 ELSE 0 END) AS Q4,
-   0 AS ERRORIMPS, 0.0 AS ERRORPAYMENT, {', '.join(g)}
- FROM {name}_raw GROUP BY {lname}, MEDIACD{dim_keys}, CMPNO, AGNO, CREATIVENO, EXCHANGEWON, {', '.join(g)})"""
-
-
-def _final(names: list[str], grain: str, dims: list[str]) -> str:
-    g, _, lname = _GRAINS[grain]
-    dk = "".join(f"{d}, " for d in dims)
-    sel = f"SELECT {lname}, MEDIACD, {dk}CMPNO, AGNO, CREATIVENO, round(CAST(EXCHANGEWON AS DOUBLE), 4) AS EXCHANGEWON, {_METRIC_TYPES}, {', '.join(g)} FROM "
-    return "\nUNION ALL\n".join(sel + n for n in names)
+def _rows(cond: str) -> str:
+    return f"CAST(list_sum([x.w FOR x IN l IF {cond}]) AS BIGINT)"
 
 
-FIX = ("fx_postback", "fx_media", "fx_rate")
+def _requests(cond: str) -> str:
+    return f"len(list_distinct([x.r FOR x IN l IF {cond} AND x.r IS NOT NULL]))"
+
 
-SUMMARY_HOUR_LOOKUP = with_fixtures(_final(["abi"], "hour", []), *FIX,
-                                    ctes=[_RATE, lookup_cte("abi", "hour")])
+def _money(cond: str, none: str) -> str:
+    return f"round(ifnull(list_sum([x.p * x.w FOR x IN l IF {cond}]), {none}), 4)"
 
-SUMMARY_HOUR_DEDUP = with_fixtures(_final(["apm"], "hour", []), *FIX,
-                                   ctes=[_RATE, dedup_cte("apm", "hour")])
 
-SUMMARY_HOUR = with_fixtures(_final(["abi", "apm", "nhn"], "hour", []), *FIX,
-                             ctes=[_RATE, lookup_cte("abi", "hour"), dedup_cte("apm", "hour"),
-                                   lookup_cte("nhn", "hour")])
+def _lookup(grain: str, dims: dict[str, str], old_rule: bool) -> tuple[str, dict[str, str]]:
+    """Feeds whose price is the request's largest text of the hour (day)."""
+    keys = _LABEL[grain][2]
+    readable = "true" if old_rule else "TRY_CAST(price AS DOUBLE) IS NOT NULL"
+    rows = f"""SELECT *, TRY_CAST(max(price) FILTER ({readable}) OVER (PARTITION BY {keys}, ifnull(req_id, '')) AS DOUBLE) AS best
+ FROM fx_postback WHERE cmp_no IS NOT NULL AND ag_no IS NOT NULL AND creative_no IS NOT NULL"""
+    item = "struct_pack(r := req_id, k := log_type, c := is_cpvc, p := if(req_id IS NULL, NULL, best), w := w)"
+    figures = {"IMPS": _requests("x.k = 'i'"), "CLICKS": f"ifnull({_rows('''x.k = 'c' AND x.r IS NOT NULL''')}, 0)",
+               "PAYMENT": _money("x.k = 'i'", "NULL" if old_rule else "if(list_bool_or([x.k IS DISTINCT FROM 'i' FOR x IN l]), 0, NULL)"),
+               "PAYMENTCNT": f"CAST({_requests('''x.k <> 'e_i' AND x.c = '1' ''')} AS DOUBLE)",
+               **{q: _requests(f"x.k = '{t}'") for q, t in _QUARTILES.items()},
+               "ERRORIMPS": f"ifnull({_rows('''x.k = 'e_i' AND x.r IS NOT NULL''')}, 0)",
+               "ERRORPAYMENT": _money("x.k = 'e_i'", "if(list_bool_or([x.k IS DISTINCT FROM 'e_i' FOR x IN l]), 0, NULL)")}
+    return f"SELECT {item} AS x, * FROM (SELECT *, {_TIMES} AS w FROM ({rows}))", figures
 
-_ABI_DIMS = {"INVENTORYNM": "CASE WHEN b.g_targetid = '174297362776' THEN b.app_bundle ELSE '' END",
-             "AREACD": "CASE WHEN am.areacd IS NOT NULL THEN am.areacd ELSE '-1' END"}
-_APM_DIMS = {"AREACD": "CASE WHEN b.media_id != 'CX3NWBJED7HA' THEN '' WHEN b.area_cd = 'undefined' THEN '-1' "
-                       "ELSE b.area_cd END",
-             "INVENTORYNM": "CASE WHEN b.media_id IN ('CX3NWBJED7HA', '9P4XDTQ81FPZ', 'I4RHD1RPQAEG') THEN b.app_id "
-                            "WHEN b.media_id = '1FWMMFN3QDZ3' THEN 'test' ELSE '' END"}
-_NHN_DIMS = {"INVENTORYNM": "''",
-             "AREACD": "CASE WHEN b.area_cd IS NULL OR b.area_cd = '' OR b.area_cd = '-99' THEN '-1' "
-                       "ELSE b.area_cd END"}
 
-SUMMARY_DAILY = with_fixtures(
-    _final(["abi", "apm", "nhn"], "day", ["INVENTORYNM", "AREACD"]), *FIX, "fx_area",
-    ctes=[_RATE, lookup_cte("abi", "day", _ABI_DIMS, area=True), dedup_cte("apm", "day", _APM_DIMS),
-          lookup_cte("nhn", "day", _NHN_DIMS)])
+def _dedup(grain: str, dims: dict[str, str]) -> tuple[str, dict[str, str]]:
+    """The feed that repeats its rows: whole rows count once."""
+    cols = "req_id, cmp_no, ag_no, creative_no, media_id, log_type, is_cpvc, price, " + _LABEL[grain][2]
+    extra = "".join(f", {e} AS {n}" for n, e in dims.items())
+    rows = f"SELECT DISTINCT {cols}{extra} FROM fx_postback WHERE req_id IS NOT NULL AND cmp_no IS NOT NULL AND ag_no IS NOT NULL AND creative_no IS NOT NULL"
+    item = "struct_pack(k := log_type, c := is_cpvc, p := TRY_CAST(price AS DOUBLE), w := 1)"
 
+    def total(value: str, cond: str) -> str:   # 0 unless every row counts and none has a value
+        return f"round(ifnull(list_sum([{value} FOR x IN l IF {cond}]), if(list_bool_and([ifnull({cond}, false) FOR x IN l]), NULL, 0)), 4)"
 
-def _old_rule(cte: str) -> str:
-    """No castability filter on the lookup (unparseable maxima read as NULL), no ELSE 0 in PAYMENT."""
-    cte = cte.replace("   WHERE TRY_CAST(price AS DOUBLE) IS NOT NULL GROUP BY ALL", "   GROUP BY ALL")
-    cte = cte.replace("CAST(p.price AS DOUBLE) AS price", "TRY_CAST(p.price AS DOUBLE) AS price")
-    return cte.replace("sum(CASE WHEN log_type = 'i' THEN price ELSE 0 END) AS PAYMENT",
-                       "sum(CASE WHEN log_type = 'i' THEN price END) AS PAYMENT")
+    figures = {"IMPS": f"ifnull({_rows('''x.k = 'i' ''')}, 0)", "CLICKS": f"ifnull({_rows('''x.k = 'c' ''')}, 0)",
+               "PAYMENT": total("x.p", "x.c = '1'"), "PAYMENTCNT": total("CAST(x.c AS DOUBLE)", "x.k <> 'e_i'"),
+               **{q: f"ifnull({_rows(f'''x.k = '{t}' ''')}, 0)" for q, t in _QUARTILES.items()},
+               "ERRORIMPS": "0::BIGINT", "ERRORPAYMENT": "0::DOUBLE"}
+    return f"SELECT {item} AS x, * FROM ({rows})", figures
 
 
-SUMMARY_HOUR_OLD_RULE = with_fixtures(_final(["abi"], "hour", []), *FIX,
-                                      ctes=[_RATE, _old_rule(lookup_cte("abi", "hour"))])
+def feed(grain: str, dims: dict[str, str] | None = None, dedup: bool = False, old_rule: bool = False) -> str:
+    dims = dims or {}
+    name, label, keys = _LABEL[grain]
+    source, figures = _dedup(grain, dims) if dedup else _lookup(grain, dims, old_rule)
+    group = "".join(f"{n}, " for n in dims)
+    made = group if dedup else "".join(f"{e} AS {n}, " for n, e in dims.items())
+    return f"""SELECT {label} AS {name}, MEDIACD, {group}CMPNO, AGNO, CREATIVENO, round(ifnull(won, 0), 4) AS EXCHANGEWON,
+  {', '.join(f'{e} AS {n}' for n, e in figures.items())}, {keys}
+FROM (SELECT media_id AS MEDIACD, {made}CAST(cmp_no AS INT) AS CMPNO, CAST(ag_no AS INT) AS AGNO, CAST(creative_no AS INT) AS CREATIVENO,
+        {keys}, list(x) AS l FROM ({source}) GROUP BY ALL)
+LEFT JOIN rate ON rate.ym = CAST(year || month AS INT)"""
+
+
+def _union(*feeds: str, fix=FIX) -> str:
+    return with_fixtures("\nUNION ALL BY NAME\n".join(feeds), *fix, ctes=[_RATE])
+
+
+SUMMARY_HOUR_LOOKUP = _union(feed("hour"))
+SUMMARY_HOUR_DEDUP = _union(feed("hour", dedup=True))
+SUMMARY_HOUR = _union(feed("hour"), feed("hour", dedup=True), feed("hour"))
+SUMMARY_HOUR_OLD_RULE = _union(feed("hour", old_rule=True))
+
+# The target whose bundle names the inventory, and the exchange's media.
+_OWN = {"INVENTORYNM": "if(g_targetid = '174297362776', app_bundle, '')",
+        "AREACD": "ifnull((SELECT any_value(a.areacd) FROM fx_area a WHERE a.google_ab_region = region), '-1')"}
+_EXCHANGE = {"AREACD": "if(media_id <> 'CX3NWBJED7HA', '', if(area_cd = 'undefined', '-1', area_cd))",
+             "INVENTORYNM": "CASE WHEN media_id IN ('CX3NWBJED7HA', '9P4XDTQ81FPZ', 'I4RHD1RPQAEG') THEN app_id "
+                            "WHEN media_id = '1FWMMFN3QDZ3' THEN 'test' ELSE '' END"}
+_PARTNER = {"INVENTORYNM": "''", "AREACD": "if(ifnull(area_cd, '') IN ('', '-99'), '-1', area_cd)"}
+SUMMARY_DAILY = _union(feed("day", _OWN), feed("day", _EXCHANGE, dedup=True), feed("day", _PARTNER), fix=(*FIX, "fx_area"))
