@@ -94,8 +94,10 @@ def _batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
 
 
 def _later(notes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The first note of each context, and the others."""
+    """The first note of each context, and the others; notes of one place count once."""
     notes = notes[np.lexsort((notes["a"], notes["t"], notes["doc"], notes["c"]))]
+    if len(notes):
+        notes = notes[np.append(True, np.any([notes[k][1:] != notes[k][:-1] for k in ("c", "doc", "t", "a")], axis=0))]
     again = np.append(False, notes["c"][1:] == notes["c"][:-1]) if len(notes) else np.zeros(0, bool)
     return notes[~again], notes[again]
 
@@ -114,6 +116,8 @@ def _noting(buckets: int):
         to = (anchors % np.uint64(buckets)).astype(np.int64)
         order = np.lexsort((notes["a"], notes["t"], notes["doc"], notes["c"]))
         notes, anchors, to = notes[order], anchors[order], to[order]
+        once = np.append(True, np.any([notes[k][1:] != notes[k][:-1] for k in ("c", "doc", "t", "a")], axis=0))
+        notes, anchors, to = notes[once], anchors[once], to[once]      # rows of one document count once
         again = np.append(False, notes["c"][1:] == notes["c"][:-1])
         rows = [(-1, _cover(notes[again]))] if again.any() else []
         notes, anchors, to = notes[~again], anchors[~again], to[~again]
