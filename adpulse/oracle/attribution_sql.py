@@ -88,9 +88,12 @@ _TIMES = (f"strftime(e.hit, '%Y-%m-%d') AS mall_dt, strftime(f.t, {STAMP}) AS po
 WAYS = ("Addi", "Abi", "ODM")
 
 
+def _in_range(start: str | None, end: str | None) -> str:
+    return f"{partition_day('g')} BETWEEN '{start}' AND '{end}'" if start else "true"
+
+
 def v1(ways=WAYS, imp: bool = False, start: str | None = None, end: str | None = None) -> str:
-    within = f"{partition_day('g')} BETWEEN '{start}' AND '{end}'" if start else "true"
-    return _with(ways, events(within=within), views(end),
+    return _with(ways, events(within=_in_range(start, end)), views(end),
                  _first_event(("CAST(f.t AS DATE) AS imp_dt, " if imp else "") + _TIMES))
 
 
@@ -102,10 +105,10 @@ ATTR_WEB_IMP = v1(imp=True)
 ATTR_RANGE_V1 = v1(start=RANGE_START, end=RANGE_END)
 
 
-def v2(until: str | None = None, months_back: int | None = None) -> str:
+def v2(until: str | None = None, months_back: int | None = None, start: str | None = None) -> str:
     near = f"CAST(t AS DATE) >= DATE '{until}' - to_months({months_back})" if months_back else "true"
     payload = "conv_meta := conv_meta, conv_value := conv_value"
-    return _with(WAYS, events(", g.conv_meta, g.conv_value"), views(until),
+    return _with(WAYS, events(", g.conv_meta, g.conv_value", within=_in_range(start, until)), views(until),
                  _first_event(f"e.conv_meta, e.conv_value, {_TIMES}, f.box AS stp_id, f.phone AS m_adid, f.raw AS raw_ip",
                               f", {payload}"), near=near)
 
@@ -122,9 +125,16 @@ def _every_event(way: str) -> str:
  FROM happened JOIN touch_{way} USING (cmp_no, ip) WHERE hit > f.t"""
 
 
-ATTR_WEB_V3 = _with(WAYS, events(
-    ", g.log_time, g.eid, TRY_CAST(trim(CAST(g.scroll AS VARCHAR)) AS BIGINT) AS scroll, g.click, g.conv_type, g.conv_value, g.conv_meta",
-    blank_counts=False), views(), _every_event, latest_visit=True)
+def v3(start: str | None = None, end: str | None = None) -> str:
+    columns = (", g.log_time, g.eid, TRY_CAST(trim(CAST(g.scroll AS VARCHAR)) AS BIGINT) AS scroll, g.click, g.conv_type, "
+               "g.conv_value, g.conv_meta")
+    return _with(WAYS, events(columns, blank_counts=False, within=_in_range(start, end)), views(end), _every_event, latest_visit=True)
+
+
+ATTR_WEB_V3 = v3()
+ATTR_RANGE_IMP = v1(imp=True, start=RANGE_START, end=RANGE_END)
+ATTR_RANGE_V2 = v2(RANGE_END, start=RANGE_START)
+ATTR_RANGE_V3 = v3(RANGE_START, RANGE_END)
 
 CHECK_RAW_LOADS = "\nUNION ALL\n".join(
     f"SELECT '{table}' AS table_name, mall_dt, count(*) AS row_cnt, count(DISTINCT mall_ip) AS unique_ip_cnt, "

@@ -44,5 +44,15 @@ FROM fx_metric m LEFT JOIN (SELECT cmp_no, cmp_you_no AS id FROM fx_info UNION S
   ON CAST(m.campaign_no AS VARCHAR) = CAST(CAST(o.id AS BIGINT) AS VARCHAR)
 GROUP BY o.cmp_no, m.campaign_no, m.campaign_name, m.date""", "fx_metric", "fx_info", "fx_ytlist")
 
+
+
+def _dates(sql: str, c: str = "dt") -> str:
+    return f"SELECT * FROM ({sql}) WHERE CAST({c} AS DATE) BETWEEN DATE '{RANGE_START}' AND DATE '{RANGE_END}'"
+
+
+REPORT_RANGE_APP = _dates(REPORT_APP)
+REPORT_RANGE_CLICK_UTM = _dates(REPORT_CLICK_UTM)
+REPORT_RANGE_METRICS = _dates(REPORT_METRICS, "date")
+REPORT_RANGE_WEB_IMP = _dates(REPORT_WEB_IMP, "mall_dt")
 SYNC_WATERMARK = 1015
 SYNC_INCREMENTAL = with_fixtures(f"SELECT * FROM fx_metric WHERE campaign_no > {SYNC_WATERMARK}", "fx_metric")

@@ -18,10 +18,10 @@ every event after the first view.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normalize import event_name, is_present, yyyymmdd
+from ..functions.normalize import event_name, is_present, norm_id, norm_ip, valid_id_attr, yyyymmdd
 from ..operators.joins import broadcast_if_bounded
 from ..operators.temporal import next_event_within
 
@@ -32,11 +32,16 @@ def _day_int(d: str | None) -> int | None:
     return None if d is None else int(d.replace("-", ""))
 
 
+PAYLOAD = ("conv_meta", "conv_value")
+
+
 def web_events(gtm: DataFrame, info: DataFrame, start: str | None = None, end: str | None = None,
-               blank_aware: bool = False, extra: bool = False) -> DataFrame:
-    """Distinct web events of tracked pixels with a non-blank ip, events in [start, end]."""
+               blank_aware: bool = False, extra: bool = False, payload: bool = False, ip: Column | None = None) -> DataFrame:
+    """Distinct web events of tracked pixels with a non-blank ip, events in [start, end];
+    ``payload`` adds the conversion payload, ``extra`` every column of v3, ``ip`` is the
+    form in which the address is compared."""
     day = yyyymmdd("year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
-    g = gtm.where(is_present("ip"))
+    g = gtm.where(is_present(F.col("ip").cast("string")))
     if start is not None:
         g = g.where(day >= _day_int(start))
     if end is not None:
@@ -45,11 +50,13 @@ def web_events(gtm: DataFrame, info: DataFrame, start: str | None = None, end: s
     cols = [F.regexp_replace(F.substring("log_time", 1, 10), "/", "-").alias("mall_dt"),
             F.to_timestamp("log_time", "yyyy/MM/dd/HH:mm:ss").alias("mall_datetime"),
             event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string"),
-                       blank_aware).alias("ev"), "pid", "ip", "cmp_no"]
+                       blank_aware).alias("ev"), "pid", (F.col("ip") if ip is None else ip).alias("ip"), "cmp_no"]
     if extra:
         cols += ["log_time", "eid",
                  F.nullif(F.trim(F.col("scroll").cast("string")), F.lit("")).try_cast("bigint").alias("scroll"),
                  "click", "conv_type", "conv_value", "conv_meta"]
+    elif payload:
+        cols += list(PAYLOAD)
     return g.join(broadcast_if_bounded(pixels), "pid").select(*cols).distinct()
 
 
@@ -68,13 +75,37 @@ def completed_views(postback: DataFrame, end: str | None = None, cmps: DataFrame
     return v
 
 
-def campaign_months(views: DataFrame, months_back: int = 5) -> DataFrame:
-    """J8 as an equi-join: every campaign exploded into the yyyymm values from
+def campaign_bounds(views: DataFrame, months_back: int = 5) -> DataFrame:
+    """The yyyymm range that a campaign's id tables are read for: from
     ``months_back`` months before its first view up to that month."""
-    start = views.groupBy("cmp_no").agg(F.min("post_datetime").alias("_s"))
-    m0 = F.trunc(F.col("_s").cast("date"), "month")
-    return start.select("cmp_no", F.explode(F.sequence(F.lit(-months_back), F.lit(0))).alias("_k"), m0.alias("_m0")) \
-        .select("cmp_no", F.date_format(F.add_months("_m0", F.col("_k")), "yyyyMM").cast("int").alias("ym"))
+    m0 = F.trunc(F.min("post_datetime").cast("date"), "month")
+    ym = lambda c: F.date_format(c, "yyyyMM").cast("int")
+    return views.groupBy("cmp_no").agg(ym(F.add_months(m0, -months_back)).alias("_from"), ym(m0).alias("_to"))
+
+
+def _in_any(df: DataFrame, bounds: DataFrame) -> DataFrame:
+    """Rows of an id table whose month any campaign reads; a filter on the partition
+    columns alone, from two scalar subqueries."""
+    lo, hi = bounds.agg(F.min("_from")).scalar(), bounds.agg(F.max("_to")).scalar()
+    return df.where((_ym() >= lo) & (_ym() <= hi))
+
+
+def _bridge(views: DataFrame, skb: DataFrame, bounds: DataFrame, need_ad: bool = False) -> DataFrame:
+    """(cmp_no, ad_id, ifa, _from, _to): mobile ids of the devices that saw a campaign.
+    The id table meets the devices on the device id and is then held against the
+    campaign's months, so no row is spread over campaigns that it has no device of."""
+    pairs = views.select("cmp_no", "ifa").distinct().join(broadcast_if_bounded(bounds), "cmp_no")
+    ok = is_present("platform_ad_id") & is_present("ad_id") if need_ad else is_present("platform_ad_id")
+    s = _in_any(skb, bounds).where(ok).select("ad_id", F.col("platform_ad_id").alias("ifa"), _ym().alias("ym"))
+    return s.join(pairs, "ifa").where(F.col("ym").between(F.col("_from"), F.col("_to"))).drop("ym").distinct()
+
+
+def _ips_of(per_id: DataFrame, tg: DataFrame, bounds: DataFrame) -> DataFrame:
+    """``per_id`` (cmp_no, ad_id, ...) spread to each id's ips in its campaign's months."""
+    t = (_in_any(tg, bounds).where(is_present("ip"))
+         .select(F.col("uuid").alias("ad_id"), "ip", _ym().alias("ym")).distinct())
+    return (t.join(per_id.join(broadcast_if_bounded(bounds), "cmp_no"), "ad_id")
+            .where(F.col("ym").between(F.col("_from"), F.col("_to"))).drop("ym", "_from", "_to").distinct())
 
 
 def _ym(year="year", month="month") -> Column:
@@ -99,6 +130,11 @@ def visit_extremes(visits: DataFrame) -> DataFrame:
                       F.explode(F.array_distinct(F.array("_a", "_b"))).alias("visit_at"))
 
 
+def _visits_of(visits: DataFrame, bridge: DataFrame) -> DataFrame:
+    """Visits of bridged mobile ids in the months of the campaign."""
+    return visits.join(bridge, "ad_id").where(F.col("ym").between(F.col("_from"), F.col("_to")))
+
+
 def touch_direct(views: DataFrame) -> DataFrame:
     """C1 route: earliest view per (campaign, view ip)."""
     return views.groupBy("cmp_no", F.col("post_ip").alias("ip")).agg(F.min("post_datetime").alias("post_datetime"))
@@ -110,15 +146,11 @@ def touch_graph(views: DataFrame, tg: DataFrame, skb: DataFrame, months_back: in
 
     The earliest view is first reduced per (campaign, mobile id) and only then
     spread to that mobile id's ips, so (set-top x ip) pairs are never formed."""
-    months = broadcast_if_bounded(campaign_months(views, months_back))
-    sk = (skb.where(is_present("platform_ad_id")).withColumn("ym", _ym())
-          .join(months, "ym").select("cmp_no", "ad_id", F.col("platform_ad_id").alias("ifa")).distinct())
-    t = (tg.where(is_present("ip")).withColumn("ym", _ym()).join(months, "ym")
-         .select("cmp_no", F.col("uuid").alias("ad_id"), "ip").distinct())
+    bounds = campaign_bounds(views, months_back)
     first_view = views.groupBy("cmp_no", "ifa").agg(F.min("post_datetime").alias("post_datetime"))
-    per_id = (sk.join(first_view, ["cmp_no", "ifa"])
+    per_id = (_bridge(views, skb, bounds).join(first_view, ["cmp_no", "ifa"])
               .groupBy("cmp_no", "ad_id").agg(F.min("post_datetime").alias("post_datetime")))
-    return (t.join(per_id, ["cmp_no", "ad_id"])
+    return (_ips_of(per_id, tg, bounds)
             .groupBy("cmp_no", "ip").agg(F.min("post_datetime").alias("post_datetime")))
 
 
@@ -130,14 +162,8 @@ def touch_visit(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_days:
     Per visit the earliest view at or after it is found with an as-of lookup
     (no view x visit pairs); the earliest of those per (campaign, ip) wins.
     """
-    months = broadcast_if_bounded(campaign_months(views, months_back))
-    sk = (skb.where(is_present("platform_ad_id")).withColumn("ym", _ym())
-          .join(months, "ym").select("cmp_no", "ad_id", F.col("platform_ad_id").alias("ifa")).distinct())
-    # Only (campaign, device) pairs that have views can yield a touch: cut the
-    # bridge to those before the visits fan out per campaign.
-    sk = sk.join(views.select("cmp_no", "ifa").distinct(), ["cmp_no", "ifa"], "left_semi")
-    vis = (visit_extremes(visits).join(sk, "ad_id").join(months, ["cmp_no", "ym"])
-           .select("cmp_no", "ifa", "visit_at", "ip"))
+    bounds = campaign_bounds(views, months_back)
+    vis = _visits_of(visit_extremes(_in_any(visits, bounds)), _bridge(views, skb, bounds)).select("cmp_no", "ifa", "visit_at", "ip")
     nxt = next_event_within(vis, views.select("cmp_no", "ifa", "post_datetime"),
                             keys=["cmp_no", "ifa"], probe_ts="visit_at", event_ts="post_datetime",
                             horizon_days=visit_days, out="post_datetime")
@@ -194,11 +220,6 @@ V3_EVENT_COLS = ["cmp_no", "pid", "eid", "log_time", "ev", "scroll", "click", "c
                  "conv_meta", "mall_dt"]
 
 
-def _v3_links(skb: DataFrame, months: DataFrame) -> DataFrame:
-    return (skb.where(is_present("platform_ad_id") & is_present("ad_id")).withColumn("ym", _ym())
-            .join(months, "ym").select("cmp_no", "ad_id", F.col("platform_ad_id").alias("ifa")).distinct())
-
-
 def first_view_direct(views: DataFrame) -> DataFrame:
     """v3 direct route: first view per (campaign, view ip); ties by device id."""
     return (views.groupBy("cmp_no", "post_ip").agg(F.min(F.struct("post_datetime", "ifa")).alias("_f"))
@@ -213,15 +234,12 @@ def first_view_graph(views: DataFrame, tg: DataFrame, skb: DataFrame, months_bac
     contributes only its first view, and the best device is picked per
     (campaign, mobile id) before spreading to that id's ips -- the
     lexicographic minimum is unchanged, and no (device x ip) pairs are formed."""
-    months = broadcast_if_bounded(campaign_months(views, months_back))
-    sk = _v3_links(skb, months)
-    ips = (tg.where(is_present("ip")).withColumn("ym", _ym()).join(months, "ym")
-           .select("cmp_no", F.col("uuid").alias("ad_id"), "ip").distinct())
+    bounds = campaign_bounds(views, months_back)
     first = views.groupBy("cmp_no", "ifa").agg(F.min(F.struct("post_datetime", "post_ip")).alias("_v"))
-    per_id = (sk.join(first, ["cmp_no", "ifa"]).groupBy("cmp_no", "ad_id")
+    per_id = (_bridge(views, skb, bounds, need_ad=True).join(first, ["cmp_no", "ifa"]).groupBy("cmp_no", "ad_id")
               .agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), F.col("ifa"),
                                   F.col("_v.post_ip").alias("r"))).alias("_m")))
-    best = (ips.join(per_id, ["cmp_no", "ad_id"])
+    best = (_ips_of(per_id, tg, bounds)
             .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_m.t").alias("t"), F.col("_m.ifa").alias("ifa"),
                                                         F.col("ad_id"), F.col("_m.r").alias("r"))).alias("_b")))
     return best.select("cmp_no", "ip", F.col("_b.t").alias("post_datetime"), F.col("_b.ifa").alias("stp_id"),
@@ -234,13 +252,11 @@ def first_view_visit(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_
     bridged visit within ``visit_days``; ties go to the latest such visit, then
     device, mobile id, view ip.  Every visit that maps to the earliest view has
     that view as its own next view, so the as-of lookup per visit suffices."""
-    months = broadcast_if_bounded(campaign_months(views, months_back))
-    sk = _v3_links(skb, months).join(views.select("cmp_no", "ifa").distinct(), ["cmp_no", "ifa"], "left_semi")
-    v = (visits.where(is_present("request_ip") & is_present("ifa"))
+    bounds = campaign_bounds(views, months_back)
+    v = (_in_any(visits, bounds).where(is_present("request_ip") & is_present("ifa"))
          .select(F.col("ifa").alias("ad_id"), F.to_timestamp("created_at").alias("visit_at"),
                  F.col("request_ip").alias("ip"), _ym().alias("ym")))
-    vis = (v.join(sk, "ad_id").join(months, ["cmp_no", "ym"])
-           .select("cmp_no", "ifa", "ad_id", "visit_at", "ip"))
+    vis = _visits_of(v, _bridge(views, skb, bounds, need_ad=True)).select("cmp_no", "ifa", "ad_id", "visit_at", "ip")
     vt = views.select("cmp_no", "ifa", "post_datetime", "post_ip")
     nxt = next_event_within(vis, vt.select("cmp_no", "ifa", "post_datetime").distinct(), keys=["cmp_no", "ifa"],
                             probe_ts="visit_at", event_ts="post_datetime", horizon_days=visit_days,
@@ -295,10 +311,9 @@ def first_view_visit_v2(views: DataFrame, visits: DataFrame, skb: DataFrame, vis
     """v2 visit route: per (campaign, visit ip) the first candidate in (view
     time, device, mobile id, view ip) order; visits are reduced to their daily
     first/last (exact for this order, see ``visit_extremes``)."""
-    months = broadcast_if_bounded(campaign_months(views, months_back))
-    sk = _v3_links(skb, months).join(views.select("cmp_no", "ifa").distinct(), ["cmp_no", "ifa"], "left_semi")
-    vis = (visit_extremes(visits).join(sk, "ad_id").join(months, ["cmp_no", "ym"])
-           .select("cmp_no", "ifa", "ad_id", "visit_at", "ip"))
+    bounds = campaign_bounds(views, months_back)
+    vis = _visits_of(visit_extremes(_in_any(visits, bounds)), _bridge(views, skb, bounds, need_ad=True)).select(
+        "cmp_no", "ifa", "ad_id", "visit_at", "ip")
     vt = views.select("cmp_no", "ifa", "post_datetime", "post_ip")
     nxt = next_event_within(vis, vt.select("cmp_no", "ifa", "post_datetime"), keys=["cmp_no", "ifa"],
                             probe_ts="visit_at", event_ts="post_datetime", horizon_days=visit_days,
@@ -337,7 +352,7 @@ def attribute_v2(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: D
     """C6 (v2): v1 plus device id, mobile id, view ip and the conversion
     payload, ties broken by device then mobile id.  C7 (home) is v2 with the
     direct route's views limited to ``direct_lookback_months`` before ``end``."""
-    mall = web_events_payload(gtm, info, start, end)
+    mall = web_events(gtm, info, start, end, payload=True)
     cmps = mall.select("cmp_no").distinct()
     dv = completed_views(postback, end, None, "ip")
     if direct_lookback_months is not None and end is not None:
@@ -354,49 +369,20 @@ def attribute_v2(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: D
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def web_events_payload(gtm: DataFrame, info: DataFrame, start: str | None = None,
-                       end: str | None = None) -> DataFrame:
-    """``web_events`` plus the conversion payload columns (distinct)."""
-    day = yyyymmdd("year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
-    g = gtm.where(is_present("ip"))
-    if start is not None:
-        g = g.where(day >= _day_int(start))
-    if end is not None:
-        g = g.where(day <= _day_int(end))
-    pixels = info.select("cmp_no", F.col("pixel_id_web").alias("pid")).distinct()
-    return (g.join(broadcast_if_bounded(pixels), "pid")
-            .select(F.regexp_replace(F.substring("log_time", 1, 10), "/", "-").alias("mall_dt"),
-                    F.to_timestamp("log_time", "yyyy/MM/dd/HH:mm:ss").alias("mall_datetime"),
-                    event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string")).alias("ev"),
-                    "pid", "ip", "cmp_no", "conv_meta", "conv_value").distinct())
-
-
 def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame, weekly: DataFrame,
-                          visits: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+                          visits: DataFrame, start: str | None = None, end: str | None = None,
+                          per_day: bool = False) -> DataFrame:
     """Set-top -> mobile id through the weekly mapping table, then mobile id
     -> ip either from ABI visits (cate 'ABI') or from the mapping's own ips
     (cate 'STB_MOBILE_MAPPING'); ids and ips normalised, no time window.  One
     row per (campaign, event ip) for the whole range (the range form keeps no
-    day in the key).
+    day in the key); ``per_day`` is the daily form, one row per event day.
 
     Per (campaign, ip) the first candidate in (view, device, mobile id, view
     ip, carrier) order is found from each device's first view; the event is
     the earliest one after that view (ties: pid, ev, payload)."""
-    from ..functions.normalize import norm_id, norm_ip
-    junk = ["0000000-0000-0000-0000-000000000000", "00000000-0000-0000-0000-000000000000", "adid_none"]
     day = yyyymmdd("year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
-    g = gtm.where(is_present(F.col("ip").cast("string")))
-    if start is not None:
-        g = g.where(day >= _day_int(start))
-    if end is not None:
-        g = g.where(day <= _day_int(end))
-    pixels = info.select("cmp_no", F.col("pixel_id_web").alias("pid")).distinct()
-    mall = (g.join(broadcast_if_bounded(pixels), "pid")
-            .select(F.regexp_replace(F.substring("log_time", 1, 10), "/", "-").alias("mall_dt"),
-                    F.to_timestamp("log_time", "yyyy/MM/dd/HH:mm:ss").alias("mall_datetime"),
-                    event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string")).alias("ev"),
-                    "conv_meta", "conv_value", "pid", norm_ip(F.col("ip").cast("string")).alias("ip"), "cmp_no")
-            .distinct())
+    mall = web_events(gtm, info, start, end, payload=True, ip=norm_ip(F.col("ip").cast("string")))
     cmps = mall.select("cmp_no").distinct()
     v = postback.where((F.col("log_type") == "v_complete") & is_present(F.col("ifa").cast("string")))
     if end is not None:
@@ -410,17 +396,17 @@ def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame,
     stb_mobile = (wk.where(is_present(F.col("plattform_id").cast("string")))
                   .select(norm_id(F.col("plattform_id").cast("string")).alias("stp_id"),
                           norm_id(F.col("ad_id").cast("string")).alias("m_adid"), "carrier")
-                  .where(~F.col("m_adid").isin(*junk)).distinct())
+                  .where(valid_id_attr("m_adid")).distinct())
     vis = visits.where(is_present(F.col("ifa").cast("string")) & is_present(F.col("request_ip").cast("string")))
     if end is not None:
         vis = vis.where(day <= _day_int(end))
     abi_ip = (vis.select(norm_id(F.col("ifa").cast("string")).alias("m_adid"),
                          norm_ip(F.col("request_ip").cast("string")).alias("ip"))
-              .where(~F.col("m_adid").isin(*junk)).distinct())
+              .where(valid_id_attr("m_adid")).distinct())
     map_ip = (wk.where(is_present(F.col("ip").cast("string")))
               .select(norm_id(F.col("ad_id").cast("string")).alias("m_adid"),
                       norm_ip(F.col("ip").cast("string")).alias("ip"))
-              .where(~F.col("m_adid").isin(*junk)).distinct())
+              .where(valid_id_attr("m_adid")).distinct())
 
     def route(ips: DataFrame, cate: str) -> DataFrame:
         # Best (view, device, view ip, carrier) per (campaign, mobile id) first, then
@@ -433,9 +419,9 @@ def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame,
                                                              "m_adid", F.col("_m.r").alias("r"),
                                                              F.col("_m.carrier").alias("carrier"))).alias("_c")))
         j = mall.join(touch, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("_c.t"))
-        best = j.groupBy("cmp_no", "ip").agg(
+        best = j.groupBy("cmp_no", "ip", *(["mall_dt"] if per_day else [])).agg(
             F.first("_c").alias("_c"),
-            F.min(F.struct("mall_datetime", "pid", "ev", "conv_meta", "conv_value", "mall_dt")).alias("_e"))
+            F.min(F.struct("mall_datetime", "pid", "ev", "conv_meta", "conv_value", F.col("mall_dt").alias("mall_dt"))).alias("_e"))
         return best.select("cmp_no", F.col("_e.pid").alias("pid"), F.col("_e.ev").alias("ev"),
                            F.col("_e.conv_meta").alias("conv_meta"), F.col("_e.conv_value").alias("conv_value"),
                            F.col("_e.mall_dt").alias("mall_dt"),
@@ -448,8 +434,3 @@ def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame,
                            F.substring(F.col("_e.mall_dt"), 6, 2).alias("month"),
                            F.substring(F.col("_e.mall_dt"), 9, 2).alias("day"))
     return route(abi_ip, "ABI").unionByName(route(map_ip, "STB_MOBILE_MAPPING"))
-
-
-__all__ = ["web_events", "completed_views", "campaign_months", "touch_direct", "touch_graph", "touch_visit",
-           "first_match", "attribute_v1", "attribute_v3", "first_view_direct", "first_view_graph",
-           "first_view_visit", "all_after", "attribute_via_mapping", "Window"]

@@ -40,6 +40,12 @@ def channel_daily(apm_postback: DataFrame, abi_postback: DataFrame, bids: DataFr
            .select(F.concat("year", F.lit("-"), "month", F.lit("-"), "day").alias("date"), "req_id",
                    F.col("cmp_no").alias("cmpno"), F.col("ag_no").alias("agno"), F.col("media_id").alias("mediacd"),
                    "log_type", "year", "month", "day").distinct())
+    # Bids of the reported days and of the day before the first: a filter on the partition columns.
+    if start is not None:
+        first = F.date_format(F.date_sub(F.to_date(F.lit(start)), 1), "yyyy-MM-dd")
+        bids = bids.where(F.concat_ws("-", "year", "month", "day") >= first)
+    if end is not None:
+        bids = bids.where(F.concat_ws("-", "year", "month", "day") <= F.lit(end))
     b = (bids.join(m, F.col("req.media_id") == F.col("mediacd"), "left_semi")
          .select(F.col("req.req_id").alias("_rid"), carrier_channel(F.col("req.app_bundle"), "uplus").alias("carrier"),
                  F.col("req.content_id").alias("contentid"),

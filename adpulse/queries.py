@@ -462,3 +462,79 @@ def q_check_raw_loads(spark, sf):
         "raw_conv_web_home": attr.attribute_v2(**inp, end=asql.HOME_END, direct_lookback_months=6),
         "raw_conv_web_v2": attr.attribute_v2(**inp), "raw_conv_web_v3": attr.attribute_v3(**inp),
         "raw_conv_web_imp": attr.attribute_v1(**inp, imp_date=True)})
+
+
+# ---------------------------------------------------------------- further range and daily forms
+_RANGE = dict(start=asql.RANGE_START, end=asql.RANGE_END)
+
+
+@register("attr_range_imp", asql.ATTR_RANGE_IMP)
+def q_attr_range_imp(spark, sf):
+    """v1 with the impression date over an event-date range."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), imp_date=True, **_RANGE)
+
+
+@register("attr_range_v2", asql.ATTR_RANGE_V2)
+def q_attr_range_v2(spark, sf):
+    """v2 over an event-date range."""
+    return attr.attribute_v2(**_attr_inputs(spark, sf), **_RANGE)
+
+
+@register("attr_range_home", asql.ATTR_RANGE_V2)
+def q_attr_range_home(spark, sf):
+    """The home range form, which unlike the daily one has no lookback."""
+    return attr.attribute_v2(**_attr_inputs(spark, sf), direct_lookback_months=None, **_RANGE)
+
+
+@register("attr_range_v3", asql.ATTR_RANGE_V3)
+def q_attr_range_v3(spark, sf):
+    """v3 over an event-date range."""
+    return attr.attribute_v3(**_attr_inputs(spark, sf), **_RANGE)
+
+
+def _by_mapping(spark, sf, **how):
+    return attr.attribute_via_mapping(fx.fx_postback(spark, sf), fx.fx_gtm(spark, sf), fx.fx_info(spark, sf),
+                                      _weekly(spark, sf), fx.fx_visit(spark, sf), **how)
+
+
+@register("attr_mapping_daily", msql.ATTR_MAPPING_DAILY)
+def q_attr_mapping_daily(spark, sf):
+    """Attribution through the weekly mapping, one row per event day."""
+    return _by_mapping(spark, sf, per_day=True)
+
+
+@register("attr_range_mapping", msql.ATTR_MAPPING_RANGE)
+def q_attr_range_mapping(spark, sf):
+    """Attribution through the weekly mapping over an event-date range."""
+    return _by_mapping(spark, sf, **_RANGE)
+
+
+@register("report_range_app", rsql.REPORT_RANGE_APP)
+def q_report_range_app(spark, sf):
+    """App postback report over a date range."""
+    return reports.report_app(fx.fx_app(spark, sf), fx.fx_info(spark, sf), **_RANGE)
+
+
+@register("report_range_click_utm", rsql.REPORT_RANGE_CLICK_UTM)
+def q_report_range_click_utm(spark, sf):
+    """Click-id and utm report over a date range."""
+    return reports.report_click_utm(fx.fx_gtm(spark, sf), fx.fx_gclid(spark, sf), fx.fx_info(spark, sf), **_RANGE)
+
+
+@register("report_range_metrics", rsql.REPORT_RANGE_METRICS)
+def q_report_range_metrics(spark, sf):
+    """Ad-platform metrics over a date range."""
+    return reports.report_metrics(fx.fx_metric(spark, sf), fx.fx_info(spark, sf), fx.fx_ytlist(spark, sf), **_RANGE)
+
+
+@register("report_range_web_imp", rsql.REPORT_RANGE_WEB_IMP)
+def q_report_range_web_imp(spark, sf):
+    """Impression-date matrix over a range of event dates."""
+    return reports.report_web_imp(attr.attribute_v1(**_attr_inputs(spark, sf), imp_date=True), **_RANGE)
+
+
+@register("mapping_crowded_ips", fx.with_fixtures("SELECT DISTINCT batch_week, ip, ip_adid_cardinality FROM weekly WHERE ip_adid_cardinality > 20",
+                                                  *msql._IN, ctes=msql._WEEKLY))
+def q_mapping_crowded_ips(spark, sf):
+    """M2: the ips that its rule leaves out."""
+    return mapping.crowded_ips(_weekly(spark, sf))

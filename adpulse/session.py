@@ -15,6 +15,8 @@ _RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A hot ip's join feeds an aggregate on the same keys; split it even so.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     # Partition values are text ('01', not 1), as the jobs compare and concatenate them.
