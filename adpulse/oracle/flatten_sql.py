@@ -12,7 +12,7 @@ def _req(by_type: bool, deal_ids: bool = True) -> str:
             "t.req.media_id AS media_id", 't.req."user".id AS req_user_id', "t.created_at AS created_at",
             f"{imp}.id AS imp_id", f"{imp}.banner.w AS imp_banner_w", f"{imp}.banner.h AS imp_banner_h",
             f"{imp}.banner.pos AS imp_banner_pos", f"{imp}.tagid AS imp_tagid",
-            f"round({imp}.bidfloor, 4) AS imp_bidfloor", f"{imp}.bidfloorcur AS imp_bidfloorcur"]
+            f"{imp}.bidfloor AS imp_bidfloor", f"{imp}.bidfloorcur AS imp_bidfloorcur"]
     if by_type:
         cols.append(f"list_transform(CASE WHEN {imp}.deal_type = 'pmp' THEN {imp}.deals END, lambda d: d.id)"
                     " AS imp_deal_ids")
@@ -20,33 +20,42 @@ def _req(by_type: bool, deal_ids: bool = True) -> str:
         cols += [f"{imp}.deal_type AS imp_deal_type", f"list_transform({imp}.deals, lambda d: d.id) AS imp_deal_ids"]
     cols += [f"{imp}.ad_type AS imp_ad_type", f"{imp}.secure AS imp_secure"]
     if by_type:
-        cols += [f"round(list_filter({imp}.metric, lambda m: m.type = '{t}')[1].value, 4) AS {t}_value"
+        cols += [f"list_filter({imp}.metric, lambda m: m.type = '{t}')[1].value AS {t}_value"
                  for t in _TYPES]
         cols += [f"list_filter({imp}.metric, lambda m: m.type = '{t}')[1].vendor AS {t}_vendor" for t in _TYPES]
     else:
-        cols += [f"{imp}.metric[1].type AS imp_metric_type", f"round({imp}.metric[1].value, 4) AS imp_metric_value",
+        cols += [f"{imp}.metric[1].type AS imp_metric_type", f"{imp}.metric[1].value AS imp_metric_value",
                  f"{imp}.metric[1].vendor AS imp_metric_vendor"]
     cols += ["t.req.app.bundle AS app_bundle", "t.req.app.name AS app_name",
              "t.req.app.publisher.id AS app_publisher_id", "t.req.device.ip AS device_ip",
-             "t.req.device.ifa AS device_ifa", "round(t.req.device.geo.lat, 4) AS device_geo_lat",
-             "round(t.req.device.geo.lon, 4) AS device_geo_lon", "t.req.device.geo.country AS device_geo_country",
+             "t.req.device.ifa AS device_ifa", "t.req.device.geo.lat AS device_geo_lat",
+             "t.req.device.geo.lon AS device_geo_lon", "t.req.device.geo.country AS device_geo_country",
              "t.req.device.os AS device_os"]
     return ", ".join(cols)
 
 
+def _more() -> str:
+    """The further columns, read from the record by their paths (a struct shown by its id)."""
+    from ..plans.flatten import IMP_FIELDS, REQ_FIELDS
+    quoted = lambda path: ".".join(f'"{x}"' for x in path.split("."))
+    cols = [f"t.req.imp[1].{quoted(p)} AS {n}" for n, p in IMP_FIELDS.items()]
+    cols += [f"t.req.{quoted(p)}{'.id' if n == 'app_content_producer' else ''} AS {n}" for n, p in REQ_FIELDS.items()]
+    return ", ".join(cols + [f"t.req.device.sua.browsers[1].{f} AS device_sua_browsers_{f}" for f in ("brand", "version")])
+
+
 _BID = ("t.res.id AS res_id, s.seatbid_row.price AS price, s.seatbid_row.crtv_no AS crtv_no, "
         "s.seatbid_row.crid AS crid, s.seatbid_row.cmp_no AS cmp_no, s.seatbid_row.ag_no AS ag_no, "
         "s.seatbid_row.deal_id AS deal_id, s.seatbid_row.impid AS impid")
 _PARTS = "t.year AS year, t.month AS month, t.day AS day, t.hour AS hour"
 
 FLATTEN_OUTER = with_fixtures(
-    f"SELECT {_req(True)}, {_BID}, {_PARTS} FROM fx_bid_nested t "
+    f"SELECT {_req(True)}, {_more()}, {_BID}, {_PARTS} FROM fx_bid_nested t "
     "LEFT JOIN LATERAL (SELECT unnest(t.res.seatbid) AS seatbid_row) s ON TRUE", "fx_bid_nested")
 FLATTEN_INNER = with_fixtures(
-    f"SELECT {_req(True)}, {_BID}, {_PARTS} FROM fx_bid_nested t, "
+    f"SELECT {_req(True)}, {_more()}, {_BID}, {_PARTS} FROM fx_bid_nested t, "
     "LATERAL (SELECT unnest(t.res.seatbid) AS seatbid_row) s", "fx_bid_nested")
 FLATTEN_NESTED_FIRST = with_fixtures(
-    f"SELECT {_req(False)}, {_BID}, t.fail_code AS fail_code, {_PARTS} FROM fx_bid_nested t "
+    f"SELECT {_req(False)}, {_more()}, {_BID}, t.fail_code AS fail_code, {_PARTS} FROM fx_bid_nested t "
     "LEFT JOIN LATERAL (SELECT unnest(t.res.seatbid) AS seatbid_row) s ON TRUE", "fx_bid_nested")
 FLATTEN_MATCHED = with_fixtures(
     f"SELECT {_req(False).replace('t.created_at AS created_at, ', '')}, {_BID}, "

@@ -11,7 +11,7 @@ _F = [
  JOIN f1 ON i.region_id = f1.region_id AND i.dt = f1.dt AND i.hr = f1.hr WHERE i.fcstDate = f1.fd GROUP BY ALL)""",
     "s AS (SELECT i.region_id, i.dt, i.hr, f2.fd, f2.ft, " + ", ".join(
         f"arg_max(i.fcstValue, i.seq) FILTER (WHERE i.fcstDate = f2.fd AND i.fcstTime = f2.ft AND i.category = '{c}')"
-        f" AS {c}" for c in ["SKY", "PTY", "WSD", "TMP", "REH", "POP"]) + ", " + ", ".join(
+        f" AS {c}" for c in ["SKY", "PTY", "WSD", "TMP", "REH", "POP", "PCP", "SNO", "UUU", "VVV", "WAV", "VEC"]) + ", " + ", ".join(
         f"arg_min(i.fcstValue, i.seq) FILTER (WHERE i.fcstDate = f2.fd AND i.category = '{c}') AS {c}"
         for c in ["TMN", "TMX"]) +
     """ FROM fx_fcst i JOIN f2 ON i.region_id = f2.region_id AND i.dt = f2.dt AND i.hr = f2.hr GROUP BY ALL)""",
@@ -21,13 +21,15 @@ _F = [
    CASE WHEN TRY_CAST(WSD AS DOUBLE) IS NULL OR TRY_CAST(WSD AS DOUBLE) = 0 THEN 0.0 ELSE TRY_CAST(WSD AS DOUBLE) END AS wsd,
    CASE WHEN TRY_CAST(TMP AS DOUBLE) IS NULL OR TRY_CAST(TMP AS DOUBLE) = 0 THEN 20.0 ELSE TRY_CAST(TMP AS DOUBLE) END AS tmp,
    CASE WHEN TRY_CAST(REH AS DOUBLE) IS NULL OR TRY_CAST(REH AS DOUBLE) = 0 THEN 50.0 ELSE TRY_CAST(REH AS DOUBLE) END AS reh,
-   TRY_CAST(POP AS INTEGER) AS pop, TRY_CAST(TMN AS DOUBLE) AS tmn, TRY_CAST(TMX AS DOUBLE) AS tmx FROM s)""",
+   TRY_CAST(POP AS INTEGER) AS pop, TRY_CAST(TMN AS DOUBLE) AS tmn, TRY_CAST(TMX AS DOUBLE) AS tmx,
+   ifnull(PCP, '강수없음') AS pcp, ifnull(SNO, '적설없음') AS sno, TRY_CAST(UUU AS DOUBLE) AS uuu, TRY_CAST(VVV AS DOUBLE) AS vvv,
+   TRY_CAST(WAV AS DOUBLE) AS wav, TRY_CAST(VEC AS INTEGER) AS vec FROM s)""",
     """fc AS (SELECT region_id, dt, hr,
    CASE WHEN pty = 3 THEN 'B001_001_004' WHEN pty IN (1, 2, 4) THEN 'B001_001_003' WHEN wsd >= 14 THEN 'B001_001_005'
         WHEN sky IN (3, 4) THEN 'B001_001_002' ELSE 'B001_001_001' END AS weather_code,
    CASE WHEN di >= 80 THEN 'B001_002_004' WHEN di >= 75 THEN 'B001_002_003' WHEN di >= 70 THEN 'B001_002_002'
         ELSE 'B001_002_001' END AS discomfort_code,
-   pop, pty, reh, sky, tmp, tmn, tmx, wsd, round(di, 1) AS di, fd AS fcst_date, ft AS fcst_time
+   pop, pty, pcp, reh, sno, sky, tmp, tmn, tmx, uuu, vvv, wav, vec, wsd, round(di, 1) AS di, fd AS fcst_date, ft AS fcst_time
  FROM (SELECT *, 9.0 * tmp / 5 - 0.55 * (1 - reh / 100) * (9.0 * tmp / 5 - 26) + 32 AS di FROM v))""",
 ]
 

@@ -32,6 +32,8 @@ WARN_VAR_CODES = {"1": "B001_005_001", "2": "B001_005_007", "3": "B001_005_002",
                   "5": "B001_005_010", "6": "B001_005_009", "7": "B001_005_005", "8": "B001_005_006",
                   "9": "B001_005_004", "12": "B001_005_003", "13": "B001_005_011"}
 LIFT_COMMANDS = ["2", "8"]
+# What the API writes for no precipitation and no snow.
+NO_RAIN, NO_SNOW = "강수없음", "적설없음"
 
 
 def _default(raw: Column, value, parity: bool) -> Column:
@@ -49,7 +51,7 @@ def classify_forecast(items: DataFrame, parity: bool = True) -> DataFrame:
     j = items.join(first, FETCH)
     in_slot = (F.col("fcstDate") == F.col("_fs.fcstDate")) & (F.col("fcstTime") == F.col("_fs.fcstTime"))
     same_day = F.col("fcstDate") == F.col("_fs.fcstDate")
-    cats = ["SKY", "PTY", "WSD", "TMP", "REH", "POP"]
+    cats = ["SKY", "PTY", "WSD", "TMP", "REH", "POP", "PCP", "SNO", "UUU", "VVV", "WAV", "VEC"]
     aggs = [F.max_by("fcstValue", F.when(in_slot & (F.col("category") == c), F.col("seq"))).alias(c) for c in cats]
     aggs += [F.min_by("fcstValue", F.when(same_day & (F.col("category") == c), F.col("seq"))).alias(c)
              for c in ("TMN", "TMX")]
@@ -62,7 +64,10 @@ def classify_forecast(items: DataFrame, parity: bool = True) -> DataFrame:
     reh = _default(F.col("REH").try_cast("double"), 50.0, parity)
     s = s.select(*FETCH, sky.alias("sky"), pty.alias("pty"), wsd.alias("wsd"), tmp.alias("tmp"), reh.alias("reh"),
                  F.col("POP").try_cast("int").alias("pop"), F.col("TMN").try_cast("double").alias("tmn"),
-                 F.col("TMX").try_cast("double").alias("tmx"), F.col("_fs.fcstDate").alias("fcst_date"),
+                 F.col("TMX").try_cast("double").alias("tmx"), F.coalesce("PCP", F.lit(NO_RAIN)).alias("pcp"),
+                 F.coalesce("SNO", F.lit(NO_SNOW)).alias("sno"), F.col("UUU").try_cast("double").alias("uuu"),
+                 F.col("VVV").try_cast("double").alias("vvv"), F.col("WAV").try_cast("double").alias("wav"),
+                 F.col("VEC").try_cast("int").alias("vec"), F.col("_fs.fcstDate").alias("fcst_date"),
                  F.col("_fs.fcstTime").alias("fcst_time"))
     g = (F.when(F.col("pty") == 3, GENERAL_CODES["snow"]).when(F.col("pty").isin(1, 2, 4), GENERAL_CODES["rain"])
          .when(F.col("wsd") >= 14, GENERAL_CODES["wind"]).when(F.col("sky").isin(3, 4), GENERAL_CODES["cloudy"])
@@ -72,7 +77,7 @@ def classify_forecast(items: DataFrame, parity: bool = True) -> DataFrame:
     d = (F.when(F.col("_di") >= 80, DISCOMFORT_CODES[3]).when(F.col("_di") >= 75, DISCOMFORT_CODES[2])
          .when(F.col("_di") >= 70, DISCOMFORT_CODES[1]).otherwise(DISCOMFORT_CODES[0]))
     return (s.withColumn("_di", di).select(*FETCH, g.alias("weather_code"), d.alias("discomfort_code"), "pop", "pty",
-                                             "reh", "sky", "tmp", "tmn", "tmx", "wsd",
+                                             "pcp", "reh", "sno", "sky", "tmp", "tmn", "tmx", "uuu", "vvv", "wav", "vec", "wsd",
                                              F.round("_di", 1).alias("di"), "fcst_date", "fcst_time"))
 
 

@@ -233,6 +233,8 @@ def _deal_ids(df, col="imp_deals_array"):
     pos = df.columns.index(col)
     cols = [F.col(c) for c in df.columns]
     cols[pos] = F.transform(col, lambda d: d["id"]).alias("imp_deal_ids")
+    if "app_content_producer" in df.columns:   # a struct, shown by its id
+        cols[df.columns.index("app_content_producer")] = F.col("app_content_producer.id").alias("app_content_producer")
     return df.select(*cols)
 
 

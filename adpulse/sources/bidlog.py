@@ -1,7 +1,7 @@
 """Nested bid-log look-alikes (request with impressions, response with seat
 bids) built from ``orders`` left-joined to ``lineitem``: one request per
-order, one impression per line, seat bids from the first two lines (the second
-one bidding on another impression id).  Orders without lines have no
+order, one impression and one seat bid per line (the second line's bidding on another
+impression id).  Orders without lines have no
 impressions; every 11th order has no response."""
 
 from __future__ import annotations
@@ -20,6 +20,60 @@ def _pick(values: list[str], c) -> F.Column:
     return e
 
 
+# The record's further fields by path: i a number, b 0 or 1, s a text, a a list of texts.
+# Every seventh request has none of a branch's parent records, so that null branches occur.
+MORE_IMP = {"video": {"mimes": "a", "linearity": "i", "minduration": "i", "maxduration": "i", "w": "i", "h": "i", "startdelay": "i",
+                      "pos": "i", "api": "a", "companionad": "a"},
+            "native": "s", "displaymanager": "s", "instl": "b", "exp": "i", "ext": {"billing_id": "a"}}
+MORE_REQ = {"site": {"page": "s", "publisher": {"id": "s"}, "mobile": "b",
+                     "content": {"genre": "s", "contentrating": "s", "livestream": "b", "producer": "s", "language": "s"}},
+            "ext": {"bid_feedback": "s", "google_query_id": "s", "fcap_scope": "i",
+                    "privacy_treatments": {"allow_user_data_collection": "b"}}, "bcat": "a"}
+MORE_APP = {"ver": "s", "storeurl": "s", "content": {"data": "s", "url": "s", "producer": {"id": "s", "domain": "s"}, "language": "s",
+                                                     "livestream": "b", "userrating": "s", "genre": "s"}}
+MORE_GEO = {"city": "s", "region": "s", "utcoffset": "i", "accuracy": "i", "zip": "s"}
+MORE_DEVICE = {"ua": "s", "carrier": "s", "make": "s", "model": "s", "osv": "s", "devicetype": "i", "connectiontype": "i", "w": "i", "h": "i",
+               "pxratio": "i", "lmt": "b",
+               "sua": {"browsers": "n", "platform": {"brand": "s", "version": "s"}, "mobile": "b", "bitness": "s", "model": "s", "architecture": "s"}}
+
+
+def _salt(path: str) -> int:
+    return sum(map(ord, path)) % 11
+
+
+def _spark_fields(fields: dict, key, path: str = "") -> list:
+    """Struct fields of the given shape, whose values follow from the key."""
+    out = []
+    for name, kind in fields.items():
+        at = f"{path}.{name}"
+        n = (key + _salt(at)) % 13
+        text = F.concat(F.lit(f"{name}-"), _s(n))
+        if isinstance(kind, dict):
+            v = F.when((key + _salt(at)) % 7 != 0, F.struct(*_spark_fields(kind, key, at)))
+        elif kind == "n":
+            v = F.when(n > 3, F.array(F.struct(F.concat(F.lit("br"), _s(n)).alias("brand"), _s(n).alias("version"))))
+        else:
+            v = {"i": n.cast("int"), "b": (n % 2).cast("int"), "s": F.when(n > 0, text), "a": F.array(text, F.lit("x"))}[kind]
+        out.append(v.alias(name))
+    return out
+
+
+def _duck_fields(fields: dict, key: str, path: str = "") -> str:
+    out = []
+    for name, kind in fields.items():
+        at = f"{path}.{name}"
+        n = f"(({key} + {_salt(at)}) % 13)"
+        if isinstance(kind, dict):
+            v = f"CASE WHEN ({key} + {_salt(at)}) % 7 <> 0 THEN struct_pack({_duck_fields(kind, key, at)}) END"
+        elif kind == "n":
+            v = f"CASE WHEN {n} > 3 THEN [struct_pack(brand := 'br' || {n}, version := CAST({n} AS VARCHAR))] END"
+        else:
+            v = {"i": f"CAST({n} AS INTEGER)", "b": f"CAST({n} % 2 AS INTEGER)", "s": f"CASE WHEN {n} > 0 THEN '{name}-' || {n} END",
+                 "a": f"['{name}-' || {n}, 'x']"}[kind]
+        out.append(f'"{name}" := {v}')
+    return ", ".join(out)
+
+
 def _s(c) -> F.Column:
     return c.cast("string")
 
@@ -41,8 +95,10 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.col("l_discount").alias("bidfloor"), F.lit("KRW").alias("bidfloorcur"),
                    F.when(ln % 2 == 0, "pmp").otherwise("open").alias("deal_type"), deals.alias("deals"),
                    F.struct((300 + ln).cast("int").alias("w"), F.lit(250).alias("h"),
-                            (ln % 3).cast("int").alias("pos")).alias("banner"),
-                   metric.alias("metric"), F.lit("video").alias("ad_type"), F.lit(1).alias("secure"))
+                            (ln % 3).cast("int").alias("pos"),
+                            F.array(F.concat(F.lit("f"), _s(ln % 4))).alias("format")).alias("banner"),
+                   metric.alias("metric"), F.lit("video").alias("ad_type"), F.lit(1).alias("secure"),
+                   *_spark_fields(MORE_IMP, pk + ln))
     bid = F.struct(F.concat(F.lit("imp"), _s(F.when(ln == 2, 9).otherwise(ln))).alias("impid"),
                    F.format_string("%.2f", F.col("l_extendedprice")).alias("price"),
                    F.concat(F.lit("cr"), _s(pk % 30)).alias("crid"), (pk % 60).cast("int").alias("crtv_no"),
@@ -69,10 +125,12 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("10.0."), _s(ok % 40), F.lit("."), _s(ok % 7)).alias("ip"),
                  F.concat(F.lit("ad-"), _s(ck % 500)).alias("ifa"),
                  F.struct((37.5 + (ok % 10) / 100.0).alias("lat"), (127.0 + (ok % 7) / 100.0).alias("lon"),
-                          F.lit("KOR").alias("country")).alias("geo"),
-                 F.when(ok % 2 == 0, "android").otherwise("tizen").alias("os")).alias("device"),
+                          F.lit("KOR").alias("country"), *_spark_fields(MORE_GEO, ok)).alias("geo"),
+                 F.when(ok % 2 == 0, "android").otherwise("tizen").alias("os"),
+                 *_spark_fields(MORE_DEVICE, ok)).alias("device"),
         F.struct(_pick(APP_BUNDLES, ok % 6).alias("bundle"), F.concat(F.lit("app"), _s(ok % 6)).alias("name"),
-                 F.struct(F.concat(F.lit("pub"), _s(ck % 20)).alias("id")).alias("publisher")).alias("app"))
+                 F.struct(F.concat(F.lit("pub"), _s(ck % 20)).alias("id")).alias("publisher"),
+                 *_spark_fields(MORE_APP, ok)).alias("app"), *_spark_fields(MORE_REQ, ok))
     res = F.when(ok % 11 != 0, F.struct(F.concat(F.lit("res"), _s(ok)).alias("id"),
                                         F.when(F.col("_n") > 0, F.transform("_bids", lambda z: z["v"]))
                                         .alias("seatbid")))
@@ -93,11 +151,12 @@ _IMP = ("struct_pack(id := 'imp' || l_linenumber, tagid := 't' || (l_partkey % 5
         "deals := [struct_pack(id := 'd' || (l_partkey % 9), bidfloorcur := 'KRW', bidfloor := l_tax, "
         "at := CAST(1 AS INTEGER))], "
         "banner := struct_pack(w := CAST(300 + l_linenumber AS INTEGER), h := CAST(250 AS INTEGER), "
-        "pos := CAST(l_linenumber % 3 AS INTEGER)), "
+        "pos := CAST(l_linenumber % 3 AS INTEGER), format := ['f' || (l_linenumber % 4)]), "
         "metric := CASE WHEN l_suppkey % 3 = 0 THEN [struct_pack(type := 'viewability', value := round(l_tax * 10, 4), "
         "vendor := 'ias'), struct_pack(type := 'click_through_rate', value := l_discount, vendor := 'moat')] "
         "WHEN l_suppkey % 3 = 1 THEN [struct_pack(type := 'click_through_rate', value := l_discount, "
-        "vendor := 'moat')] ELSE [] END, ad_type := 'video', secure := CAST(1 AS INTEGER))")
+        "vendor := 'moat')] ELSE [] END, ad_type := 'video', secure := CAST(1 AS INTEGER), "
+        + _duck_fields(MORE_IMP, "(l_partkey + l_linenumber)") + ")")
 _BID = ("struct_pack(impid := 'imp' || CASE WHEN l_linenumber = 2 THEN 9 ELSE l_linenumber END, "
         "price := printf('%.2f', l_extendedprice), crid := 'cr' || (l_partkey % 30), "
         "crtv_no := CAST(l_partkey % 60 AS INTEGER), cmp_no := CAST(l_partkey % 10 AS INTEGER), "
@@ -113,10 +172,11 @@ BID_NESTED_SQL = f"""SELECT struct_pack(id := 'q' || o_orderkey, at := CAST(1 +
     device := struct_pack(ip := '10.0.' || (o_orderkey % 40) || '.' || (o_orderkey % 7),
         ifa := 'ad-' || (o_custkey % 500),
         geo := struct_pack(lat := CAST(37.5 + (o_orderkey % 10) / 100.0 AS DOUBLE), lon := CAST(127.0 + (o_orderkey % 7) / 100.0 AS DOUBLE),
-                           country := 'KOR'),
-        os := CASE WHEN o_orderkey % 2 = 0 THEN 'android' ELSE 'tizen' END),
+                           country := 'KOR', {_duck_fields(MORE_GEO, 'o_orderkey')}),
+        os := CASE WHEN o_orderkey % 2 = 0 THEN 'android' ELSE 'tizen' END, {_duck_fields(MORE_DEVICE, 'o_orderkey')}),
     app := struct_pack(bundle := {_case(APP_BUNDLES, 'CAST(o_orderkey % 6 AS INTEGER)')},
-        name := 'app' || (o_orderkey % 6), publisher := struct_pack(id := 'pub' || (o_custkey % 20)))) AS req,
+        name := 'app' || (o_orderkey % 6), publisher := struct_pack(id := 'pub' || (o_custkey % 20)), {_duck_fields(MORE_APP, 'o_orderkey')}),
+    {_duck_fields(MORE_REQ, 'o_orderkey')}) AS req,
   strftime({_TS}, '%Y-%m-%dT%H:%M:%SZ') AS created_at,
   CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE struct_pack(id := 'res' || o_orderkey,
     seatbid := CASE WHEN count(l_orderkey) = 0 THEN NULL

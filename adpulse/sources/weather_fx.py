@@ -10,7 +10,7 @@ from .fixtures import FX_SQL, _dialect
 from .tables import load
 
 # Forecast categories used by the classifier.
-FCST_CATEGORIES = ["SKY", "PTY", "WSD", "TMP", "REH", "POP", "TMN", "TMX"]
+FCST_CATEGORIES = ["SKY", "PTY", "WSD", "TMP", "REH", "POP", "TMN", "TMX", "PCP", "SNO", "UUU", "VVV", "WAV", "VEC"]
 
 
 def _fetch(dialect: str) -> list[str]:
@@ -31,14 +31,15 @@ def _iv(expr: str, dialect: str) -> str:
 def _fcst_cols(dialect: str) -> list[str]:
     x = _dialect(dialect)
     s = x["s"]
-    cat = "CASE CAST(event_id % 8 AS INTEGER) " + " ".join(
+    cat = "CASE CAST(event_id % 14 AS INTEGER) " + " ".join(
         f"WHEN {i} THEN '{c}'" for i, c in enumerate(FCST_CATEGORIES)) + " END"
     hh = "cast(date_format(ts, 'HH') as int)" if dialect == "spark" else "CAST(strftime(ts, '%H') AS INTEGER)"
-    val = (f"CASE CAST(event_id % 8 AS INTEGER) WHEN 0 THEN {_iv('value % 5', dialect)} "
+    val = (f"CASE CAST(event_id % 14 AS INTEGER) WHEN 0 THEN {_iv('value % 5', dialect)} "
            f"WHEN 1 THEN {_iv('value % 5', dialect)} WHEN 2 THEN {_iv('value % 20', dialect)} "
            f"WHEN 3 THEN CASE WHEN event_id % 17 = 0 THEN '-' ELSE {_iv('value % 40 - 5', dialect)} END "
            f"WHEN 4 THEN {_iv('value % 101', dialect)} WHEN 5 THEN {_iv('value % 100', dialect)} "
-           f"WHEN 6 THEN {_iv('value % 15 - 5', dialect)} ELSE {_iv('value % 30', dialect)} END")
+           f"WHEN 6 THEN {_iv('value % 15 - 5', dialect)} WHEN 7 THEN {_iv('value % 30', dialect)} WHEN 8 THEN concat({_iv('value % 9', dialect)}, 'mm') "
+           f"WHEN 13 THEN {_iv('value % 360', dialect)} ELSE {_iv('value % 12', dialect)} END")
     return _fetch(dialect) + [
         f"{x['fmt']('ts', 'yyyyMMdd')} AS fcstDate",
         f"concat(lpad(cast(({hh} + 1 + CAST(event_id % 3 AS INTEGER)) % 24 as {s}), 2, '0'), '00') AS fcstTime",
