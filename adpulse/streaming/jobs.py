@@ -49,8 +49,9 @@ def hourly_request_counts(postbacks: DataFrame, lateness: str = "1 hour") -> Dat
     ts = F.to_timestamp("created_at")
     s = (postbacks.where(F.col("req_id").isNotNull() & F.col("cmp_no").isNotNull() & F.col("ag_no").isNotNull()
                          & F.col("creative_no").isNotNull())
-         .withColumn("event_time", ts).withWatermark("event_time", lateness)
-         .dropDuplicatesWithinWatermark([*POSTBACK_KEYS, "req_id", "log_type"]))
+         .withColumn("event_time", ts).withColumn("_hour", F.date_trunc("hour", ts)).withWatermark("event_time", lateness)
+         # The hour is part of the key: a request that goes on into the next hour counts there too.
+         .dropDuplicatesWithinWatermark([*POSTBACK_KEYS, "req_id", "log_type", "_hour"]))
     return (s.groupBy(F.window("event_time", "1 hour").alias("w"), *POSTBACK_KEYS, "log_type")
             .agg(F.count(F.lit(1)).alias("requests"))
             .select(F.col("w.start").alias("hour_start"), *POSTBACK_KEYS, "log_type", "requests"))

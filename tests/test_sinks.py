@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from adpulse.plans import quality
+from adpulse.plans import backfill, quality
 from adpulse.sinks import tables as sinks
 
 
@@ -18,6 +18,23 @@ def test_replace_partitions_is_idempotent_and_scoped(spark):
     assert got == [(1, "01"), (9, "02")]
 
 
+def test_requested_partitions_that_come_back_empty_are_removed(spark):
+    schema = "v int, year string, month string, day string"
+    rows = [(1, "2024", "01", "01"), (2, "2024", "01", "02"), (3, "2024", "01", "03")]
+    paths = [os.path.join(tempfile.mkdtemp(prefix="adpulse-sink-"), "t") for _ in range(2)]
+    for path in paths:
+        sinks.replace_partitions(spark.createDataFrame(rows, schema), path, sinks.PARTS_DAY)
+    new = spark.createDataFrame([(9, "2024", "01", "01")], schema)
+
+    def job(start, end):
+        return new.where(F.concat_ws("-", "year", "month", "day").between(start, end))
+
+    assert backfill.backfill_range(job, "2024-01-01", "2024-01-02", paths[0])["rows"] == 1
+    assert backfill.backfill_by_day(job, "2024-01-01", "2024-01-02", paths[1]) == {"2024-01-01": 1, "2024-01-02": 0}
+    got = [sorted((r["v"], r["day"]) for r in spark.read.parquet(p).collect()) for p in paths]
+    assert got[0] == got[1] == [(3, "03"), (9, "01")]
+
+
 def test_serving_projection_renames_date(spark):
     df = spark.createDataFrame([("2024-01-01", 1, "2024", "01", "01")], "DATE string, IMPS int, year string, month string, day string")
     assert sinks.serving_projection(df, "report_summary_daily").columns == ["IMPS", "day"]

@@ -64,7 +64,6 @@ def test_foreach_batch_merge_state(spark):
          .writeStream.foreachBatch(jobs.merge_batches_into_state(state))
          .option("checkpointLocation", os.path.join(root, "ckpt")).trigger(availableNow=True).start())
     q.awaitTermination(600)
-    from adpulse.sinks.tables import read_latest_version
-    got = sorted(tuple(r) for r in read_latest_version(spark, state).select(*mapping.CURRENT_COLS).collect())
+    got = sorted(tuple(r) for r in jobs.read_state(spark, state).select(*mapping.CURRENT_COLS).collect())
     want = sorted(tuple(r) for r in mapping.merge_fold(weekly).select(*mapping.CURRENT_COLS).collect())
     assert got == want

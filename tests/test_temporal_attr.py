@@ -49,11 +49,10 @@ def test_first_match_equals_pairwise_row_number(spark):
     assert got == want
 
 
-def test_campaign_months_explode(spark):
-    v = spark.createDataFrame([(1, _ts(40))], "cmp_no int, post_datetime timestamp")
-    got = sorted(r["ym"] for r in attr.campaign_months(v).collect())
-    assert got == [202309, 202310, 202311, 202312, 202401, 202402]
-    assert attr.campaign_months(v).where(F.col("ym") == 202402).count() == 1
+def test_campaign_bounds_go_back_five_months(spark):
+    v = spark.createDataFrame([(1, "2024-02-10 00:00:00"), (1, "2024-04-01 00:00:00"), (2, "2024-07-31 23:59:59")],
+                              "cmp_no int, t string").select("cmp_no", F.to_timestamp("t").alias("post_datetime"))
+    assert sorted(map(tuple, attr.campaign_bounds(v).collect())) == [(1, 202309, 202402), (2, 202402, 202407)]
 
 
 def test_range_equals_union_of_daily_runs(spark):

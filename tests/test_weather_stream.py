@@ -5,6 +5,7 @@ import os
 import random
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from adpulse.plans import weather
@@ -32,21 +33,27 @@ def test_dedup_alerts_matches_replay(spark):
     base = dt.datetime(2024, 1, 1)
     rows = []
     for i in range(300):
-        t = base + dt.timedelta(days=rnd.randint(0, 40), hours=rnd.randint(0, 23), minutes=i % 60)
+        t = base + dt.timedelta(days=rnd.randint(0, 40), hours=rnd.randint(0, 7) * 3)
         rows.append((f"L{rnd.randint(0, 2)}", str(rnd.randint(1, 2)), "1", "0", "2024010100", "0", "108", "0", t))
     df = spark.createDataFrame(rows, ACOLS)
     got = sorted((r["areaCode"], r["warnVar"], r["fetched_at"]) for r in weather.dedup_alerts(df).collect())
     seen, want = {}, []
-    for r in sorted(rows, key=lambda r: r[-1]):
-        key = (r[0], r[1])
-        d = r[-1].date()
-        if key in seen and (d - seen[key]).days <= 8:
-            continue
-        seen[key] = d
-        want.append((r[0], r[1], r[-1]))
+    for t in sorted({r[-1] for r in rows}):            # one run: check, note, then forget
+        for key in sorted({(r[0], r[1]) for r in rows if r[-1] == t}):
+            if key not in seen:
+                want.append((*key, t))
+                seen[key] = t.date()
+        seen = {k: d for k, d in seen.items() if d >= t.date() - dt.timedelta(days=8)}
     assert got == sorted(want)
 
 
+def test_alert_is_stored_again_only_after_the_run_that_forgets_it(spark):
+    at = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 10, 0), dt.datetime(2024, 1, 10, 3)]
+    rows = [("L1", "1", "1", "0", "x", "0", "108", "0", t) for t in at]
+    got = sorted(r["fetched_at"] for r in weather.dedup_alerts(spark.createDataFrame(rows, ACOLS)).collect())
+    assert got == [at[0], at[2]]                       # the first run of day 10 still knows it
+
+
 def test_forecast_parity_zero_temperature(spark):
     items = spark.createDataFrame(
         [(1, "20240101", "00", 1, "20240101", "0600", "TMP", "0"), (1, "20240101", "00", 2, "20240101", "0600", "REH", "0"),
@@ -82,22 +89,75 @@ def test_alert_cancel_and_lift_rules(spark):
     assert got == [("RC1", "B001_005_002")]
 
 
+def run_stream(spark, make, parts):
+    """Feed the parts one file after the other through a stream; the rows it wrote."""
+    src, out = tempfile.mkdtemp(prefix="adpulse-stream-src-"), tempfile.mkdtemp(prefix="adpulse-stream-out-")
+    for k, part in enumerate(parts):
+        part.coalesce(1).write.mode("append").parquet(os.path.join(src, f"f{k}"))
+        q = (make(jobs.file_stream(spark, os.path.join(src, "*"), parts[0].schema, max_files_per_trigger=1)).writeStream.format("parquet")
+             .option("path", os.path.join(out, "data")).option("checkpointLocation", os.path.join(out, "ckpt"))
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+    return spark.read.parquet(os.path.join(out, "data"))
+
+
 def test_streaming_hourly_counts_equal_batch(spark):
     pb = fx.fx_postback(spark, SF_SMALL)
-    src = tempfile.mkdtemp(prefix="adpulse-stream-src-")
-    pb.repartition(4).write.mode("overwrite").parquet(src)
-    stream = jobs.hourly_request_counts(jobs.file_stream(spark, src, pb.schema, max_files_per_trigger=2),
-                                        lateness="100 days")
-    out = tempfile.mkdtemp(prefix="adpulse-stream-out-")
-    q = (stream.writeStream.format("parquet").option("path", os.path.join(out, "data"))
-         .option("checkpointLocation", os.path.join(out, "ckpt")).outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    # Windows are final only once the watermark passes them; flush by comparing closed hours.
-    got = spark.read.parquet(os.path.join(out, "data"))
+    day = pb.orderBy("created_at")
+    cut = [r[0] for r in pb.select(F.substring("created_at", 1, 10)).distinct().orderBy(1).collect()]
+    parts = [day.where(F.substring("created_at", 1, 10).between(cut[i], cut[min(i + 9, len(cut) - 1)])) for i in range(0, len(cut), 10)]
+    late = parts[0].limit(5).withColumn("req_id", F.lit("late-request"))
+    got = run_stream(spark, lambda s: jobs.hourly_request_counts(s, "1 hour"), [*parts, late])
     batch = jobs.hourly_request_counts_batch(pb)
-    closed = batch.join(got.select("hour_start").distinct(), "hour_start", "left_semi")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, closed.collect()))
+    last = batch.agg(F.max("hour_start")).first()[0]
+    closed = batch.where(F.col("hour_start") < F.lit(last) - F.expr("interval 2 hours"))
+    rows = sorted(map(tuple, got.collect()), key=repr)
+    assert len(rows) > 500
+    assert set(map(tuple, closed.collect())) <= set(rows) <= set(map(tuple, batch.collect()))   # the late rows added nothing
+
+
+def test_alert_stream_drops_repeats_within_retention(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("L1", "1", "1", "0", "x", "0", "108", "0", t + dt.timedelta(hours=h)) for h in (0, 3, 6)]
+    other = [("L2", "1", "1", "0", "x", "0", "108", "0", t + dt.timedelta(hours=9))]
+    got = run_stream(spark, jobs.dedup_alert_stream, [spark.createDataFrame(r, ACOLS) for r in (rows[:1], rows[1:], other)])
+    assert sorted((r.areaCode, r.fetched_at) for r in got.collect()) == [("L1", t), ("L2", t + dt.timedelta(hours=9))]
+
+
+def weekly_rows(spark, week):
+    return spark.createDataFrame([("MAPPING", "box", f"ad{k}", "1.1.1.1", "KT", "NHN", dt.datetime(2024, 1, week), dt.datetime(2024, 1, week),
+                                   dt.datetime(2024, 1, week), dt.datetime(2024, 1, week), 1, 1, 2, ["APM"], f"2024-01-{week:02d}") for k in (1, week)],
+                                 "record_type string, plattform_id string, ad_id string, ip string, carrier string, cate string, "
+                                 "stb_first_seen_at timestamp, stb_last_seen_at timestamp, mobile_first_seen_at timestamp, "
+                                 "mobile_last_seen_at timestamp, stb_observation_count bigint, mobile_observation_count bigint, "
+                                 "ip_adid_cardinality bigint, stb_sources array<string>, batch_week string")
+
+
+def test_state_goes_on_after_a_restart_and_a_retry(spark):
+    state = tempfile.mkdtemp(prefix="adpulse-state-") + "/s"
+    merge = jobs.merge_batches_into_state(state)
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "first")
+    merge(weekly_rows(spark, 2), 0)
+    merge(weekly_rows(spark, 8), 1)
+    merge(weekly_rows(spark, 8), 1)                    # a retried batch replaces its own version
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", "second")
+    merge(weekly_rows(spark, 15), 0)                   # a fresh checkpoint starts at batch 0
+    spark.sparkContext.setLocalProperty("sql.streaming.queryId", None)
+    got = {r.ad_id: (r.stb_observation_count, r.last_batch_week) for r in jobs.read_state(spark, state).collect()}
+    assert got == {"ad1": (3, "2024-01-15"), "ad2": (1, "2024-01-02"), "ad8": (1, "2024-01-08"), "ad15": (1, "2024-01-15")}
+    assert len([d for d in os.listdir(state) if d.startswith("v")]) == 2
+
+
+def test_unreadable_state_is_an_error_not_a_new_start(spark):
+    state = tempfile.mkdtemp(prefix="adpulse-state-") + "/s"
+    jobs.merge_batches_into_state(state)(weekly_rows(spark, 2), 0)
+    folder = os.path.join(state, os.listdir(state)[0])
+    for f in os.listdir(folder):
+        if f.endswith(".parquet"):
+            with open(os.path.join(folder, f), "wb") as out:
+                out.write(b"broken")
+    with pytest.raises(Exception):
+        jobs.merge_batches_into_state(state)(weekly_rows(spark, 8), 1)
 
 
 def test_incremental_extract(spark):
