@@ -54,5 +54,16 @@ REPORT_RANGE_APP = _dates(REPORT_APP)
 REPORT_RANGE_CLICK_UTM = _dates(REPORT_CLICK_UTM)
 REPORT_RANGE_METRICS = _dates(REPORT_METRICS, "date")
 REPORT_RANGE_WEB_IMP = _dates(REPORT_WEB_IMP, "mall_dt")
+
+# Of each report and day: rows, its own metric's sum and its campaigns.
+CHECK_REPORT_LOADS = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, CAST({d} AS VARCHAR) AS dt, count(*) AS row_cnt, round(CAST(sum({m}) AS DOUBLE), 4) AS metric_sum, "
+    f"count(DISTINCT {c}) AS campaign_cnt FROM ({sql}) GROUP BY {d}"
+    for name, sql, d, m, c in (
+        ("report_addi_conv_gtm_web", REPORT_WEB, "dt", "daily_unique_ip", "cmp_no"),
+        ("report_addi_conv_gtm_web_imp", REPORT_WEB_IMP, "mall_dt", "daily_unique_ip", "cmp_no"),
+        ("report_addi_conv_app", REPORT_APP, "dt", "daily_unique_ip", "cmp"),
+        ("report_addi_conv_gtm_youtube", REPORT_CLICK_UTM, "dt", "daily_unique_ip", "cmp_no"),
+        ("report_addi_conv_metric_youtube", REPORT_METRICS, "date", "conversions", "cmp_no")))
 SYNC_WATERMARK = 1015
 SYNC_INCREMENTAL = with_fixtures(f"SELECT * FROM fx_metric WHERE campaign_no > {SYNC_WATERMARK}", "fx_metric")

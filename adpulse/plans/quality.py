@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_bounded
+
 DAY = ["year", "month", "day"]
 
 
@@ -60,12 +62,12 @@ def hour_completeness(logs: DataFrame, expected: DataFrame, file_col: str = "_fi
     if marker is not None:
         f = f.where(F.col(file_col).contains(marker))
     per_hour = f.groupBy("feed", *DAY, "hour").agg(F.count_distinct(file_col).alias("n_files"))
-    return (per_hour.join(F.broadcast(expected), "feed")
+    return (per_hour.join(broadcast_if_bounded(expected), "feed")
             .withColumn("missing", (F.col("n_files") > 0) & (F.col("n_files") < F.col("n_expected"))))
 
 
 def load_summary(tables: dict[str, DataFrame], date_col: str = "mall_dt") -> DataFrame:
-    """Q5/Q6: per table and date, rows, distinct ips and campaigns (the load check)."""
+    """Q5: per table and date, rows, distinct ips and campaigns (the load check)."""
     out = None
     for name, df in tables.items():
         part = df.groupBy(F.col(date_col).alias(date_col)).agg(
@@ -73,3 +75,15 @@ def load_summary(tables: dict[str, DataFrame], date_col: str = "mall_dt") -> Dat
             F.count_distinct("cmp_no").alias("cmp_no_cnt")).select(F.lit(name).alias("table_name"), "*")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def report_load_summary(tables: dict[str, tuple[DataFrame, str, str, str]]) -> DataFrame:
+    """Q6: per report table and date, rows, the sum of the table's own metric and the
+    number of its campaigns; ``tables``: name -> (table, date, metric, campaign column)."""
+    out = None
+    for name, (df, date, metric, campaign) in tables.items():
+        part = df.groupBy(F.col(date).cast("string").alias("dt")).agg(
+            F.count(F.lit(1)).alias("row_cnt"), F.sum(F.col(metric).cast("double")).alias("metric_sum"),
+            F.count_distinct(campaign).alias("campaign_cnt")).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -540,3 +540,19 @@ def q_report_range_web_imp(spark, sf):
 def q_mapping_crowded_ips(spark, sf):
     """M2: the ips that its rule leaves out."""
     return mapping.crowded_ips(_weekly(spark, sf))
+
+
+@register("check_report_loads", rsql.CHECK_REPORT_LOADS)
+def q_check_report_loads(spark, sf):
+    """Q6: rows, metric sum and campaigns of every report table and day."""
+    info, gtm = fx.fx_info(spark, sf), fx.fx_gtm(spark, sf)
+    inp = _attr_inputs(spark, sf)
+    return quality.report_load_summary({
+        "report_addi_conv_gtm_web": (reports.report_web(attr.attribute_v1(**inp)), "dt", "daily_unique_ip", "cmp_no"),
+        "report_addi_conv_gtm_web_imp": (reports.report_web_imp(attr.attribute_v1(**inp, imp_date=True)), "mall_dt",
+                                         "daily_unique_ip", "cmp_no"),
+        "report_addi_conv_app": (reports.report_app(fx.fx_app(spark, sf), info), "dt", "daily_unique_ip", "cmp"),
+        "report_addi_conv_gtm_youtube": (reports.report_click_utm(gtm, fx.fx_gclid(spark, sf), info), "dt",
+                                         "daily_unique_ip", "cmp_no"),
+        "report_addi_conv_metric_youtube": (reports.report_metrics(fx.fx_metric(spark, sf), info, fx.fx_ytlist(spark, sf)),
+                                            "date", "conversions", "cmp_no")})

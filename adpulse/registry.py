@@ -19,7 +19,7 @@ ORACLES: dict[str, str] = {}
 
 
 #: Sums of doubles, whose last digits depend on the order of the rows.
-ORDER_DEPENDENT = {"PAYMENT", "PAYMENTCNT", "ERRORPAYMENT", "revenue", "conversions"}
+ORDER_DEPENDENT = {"PAYMENT", "PAYMENTCNT", "ERRORPAYMENT", "revenue", "conversions", "metric_sum"}
 
 
 def presented(df: DataFrame, digits: int = 4) -> DataFrame:

@@ -58,7 +58,11 @@ def main():
         .cast("int").alias("lo"), F.date_format(F.col("_s"), "yyyyMM").cast("int").alias("hi"))
     ym = F.concat("year", F.lpad("month", 2, "0")).cast("int")
     theta = skb.withColumn("ym", ym).join(F.broadcast(starts), F.col("ym").between(F.col("lo"), F.col("hi")))
-    explode = skb.withColumn("ym", ym).join(F.broadcast(attr.campaign_months(views)), "ym")
+    months = starts.select("cmp_no", F.explode(F.sequence(F.to_date(F.col("lo").cast("string"), "yyyyMM"),
+                                                          F.to_date(F.col("hi").cast("string"), "yyyyMM"),
+                                                          F.expr("interval 1 month"))).alias("m"))
+    months = months.select("cmp_no", F.date_format("m", "yyyyMM").cast("int").alias("ym"))
+    explode = skb.withColumn("ym", ym).join(F.broadcast(months), "ym")
     out["theta_nested_loop_sec"] = timed(theta.select("cmp_no", "ad_id"))
     out["theta_month_explode_sec"] = timed(explode.select("cmp_no", "ad_id"))
 
