@@ -3,17 +3,22 @@ more, by signature trees, and the groups that the links form.
 
 1. One pass hashes every document's set; equal sets share an id, so copies cost
    nothing further.  The same pass notes shingles that are frequent within a task.
-2. Two sets that link share one of the first n - ceil(0.75 n) + 1 shingles of either,
-   in any fixed order; here frequent shingles come last, so that common passages
-   seldom bring sets together.  A second pass deals those shingles out, packed, and
-   finds the sets that meet; what meets forms candidate clusters.
-3. Within a cluster a signature tree is built: nodes hold OR-combined bitmaps of the
+2. A set that links with another shares three quarters of its shingles or more.  So of
+   any n - ceil(0.75 n) + l of them at least l stand in some other set; a second pass
+   deals those shingles out, packed, with l = 1 + n / 20, and sets below that are done.
+   This drops nearly all that only have a passage in common, and no set with a link.
+3. The sets that remain are fetched once.  Two that link share one of the first
+   n - ceil(0.75 n) + 1 shingles of either, in any fixed order; frequent shingles come
+   last, so that common passages seldom bring sets together.  Sets that meet form
+   candidate clusters, unless sketches of 64 minima agree in fewer than ``AGREE``
+   places, which a pair at the threshold does with a probability below 1e-17.
+4. Within a cluster a signature tree is built: nodes hold OR-combined bitmaps of the
    shingles, the range of set sizes and the most bits lost to collisions.  Two nodes
    are taken further only if the overlap that their bitmaps allow reaches what their
    sizes need, and if they are not one group already; single pairs are checked on
    the shingles themselves.  A cluster of more than ``CLUSTER_SETS`` sets is cut into
    parts and each pair of parts is a group of its own, so no link is lost.
-4. Links, and what they connect, by large and small stars.
+5. Links, and what they connect, by large and small stars.
 
 Which shingles count as frequent changes the work only, never the links.  Equality of
 sets and shingles is that of 64-bit hashes.
@@ -44,6 +49,10 @@ NOTE_FROM = 4             # sets among those that hold a frequent shingle
 FREQUENT = 100_000        # shingles in the list of frequent ones, at most
 VERY_FREQUENT = 4096      # sets from which a shingle's sets are not gathered in one place
 PACK = 1 << 19            # shingles that a task packs before it deals them out
+MORE = 20                 # 1 / MORE of a set's shingles are dealt beyond the least number
+BINS = 64                 # minima in a sketch, four bits of each
+AGREE = 18                # places that sketches of linked sets agree in
+TOGETHER = 1024           # sets with a shingle in common that are held against each other
 CLUSTER_SETS = 2048
 CLUSTER_SHINGLES = 1 << 22
 BITS = 4096
@@ -107,53 +116,118 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield notes()
 
 
-def _prefixes(frequent: np.ndarray, level: np.ndarray, buckets: int):
-    """Deals out the shingles that linked sets must share: packed by bucket, or, if very
-    frequent, as rows of their own."""
-    names = ["bucket", "shingles", "ids", "very"]
-
-    def packed(shingles: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-        very = np.zeros(len(shingles), np.int64)
-        if len(frequent):
-            at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-            very[frequent[at] == shingles] = level[at][frequent[at] == shingles]
-        hot = very >= VERY_FREQUENT
-        to = np.where(hot, ids.view(np.int64) % buckets, (mix(shingles) % np.uint64(buckets)).astype(np.int64))
-        to = np.where(hot, to + buckets, to)
-        order = np.argsort(to, kind="stable")
-        to, shingles, ids = to[order], shingles[order], ids[order]
-        cut = np.flatnonzero(np.diff(to, prepend=-1))
-        rows = [(int(to[a]), shingles[a:b].tobytes(), ids[a:b].tobytes()) for a, b in zip(cut, [*cut[1:], len(to)])]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                                           pa.array([r[2] for r in rows], pa.binary()), pa.array([r[0] >= buckets for r in rows], pa.bool_())], names=names)
+PACKED = "bucket bigint, shingles binary, ids binary, sketches binary, very boolean"
+NAMES = ["bucket", "shingles", "ids", "sketches", "very"]
 
+
+def _level_of(s: np.ndarray, frequent: np.ndarray, level: np.ndarray) -> np.ndarray:
+    if not len(frequent):
+        return np.zeros(len(s), np.int64)
+    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+    return np.where(frequent[at] == s, level[at], 0)
+
+
+def _first(s: np.ndarray, n: int, rank: np.ndarray) -> np.ndarray:
+    """Places of the first n shingles: infrequent ones first, then by hash."""
+    return np.lexsort((s, rank))[:n] if rank.any() else np.arange(n)
+
+
+def _pack(to: np.ndarray, shingles: np.ndarray, ids: np.ndarray, sketches: np.ndarray | None, very: np.ndarray) -> pa.RecordBatch:
+    order = np.argsort(to, kind="stable")
+    to, shingles, ids = to[order], shingles[order], ids[order]
+    cut = np.flatnonzero(np.diff(to, prepend=to[0] - 1)) if len(to) else np.zeros(0, np.int64)
+    spans = list(zip(cut.tolist(), [*cut[1:].tolist(), len(to)]))
+    sk = None if sketches is None else sketches[order]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([int(to[a]) for a, _ in spans], pa.int64()), pa.array([shingles[a:b].tobytes() for a, b in spans], pa.binary()),
+         pa.array([ids[a:b].tobytes() for a, b in spans], pa.binary()),
+         pa.array([None if sk is None else sk[a:b].tobytes() for a, b in spans], pa.binary()),
+         pa.array([bool(very[order[a]]) for a, _ in spans], pa.bool_())], names=NAMES)
+
+
+def _sharing(frequent: np.ndarray, level: np.ndarray, buckets: int):
+    """Deals out enough shingles of each set to tell how many others hold.  Frequent ones
+    are known to be shared: bucket -1 has their sets, once for each."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed() -> pa.RecordBatch:
+            t, i = np.concatenate(shingles), np.concatenate(ids)
+            known = _level_of(t, frequent, level) > 0
+            to = np.where(known, -1, (mix(t) % np.uint64(buckets)).astype(np.int64))
+            return _pack(to, t, i, None, np.zeros(len(t), bool))
+
         seen, shingles, ids, size = set(), [], [], 0
         for _, sets in _texts(batches):
             for s in sets:
                 if not len(s) or (i := _set_id(s)) in seen:
                     continue
                 seen.add(i)
-                n = len(s) - -(-NUM * len(s) // DEN) + 1
-                rank = np.zeros(len(s), np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
-                    rank = np.where(frequent[at] == s, level[at], 0)
-                first = s[:n] if not rank.any() else s[np.lexsort((s, rank))[:n]]
-                shingles.append(first)
+                n = min(len(s), len(s) - -(-NUM * len(s) // DEN) + 1 + len(s) // MORE)
+                shingles.append(s[:n])
                 ids.append(np.full(n, i, np.int64))
                 size += n
             if size > PACK:
-                yield packed(np.concatenate(shingles), np.concatenate(ids))
+                yield packed()
                 shingles, ids, size = [], [], 0
                 if len(seen) > 1_000_000:
                     seen = set()
         if size:
-            yield packed(np.concatenate(shingles), np.concatenate(ids))
+            yield packed()
+    return step
+
+
+def _shared(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of one bucket: how many of each set's shingles stand in another set too."""
+    shingles = np.frombuffer(b"".join(rows["shingles"]), np.uint64)
+    ids = np.frombuffer(b"".join(rows["ids"]), np.int64)
+    order = np.lexsort((ids, shingles))
+    shingles, ids = shingles[order], ids[order]
+    once = np.append(True, (shingles[1:] != shingles[:-1]) | (ids[1:] != ids[:-1]))
+    shingles, ids = shingles[once], ids[once]
+    same = shingles[1:] == shingles[:-1]
+    u, n = np.unique(ids[np.append(same, False) | np.append(False, same)], return_counts=True)
+    return pd.DataFrame({"u": u, "n": n})
+
+
+def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for raw in b.column(0).to_pylist():
+            u, n = np.unique(np.frombuffer(raw, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n)], names=["u", "n"])
+
+
+def _minima(s: np.ndarray) -> np.ndarray:
+    """Four bits of the least hash in each of BINS parts of the hash range, packed."""
+    h = mix(s ^ np.uint64(0x5851F42D4C957F2D))
+    low = np.zeros(BINS, np.uint64)
+    order = np.argsort(h)[::-1]
+    low[(h[order] >> np.uint64(58)).astype(np.int64)] = h[order]       # the least is written last
+    bits = (low & np.uint64(15)).astype(np.uint8)
+    return bits[::2] | bits[1::2] << 4
+
+
+def _dealing(frequent: np.ndarray, level: np.ndarray, buckets: int):
+    """Deals out the shingles that linked sets must share, with the sets' sketches."""
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, SLICE_ROWS):
+                part = b.slice(at, SLICE_ROWS)
+                shingles, ids, sketches, very = [], [], [], []
+                for i, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    s = np.frombuffer(raw, np.uint64)
+                    rank = _level_of(s, frequent, level)
+                    at_ = _first(s, len(s) - -(-NUM * len(s) // DEN) + 1, rank)
+                    shingles.append(s[at_])
+                    very.append(rank[at_] >= VERY_FREQUENT)
+                    ids.append(np.full(len(at_), i, np.int64))
+                    sketches.append(np.tile(_minima(s), (len(at_), 1)))
+                if ids:
+                    t, i, hot = np.concatenate(shingles), np.concatenate(ids), np.concatenate(very)
+                    to = np.where(hot, buckets + i % buckets, (mix(t) % np.uint64(buckets)).astype(np.int64))
+                    yield _pack(to, t, i, np.concatenate(sketches), hot)
     return step
 
 
-def _roots(n: int, links: Iterator[tuple[int, int]] | zip) -> np.ndarray:
+def _roots(n: int, links: list[tuple[int, int]]) -> np.ndarray:
     """Union by least number: each one's root."""
     parent = list(range(n))
 
@@ -171,16 +245,36 @@ def _roots(n: int, links: Iterator[tuple[int, int]] | zip) -> np.ndarray:
 
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
-    """Which sets of a bucket hold a shingle in common: each set but the first of what
-    meets, with that first one."""
+    """Which sets of a bucket hold a shingle in common and have sketches that allow a
+    link: each but the first of what comes together, with that first one."""
     shingles = np.frombuffer(b"".join(rows["shingles"]), np.uint64)
     ids = np.frombuffer(b"".join(rows["ids"]), np.int64)
+    sketches = np.frombuffer(b"".join(rows["sketches"]), np.uint8).reshape(-1, BINS // 2)
     order = np.lexsort((ids, shingles))
-    shingles, ids = shingles[order], ids[order]
-    same = (shingles[1:] == shingles[:-1]) & (ids[1:] != ids[:-1])
-    nodes, at = np.unique(np.concatenate([ids[:-1][same], ids[1:][same]]), return_inverse=True)
-    half = len(at) // 2
-    root = _roots(len(nodes), zip(at[:half].tolist(), at[half:].tolist()))
+    shingles, ids, sketches = shingles[order], ids[order], sketches[order]
+    opens = np.flatnonzero(np.append(True, shingles[1:] != shingles[:-1]))
+    size = np.diff(opens, append=len(ids))
+    nodes, back = np.unique(ids, return_inverse=True)
+
+    def agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        x = sketches[a] ^ sketches[b]
+        return ((x & 15) == 0).sum(axis=-1) + ((x >> 4) == 0).sum(axis=-1) >= AGREE
+
+    pairs = opens[size == 2]
+    pairs = pairs[agree(pairs, pairs + 1)]
+    links, done = list(zip(back[pairs].tolist(), back[pairs + 1].tolist())), set()
+    for a, n in zip(opens[size > 2].tolist(), size[size > 2].tolist()):
+        members = back[a:a + n]
+        if (key := members.tobytes()) in done:
+            continue
+        done.add(key)
+        if n > TOGETHER:
+            links += [(int(m), int(members[0])) for m in members[1:]]
+            continue
+        for k in range(n - 1):
+            ok = agree(np.array([a + k]), np.arange(a + k + 1, a + n))
+            links += [(int(members[k]), int(m)) for m in members[k + 1:][ok]]
+    root = _roots(len(nodes), links)
     other = root != np.arange(len(nodes))
     return pd.DataFrame({"u": nodes[other], "v": nodes[root[other]]})
 
@@ -318,8 +412,17 @@ def labelled(docs: DataFrame) -> DataFrame:
     list_ = spark.sparkContext.broadcast((frequent[order], level[order]))
 
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = stored(keyed.select("text").mapInArrow(lambda it: _prefixes(*list_.value, buckets)(it),
-                                                   "bucket bigint, shingles binary, ids binary, very boolean"), "prefixes")
+    dealt = stored(keyed.select("text").mapInArrow(lambda it: _sharing(*list_.value, buckets)(it), PACKED), "shares")
+    shares = (dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(_shared, "u bigint, n bigint")
+              .unionAll(dealt.where("bucket < 0").select("ids").mapInArrow(_known, "u bigint, n bigint"))
+              .groupBy("u").agg(F.sum("n").alias("_shares")))
+    one = stored(sets.where("n > 0").groupBy(F.col("id").alias("u")).agg(F.min(F.struct("_k1", "_k2")).alias("_k"), F.first("n").alias("n"))
+                 .join(shares, "u").where(F.col("_shares") > F.floor(F.col("n") / MORE)).select("u", "n", "_k._k1", "_k._k2"), "sharing")
+    # Each remaining set once, from one document.
+    kept = stored(keyed.join(one.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("text")
+                  .mapInArrow(_sets_of, "u bigint, shingles binary"), "sets")
+
+    dealt = stored(kept.mapInArrow(lambda it: _dealing(*list_.value, buckets)(it), PACKED), "prefixes")
     met = dealt.where("not very").groupBy("bucket").applyInPandas(_meet, "u bigint, v bigint")
     very = dealt.where("very").groupBy("bucket").applyInPandas(_first_of, "shingle bigint, u bigint")
     first = very.groupBy("shingle").agg(F.min("u").alias("v"))
@@ -327,23 +430,17 @@ def labelled(docs: DataFrame) -> DataFrame:
     clusters = components(met)
     members = clusters.select("u", F.col("v").alias("cluster")).unionAll(
         clusters.select(F.col("v").alias("u"), F.col("v").alias("cluster")).distinct())
-
-    # The sets of the clusters' members, from one document of each.
-    one = (sets.where("n > 0").groupBy(F.col("id").alias("u")).agg(F.min(F.struct("_k1", "_k2")).alias("_k"), F.first("n").alias("n"))
-           .join(members, "u").select("u", "cluster", "n", "_k._k1", "_k._k2"))
-    one = stored(one, "members")
+    one = stored(members.join(one.select("u", "n"), "u"), "members")
     size = one.groupBy("cluster").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_n")).select(
         "cluster", F.greatest(F.ceil(F.col("_m") / CLUSTER_SETS), F.ceil(F.col("_n") / CLUSTER_SHINGLES)).cast("int").alias("parts"))
     size = stored(size, "clusters")
-    shingles = (keyed.join(one.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").select("text")
-                .mapInArrow(_sets_of, "u bigint, shingles binary").dropDuplicates(["u"]))
     part = F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     tasks = (one.select("u", "cluster").join(size, "cluster").withColumn("part", part).withColumn("_other", other)
              .withColumns({"a": F.least("part", "_other"), "b": F.greatest("part", "_other")})
              .withColumn("task", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(buckets)))
                          .otherwise(F.xxhash64("cluster", "a", "b"))))
-    links = (tasks.join(shingles, "u").select("task", "cluster", "a", "b", "part", "u", "shingles")
+    links = (tasks.join(kept, "u").select("task", "cluster", "a", "b", "part", "u", "shingles")
              .groupBy("task").applyInPandas(_verify, "u bigint, v bigint"))
     groups = components(links).select(F.col("u").alias("id"), F.col("v").alias("_root"))
     # Both sides are read from storage, so a set that a third of all rows share can be split.
