@@ -44,7 +44,8 @@ def _postback_cols(dialect: str) -> list[str]:
     return [
         f"concat('r', cast(event_id {div} 4 as {s})) AS req_id",
         "CASE event_type WHEN 'view' THEN 'i' WHEN 'click' THEN 'c' "
-        "WHEN 'purchase' THEN 'v_complete' WHEN 'signup' THEN 'v_firstQ' "
+        "WHEN 'purchase' THEN 'v_complete' WHEN 'signup' THEN CASE cast(event_id % 3 as int) WHEN 0 THEN 'v_firstQ' "
+        "WHEN 1 THEN 'v_mid' ELSE 'v_thirdQ' END "
         "WHEN 'error' THEN 'e_i' END AS log_type",
         "CASE WHEN event_type IN ('purchase', 'view') THEN '1' ELSE '0' END AS is_cpvc",
         f"CASE WHEN event_id % 97 = 0 AND event_type NOT IN ('purchase', 'view') THEN 'n/a' ELSE {fmt} END AS price",
