@@ -25,18 +25,25 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         linked = linked.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         linked = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v")))
-    return linked.where(F.col("u") != F.col("v")).distinct()
+    linked = linked.where(F.col("u") != F.col("v"))
+    return linked if large else linked.distinct()
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node has one edge up to a centre that has none itself."""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    return (ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+            .where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty())
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(u, v): every node that has an edge, but the least of each component, with that
-    least node.  Large and small stars alternate until nothing changes; each round's
-    edges are stored in the shared folder."""
-    edges = stored(edges.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "edges")
-    known = None
-    while True:
+    least node.  Large and small stars alternate until each component is a star (edges
+    always point to the smaller node, so its centre is the least); each round's edges are
+    stored in the shared folder."""
+    edges = stored(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                   .where(F.col("u") != F.col("v")).distinct(), "edges")
+    while not _are_stars(edges):
         edges = stored(_star(_star(edges, True), False), "edges")
-        now = tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        if now == known:
-            return edges
-        known = now
+    return edges

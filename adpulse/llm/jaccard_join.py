@@ -38,6 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import broadcast_if_bounded
 from .common import SLICE_ROWS, stored, with_row_key
 from .graph import components
 from .hashing import join_texts, mix, prefix_sums, range_hashes, window_hashes, word_bounds
@@ -147,12 +148,13 @@ def _pack(to: np.ndarray, shingles: np.ndarray, ids: np.ndarray, sketches: np.nd
 
 def _sharing(frequent: np.ndarray, level: np.ndarray, buckets: int):
     """Deals out enough shingles of each set to tell how many others hold.  Frequent ones
-    are known to be shared: bucket -1 has their sets, once for each."""
+    are known to be shared: buckets below 0 have their sets, once for each."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed() -> pa.RecordBatch:
             t, i = np.concatenate(shingles), np.concatenate(ids)
             known = _level_of(t, frequent, level) > 0
-            to = np.where(known, -1, (mix(t) % np.uint64(buckets)).astype(np.int64))
+            to = (mix(t) % np.uint64(buckets)).astype(np.int64)
+            to = np.where(known, -1 - to, to)
             return _pack(to, t, i, None, np.zeros(len(t), bool))
 
         seen, shingles, ids, size = set(), [], [], 0
@@ -177,6 +179,9 @@ def _sharing(frequent: np.ndarray, level: np.ndarray, buckets: int):
 
 def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: how many of each set's shingles stand in another set too."""
+    if rows["bucket"].iloc[0] < 0:
+        u, n = np.unique(np.frombuffer(b"".join(rows["ids"]), np.int64), return_counts=True)
+        return pd.DataFrame({"u": u, "n": n})
     shingles = np.frombuffer(b"".join(rows["shingles"]), np.uint64)
     ids = np.frombuffer(b"".join(rows["ids"]), np.int64)
     order = np.lexsort((ids, shingles))
@@ -188,13 +193,6 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"u": u, "n": n})
 
 
-def _known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for raw in b.column(0).to_pylist():
-            u, n = np.unique(np.frombuffer(raw, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(n)], names=["u", "n"])
-
-
 def _minima(s: np.ndarray) -> np.ndarray:
     """Four bits of the least hash in each of BINS parts of the hash range, packed."""
     h = mix(s ^ np.uint64(0x5851F42D4C957F2D))
@@ -381,14 +379,19 @@ def _links(sets: list[np.ndarray], parts: np.ndarray | None) -> Iterator[tuple[i
 
 
 def _verify(rows: pd.DataFrame) -> pd.DataFrame:
-    """The links within each cluster, or between two parts of one."""
+    """Of a whole cluster, each linked set but the least of its group, with that least
+    one; of two parts of a cluster, the links between them."""
     out = []
     for (_, a, b), part in rows.groupby(["cluster", "a", "b"], sort=True):
         part = part.sort_values("u")
-        ids = part["u"].to_numpy()
+        ids, whole = part["u"].to_numpy(), int(part["parts"].iloc[0]) == 1
         sets = [np.frombuffer(s, np.uint64) for s in part["shingles"]]
-        out += [(ids[p], ids[q]) for p, q in _links(sets, None if a == b else (part["part"] == b).to_numpy().astype(int))]
-    return pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+        links = list(_links(sets, None if a == b else (part["part"] == b).to_numpy().astype(int)))
+        if whole:
+            links = [(p, r) for p, r in enumerate(_roots(len(ids), links)) if p != r]
+        out += [(ids[p], ids[q], whole) for p, q in links]
+    return pd.DataFrame({"u": np.array([o[0] for o in out], np.int64), "v": np.array([o[1] for o in out], np.int64),
+                         "whole": np.array([o[2] for o in out], bool)})
 
 
 def _sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,15 +414,14 @@ def labelled(docs: DataFrame) -> DataFrame:
     order = np.argsort(frequent)
     list_ = spark.sparkContext.broadcast((frequent[order], level[order]))
 
-    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = stored(keyed.select("text").mapInArrow(lambda it: _sharing(*list_.value, buckets)(it), PACKED), "shares")
-    shares = (dealt.where("bucket >= 0").groupBy("bucket").applyInPandas(_shared, "u bigint, n bigint")
-              .unionAll(dealt.where("bucket < 0").select("ids").mapInArrow(_known, "u bigint, n bigint"))
-              .groupBy("u").agg(F.sum("n").alias("_shares")))
+    buckets = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    shares = (keyed.select("text").mapInArrow(lambda it: _sharing(*list_.value, buckets)(it), PACKED)
+              .groupBy("bucket").applyInPandas(_shared, "u bigint, n bigint").groupBy("u").agg(F.sum("n").alias("_shares")))
     one = stored(sets.where("n > 0").groupBy(F.col("id").alias("u")).agg(F.min(F.struct("_k1", "_k2")).alias("_k"), F.first("n").alias("n"))
                  .join(shares, "u").where(F.col("_shares") > F.floor(F.col("n") / MORE)).select("u", "n", "_k._k1", "_k._k2"), "sharing")
-    # Each remaining set once, from one document.
-    kept = stored(keyed.join(one.select("_k1", "_k2"), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("text")
+    # Each remaining set once, from one document; the keys are broadcast while they are few.
+    wanted = broadcast_if_bounded(one.select("_k1", "_k2"))
+    kept = stored(keyed.join(wanted, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("text")
                   .mapInArrow(_sets_of, "u bigint, shingles binary"), "sets")
 
     dealt = stored(kept.mapInArrow(lambda it: _dealing(*list_.value, buckets)(it), PACKED), "prefixes")
@@ -440,9 +442,12 @@ def labelled(docs: DataFrame) -> DataFrame:
              .withColumns({"a": F.least("part", "_other"), "b": F.greatest("part", "_other")})
              .withColumn("task", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(buckets)))
                          .otherwise(F.xxhash64("cluster", "a", "b"))))
-    links = (tasks.join(kept, "u").select("task", "cluster", "a", "b", "part", "u", "shingles")
-             .groupBy("task").applyInPandas(_verify, "u bigint, v bigint"))
-    groups = components(links).select(F.col("u").alias("id"), F.col("v").alias("_root"))
+    links = stored(tasks.join(kept, "u").select("task", "cluster", "parts", "a", "b", "part", "u", "shingles")
+                   .groupBy("task").applyInPandas(_verify, "u bigint, v bigint, whole boolean"), "links")
+    groups = links.where("whole").select(F.col("u").alias("id"), F.col("v").alias("_root"))
+    cut = links.where("not whole").select("u", "v")
+    if not cut.isEmpty():                # clusters that were cut into parts
+        groups = groups.unionAll(components(cut).select("u", "v"))
     # Both sides are read from storage, so a set that a third of all rows share can be split.
     return (sets.join(groups, "id", "left")
             .select("_k1", "_k2", "doc_id", F.col("n").alias("n_shingles"),
