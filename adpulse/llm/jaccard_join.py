@@ -244,7 +244,10 @@ def _roots(n: int, links: list[tuple[int, int]]) -> np.ndarray:
 
 def _meet(rows: pd.DataFrame) -> pd.DataFrame:
     """Which sets of a bucket hold a shingle in common and have sketches that allow a
-    link: each but the first of what comes together, with that first one."""
+    link: each but the first of what comes together, with that first one.  Of a part of a
+    very frequent shingle's sets only the pairs of shingle and set."""
+    if rows["very"].iloc[0]:
+        return _first_of(rows)
     shingles = np.frombuffer(b"".join(rows["shingles"]), np.uint64)
     ids = np.frombuffer(b"".join(rows["ids"]), np.int64)
     sketches = np.frombuffer(b"".join(rows["sketches"]), np.uint8).reshape(-1, BINS // 2)
@@ -274,14 +277,14 @@ def _meet(rows: pd.DataFrame) -> pd.DataFrame:
             links += [(int(members[k]), int(m)) for m in members[k + 1:][ok]]
     root = _roots(len(nodes), links)
     other = root != np.arange(len(nodes))
-    return pd.DataFrame({"u": nodes[other], "v": nodes[root[other]]})
+    return pd.DataFrame({"u": nodes[other], "v": nodes[root[other]], "shingle": pd.array([None] * int(other.sum()), "Int64")})
 
 
 def _first_of(rows: pd.DataFrame) -> pd.DataFrame:
     """Of very frequent shingles: the distinct pairs of shingle and set in a part of the sets."""
     pair = np.unique(np.stack([np.frombuffer(b"".join(rows["shingles"]), np.int64),
                                np.frombuffer(b"".join(rows["ids"]), np.int64)]), axis=1)
-    return pd.DataFrame({"shingle": pair[0], "u": pair[1]})
+    return pd.DataFrame({"u": pair[1], "v": pd.array([None] * len(pair[1]), "Int64"), "shingle": pair[0]})
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
@@ -424,11 +427,12 @@ def labelled(docs: DataFrame) -> DataFrame:
     kept = stored(keyed.join(wanted, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("text")
                   .mapInArrow(_sets_of, "u bigint, shingles binary"), "sets")
 
-    dealt = stored(kept.mapInArrow(lambda it: _dealing(*list_.value, buckets)(it), PACKED), "prefixes")
-    met = dealt.where("not very").groupBy("bucket").applyInPandas(_meet, "u bigint, v bigint")
-    very = dealt.where("very").groupBy("bucket").applyInPandas(_first_of, "shingle bigint, u bigint")
-    first = very.groupBy("shingle").agg(F.min("u").alias("v"))
-    met = met.unionAll(very.join(first, "shingle").select("u", "v"))
+    met = stored(kept.mapInArrow(lambda it: _dealing(*list_.value, buckets)(it), PACKED)
+                 .groupBy("bucket").applyInPandas(_meet, "u bigint, v bigint, shingle bigint"), "met")
+    very = met.where(F.col("v").isNull())
+    first = very.groupBy("shingle").agg(F.min("u").alias("_least"))
+    met = met.where(F.col("v").isNotNull()).select("u", "v").unionAll(
+        very.join(first, "shingle").select("u", F.col("_least").alias("v")))
     clusters = components(met)
     members = clusters.select("u", F.col("v").alias("cluster")).unionAll(
         clusters.select(F.col("v").alias("u"), F.col("v").alias("cluster")).distinct())
