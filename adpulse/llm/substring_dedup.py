@@ -43,7 +43,8 @@ GRAM = 24
 SEGMENT = 1 << 20        # windows of a long text that are hashed together
 LONGEST_RUN = 4096       # windows to a context; longer runs are cut
 PACK = 1 << 20           # contexts that a task packs before it deals them out
-MANY = 64                # different contexts of an anchor in a pack, from which it is split
+MANY = 1024              # different contexts of an anchor in a pack, from which it is split
+SPLIT = 2048             # the same over all packs
 BATCH = 1 << 21          # bytes that are sorted together
 LAST_ID = (1 << 63) - 1
 
@@ -110,7 +111,7 @@ def _cover(notes: np.ndarray) -> bytes:
 
 
 def _noting(buckets: int):
-    """Packed notes of all contexts by bucket; bucket -1: what is covered already."""
+    """Packed notes of all contexts by bucket; buckets below 0: what is covered already."""
     def deal(notes: np.ndarray, anchors: np.ndarray) -> pa.RecordBatch:
         notes["h"] = (anchors >> np.uint64(32)).astype(np.uint32)
         to = (anchors % np.uint64(buckets)).astype(np.int64)
@@ -119,7 +120,7 @@ def _noting(buckets: int):
         once = np.append(True, np.any([notes[k][1:] != notes[k][:-1] for k in ("c", "doc", "t", "a")], axis=0))
         notes, anchors, to = notes[once], anchors[once], to[once]      # rows of one document count once
         again = np.append(False, notes["c"][1:] == notes["c"][:-1])
-        rows = [(-1, _cover(notes[again]))] if again.any() else []
+        rows = [(-1 - int(notes["c"][0] % np.uint64(buckets)), _cover(notes[again]))] if again.any() else []
         notes, anchors, to = notes[~again], anchors[~again], to[~again]
         _, at, back, many = np.unique(anchors, return_index=True, return_inverse=True, return_counts=True)
         split = many[back] >= MANY
@@ -161,11 +162,14 @@ def _noting(buckets: int):
 def _sort_out(rows: pd.DataFrame) -> pd.DataFrame:
     """Of one bucket: what is covered (edge 0), and the first of each context that must be
     looked into (1; 2 where its anchor is split)."""
+    if rows["bucket"].iloc[0] < 0:
+        notes = np.frombuffer(b"".join(rows["packed"]), COVER)
+        return pd.DataFrame({**{k: notes[k].astype(np.int64) for k in COVER.names}, "h": 0, "edge": 0})
     notes = np.frombuffer(b"".join(rows["packed"]), NOTE)
     marked = np.unique(notes["h"][notes["n"] == 0])
     first, again = _later(notes[notes["n"] > 0])
     _, back, many = np.unique(first["h"], return_inverse=True, return_counts=True)
-    split = (first["only"] > 0) | np.isin(first["h"], marked)
+    split = (first["only"] > 0) | np.isin(first["h"], marked) | (many[back] > SPLIT)
     edge = (many[back] > 1) | (first["twice"] > 0) | split
     out = []
     for part, kind in ((again, np.zeros(len(again), np.int32)), (first[edge], 1 + split[edge].astype(np.int32))):
@@ -289,13 +293,6 @@ def _expand(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame({"doc": [], "t": [], "a": [], "n": []}, dtype="int64")
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for raw in b.column(0).to_pylist():
-            notes = np.frombuffer(raw, COVER)
-            yield pa.RecordBatch.from_arrays([pa.array(notes[n].astype(np.int64)) for n in COVER.names], names=list(COVER.names))
-
-
 def _runs(a: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the bytes that windows starting at a..a+n-1 cover."""
     order = np.argsort(a, kind="stable")
@@ -329,8 +326,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keyed = with_row_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
         "doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.col("_k2").bitwiseAND(F.lit(0xFFFFFFFF)).alias("t"),
         F.col("text").cast("binary").alias("raw"))
-    noted = stored(keyed.select("doc", "t", "raw").mapInArrow(_noting(buckets), "bucket bigint, packed binary"), "notes")
-    sorted_ = stored(noted.where("bucket >= 0").groupBy("bucket").applyInPandas(
+    noted = keyed.select("doc", "t", "raw").mapInArrow(_noting(buckets), "bucket bigint, packed binary")
+    sorted_ = stored(noted.groupBy("bucket").applyInPandas(
         _sort_out, "doc bigint, t bigint, a bigint, n bigint, h bigint, edge int"), "contexts")
     edges = (sorted_.where("edge > 0").distinct().groupBy("doc", "t")
              .agg(F.collect_list(F.struct("h", "a", "n", "edge")).alias("edges")))
@@ -338,9 +335,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
            .select("doc", "t", "raw", "edges")
            .mapInArrow(_cutting(buckets), "bucket bigint, h bigint, doc bigint, t bigint, a bigint, raw binary"))
     found = stored(cut.groupBy("bucket").applyInPandas(_expand, "doc bigint, t bigint, a bigint, n bigint"), "windows")
-    cover = "doc bigint, t bigint, a bigint, n bigint"
     spans = (sorted_.where("edge = 0").select("doc", "t", "a", "n").unionAll(found)
-             .unionAll(noted.where("bucket < 0").select("packed").mapInArrow(_unpack, cover))
              .groupBy("doc", "t").agg(F.collect_list("a").alias("a"), F.collect_list("n").alias("n")))
     return (keyed.join(spans, ["doc", "t"], "left").select("doc_id", "raw", "a", "n")
             .mapInArrow(_cut_out, "doc_id bigint, kept binary, n_bytes bigint, n_removed bigint, n_spans bigint"))

@@ -84,7 +84,7 @@ def brute_repeats(rows, n=100):
     return out
 
 
-@pytest.mark.parametrize("many", [64, 2])
+@pytest.mark.parametrize("many", [1024, 2])
 def test_substring_dedup_matches_brute_force(spark, monkeypatch, many):
     monkeypatch.setattr(substring_dedup, "MANY", many)
     rnd = random.Random(many)
