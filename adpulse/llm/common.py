@@ -57,6 +57,16 @@ def with_row_key(docs: DataFrame) -> DataFrame:
     })
 
 
+def sampled(df: DataFrame, key: F.Column, rows: int) -> DataFrame:
+    """About ``rows`` rows of ``df``, or all if there are fewer: those whose hash of
+    ``key`` is below a threshold taken from the row count.  The same rows each time, from
+    every part of the table, and no more leave any task than are kept."""
+    total = df.count()
+    if total <= rows:
+        return df
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * rows / total))
+
+
 def size_in_words(text: F.Column) -> F.Column:
     """Number of words (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, columns, map_texts
+from .common import SLICE_ROWS, columns, map_texts, sampled
 from .hashing import IS_WORD_BYTE, join_texts, mix, window_hashes, word_bounds, range_hashes, prefix_sums
 
 TRAIN_ROWS = 3000
@@ -171,7 +171,8 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict | None:
     """The fitted model, or None without labelled rows of both classes.  The model
     has a fixed size (2**16 weights), whatever the input."""
-    chosen = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
+    chosen = (sampled(usable, F.col("doc_id"), 2 * rows)
               .groupBy("doc_id").agg(F.max("quality").alias("good"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     texts = (columns(docs, "doc_id", "text").where(F.col("text").isNotNull())

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns, map_texts
+from .common import columns, map_texts, sampled
 
 SAMPLE_ROWS = 2000        # texts that the frequent table is taken from
 TABLE_ENTRIES = 65_536    # its size
@@ -189,7 +189,9 @@ def frequent_lengths(docs: DataFrame, path: str, rows: int = SAMPLE_ROWS, entrie
         known = counter.learn(set(top))
         return pd.DataFrame({"segment": top, "n": [known[s] for s in top]})
 
-    sample = (docs.where(F.length("text") > 0).select("text").orderBy(F.xxhash64("text")).limit(rows))
+    # Twice the rows are drawn by hash, so that the limit is met whatever the draw.
+    sample = (sampled(docs.where(F.length("text") > 0).select("text"), F.col("text"), 2 * rows)
+              .orderBy(F.xxhash64("text")).limit(rows))
     found = sample.groupBy(F.lit("all").alias("_all")).applyInPandas(most, "segment string, n int").collect()
     return {r.segment: r.n for r in found}
 
