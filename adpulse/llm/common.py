@@ -67,6 +67,19 @@ def sampled(df: DataFrame, key: F.Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * rows / total))
 
 
+def drawn_by_group(df: DataFrame, group: str, key: F.Column, rows: F.Column) -> DataFrame:
+    """The different rows of ``df`` with the smallest hashes of ``key`` in each group, about
+    twice ``rows`` of them or all if there are fewer, with the hash as ``_h``.  ``rows`` may
+    use ``_n``, about how many different hashes the group has; a threshold of the group's
+    own follows from it, so a rare group gives as many rows as a frequent one, and no more
+    leave any task than are drawn."""
+    df = df.withColumn("_h", F.xxhash64(key))
+    counts = df.groupBy(group).agg(F.approx_count_distinct("_h").alias("_n"))
+    limits = counts.select(F.col(group).alias("_g"), (F.lit(2.0) * rows / F.col("_n") * 2.0 ** 64 - 2.0 ** 63).alias("_limit"))
+    return (df.join(F.broadcast(limits), F.col(group) == F.col("_g"))      # one row a group
+            .where(F.col("_h").cast("double") <= F.col("_limit")).drop("_g", "_limit").distinct())
+
+
 def size_in_words(text: F.Column) -> F.Column:
     """Number of words (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

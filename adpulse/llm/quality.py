@@ -1,9 +1,10 @@
 """Quality rules: fixed base rules, and a calibrated logistic regression over
 hashed word and character n-grams.
 
-The model is fitted on at most ``TRAIN_ROWS`` labelled rows (a documented bound;
-the rows with the smallest hashes of doc_id, so the choice does not depend on
-file order), in one task.  Everything else - counts, rules, scores - covers every
+The model is fitted on at most ``TRAIN_ROWS`` labelled rows (a documented bound),
+in one task: of each class the rows with the smallest hashes of doc_id, so the
+choice does not depend on file order.  Each class has its share of them, but a rare
+one up to a tenth of all, so that it is learned at every size.  Everything else - counts, rules, scores - covers every
 row and every whole text, in one map-only pass over Arrow batches.
 
 Weights are rounded to integers before scoring, so a text's score is an exact sum
@@ -20,13 +21,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE_ROWS, columns, map_texts, sampled
+from .common import SLICE_ROWS, columns, drawn_by_group, map_texts
 from .hashing import IS_WORD_BYTE, join_texts, mix, window_hashes, word_bounds, range_hashes, prefix_sums
 
 TRAIN_ROWS = 3000
+RARE_SHARE = 0.1        # of the training rows, that a class may always have
 HOLD_OUT = 5            # every fifth training row fits the calibration instead
 BITS = 16
 STEPS = 120
@@ -171,10 +173,18 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict | None:
     """The fitted model, or None without labelled rows of both classes.  The model
     has a fixed size (2**16 weights), whatever the input."""
-    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality")
-    chosen = (sampled(usable, F.col("doc_id"), 2 * rows)
-              .groupBy("doc_id").agg(F.max("quality").alias("good"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    usable = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+              .groupBy("doc_id").agg(F.max("quality").alias("good")))
+    size = {r.good: r.n for r in usable.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}   # two rows at most
+    if len(size) < 2:
+        return None
+    rare = min(size, key=size.get)
+    quota = {rare: min(size[rare], max(round(rows * size[rare] / sum(size.values())), int(RARE_SHARE * rows)))}
+    quota[1 - rare] = min(size[1 - rare], rows - quota[rare])
+    allowed = F.when(F.col("good") == rare, quota[rare]).otherwise(quota[1 - rare])
+    chosen = (drawn_by_group(usable, "good", F.col("doc_id"), allowed)
+              .withColumn("_r", F.row_number().over(Window.partitionBy("good").orderBy("_h", "doc_id")))
+              .where(F.col("_r") <= allowed).select("doc_id", "good"))
     texts = (columns(docs, "doc_id", "text").where(F.col("text").isNotNull())
              .join(F.broadcast(chosen), "doc_id"))  # at most ``rows`` rows
     # Repeated ids could bring in more: the bound holds for texts as well.

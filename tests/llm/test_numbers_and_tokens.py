@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -213,6 +214,24 @@ def test_language_id_on_held_out_documents(spark):
     assert none.count() == 0
 
 
+def test_language_id_learns_a_rare_language(spark):
+    path = queries.tokenizer("byte_bpe_50k.tiktoken")
+    docs = spark.range(0, 60_000, 1, 4).selectExpr(
+        "id as doc_id", "if(id % 2400 = 7, 'zug um zug ' || id, 'step by step ' || id) as text", "if(id % 2400 = 7, 'de', 'en') as lang")
+    langs, prob = langid.learn(docs, path, rows=10)
+    assert langs == ["de", "en"]
+    seen = [r.lang for r in langid.drawn_by_group(docs, "lang", F.struct("doc_id", "text"), F.lit(10)).collect()]
+    assert 10 <= seen.count("de") <= 25 and 10 <= seen.count("en") < 60
+
+
+def test_language_id_learns_repeated_rows_once(spark):
+    path = queries.tokenizer("byte_bpe_50k.tiktoken")
+    docs = spark.range(0, 9000, 1, 4).selectExpr("if(id < 8900, 1L, id) as doc_id", "if(id < 8900, 'the same', 'other ' || id) as text", "'en' as lang")
+    drawn = langid.drawn_by_group(docs, "lang", F.struct("doc_id", "text"), F.lit(300)).collect()
+    assert len(drawn) == len({r.doc_id for r in drawn}) == 101
+    assert langid.learn(docs, path)[0] == ["en"]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, seen = docs.columns, [docs.count()]

@@ -216,3 +216,13 @@ def test_quality_model_tells_held_out_labels(spark):
     assert quality.train(docs, labels.where("quality = 1")) is None
     kept = quality.keep_good(test.select(docs.columns), model)
     assert kept.columns == docs.columns and kept.count() == int(quality.score(test, model).where("kept").count())
+
+
+def test_quality_model_learns_a_rare_class(spark):
+    rnd = random.Random(8)
+    good, bad = words(rnd, 80), words(rnd, 80).upper()
+    docs = spark.range(0, 30_000, 1, 4).selectExpr("id as doc_id", f"if(id % 2000 = 3, '{bad}', '{good}') || id as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2000 != 3 as int) as quality")
+    model = quality.train(docs, labels.unionAll(labels), rows=200)
+    got = {r.doc_id: r.probability for r in quality.score(docs.where("doc_id < 2010"), model).collect()}
+    assert got[3] < 0.5 < got[4]
