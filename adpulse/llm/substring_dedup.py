@@ -18,12 +18,14 @@ bytes that can be equal are first brought together:
    between them share LENGTH bytes, and all but the first of them are covered.
 
 Copies and passages that a third of all documents share reach the later steps once for
-each packed part of a task; an anchor with very many different contexts is dealt out by
-the single windows instead, so that none of this gathers an unbounded group.
+each packed part of a task.  An anchor with very many different contexts is dealt out by
+the single windows instead, as hashes: a task settles all but the first place of each
+window in a pack itself, so that no group grows with the copies.
 
 Documents are ordered by doc_id, null last, and rows of one id by a hash of their text;
 rows equal in doc_id and text are one document and treated alike.  A null or empty text
-has no bytes.  Equality of contexts is that of 64-bit hashes."""
+has no bytes.  Equality of contexts is that of 64-bit hashes; of windows of a split anchor,
+that of their own and 32 bits of the anchor's."""
 
 from __future__ import annotations
 
@@ -50,6 +52,7 @@ LAST_ID = (1 << 63) - 1
 
 NOTE = np.dtype([("h", "<u4"), ("c", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("a", "<u4"), ("n", "<u2"), ("twice", "u1"), ("only", "u1")])
 COVER = np.dtype([("doc", "<i8"), ("t", "<u4"), ("a", "<u4"), ("n", "<u2")])
+WINDOW = np.dtype([("h", "<u4"), ("w", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("a", "<u4")])
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -178,12 +181,53 @@ def _sort_out(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.concat(out)
 
 
-def _cutting(buckets: int):
-    """The bytes of the contexts that must be looked into; those of a split anchor window
-    by window."""
-    names = ["bucket", "h", "doc", "t", "a", "raw"]
+def _later_windows(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each window, and the others in the order of their places."""
+    windows = windows[np.lexsort((windows["a"], windows["t"], windows["doc"], windows["w"], windows["h"]))]
+    if len(windows):
+        windows = windows[np.append(True, windows[1:] != windows[:-1])]     # one place counts once
+    again = np.append(False, np.all([windows[k][1:] == windows[k][:-1] for k in ("h", "w")], axis=0)) if len(windows) else np.zeros(0, bool)
+    later = windows[again]
+    return windows[~again], later[np.lexsort((later["a"], later["t"], later["doc"]))]
+
+
+def _window_runs(later: np.ndarray) -> np.ndarray:
+    """Ordered windows as runs of consecutive ones, no longer than a cover can hold."""
+    follows = np.append(False, (later["doc"][1:] == later["doc"][:-1]) & (later["t"][1:] == later["t"][:-1])
+                        & (later["a"][1:].astype(np.int64) - later["a"][:-1] == 1))
+    opens = np.flatnonzero(~follows)
+    at = np.arange(len(later)) - np.repeat(opens, np.diff(opens, append=len(later)))
+    opens = np.flatnonzero(at % LONGEST_RUN == 0)
+    out = np.zeros(len(opens), COVER)
+    for name in ("doc", "t", "a"):
+        out[name] = later[name][opens]
+    out["n"] = np.diff(opens, append=len(later))
+    return out
+
+
+def _deal_windows(windows: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The first place of each window by the bucket of its hash, packed; buckets below 0:
+    what is covered already."""
+    first, later = _later_windows(windows)
+    rows = [(-1 - int(later["w"][0] % np.uint64(buckets)), _window_runs(later).tobytes())] if len(later) else []
+    to = buckets + (first["w"] % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    first, to = first[order], to[order]
+    cut = np.flatnonzero(np.diff(to, prepend=-1))
+    rows += [(int(to[a]), first[a:b].tobytes()) for a, b in zip(cut, [*cut[1:], len(to)])]
+    none = pa.array([0] * len(rows), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), none, none, none, none,
+                                       pa.array([r[1] for r in rows], pa.binary())], names=CUT)
+
+
+CUT = ["bucket", "h", "doc", "t", "a", "raw"]
+
 
+def _cutting(buckets: int):
+    """The bytes of the contexts that must be looked into; of those of a split anchor the
+    hashes of their windows, packed."""
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, size = [], 0
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 out = []
@@ -196,11 +240,18 @@ def _cutting(buckets: int):
                             out.append((e["h"] % buckets, e["h"], doc, t, a, raw[a:a + n + LENGTH - 1]))
                         else:
                             s = np.arange(a, a + n)
-                            for i, w in zip(s.tolist(), range_hashes(sums, s, s + LENGTH).tolist()):
-                                out.append((buckets + w % buckets, w >> 32, doc, t, i, raw[i:i + LENGTH]))
+                            windows = np.zeros(n, WINDOW)
+                            windows["h"], windows["w"], windows["doc"], windows["t"], windows["a"] = e["h"], range_hashes(sums, s, s + LENGTH), doc, t, s
+                            kept.append(windows)
+                            size += n
+                    if size > PACK:
+                        yield _deal_windows(np.concatenate(kept), buckets)
+                        kept, size = [], 0
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in list(zip(*out))[:5]]
-                                                     + [pa.array([r[5] for r in out], pa.binary())], names=names)
+                                                     + [pa.array([r[5] for r in out], pa.binary())], names=CUT)
+        if size:
+            yield _deal_windows(np.concatenate(kept), buckets)
     return step
 
 
@@ -271,8 +322,13 @@ def _covered_windows(parts: list[bytes]) -> np.ndarray:
     return np.sort(order[whole & (order != first[np.cumsum(member)])])
 
 
-def _expand(rows: pd.DataFrame) -> pd.DataFrame:
-    """The covered windows of one bucket's contexts, as runs."""
+def _expand(rows: pd.DataFrame, buckets: int) -> pd.DataFrame:
+    """The covered windows of one bucket's contexts or packed windows, as runs."""
+    bucket = rows["bucket"].iloc[0]
+    if bucket < 0 or bucket >= buckets:
+        packed = b"".join(rows["raw"])
+        runs = np.frombuffer(packed, COVER) if bucket < 0 else _window_runs(_later_windows(np.frombuffer(packed, WINDOW))[1])
+        return pd.DataFrame({k: runs[k].astype(np.int64) for k in COVER.names})
     rows = rows.sort_values("h", kind="stable")
     size = rows["raw"].str.len().to_numpy()
     h = rows["h"].to_numpy()
@@ -334,7 +390,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     cut = (keyed.select("doc", "t", "raw").join(edges, ["doc", "t"]).dropDuplicates(["doc", "t"])
            .select("doc", "t", "raw", "edges")
            .mapInArrow(_cutting(buckets), "bucket bigint, h bigint, doc bigint, t bigint, a bigint, raw binary"))
-    found = stored(cut.groupBy("bucket").applyInPandas(_expand, "doc bigint, t bigint, a bigint, n bigint"), "windows")
+    found = stored(cut.groupBy("bucket").applyInPandas(lambda rows: _expand(rows, buckets), "doc bigint, t bigint, a bigint, n bigint"), "windows")
     spans = (sorted_.where("edge = 0").select("doc", "t", "a", "n").unionAll(found)
              .groupBy("doc", "t").agg(F.collect_list("a").alias("a"), F.collect_list("n").alias("n")))
     return (keyed.join(spans, ["doc", "t"], "left").select("doc_id", "raw", "a", "n")

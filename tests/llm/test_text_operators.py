@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from adpulse.llm import graph, jaccard_join, line_dedup, quality, substring_dedup
@@ -117,6 +119,30 @@ def test_substring_dedup_of_repeated_rows_and_empty_table(spark):
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_windows_of_a_split_anchor_do_not_grow_with_the_copies():
+    """A passage between different neighbours: what leaves a task does not hold it once a document."""
+    rnd = random.Random(6)
+    passage = bytes(rnd.choices(b"abcdefgh ", k=160))
+
+    def dealt(n):
+        rows = []
+        for i in range(n):
+            raw = b"%039d" % rnd.randrange(10**39) + bytes([i]) + passage + bytes([i]) + b"%039d" % rnd.randrange(10**39)
+            rows.append((i, 0, raw, [{"edge": 2, "a": 0, "n": len(raw) - substring_dedup.LENGTH + 1, "h": 5}]))
+        edges = pa.array([r[3] for r in rows], pa.list_(pa.struct([(k, pa.int64()) for k in ("edge", "a", "n", "h")])))
+        batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]),
+                                            pa.array([r[2] for r in rows], pa.binary()), edges], names=["doc", "t", "raw", "edges"])
+        return pd.concat([b.to_pandas() for b in substring_dedup._cutting(4)(iter([batch]))])
+    inside = 160 - substring_dedup.LENGTH + 1
+    for n in (20, 200):
+        rows = dealt(n)
+        assert len(rows) <= 5
+        first = np.frombuffer(b"".join(rows.raw[rows.bucket >= 4]), substring_dedup.WINDOW)
+        assert len(first) == n * 80 + inside        # the windows that reach into a neighbour, and the passage's once
+        found = pd.concat([substring_dedup._expand(part, 4) for _, part in rows.groupby("bucket")])
+        assert sorted(zip(found.doc, found.a, found.n)) == [(i, 40, inside) for i in range(1, n)]
+
+
 # ------------------------------------------------------------------ near copies
 
 def brute_groups(rows):
