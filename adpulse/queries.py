@@ -353,13 +353,13 @@ from .plans import reach  # noqa: E402
 def _reach(spark, sf, grain):
     pb = fx.fx_postback(spark, sf)
     flights = fx.fx_adgroup(spark, sf) if grain == "ag" else fx.fx_adcampaign(spark, sf)
-    prior = reach.reach_daily(pb, pb, flights, rchsql.PRIOR_DATE, grain)
+    prior = reach.reach_reported(pb, pb, flights, rchsql.REPORT_DATE, grain)
     return reach.reach_daily(pb, pb, flights, rchsql.REPORT_DATE, grain, prior=prior)
 
 
 @register("reach_adgroup_daily", rchsql.REACH_ADGROUP)
 def q_reach_adgroup_daily(spark, sf):
-    """Ad-group reach for the report date, the previous day's output as prior."""
+    """Ad-group reach for the report date, less what every earlier day of the flight reported."""
     return _reach(spark, sf, "ag")
 
 
