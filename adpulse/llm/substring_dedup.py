@@ -50,9 +50,9 @@ SPLIT = 2048             # the same over all packs
 BATCH = 1 << 21          # bytes that are sorted together
 LAST_ID = (1 << 63) - 1
 
-NOTE = np.dtype([("h", "<u4"), ("c", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("a", "<u4"), ("n", "<u2"), ("twice", "u1"), ("only", "u1")])
-COVER = np.dtype([("doc", "<i8"), ("t", "<u4"), ("a", "<u4"), ("n", "<u2")])
-WINDOW = np.dtype([("h", "<u4"), ("w", "<u8"), ("doc", "<i8"), ("t", "<u4"), ("a", "<u4")])
+NOTE = np.dtype([("h", "<u4"), ("c", "<u8"), ("doc", "<i8"), ("t", "<i8"), ("a", "<u4"), ("n", "<u2"), ("twice", "u1"), ("only", "u1")])
+COVER = np.dtype([("doc", "<i8"), ("t", "<i8"), ("a", "<u4"), ("n", "<u2")])
+WINDOW = np.dtype([("h", "<u4"), ("w", "<u8"), ("doc", "<i8"), ("t", "<i8"), ("a", "<u4")])
 
 
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -380,7 +380,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     keyed = with_row_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select(
-        "doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.col("_k2").bitwiseAND(F.lit(0xFFFFFFFF)).alias("t"),
+        "doc_id", F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc"), F.col("_k2").alias("t"),
         F.col("text").cast("binary").alias("raw"))
     noted = keyed.select("doc", "t", "raw").mapInArrow(_noting(buckets), "bucket bigint, packed binary")
     sorted_ = stored(noted.groupBy("bucket").applyInPandas(

@@ -119,6 +119,13 @@ def test_substring_dedup_of_repeated_rows_and_empty_table(spark):
     assert substring_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_substring_dedup_tells_texts_without_id_apart(spark):
+    """Two texts whose 64-bit hashes agree in the lower 32 bits; only one has a copy."""
+    a, b = (hashlib.sha256(str(i).encode()).hexdigest() + hashlib.sha256(f"{i}a".encode()).hexdigest() for i in (59232, 82312))
+    got = substring_dedup.remove_repeats(frame(spark, [(None, a, "s"), (None, b, "s"), (1, a, "s")])).collect()
+    assert sorted((r.doc_id is None, bytes(r.kept).decode()) for r in got) == sorted([(True, ""), (True, b), (False, a)])
+
+
 def test_windows_of_a_split_anchor_do_not_grow_with_the_copies():
     """A passage between different neighbours: what leaves a task does not hold it once a document."""
     rnd = random.Random(6)
