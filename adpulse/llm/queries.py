@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, langid, line_dedup, mixing, packing, quality, sharding, substring_dedup, token_counts, topk
+from . import (fill_in_middle, jaccard_join, langid, line_dedup, mixing, packing, quality, sharding, spelling, substring_dedup,
+               token_counts, topk, toxicity)
 from .common import columns, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.tiktoken"))
+
+
+@_query("op11_toxicity")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = columns(table(spark, sf_dir, "documents"), "doc_id", "text")
+    scored = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+@_query("op12_spelling_variants", spelling.SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_fill_in_middle", fill_in_middle.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digest(fill_in_middle.transform(table(spark, sf_dir, "documents")))
