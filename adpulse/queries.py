@@ -250,17 +250,16 @@ def q_flatten_bids_inner(spark, sf):
     return _deal_ids(flatten.flatten_bids(bidlog.fx_bid_nested(spark, sf), outer=False))
 
 
-@register("flatten_bids_nested_first", fsql.FLATTEN_NESTED_FIRST)
+@register("flatten_bids_nested_first", fsql.FLATTEN_NATIVE)
 def q_flatten_bids_nested_first(spark, sf):
-    """first metric by position, fail code kept."""
-    return _deal_ids(flatten.flatten_bids(bidlog.fx_bid_nested(spark, sf), metrics_by_type=False,
-                                          keep_fail_code=True), "imp_deals")
+    """the log with native impressions and sites; first metric by position, fail code kept."""
+    return flatten.flatten_bids_nested(bidlog.fx_bid_native(spark, sf))
 
 
-@register("flatten_bids_matched", fsql.FLATTEN_MATCHED)
+@register("flatten_bids_matched", fsql.FLATTEN_FLAT)
 def q_flatten_bids_matched(spark, sf):
-    """only bids on the first impression; ISO creation time."""
-    return _deal_ids(flatten.flatten_bids_matched(bidlog.fx_bid_nested(spark, sf)), "imp_deals")
+    """the log with a flat request; only bids on the first impression; ISO creation time."""
+    return _deal_ids(flatten.flatten_bids_flat(bidlog.fx_bid_flat(spark, sf)), "imp_deals")
 
 
 # ---------------------------------------------------------------- weather

@@ -37,6 +37,33 @@ MORE_DEVICE = {"ua": "s", "carrier": "s", "make": "s", "model": "s", "osv": "s",
                "sua": {"browsers": "n", "platform": {"brand": "s", "version": "s"}, "mobile": "b", "bitness": "s", "model": "s", "architecture": "s"}}
 
 
+# The second nested log and the flat one, in the same notation; m is a list of metrics, d one of deals.
+NESTED_IMP = {"tagid": "s", "bidfloor": "i", "bidfloorcur": "s", "secure": "b", "deal_type": "s", "ad_type": "s",
+              "banner": {"w": "i", "h": "i", "pos": "i"}, "displaymanager": "s", "instl": "b", "metric": "m",
+              "native": {"request": "s", "ver": "s", "api": "a", "battr": "a"}}
+NESTED_REQ = {
+    "at": "i", "tmax": "i", "cur": "a", "bcat": "a", "badv": "a", "media_id": "s", "user": {"id": "s"},
+    "site": {"page": "s", "id": "s", "domain": "s", "name": "s", "cat": "a", "mobile": "b",
+             "publisher": {"id": "s", "name": "s", "domain": "s"}},
+    "device": {"ua": "s", "ip": "s", "os": "s", "osv": "s", "ifa": "s", "lmt": "b", "carrier": "s", "make": "s", "model": "s",
+               "devicetype": "i", "language": "s", "connectiontype": "i", "pxratio": "i", "w": "i", "h": "i",
+               "geo": {"country": "s", "lat": "i", "lon": "i", "city": "s", "type": "i", "zip": "s", "region": "s", "utcoffset": "i",
+                       "accuracy": "i"},
+               "sua": {"browsers": "n", "platform": {"brand": "s", "version": "s"}, "mobile": "b", "source": "i",
+                       "architecture": "s", "bitness": "s", "model": "s"}},
+    "app": {"name": "s", "ver": "s", "bundle": "s", "storeurl": "s", "id": "s", "cat": "a",
+            "publisher": {"id": "s", "name": "s", "domain": "s"},
+            "content": {"url": "s", "language": "s", "userrating": "s", "genre": "s", "producer": "s"}}}
+NESTED_BID = {"price": "i", "crid": "s", "cmp_no": "i", "ag_no": "i", "crtv_no": "i"}
+FLAT_IMP = {"tagid": "s", "bidfloorcur": "s", "bidfloor": "i", "deals": "d", "deal_type": "s", "mimes": "a", "minduration": "i",
+            "maxduration": "i", "w": "i", "h": "i", "ad_type": "s"}
+FLAT_REQ = {"at": "i", "media_id": "s", "app_id": "s", "app_name": "s", "app_bundle": "s", "app_cate": "a", "site_id": "s",
+            "site_name": "s", "site_domain": "s", "site_cate": "a", "publisher_id": "s", "publisher_name": "s",
+            "publisher_domain": "s", "publisher_cate": "a", "ifa": "s", "language": "s", "os": "s", "ip": "s", "devicetype": "i",
+            "content_id": "s", "content_title": "s", "content_genre": "s", "contentrating": "s", "country": "s", "zipcode": "s"}
+FLAT_BID = {"price": "i", "deal_id": "s", "bid_crtv_no": "i", "bid_cmp_no": "i", "bid_ag_no": "i"}
+
+
 def _salt(path: str) -> int:
     return sum(map(ord, path)) % 11
 
@@ -52,6 +79,11 @@ def _spark_fields(fields: dict, key, path: str = "") -> list:
             v = F.when((key + _salt(at)) % 7 != 0, F.struct(*_spark_fields(kind, key, at)))
         elif kind == "n":
             v = F.when(n > 3, F.array(F.struct(F.concat(F.lit("br"), _s(n)).alias("brand"), _s(n).alias("version"))))
+        elif kind == "m":
+            one = F.array(F.struct(text.alias("type"), n.cast("int").alias("value"), F.concat(F.lit("v"), _s(n)).alias("vendor")))
+            v = F.when(n > 9, F.concat(one, one)).when(n > 3, one).otherwise(F.slice(one, 1, 0))
+        elif kind == "d":
+            v = F.when(n > 2, F.array(F.struct(text.alias("id"), n.cast("int").alias("at"))))
         else:
             v = {"i": n.cast("int"), "b": (n % 2).cast("int"), "s": F.when(n > 0, text), "a": F.array(text, F.lit("x"))}[kind]
         out.append(v.alias(name))
@@ -67,6 +99,11 @@ def _duck_fields(fields: dict, key: str, path: str = "") -> str:
             v = f"CASE WHEN ({key} + {_salt(at)}) % 7 <> 0 THEN struct_pack({_duck_fields(kind, key, at)}) END"
         elif kind == "n":
             v = f"CASE WHEN {n} > 3 THEN [struct_pack(brand := 'br' || {n}, version := CAST({n} AS VARCHAR))] END"
+        elif kind == "m":
+            one = f"struct_pack(type := CASE WHEN {n} > 0 THEN '{name}-' || {n} END, value := CAST({n} AS INTEGER), vendor := 'v' || {n})"
+            v = f"CASE WHEN {n} > 9 THEN [{one}, {one}] WHEN {n} > 3 THEN [{one}] ELSE [] END"
+        elif kind == "d":
+            v = f"CASE WHEN {n} > 2 THEN [struct_pack(id := '{name}-' || {n}, at := CAST({n} AS INTEGER))] END"
         else:
             v = {"i": f"CAST({n} AS INTEGER)", "b": f"CAST({n} % 2 AS INTEGER)", "s": f"CASE WHEN {n} > 0 THEN '{name}-' || {n} END",
                  "a": f"['{name}-' || {n}, 'x']"}[kind]
@@ -188,9 +225,61 @@ FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
 GROUP BY o_orderkey, o_custkey"""
 
 
+# The logs made from a shape alone: key of the request's id, of a bid's impression, and the shapes.
+SHAPES = {"fx_bid_native": ("id", "impid", NESTED_REQ, NESTED_IMP, NESTED_BID),
+          "fx_bid_flat": ("req_id", "imp_id", FLAT_REQ, FLAT_IMP, FLAT_BID)}
+
+
+def _shaped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    req_id, imp_id, req_shape, imp_shape, bid_shape = SHAPES[name]
+    o = load(spark, sf_dir, "orders").select("o_orderkey")
+    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    ok, ln, key = F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey") + F.col("l_linenumber")
+    imp = F.struct(F.concat(F.lit("imp"), _s(ln)).alias("id"), *_spark_fields(imp_shape, key))
+    bid = F.struct(F.concat(F.lit("imp"), _s(F.when(ln % 3 == 2, 1).otherwise(ln))).alias(imp_id), *_spark_fields(bid_shape, key + 1))
+    line = F.struct(ln, F.col("l_partkey"))
+    g = o.join(li, F.col("l_orderkey") == ok, "left").groupBy("o_orderkey").agg(
+        F.count("l_orderkey").alias("_n"), F.array_sort(F.collect_list(F.struct(line.alias("k"), imp.alias("v")))).alias("_imps"),
+        F.array_sort(F.collect_list(F.struct(line.alias("k"), bid.alias("v")))).alias("_bids"))
+    ts = (F.date_add(F.lit("2024-01-01").cast("date"), (ok % 30).cast("int")).cast("timestamp")
+          + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), (ok % 24).cast("int")))
+    return g.select(
+        F.struct(F.concat(F.lit("q"), _s(ok)).alias(req_id), F.when(F.col("_n") > 0, F.transform("_imps", lambda z: z["v"])).alias("imp"),
+                 *_spark_fields(req_shape, ok)).alias("req"),
+        F.when(ok % 11 != 0, F.struct(F.concat(F.lit("res"), _s(ok)).alias("id"),
+                                      F.when(F.col("_n") > 0, F.transform("_bids", lambda z: z["v"])).alias("seatbid"))).alias("res"),
+        F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit("T"), F.date_format(ts, "HH:mm:ss"), F.lit("Z")).alias("created_at"),
+        (ok % 4).cast("int").alias("fail_code"), F.date_format(ts, "yyyy").alias("year"), F.date_format(ts, "MM").alias("month"),
+        F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour"))
+
+
+def fx_bid_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second nested log: requests with native impressions, sites and users."""
+    return _shaped(spark, sf_dir, "fx_bid_native")
+
+
+def fx_bid_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with a flat request, whose impressions and seat bids are lists."""
+    return _shaped(spark, sf_dir, "fx_bid_flat")
+
+
+def _shaped_sql(name: str) -> str:
+    req_id, imp_id, req_shape, imp_shape, bid_shape = SHAPES[name]
+    key, lists = "(l_partkey + l_linenumber)", "ORDER BY l_linenumber, l_partkey) FILTER (WHERE l_orderkey IS NOT NULL)"
+    return f"""SELECT struct_pack({req_id} := 'q' || o_orderkey,
+    imp := list(struct_pack(id := 'imp' || l_linenumber, {_duck_fields(imp_shape, key)}) {lists}, {_duck_fields(req_shape, 'o_orderkey')}) AS req,
+  CASE WHEN o_orderkey % 11 <> 0 THEN struct_pack(id := 'res' || o_orderkey,
+    seatbid := list(struct_pack({imp_id} := 'imp' || CASE WHEN l_linenumber % 3 = 2 THEN 1 ELSE l_linenumber END,
+                                {_duck_fields(bid_shape, '(l_partkey + l_linenumber + 1)')}) {lists}) END AS res,
+  strftime({_TS}, '%Y-%m-%dT%H:%M:%SZ') AS created_at, CAST(o_orderkey % 4 AS INTEGER) AS fail_code,
+  strftime({_TS}, '%Y') AS year, strftime({_TS}, '%m') AS month, strftime({_TS}, '%d') AS day, strftime({_TS}, '%H') AS hour
+FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey"""
+
+
 def _register_sql() -> None:
     from .fixtures import FX_SQL
     FX_SQL["fx_bid_nested"] = BID_NESTED_SQL
+    FX_SQL.update({name: _shaped_sql(name) for name in SHAPES})
 
 
 _register_sql()

@@ -54,7 +54,8 @@ def _postback_cols(dialect: str) -> list[str]:
         "user_id % 30 AS ag_no",
         "user_id % 60 AS creative_no",
         f"concat('stb-', cast(user_id as {s})) AS ifa",
-        f"concat('app', cast(user_id % 7 as {s})) AS app_id",
+        # An ad group has one app, but group 6 has two.
+        f"concat('app', cast(CASE WHEN user_id % 30 = 6 THEN user_id % 60 ELSE user_id % 30 END % 7 as {s})) AS app_id",
         f"{_pick(APP_BUNDLES, 'cast(user_id % 6 as int)', dialect)} AS app_bundle",
         "CASE cast(user_id % 6 as int) WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN '-99' "
         f"WHEN 3 THEN 'undefined' ELSE cast(user_id % 50 as {s}) END AS area_cd",
