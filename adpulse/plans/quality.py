@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
@@ -66,6 +66,33 @@ def hour_completeness(logs: DataFrame, expected: DataFrame, file_col: str = "_fi
             .withColumn("missing", (F.col("n_files") > 0) & (F.col("n_files") < F.col("n_expected"))))
 
 
+def landed_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """Every file below ``path`` with its hour folder: feed, year, month, day, hour, path,
+    length and time of last change.  Only the listing is read, no file's content."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+             .select("path", "length", "modificationTime"))
+    part = lambda name: F.regexp_extract("path", rf"/{name}=([^/]+)/", 1).alias(name)
+    return files.select(*[part(c) for c in ("feed", *DAY, "hour")], "path", "length", "modificationTime")
+
+
+def hour_calendar(feeds: DataFrame, start: str, end: str) -> DataFrame:
+    """Every (feed, hour) from ``start`` to ``end`` ('yyyy-MM-dd HH', both included)."""
+    at = F.explode(F.sequence(F.to_timestamp(F.lit(start), "yyyy-MM-dd HH"), F.to_timestamp(F.lit(end), "yyyy-MM-dd HH"), F.expr("INTERVAL 1 HOUR")))
+    return feeds.select("feed", "n_expected", at.alias("_t")).select(
+        "feed", "n_expected", F.date_format("_t", "yyyy").alias("year"), F.date_format("_t", "MM").alias("month"),
+        F.date_format("_t", "dd").alias("day"), F.date_format("_t", "HH").alias("hour"))
+
+
+def file_completeness(files: DataFrame, calendar: DataFrame) -> DataFrame:
+    """S21 over the expected hours: files found, ``missing`` as the reference flags it (some
+    files, but fewer than expected) and ``empty`` for the hours without any file."""
+    keys = ["feed", *DAY, "hour"]
+    found = files.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_files"))
+    n = F.coalesce("n_files", F.lit(0))
+    return calendar.join(found, keys, "left").select(
+        *keys, "n_expected", n.alias("n_files"), ((n > 0) & (n < F.col("n_expected"))).alias("missing"), (n == 0).alias("empty"))
+
+
 def load_summary(tables: dict[str, DataFrame], date_col: str = "mall_dt") -> DataFrame:
     """Q5: per table and date, rows, distinct ips and campaigns (the load check)."""
     out = None

@@ -12,7 +12,7 @@ missing values as missing and closes the gaps.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
@@ -189,15 +189,25 @@ def dedup_alerts(alerts: DataFrame, retention_days: int = 8) -> DataFrame:
     ``retention_days`` days before.  So a hash noted on day d is stored again at its
     first fetch after a run later than d + retention, i.e. when the run before
     that fetch was that late.  Runs are the distinct fetch times; each fetch knows the
-    day of the run before it, and one fold over a hash's fetches in time order (a few
+    day of the run before it, and one fold over a hash's fetches in time order (two
     a day at most) decides, on the JVM."""
     from ..streaming.jobs import alert_hash
-    h = alerts.withColumn("item_hash", alert_hash())
-    runs = (h.select("fetched_at").distinct()
-            .withColumn("_before", F.to_date(F.lag("fetched_at").over(Window.orderBy("fetched_at")))))  # one row a run
-    step = F.struct(F.col("fetched_at").alias("t"), F.col("_before").alias("before"))
-    fetches = (h.select("item_hash", "fetched_at").distinct().join(broadcast_if_bounded(runs), "fetched_at")
-               .groupBy("item_hash").agg(F.array_sort(F.collect_set(step)).alias("_f")))
+    h = alerts.withColumn("item_hash", alert_hash()).withColumn("_day", F.to_date("fetched_at"))
+    # Two levels: the run before is of the same day, or, for a day's first run, of the last
+    # earlier day with a run.  Only days are brought together, one element a calendar day.
+    first = h.groupBy("_day").agg(F.min("fetched_at").alias("_first"))
+    days = F.array_sort(F.collect_list("_day"))
+    before = (first.agg(days.alias("d")).select(F.posexplode("d").alias("i", "_day"), "d")
+              .select("_day", F.when(F.col("i") > 0, F.get("d", F.col("i") - 1)).alias("_earlier")))
+    calendar = broadcast_if_bounded(first.join(before, "_day"))
+    # Of a hash's fetches in one day only the first can differ from the next but by the day of
+    # the run before: the day's first run, and the first of the others.
+    later = F.col("fetched_at") > F.col("_first")
+    of_day = (h.select("item_hash", "fetched_at", "_day").join(calendar, "_day").groupBy("item_hash", "_day", "_earlier")
+              .agg(F.min(F.when(~later, F.col("fetched_at"))).alias("_a"), F.min(F.when(later, F.col("fetched_at"))).alias("_b")))
+    steps = F.array_compact(F.array(F.when(F.col("_a").isNotNull(), F.struct(F.col("_a").alias("t"), F.col("_earlier").alias("before"))),
+                                    F.when(F.col("_b").isNotNull(), F.struct(F.col("_b").alias("t"), F.col("_day").alias("before")))))
+    fetches = of_day.select("item_hash", F.explode(steps).alias("s")).groupBy("item_hash").agg(F.array_sort(F.collect_list("s")).alias("_f"))
     start = F.struct(F.lit(None).cast("date").alias("noted"), F.array().cast("array<timestamp>").alias("kept"))
 
     def fold(acc: Column, f: Column) -> Column:

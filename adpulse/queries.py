@@ -117,6 +117,7 @@ def q_report_metrics(spark, sf):
 # ---------------------------------------------------------------- mapping
 from .oracle import mapping_sql as msql  # noqa: E402
 from .plans import mapping  # noqa: E402
+from .sinks.tables import stored  # noqa: E402
 
 
 def _weekly(spark, sf):
@@ -125,13 +126,11 @@ def _weekly(spark, sf):
 
 
 def _current(spark, sf):
-    """All weeks merged oldest-first: the fold of every week but the newest,
-    then the newest week through the incremental MERGE (U1)."""
-    weekly = _weekly(spark, sf)
-    newest = weekly.agg(F.max("batch_week").alias("_nw"))
-    older = weekly.join(newest, F.col("batch_week") < F.col("_nw"), "left_semi")
-    latest = weekly.join(newest, F.col("batch_week") == F.col("_nw"), "left_semi")
-    return mapping.merge_week(mapping.merge_fold(older), latest)
+    """All weeks merged oldest-first: the fold of every week but the newest, then the newest
+    week through the incremental MERGE (U1).  The weekly table is stored once."""
+    weekly = stored(_weekly(spark, sf), "weekly")
+    newest = F.lit(weekly.agg(F.max("batch_week")).scalar())
+    return mapping.merge_week(mapping.merge_fold(weekly.where(F.col("batch_week") < newest)), weekly.where(F.col("batch_week") == newest))
 
 
 @register("mapping_weekly", msql.MAPPING_WEEKLY)
@@ -185,9 +184,8 @@ def q_mapping_once(spark, sf):
 
 @register("mapping_report", msql.MAPPING_REPORT)
 def q_mapping_report(spark, sf):
-    """M7: per-carrier report over M1."""
-    return mapping.mapping_report(
-        mapping.mapping_once(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf)))
+    """M7: per-carrier report of the M1 table."""
+    return mapping.mapping_report(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
 
 
 # ---------------------------------------------------------------- channel and checks
@@ -406,6 +404,8 @@ def q_mapping_analysis(spark, sf):
 
 
 # ---------------------------------------------------------------- range (backfill) forms and gates
+from .sinks import sync  # noqa: E402
+from .sinks.tables import scratch  # noqa: E402
 from .streaming import jobs as stream_jobs  # noqa: E402
 
 
@@ -424,9 +424,11 @@ def q_report_range_web(spark, sf):
 
 @register("sync_incremental", rsql.SYNC_INCREMENTAL)
 def q_sync_incremental(spark, sf):
-    """Rows above the stored high-watermark of the platform metrics."""
-    new, _mark = stream_jobs.incremental_extract(fx.fx_metric(spark, sf), "campaign_no", rsql.SYNC_WATERMARK)
-    return new
+    """What a second sync appends, from the mark that the first one stored."""
+    source, root = fx.fx_metric(spark, sf), scratch(spark, "sync")
+    sync.run(source.where(F.col("campaign_no") <= rsql.SYNC_WATERMARK), root, "campaign_no")
+    done = sync.run(source, root, "campaign_no")
+    return sync.synced(spark, root, done["batch"])
 
 
 @register("check_gate", f"SELECT *, error_cnt = 0 AS passed FROM ({csql.CHECK_HOUR_VS_DAILY}) c")

@@ -50,4 +50,4 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries  # noqa: F401
+    from . import queries, stored_queries  # noqa: F401

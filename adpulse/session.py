@@ -45,6 +45,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it in
+    ``spark.checkpoint.dir``.  Where that is unset a local session gets a scratch folder; on a
+    cluster, whose executors would write to disks of their own, it is an error."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; the cluster must name a shared folder")
+        named = tempfile.mkdtemp(prefix="adpulse-shared-", dir=os.environ.get("ADPULSE_SCRATCH", "/tmp"))
+        spark.conf.set("spark.checkpoint.dir", named)
+    return named.rstrip("/")
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "adpulse") -> SparkSession:
     """Build (or reuse) a session for tests and the bench; clusters pass their own."""

@@ -9,10 +9,13 @@ and touches only the partitions present in the new data.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
+from ..session import shared_folder
 
 PARTS_DAY = ["year", "month", "day"]
 PARTS_HOUR = ["year", "month", "day", "hour"]
@@ -24,6 +27,19 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
     (df.write.mode(mode).option("compression", compression).partitionBy(*partition_cols).parquet(path))
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
+    return f"{shared_folder(spark)}/adpulse-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read again, for a table that several parts of a
+    job read: it is computed once, and a lost executor costs no recomputation of it."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder wherever Spark's file systems reach."""
     jvm = spark.sparkContext._jvm

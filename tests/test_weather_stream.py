@@ -8,10 +8,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from adpulse.plans import weather
+from adpulse.plans import summary, weather
 from adpulse.sources import fixtures as fx
 from adpulse.sources import weather_fx as wfx
-from adpulse.streaming import jobs
+from adpulse.streaming import alerts as alert_stream
+from adpulse.streaming import hourly, jobs
 from tests.conftest import SF_SMALL
 
 HF = jobs.ALERT_HASH_FIELDS
@@ -116,6 +117,81 @@ def test_streaming_hourly_counts_equal_batch(spark):
     assert set(map(tuple, closed.collect())) <= set(rows) <= set(map(tuple, batch.collect()))   # the late rows added nothing
 
 
+def replay(rows, retention=8):
+    """The runs one after the other: store what is unknown, note the day, then forget."""
+    seen, kept = {}, []
+    for t in sorted({r[-1] for r in rows}):
+        for key in sorted({r[:-1] for r in rows if r[-1] == t}):
+            if key not in seen:
+                kept.append((*key, t))
+                seen[key] = t.date()
+        seen = {k: d for k, d in seen.items() if d >= t.date() - dt.timedelta(days=retention)}
+    return kept
+
+
+def test_alert_stream_follows_the_runs(spark):
+    """One file a run; the stream is started anew twice on the way."""
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1, 3)
+    times = sorted({base + dt.timedelta(days=d, hours=h) for d in (0, 1, 5, 8, 9, 9, 10, 18, 19, 30) for h in rnd.sample((0, 3, 6), 2)})
+    runs = [[(f"L{k}", "1", "1", "0", "x", "0", "108", "0", t) for k in sorted(rnd.sample(range(5), 3))] * rnd.randint(1, 2) for t in times]
+    src, out = tempfile.mkdtemp(prefix="adpulse-runs-"), tempfile.mkdtemp(prefix="adpulse-alerts-")
+    shuffle = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    try:
+        for k, run in enumerate(runs):
+            spark.createDataFrame(run, ACOLS).coalesce(1).write.parquet(os.path.join(src, f"r{k:02d}"))
+            if k in (6, 11, len(runs) - 1):
+                q = (alert_stream.dedup_alert_runs(jobs.file_stream(spark, os.path.join(src, "*"), spark.createDataFrame(run, ACOLS).schema, max_files_per_trigger=1))
+                     .writeStream.format("parquet").option("path", os.path.join(out, "data")).option("checkpointLocation", os.path.join(out, "ckpt"))
+                     .outputMode("append").trigger(availableNow=True).start())
+                q.awaitTermination(300)
+                assert q.exception() is None
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+    names = [c.split()[0] for c in ACOLS.split(", ")]
+    got = sorted(tuple(r[c] for c in names) for r in spark.read.parquet(os.path.join(out, "data")).collect())
+    rows = [r for run in runs for r in run]
+    assert got == sorted(replay(rows)) and len(got) > len({r[:-1] for r in rows})
+    batch = weather.dedup_alerts(spark.createDataFrame(rows, ACOLS))
+    assert got == sorted(tuple(r[c] for c in names) for r in batch.collect())
+
+
+def test_hourly_figures_of_the_stream_equal_the_report(spark):
+    """Three landings with a restart between them and late rows in the last: the closed hours'
+    figures are those of the batch report, and no state is left of them."""
+    pb = fx.fx_postback(spark, SF_SMALL)
+    first, last = pb.agg(F.min("created_at"), F.max("created_at")).first()
+    days = [r[0] for r in pb.select(F.substring("created_at", 1, 10)).distinct().orderBy(1).collect()]
+    cuts = [days[len(days) // 3], days[2 * len(days) // 3], "9999"]
+    src, out = tempfile.mkdtemp(prefix="adpulse-hours-"), tempfile.mkdtemp(prefix="adpulse-hours-out-")
+    media = spark.createDataFrame([("CX3NWBJED7HA", "Y"), ("CX3NWBJED7HA", "Y"), ("M4", "N")], "mediacd string, logparsefg string")
+    low = ""
+    for k, cut in enumerate(cuts):
+        part = pb.where((F.col("created_at") >= low) & (F.col("created_at") < cut))
+        if k == 2:          # rows of the first day, long put out
+            part = part.unionByName(pb.where(F.col("created_at") < cuts[0]).limit(7).withColumn("creative_no", F.lit(77).cast("long")))
+        part.coalesce(1).write.parquet(os.path.join(src, f"p{k}"))
+        low = cut
+        q = (hourly.hourly_summary(jobs.file_stream(spark, os.path.join(src, "*"), pb.schema), media, fx.fx_rate(spark, SF_SMALL))
+             .writeStream.format("parquet").option("path", os.path.join(out, "data")).option("checkpointLocation", os.path.join(out, "ckpt"))
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+    got = spark.read.parquet(os.path.join(out, "data"))
+    batch = summary.summary_lookup(pb, summary.HOUR, media, fx.fx_rate(spark, SF_SMALL))
+    mark = dt.datetime.strptime(last, "%Y-%m-%dT%H:%M:%SZ") - dt.timedelta(hours=2)
+    closed = batch.where(F.to_timestamp("DATETIME") <= F.lit(mark))
+    assert got.columns == batch.columns and [f.dataType for f in got.schema] == [f.dataType for f in batch.schema]
+
+    def rows(df):
+        return sorted(repr([round(v, 6) if isinstance(v, float) else v for v in r]) for r in df.collect())
+    assert rows(got) == rows(closed) and got.count() > 300
+    # What is left in the state is of the last open hours only: a few rows of two hours.
+    left = [s["numRowsTotal"] for s in q.lastProgress["stateOperators"]]
+    opened = pb.where(F.col("created_at") >= (mark - dt.timedelta(hours=1)).strftime("%Y-%m-%dT%H:%M:%SZ")).count()
+    assert max(left) <= opened and first < last
+
+
 def test_alert_stream_drops_repeats_within_retention(spark):
     t = dt.datetime(2024, 1, 1)
     rows = [("L1", "1", "1", "0", "x", "0", "108", "0", t + dt.timedelta(hours=h)) for h in (0, 3, 6)]
