@@ -1,17 +1,19 @@
-"""Vectorised 64-bit hashing of words, windows and byte ranges in numpy.
+"""Vectorised hashing of words, windows and byte ranges in numpy.
 
-A range's hash is a polynomial over a random table of byte values, modulo 2**64,
-taken from prefix sums, so that all words of a batch cost a few array passes."""
+A range's hash is a pair of polynomials over random tables of byte values, modulo two primes
+near 2**31, taken from prefix sums, so that all words of a batch cost a few array passes.
+(Modulo a power of two some texts of one form would always hash alike, whatever the base.)"""
 
 from __future__ import annotations
 
 import numpy as np
 
 _RNG = np.random.default_rng(20240229)
-BYTE_VALUE = _RNG.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 MULTIPLIERS = _RNG.integers(1, 2**63, 16, dtype=np.uint64) | np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+PRIMES = (2**31 - 1, 2**31 - 19)
+_BASES = tuple(int(_RNG.integers(2**29, p)) for p in PRIMES)
+BYTE_VALUES = tuple(_RNG.integers(1, p, 256, dtype=np.uint64) for p in PRIMES)
+_POWERS: dict[tuple[int, bool], np.ndarray] = {}
 
 #: The six ASCII white-space bytes that separate words.
 SPACE_BYTES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
@@ -28,27 +30,36 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS["up"]) < n:
-        size = max(n, 1 << 20)
-        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 2**64))):
-            p = np.full(size, base, np.uint64)
-            p[0] = 1
-            _POWERS[name] = np.cumprod(p)
-    return _POWERS["up"][:n], _POWERS["down"][:n]
+def _powers(n: int, which: int, up: bool) -> np.ndarray:
+    """The first n powers of a base, or of its inverse, modulo its prime."""
+    made, prime = _POWERS.get((which, up)), PRIMES[which]
+    if made is None:
+        made = np.ones(1, np.uint32)
+    base = _BASES[which] if up else pow(_BASES[which], -1, prime)
+    while len(made) < n:
+        step = np.uint64(pow(base, len(made), prime))
+        made = np.concatenate([made, (made.astype(np.uint64) * step % np.uint64(prime)).astype(np.uint32)])
+    _POWERS[which, up] = made
+    return made[:n]
 
 
 def prefix_sums(buf: np.ndarray) -> np.ndarray:
-    """Polynomial prefix sums of a byte array (one longer than it)."""
-    out = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(BYTE_VALUE[buf] * _powers(len(buf))[0], out=out[1:])
+    """Polynomial prefix sums of a byte array (one longer than it), a row for each prime.
+    Terms are below 2**31, so the sums of up to 2**32 bytes are exact."""
+    out = np.zeros((len(PRIMES), len(buf) + 1), np.uint64)
+    for k, prime in enumerate(PRIMES):
+        np.cumsum(BYTE_VALUES[k][buf] * _powers(len(buf), k, True) % np.uint64(prime), out=out[k, 1:])
     return out
 
 
 def range_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hashes of byte ranges: equal for equal bytes, wherever they stand."""
-    down = _powers(len(sums))[1]
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    parts = []
+    for k, prime in enumerate(PRIMES):
+        p = np.uint64(prime)
+        parts.append((sums[k][end] - sums[k][start]) % p * _powers(sums.shape[1], k, False)[start] % p)
+    size = (np.asarray(end) - np.asarray(start)).astype(np.uint64)
+    return mix((parts[0] << np.uint64(32) | parts[1]) + size * np.uint64(0x9E3779B97F4A7C15))
 
 
 def word_bounds(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

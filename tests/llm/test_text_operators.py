@@ -31,6 +31,32 @@ def test_range_hashes_depend_on_the_bytes_only():
     assert h[0] == h[1] == h[2] != h[3]
 
 
+def thue_morse(n, a="a", b="b"):
+    """Two words of 2**n letters that differ everywhere and in which equal powers of two weigh alike."""
+    bits = [bin(i).count("1") % 2 for i in range(1 << n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_words_of_one_form_hash_apart():
+    for n in (10, 11, 12):
+        x, y = thue_morse(n)
+        buf = np.frombuffer((x + y + x).encode(), np.uint8)
+        h = range_hashes(prefix_sums(buf), np.array([0, 1, 2]) << n, np.array([1, 2, 3]) << n)
+        assert h[0] == h[2] != h[1]
+
+
+def test_texts_of_one_form_are_not_taken_for_one_another(spark):
+    x, y = thue_morse(11)
+    rows = [(1, " ".join([x] * 3 + ["p"]), "s"), (2, " ".join([y] * 3 + ["p"]), "s"), (3, " ".join([x, "q", "w", y, "q", "w"] * 9), "s")]
+    assert sorted(r.component_id for r in jaccard_join.join(frame(spark, rows)).collect()) == [1, 2, 3]
+    got = {r.doc_id: r.n_repeat_words for r in quality.score(frame(spark, [(1, f"{x} u v {y} u v", "s")]), None).collect()}
+    assert got == {1: 0}
+    cut = [(1, "A" + x + "B"), (2, "C" + y + "D")]
+    kept = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept))
+            for r in substring_dedup.remove_repeats(frame(spark, [(i, t, "s") for i, t in cut])).collect()}
+    assert kept == brute_repeats(cut)
+
+
 # ------------------------------------------------------------------ line dedup
 
 def brute_lines(rows, k):
