@@ -8,9 +8,10 @@ bounded sample, split the rows into cells; each cell is cut into blocks of about
    score.  Pairs of cells whose covering radii cannot reach the worst floor of the
    cell's queries are dropped.
 2. Each block and each chunk of queries routed to it are indexed together: a cover tree
-   over either, with fan-out ``KIDS``, whose nodes know their centre and covering
-   radius.  A pair of nodes is pruned when  <p,q> + r_p |q| + r_q |p| + r_p r_q  is
-   less than the worst kth score among the node's queries; leaves are multiplied out.
+   over either, whose nodes know their centre and covering radius; radii halve from level
+   to level, and a node that cannot be covered so by ``KIDS`` others is a leaf.  A pair of nodes is pruned when  <p,q> + r_p |q| + r_q |p| + r_p r_q  is
+   less than the worst kth score among the node's queries; leaves are multiplied out in
+   one matrix product.
 
 The best of each block are merged by a window.  Results are exact whatever the sample:
 it only sets the order of the work.
@@ -37,8 +38,8 @@ EVERY = 20               # queries: ids divisible by this
 BLOCK = 4096
 CHUNK = 2048             # queries
 MOST_PIVOTS = 64
-LEAF = 96
-KIDS = 8
+LEAF = 512               # rows that are multiplied out without looking further
+KIDS = 24                # of a node; one that needs more is a leaf
 
 
 def integer_vectors(vectors: DataFrame, scale: int = 64) -> DataFrame:
@@ -63,7 +64,11 @@ def _nearest(x: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 class _CoverTree:
-    """Nodes (centre, radius, kids or a leaf's rows) over the rows of a matrix."""
+    """Nodes (a row as centre, covering radius, kids or a leaf's rows) over the rows of a
+    matrix.  Kids' centres are rows of the node, each farther than half the node's radius from
+    those before, until every row is within half the radius of one; so radii halve from level
+    to level.  A node that would need more than ``KIDS`` of them has no such shape to use and
+    stays a leaf, as do nodes of up to ``LEAF`` rows: leaves are multiplied out as a whole."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
@@ -73,33 +78,58 @@ class _CoverTree:
         self.kids: list[list[int]] = []
         self.rows: list[np.ndarray] = []
         if len(x):
-            self._node(np.arange(len(x)), x.mean(axis=0))
-
-    def _node(self, rows: np.ndarray, centre: np.ndarray) -> int:
-        far = np.sqrt(((self.x[rows] - centre) ** 2).sum(axis=1))
-        me = len(self.centre)
-        self.centre.append(centre)
-        self.radius.append(float(far.max()))
-        self.norm.append(float(np.sqrt((centre * centre).sum())))
+            middle = int(np.argmin(((x - x.mean(axis=0)) ** 2).sum(axis=1)))
+            self._node(np.arange(len(x)), middle)
+
+    def _node(self, rows: np.ndarray, centre: int) -> int:
+        me, gap = len(self.centre), np.sqrt(((self.x[rows] - self.x[centre]) ** 2).sum(axis=1))
+        self.centre.append(self.x[centre])
+        self.radius.append(float(gap.max()))
+        self.norm.append(float(np.sqrt((self.x[centre] ** 2).sum())))
         self.kids.append([])
         self.rows.append(rows)
-        if len(rows) > LEAF and self.radius[me] > 0:
-            # Centres: each next one the row farthest from those before, until all rows
-            # are within half of this node's radius or there are KIDS of them.
-            pick, gap = [int(np.argmin(far))], np.full(len(rows), np.inf)
-            owner = np.zeros(len(rows), np.int64)
-            for k in range(KIDS):
-                d = np.sqrt(((self.x[rows] - self.x[rows[pick[k]]]) ** 2).sum(axis=1))
-                owner[d < gap] = k
+        half = self.radius[me] / 2
+        if len(rows) > LEAF and half > 0:
+            pick, owner = [centre], np.zeros(len(rows), np.int64)
+            while gap.max() > half and len(pick) < KIDS:
+                pick.append(int(rows[np.argmax(gap)]))
+                d = np.sqrt(((self.x[rows] - self.x[pick[-1]]) ** 2).sum(axis=1))
+                owner[d < gap] = len(pick) - 1
                 gap = np.minimum(gap, d)
-                if k == KIDS - 1 or gap.max() <= self.radius[me] / 2:
-                    break
-                pick.append(int(np.argmax(gap)))
-            if len(pick) > 1:
-                self.kids[me] = [self._node(rows[owner == k], self.x[rows[pick[k]]]) for k in range(len(pick)) if (owner == k).any()]
+            if gap.max() <= half:
+                self.kids[me] = [self._node(rows[owner == k], c) for k, c in enumerate(pick) if (owner == k).any()]
         return me
 
 
+_NONE = np.iinfo(np.int64)
+
+
+def _merge(best: np.ndarray, who: np.ndarray, worst: np.ndarray, q: np.ndarray, ids: np.ndarray, query_ids: np.ndarray,
+           score: np.ndarray, k: int) -> None:
+    """Takes the scores of rows ``ids`` for queries ``q`` into the best ``k`` of each."""
+    least = worst[q].astype(score.dtype)
+    many = np.flatnonzero((score >= least[:, None]).sum(axis=1) > 2 * k)
+    if len(many):      # one more than k, as the query's own row may be among them
+        least[many] = np.maximum(least[many], np.partition(score[many], -(k + 1), axis=1)[:, -(k + 1)])
+    row, col = np.nonzero(score >= least[:, None])
+    other = ids[col] != query_ids[q[row]]
+    row, col = row[other], col[other]
+    if not len(row):
+        return
+    some = np.unique(q[row])
+    old = who[some] != _NONE.max
+    of = np.concatenate([q[row], np.repeat(some, old.sum(axis=1))])
+    value = np.concatenate([score[row, col].astype(np.int64), best[some][old]])
+    name = np.concatenate([ids[col], who[some][old]])
+    order = np.lexsort((name, -value, of))
+    of, value, name = of[order], value[order], name[order]
+    place = np.arange(len(of)) - np.searchsorted(of, of)
+    top = place < k
+    best[some], who[some] = _NONE.min, _NONE.max
+    best[of[top], place[top]], who[of[top], place[top]] = value[top], name[top]
+    worst[some] = np.maximum(worst[some], best[some, k - 1])
+
+
 def _search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, floor: np.ndarray,
             k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query id, vec id, score) of the best k of ``data`` for each query, but for those
@@ -107,9 +137,8 @@ def _search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: n
     safe = float(np.abs(data).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, data.shape[1]) < 2.0 ** 52
     x, y = data.astype(float), queries.astype(float)
     tree, asked = _CoverTree(x), _CoverTree(y)
-    none = np.iinfo(np.int64)
-    best = np.full((len(y), k), none.min, np.int64)
-    who = np.full((len(y), k), none.max, np.int64)
+    best = np.full((len(y), k), _NONE.min, np.int64)
+    who = np.full((len(y), k), _NONE.max, np.int64)
     worst = floor.copy()                      # a score below it cannot be among a query's best
 
     def bound(a: int, b: int) -> float:
@@ -124,17 +153,8 @@ def _search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: n
             continue
         if not asked.kids[a] and not tree.kids[b]:
             q, d = asked.rows[a], tree.rows[b]
-            score = ((x[d] @ y[q].T).T.astype(np.int64) if safe
-                     else (queries[q].astype(object) @ data[d].astype(object).T).astype(np.int64))
-            score = np.where(ids[d][None, :] == query_ids[q][:, None], none.min, score)
-            alive = np.flatnonzero(score.max(axis=1) >= worst[q])
-            if len(alive):
-                q, score = q[alive], score[alive]
-                s = np.concatenate([best[q], score], axis=1)
-                w = np.concatenate([who[q], np.where(score == none.min, none.max, ids[d][None, :])], axis=1)
-                order = np.lexsort((w, -np.maximum(s, none.min + 1)), axis=1)[:, :k]
-                best[q], who[q] = np.take_along_axis(s, order, 1), np.take_along_axis(w, order, 1)
-                worst[q] = np.maximum(worst[q], best[q][:, k - 1])
+            score = y[q] @ x[d].T if safe else (queries[q].astype(object) @ data[d].astype(object).T).astype(np.int64)
+            _merge(best, who, worst, q, ids[d], query_ids, score, k)
             continue
         # The wider of the two nodes is opened.
         if tree.kids[b] and (not asked.kids[a] or tree.radius[b] >= asked.radius[a]):
@@ -145,7 +165,7 @@ def _search(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: n
             v = bound(p, c)
             if v >= worst[asked.rows[p]].min():
                 heapq.heappush(todo, (-v, p, c))
-    found = (who != none.max) & (best >= floor[:, None])
+    found = (who != _NONE.max) & (best >= floor[:, None])
     return np.repeat(query_ids, k)[found.ravel()], who[found], best[found]
 
 
