@@ -153,9 +153,11 @@ def _sharing(frequent: np.ndarray, level: np.ndarray, buckets: int):
         def packed() -> pa.RecordBatch:
             t, i = np.concatenate(shingles), np.concatenate(ids)
             known = _level_of(t, frequent, level) > 0
-            to = (mix(t) % np.uint64(buckets)).astype(np.int64)
+            h = mix(t)
+            to = (h % np.uint64(buckets)).astype(np.int64)
             to = np.where(known, -1 - to, to)
-            return _pack(to, t, i, None, np.zeros(len(t), bool))
+            # Half of the hash will do here: taking two shingles for one only keeps more sets.
+            return _pack(to, (h >> np.uint64(32)).astype(np.uint32), i, None, np.zeros(len(t), bool))
 
         seen, shingles, ids, size = set(), [], [], 0
         for _, sets in _texts(batches):
@@ -182,7 +184,7 @@ def _shared(rows: pd.DataFrame) -> pd.DataFrame:
     if rows["bucket"].iloc[0] < 0:
         u, n = np.unique(np.frombuffer(b"".join(rows["ids"]), np.int64), return_counts=True)
         return pd.DataFrame({"u": u, "n": n})
-    shingles = np.frombuffer(b"".join(rows["shingles"]), np.uint64)
+    shingles = np.frombuffer(b"".join(rows["shingles"]), np.uint32)
     ids = np.frombuffer(b"".join(rows["ids"]), np.int64)
     order = np.lexsort((ids, shingles))
     shingles, ids = shingles[order], ids[order]
@@ -446,7 +448,8 @@ def labelled(docs: DataFrame) -> DataFrame:
              .withColumns({"a": F.least("part", "_other"), "b": F.greatest("part", "_other")})
              .withColumn("task", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(buckets)))
                          .otherwise(F.xxhash64("cluster", "a", "b"))))
-    links = stored(tasks.join(kept, "u").select("task", "cluster", "parts", "a", "b", "part", "u", "shingles")
+    # The tasks name the sets wanted: while they are few, only those sets are exchanged.
+    links = stored(kept.join(broadcast_if_bounded(tasks), "u").select("task", "cluster", "parts", "a", "b", "part", "u", "shingles")
                    .groupBy("task").applyInPandas(_verify, "u bigint, v bigint, whole boolean"), "links")
     groups = links.where("whole").select(F.col("u").alias("id"), F.col("v").alias("_root"))
     cut = links.where("not whole").select("u", "v")
