@@ -12,7 +12,7 @@ BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 def plan_size_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (an upper bound derived from the
     scanned files and the operators above them); no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
@@ -20,11 +20,7 @@ def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) ->
     otherwise leave the strategy to Catalyst/AQE, which still converts the join
     at runtime if the *measured* shuffle output turns out small.  Meant for
     dimensions and aggregates whose size does not grow with the fact table."""
-    try:
-        small = plan_size_bytes(df) <= max_bytes
-    except Exception:  # noqa: BLE001 - statistics unavailable: keep the shuffle join
-        small = False
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if plan_size_bytes(df) <= max_bytes else df
 
 
 def match_weights(dim: DataFrame, dim_key: str, weight_col: str = "_w") -> DataFrame:

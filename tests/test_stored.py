@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from adpulse import stored_queries
+from adpulse.operators.joins import BROADCAST_MAX_BYTES, broadcast_if_bounded, plan_size_bytes
 from adpulse.plans import flatten, quality
 from adpulse.sinks import publish, sync, versions
 from adpulse.sources import bidlog
@@ -101,6 +102,17 @@ def test_days_named_at_run_time_prune_the_folders(spark):
     assert n and n == max(read) < written, (n, read, written)
 
 
+def test_broadcast_follows_the_size(spark):
+    small, large = spark.range(1000).withColumnRenamed("id", "k"), spark.range(1 << 26).withColumnRenamed("id", "k")
+    assert plan_size_bytes(small) <= 8000 < BROADCAST_MAX_BYTES < plan_size_bytes(large)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = lambda d: large.join(broadcast_if_bounded(d), "k")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in joined(small) and "BroadcastHashJoin" not in joined(large.withColumn("x", F.lit(1)))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_completeness_lists_hours_without_files(spark):
     root = tempfile.mkdtemp(prefix="adpulse-landing-")
     for hour, n in (("00", 3), ("01", 1), ("03", 2)):
