@@ -444,10 +444,10 @@ def labelled(docs: DataFrame) -> DataFrame:
     size = stored(size, "clusters")
     part = F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tasks = (one.select("u", "cluster").join(size, "cluster").withColumn("part", part).withColumn("_other", other)
+    tasks = stored(one.select("u", "cluster").join(size, "cluster").withColumn("part", part).withColumn("_other", other)
              .withColumns({"a": F.least("part", "_other"), "b": F.greatest("part", "_other")})
              .withColumn("task", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(buckets)))
-                         .otherwise(F.xxhash64("cluster", "a", "b"))))
+                         .otherwise(F.xxhash64("cluster", "a", "b"))), "tasks")
     # The tasks name the sets wanted: while they are few, only those sets are exchanged.
     links = stored(kept.join(broadcast_if_bounded(tasks), "u").select("task", "cluster", "parts", "a", "b", "part", "u", "shingles")
                    .groupBy("task").applyInPandas(_verify, "u bigint, v bigint, whole boolean"), "links")
