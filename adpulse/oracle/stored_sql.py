@@ -30,9 +30,9 @@ WHERE year || '-' || month || '-' || day IN (SELECT left(startdt, 10) FROM fx_ad
 GROUP BY year, month, day""", "fx_postback", "fx_adgroup")
 
 LOG_COMPLETENESS = with_fixtures("""SELECT feed, strftime(t, '%Y') AS year, strftime(t, '%m') AS month, strftime(t, '%d') AS day, strftime(t, '%H') AS hour,
-  3::INTEGER AS n_expected, count(DISTINCT producer) AS n_files, count(DISTINCT producer) IN (1, 2) AS missing, count(DISTINCT producer) = 0 AS empty
+  2::INTEGER AS n_expected, count(DISTINCT producer) AS n_files, count(DISTINCT producer) = 1 AS missing, count(DISTINCT producer) = 0 AS empty
 FROM (SELECT unnest(['A', 'B']) AS feed), (SELECT unnest(range(min(d), max(d) + INTERVAL 2 DAY, INTERVAL 1 HOUR)) AS t
       FROM (SELECT CAST(year || '-' || month || '-' || day AS TIMESTAMP) AS d FROM fx_postback))
-LEFT JOIN (SELECT if(ag_no % 2 = 0, 'A', 'B') AS f, strptime(year || month || day || hour, '%Y%m%d%H') AS h,
-             if(hour IN ('05', '11', '17', '23'), 0, creative_no % 3) AS producer FROM fx_postback) ON f = feed AND h = t
+LEFT JOIN (SELECT if(CAST(hour AS INTEGER) % 2 = 0, 'A', 'B') AS f, strptime(year || month || day || hour, '%Y%m%d%H') AS h,
+             if(hour IN ('05', '11', '16', '22'), 0, creative_no % 2) AS producer FROM fx_postback) ON f = feed AND h = t
 GROUP BY feed, t""", "fx_postback")
