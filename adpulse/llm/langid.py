@@ -13,7 +13,7 @@ Every row's whole text is scored, in one map-only pass; a worker remembers the w
 it has scored.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0, as is
-every text if nothing was learned; words over ``CHUNK`` bytes are scored in parts;
+every text if nothing was learned; a word may have any length, as may a piece;
 a null doc_id is neither held out nor learned from; repeated rows are scored alike and
 learned from once."""
 
@@ -23,6 +23,7 @@ import base64
 import re
 import uuid
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from .common import columns, drawn_by_group, map_texts
 
 TRAIN_ROWS = 300          # documents of each language
-LONGEST_PIECE = 8         # bytes
-CHUNK = 48                # bytes of a word that are segmented together
+BLOCK = 32                # bytes of a word between two scalings of its sums
+BATCH_CELLS = 1 << 22     # numbers held at a time: words x places x languages
 ROUNDS = 3
 FLOOR = 0.02              # count that every piece starts with
 CACHE_ENTRIES = 400_000   # words that a worker remembers; it starts anew when full
@@ -48,18 +49,25 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 
 class Pieces:
-    """Numbers the vocabulary's pieces of up to LONGEST_PIECE bytes, packed into 64
-    bits (zero bytes do not occur in words), by tables of slots; pieces whose slot
-    is taken go to the next table."""
+    """The vocabulary's pieces, of any length, as a tree of their prefixes; zero bytes do
+    not occur in words.  A child is found by its parent's number and a byte, in tables of
+    slots; children whose slot is taken go to the next table."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
             found = [base64.b64decode(line.split()[0]) for line in f if line.strip()]
-        found = sorted({p for p in found if len(p) <= LONGEST_PIECE and 0 not in p}
-                       | {bytes([b]) for b in range(1, 256)})
-        self.n = len(found)
-        self.key = np.array([int.from_bytes(p, "little") for p in found], np.uint64)
-        self.tables, left = [], np.arange(self.n)
+        found = sorted({p for p in found if p and 0 not in p} | {bytes([b]) for b in range(1, 256)})
+        self.n, self.longest = len(found), max(map(len, found))
+        node, key = {b"": 0}, [(1 << 64) - 1]
+        for p in found:
+            for k in range(1, len(p) + 1):
+                if p[:k] not in node:
+                    node[p[:k]] = len(node)
+                    key.append(node[p[:k - 1]] << 8 | p[k - 1])
+        self.key = np.array(key, np.uint64)
+        self.piece = np.full(len(key), -1, np.int32)
+        self.piece[[node[p] for p in found]] = np.arange(self.n)
+        self.tables, left = [], np.arange(1, len(key))
         while len(left):
             table = np.full(SLOTS, -1, np.int32)
             slot = self._slot(self.key[left], len(self.tables))
@@ -71,9 +79,10 @@ class Pieces:
     def _slot(key: np.ndarray, level: int) -> np.ndarray:
         return ((key * np.uint64(0x9E3779B97F4A7C15 + 2 * level)) >> np.uint64(44 - 4 * level)).astype(np.int64) & (SLOTS - 1)
 
-    def find(self, key: np.ndarray) -> np.ndarray:
-        """Each key's number, or n for what is no piece."""
-        out = np.full(len(key), self.n, np.int32)
+    def child(self, node: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The node that each byte leads to, or -1."""
+        key = node.astype(np.uint64) << np.uint64(8) | byte
+        out = np.full(len(key), -1, np.int32)
         for level, table in enumerate(self.tables):
             at = table[self._slot(key, level)]
             hit = (at >= 0) & (self.key[at] == key)
@@ -87,73 +96,130 @@ def _pieces(path: str) -> Pieces:
     return _WORKER["pieces"]
 
 
-def _chunks(words: list[str]) -> list[tuple[int, bytes]]:
-    """(word, bytes) of the words' parts, each word with the blank before it."""
-    out = []
-    for i, w in enumerate(words):
-        raw = b" " + w.lower().encode("utf-8", "surrogatepass").replace(b"\0", b"")
-        out += [(i, raw[a:a + CHUNK]) for a in range(0, len(raw), CHUNK)]
-    return out
-
-
-def _by_length(parts: list[tuple[int, bytes]]):
-    """For each length the words' numbers and a matrix of their bytes."""
-    size = np.fromiter((len(p) for _, p in parts), np.int64, len(parts))
-    word = np.fromiter((i for i, _ in parts), np.int64, len(parts))
-    for n in np.unique(size):
-        at = np.flatnonzero(size == n)
-        yield word[at], np.frombuffer(b"".join(parts[k][1] for k in at), np.uint8).reshape(len(at), n).astype(np.uint64)
-
-
-def _spans(pieces: Pieces, raw: np.ndarray) -> list[list[np.ndarray]]:
-    """spans[i][l - 1]: the piece that ends before byte i and has l bytes, for every word."""
-    n = raw.shape[1]
-    spans: list[list[np.ndarray]] = [[] for _ in range(n + 1)]
-    for start in range(n):
-        key = np.zeros(len(raw), np.uint64)
-        for k in range(min(LONGEST_PIECE, n - start)):
-            key = key | raw[:, start + k] << np.uint64(8 * k)
-            spans[start + k + 1].append(pieces.find(key))
-    return [s[::-1] for s in spans]
-
-
-def _forward(spans: list[list[np.ndarray]], prob: np.ndarray) -> list[np.ndarray]:
-    n, rows = len(spans) - 1, len(spans[1][0])
-    alpha = [np.ones((rows, prob.shape[1]))]
-    for i in range(1, n + 1):
-        alpha.append(sum(alpha[i - k - 1] * prob[at] for k, at in enumerate(spans[i])))
-    return alpha
+def _batches(pieces: Pieces, words: list[str], langs: int):
+    """The words' numbers and bytes, each word with the blank before it, longest first;
+    as many at a time as BATCH_CELLS allows."""
+    raw = [b" " + w.lower().encode("utf-8", "surrogatepass").replace(b"\0", b"") for w in words]
+    order = sorted(range(len(raw)), key=lambda i: -len(raw[i]))
+    at = 0
+    while at < len(order):
+        width = min(len(raw[order[at]]), BLOCK + pieces.longest) + 1
+        part = order[at:at + max(1, BATCH_CELLS // (width * max(1, langs)))]
+        yield np.array(part), [raw[i] for i in part]
+        at += len(part)
+
+
+class Block(NamedTuple):
+    """The pieces that begin at BLOCK places in a row of each word.  Cell ``row * width + k``
+    stands for the place k bytes behind the first."""
+    first: int
+    rows: int               # words that reach beyond the first place
+    width: int
+    start: np.ndarray       # cell before each piece
+    end: np.ndarray         # cell behind it
+    piece: np.ndarray
+    groups: list[slice]     # pieces of one start and one length: at most one in a word
+
+
+def _blocks(pieces: Pieces, raw: list[bytes]):
+    """Words, longest first, block by block: a word of any length takes the memory of one."""
+    flat = np.frombuffer(b"".join(raw), np.uint8)
+    size = np.array([len(r) for r in raw])
+    base = np.cumsum(size) - size
+    for first in range(0, size[0], BLOCK):
+        rows = int((size > first).sum())
+        width = int(min(BLOCK + pieces.longest, size[0] - first)) + 1
+        row, off = (a.ravel() for a in np.meshgrid(np.arange(rows), np.arange(min(BLOCK, size[0] - first)), indexing="ij"))
+        node, found, k = np.zeros(len(row), np.int32), [], 0
+        while len(row):
+            on = size[row] > first + off + k
+            row, off, node = row[on], off[on], node[on]
+            node = pieces.child(node, flat[base[row] + first + off + k])
+            row, off, node, k = row[node >= 0], off[node >= 0], node[node >= 0], k + 1
+            whole = pieces.piece[node] >= 0
+            found.append((row[whole] * width + off[whole], np.full(whole.sum(), k), pieces.piece[node[whole]], off[whole]))
+        start, length, piece, off = (np.concatenate(a) for a in zip(*found, strict=True))
+        group = off * (pieces.longest + 1) + length
+        order = np.argsort(group, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(group[order])) + 1), len(order)]
+        yield Block(first, rows, width, start[order], (start + length)[order], piece[order],
+                    [slice(a, b) for a, b in zip(cuts, cuts[1:])])
+
+
+def _forward(blocks, size: np.ndarray, prob: np.ndarray):
+    """For each block its sums over all segmentations up to each cell, [row, cell, language],
+    the logarithm that they are scaled by, and the words that end in it."""
+    scale, carry = np.zeros((len(size), prob.shape[1])), np.ones((len(size), 1, prob.shape[1]))
+    for b in blocks:
+        sums = np.zeros((b.rows, b.width, prob.shape[1]))
+        sums[:, :carry.shape[1]] = carry
+        cells = sums.reshape(-1, prob.shape[1])
+        for g in b.groups:
+            cells[b.end[g]] += cells[b.start[g]] * prob[b.piece[g]]
+        ending = np.flatnonzero(size[:b.rows] <= b.first + BLOCK)
+        yield b, sums, scale[:b.rows].copy(), ending
+        going = b.rows - len(ending)
+        if going:
+            carry = sums[:going, BLOCK:]
+            top = carry.max(axis=1)
+            scale[:going] += np.log(top)
+            carry = carry / top[:, None]
+
+
+def _ends(b: Block, sums: np.ndarray, scale: np.ndarray, ending: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return np.log(sums[ending, size[ending] - b.first]) + scale[ending]
 
 
 def log_likelihoods(pieces: Pieces, words: list[str], prob: np.ndarray) -> np.ndarray:
     """log P(word | language), for every word and language."""
     out = np.zeros((len(words), prob.shape[1]))
-    for word, raw in _by_length(_chunks(words)):
-        np.add.at(out, word, np.log(_forward(_spans(pieces, raw), prob)[-1] + 1e-300))
+    for word, raw in _batches(pieces, words, prob.shape[1]):
+        size = np.array([len(r) for r in raw])
+        for b, sums, scale, ending in _forward(_blocks(pieces, raw), size, prob):
+            out[word[ending]] = _ends(b, sums, scale, ending, size)
     return out
 
 
+def _expected(blocks: list[Block], size: np.ndarray, prob: np.ndarray, weight: np.ndarray, made: np.ndarray) -> None:
+    """Adds to ``made`` how often each piece is expected in the weighted words."""
+    done = list(_forward(blocks, size, prob))
+    total = np.zeros(weight.shape)
+    for b, sums, scale, ending in done:
+        total[ending] = _ends(b, sums, scale, ending, size)
+    carry = np.zeros((0, BLOCK, weight.shape[1]))
+    with np.errstate(divide="ignore"):
+        for b, sums, scale, ending in reversed(done):
+            logs = np.full(sums.shape, -np.inf)              # of the sums from each cell to the word's end
+            logs[:len(carry), BLOCK:] = carry[:, :max(0, b.width - BLOCK)]
+            logs[ending, size[ending] - b.first] = 0
+            used = np.zeros(b.rows * b.width, bool)
+            used[b.end] = True
+            known = np.where(used.reshape(b.rows, b.width, 1), logs, -np.inf)
+            after = known.max(axis=1)
+            rest = np.exp(known - after[:, None])
+            cells, before = rest.reshape(-1, prob.shape[1]), sums.reshape(-1, prob.shape[1])
+            for g in reversed(b.groups):
+                cells[b.start[g]] += cells[b.end[g]] * prob[b.piece[g]]
+            row = b.start // b.width
+            factor = scale + after - total[:b.rows]
+            for c in range(prob.shape[1]):
+                share = np.exp(np.log(before[b.start, c]) + np.log(cells[b.end, c]) + factor[row, c])
+                made[:, c] += np.bincount(b.piece, share * prob[b.piece, c] * weight[row, c], len(made))
+            logs[:, :BLOCK] = np.log(rest[:, :BLOCK]) + after[:, None]
+            carry = logs
+
+
 def _fit(pieces: Pieces, counts: list[Counter]) -> np.ndarray:
-    """Piece probabilities [piece, language]; the last row stands for no piece."""
+    """Piece probabilities [piece, language]."""
     words = sorted(set().union(*counts))
     weight = np.array([[c[w] for c in counts] for w in words], float).reshape(len(words), len(counts))
-    groups = [(word, _spans(pieces, raw)) for word, raw in _by_length(_chunks(words))]
-    prob = np.full((pieces.n + 1, len(counts)), 1.0 / pieces.n)
-    prob[-1] = 0
+    parts = [(word, np.array([len(r) for r in raw]), list(_blocks(pieces, raw)))
+             for word, raw in _batches(pieces, words, len(counts))]
+    prob = np.full((pieces.n, len(counts)), 1.0 / pieces.n)
     for _ in range(ROUNDS):
         made = np.full(prob.shape, FLOOR)
-        for word, spans in groups:
-            alpha, n = _forward(spans, prob), len(spans) - 1
-            beta = [np.zeros_like(alpha[0]) for _ in range(n)] + [np.ones_like(alpha[0])]
-            scale = weight[word] / (alpha[n] + 1e-300)
-            for i in range(n, 0, -1):
-                for k, at in enumerate(spans[i]):
-                    part = prob[at] * beta[i]
-                    share = alpha[i - k - 1] * part * scale
-                    for c in range(prob.shape[1]):
-                        made[:, c] += np.bincount(at, share[:, c], len(made))
-                    beta[i - k - 1] = beta[i - k - 1] + part
-        made[-1] = 0
+        for word, size, blocks in parts:
+            _expected(blocks, size, prob, weight[word], made)
         prob = made / made.sum(axis=0)
     return prob
 

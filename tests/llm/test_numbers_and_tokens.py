@@ -1,6 +1,8 @@
 """Mixing, search, token counts, sharding, packing, languages and the pipeline."""
 
+import base64
 import itertools
+import math
 import random
 import zlib
 from collections import defaultdict
@@ -181,22 +183,69 @@ def test_patterns_hold_every_piece():
         assert sum(n for n, _ in made) <= 1.2 * least + 2
 
 
+def vocabulary():
+    with open(queries.tokenizer("byte_bpe_50k.tiktoken"), "rb") as f:
+        found = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
+    return sorted({p for p in found if 0 not in p} | {bytes([b]) for b in range(1, 256)})
+
+
 def test_forward_sums_all_segmentations():
     pieces = langid.Pieces(queries.tokenizer("byte_bpe_50k.tiktoken"))
-    rng = np.random.default_rng(0)
-    prob = np.append(rng.random((pieces.n, 2)) / 100, [[0, 0]], axis=0)
-    for word in ("then", "ñandú", "a"):
+    number = {p: i for i, p in enumerate(vocabulary())}
+    assert pieces.n == len(number) and pieces.longest > 48
+    prob = np.random.default_rng(0).random((pieces.n, 2)) / 100
+    for word in ("then", "ñandú", "a", "misguidedly"):
         raw = b" " + word.encode()
         total = np.zeros(2)
         for cut in itertools.product([0, 1], repeat=len(raw) - 1):
             ends = [k + 1 for k, c in enumerate(cut) if c] + [len(raw)]
             parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
-            if max(map(len, parts)) <= langid.LONGEST_PIECE:
-                key = np.array([int.from_bytes(p, "little") for p in parts], np.uint64)
-                total += prob[pieces.find(key)].prod(axis=0)
+            if all(p in number for p in parts):
+                total += prob[[number[p] for p in parts]].prod(axis=0)
         assert np.allclose(langid.log_likelihoods(pieces, [word], prob)[0], np.log(total))
 
 
+def log_sum_over_cuts(raw, number, log_prob):
+    """The sum over all cuts, place by place, in logarithms."""
+    longest = max(map(len, number))
+    upto = [0.0]
+    for end in range(1, len(raw) + 1):
+        ways = [upto[a] + log_prob[number[raw[a:end]]] for a in range(max(0, end - longest), end) if raw[a:end] in number]
+        upto.append(max(ways) + math.log(sum(math.exp(w - max(ways)) for w in ways)))
+    return upto[-1]
+
+
+LONG_WORDS = ["pneumonoultramicroscopicsilicovolcanoconiosis" * 2, "-" * 70, "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。" * 3,
+              "x" * 31, "x" * 32, "x" * 33, "internationalization" * 150, "short"]
+
+
+def test_forward_over_words_of_any_length():
+    pieces = langid.Pieces(queries.tokenizer("byte_bpe_50k.tiktoken"))
+    number = {p: i for i, p in enumerate(vocabulary())}
+    prob = np.random.default_rng(1).random((pieces.n, 1)) / 1e6
+    got = langid.log_likelihoods(pieces, LONG_WORDS, prob)[:, 0]
+    want = [log_sum_over_cuts(b" " + w.encode(), number, np.log(prob[:, 0])) for w in LONG_WORDS]
+    assert np.allclose(got, want, rtol=1e-10)
+
+
+def test_expected_pieces_cover_every_byte():
+    """The expected pieces of a word, times their lengths, are as long as the word; and they
+    are the derivative of the word's log likelihood by each piece's log probability."""
+    pieces = langid.Pieces(queries.tokenizer("byte_bpe_50k.tiktoken"))
+    length = np.array([len(p) for p in vocabulary()])
+    prob = np.random.default_rng(2).random((pieces.n, 2)) / 1e4
+    for word in LONG_WORDS:
+        raw = b" " + word.encode()
+        made = np.zeros((pieces.n, 2))
+        langid._expected(list(langid._blocks(pieces, [raw])), np.array([len(raw)]), prob, np.array([[1.0, 2.0]]), made)
+        assert np.allclose((made * length[:, None]).sum(axis=0), [len(raw), 2 * len(raw)])
+        for i in np.argsort(-made[:, 0])[:3]:
+            more = prob.copy()
+            more[i] *= 1.000001
+            rise = langid.log_likelihoods(pieces, [word], more)[0, 0] - langid.log_likelihoods(pieces, [word], prob)[0, 0]
+            assert abs(rise / math.log(1.000001) - made[i, 0]) < 1e-3 * max(1, made[i, 0])
+
+
 def test_language_id_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     odd = spark.createDataFrame([(9001, None), (9002, ""), (9003, "12 34 %%"), (None, "the and")], "doc_id long, text string")
