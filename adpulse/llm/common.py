@@ -30,6 +30,11 @@ def columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*names)
 
 
+def field(name: str, inside: int = 0) -> F.Column:
+    """The column of that name, dots and all; the first ``inside`` dots lead into structs."""
+    return F.col(".".join("`" + part.replace("`", "``") + "`" for part in name.split(".", inside)))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again: cuts the lineage, and
     a lost executor costs no recomputation of what came before."""

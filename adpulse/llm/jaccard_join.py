@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
-from .common import SLICE_ROWS, stored, with_row_key
+from .common import SLICE_ROWS, field, stored, with_row_key
 from .graph import components
 from .hashing import join_texts, mix, prefix_sums, range_hashes, window_hashes, word_bounds
 
@@ -476,8 +476,10 @@ def keep_one(docs: DataFrame) -> DataFrame:
     by = F.struct(F.col("doc_id").isNull(), "doc_id", "_k1", "_k2")
     chosen = (rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(by).alias("_k")).select("_k._k1", "_k._k2")
               .unionAll(rows.where(F.col("group").isNull()).select("_k1", "_k2"))).distinct()
-    return (with_row_key(docs).join(stored(chosen, "chosen"), ["_k1", "_k2"], "left_semi")
-            .dropDuplicates(["_k1", "_k2"]).select(*docs.columns))
+    whole = F.struct(*map(field, docs.columns)).alias("_row")       # whatever the columns' names
+    keyed = with_row_key(docs.select("doc_id", "text", whole)).select("_k1", "_k2", "_row")
+    return (keyed.join(stored(chosen, "chosen"), ["_k1", "_k2"], "left_semi")
+            .dropDuplicates(["_k1", "_k2"]).select("_row.*"))
 
 
 SQL = r"""

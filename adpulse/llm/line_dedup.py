@@ -14,14 +14,14 @@ adaptive skew join can split it.
 
 Edge cases: a null text stays null, a blank line stays and is never counted; null is
 a site of its own; rows equal in doc_id and text are the same document and are
-treated alike, null ids come last; other columns pass through untouched."""
+treated alike, null ids come last; other columns pass through untouched, whatever their names."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, with_row_key
+from .common import field, stored, with_row_key
 
 MIN_SITES = 6
 BAND = 1.0               # about the threshold, in sites, but at least 5 standard errors
@@ -59,24 +59,34 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, band: float = BAND
     return sure.unionAll(exact)
 
 
-def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with the text without its boilerplate lines, and _n_lines, _n_removed."""
-    keyed = with_row_key(docs)
+def cleaned(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """_row (the row of ``docs``, with the text without its boilerplate lines), _n_lines and
+    _n_removed.  The caller's columns travel inside a struct, so none can clash."""
+    rest = F.struct(*[field(c) for c in docs.columns if c != "text"])
+    keyed = with_row_key(docs.select("doc_id", "text", "source", rest.alias("_rest")))
     lines = _lines(keyed)
     gone = (lines.join(boilerplate(lines, min_sites), ["_h1", "_h2"])
             .where((F.col("_doc") != F.col("_first._doc")) | (F.col("_at") != F.col("_first._at")))
             .groupBy("_k1", "_k2").agg(F.collect_set("_at").alias("_gone")))
-    split = keyed.select("_k1", "_k2", F.split("text", "\n", -1).alias("_lines"), *[c for c in docs.columns if c != "text"])
+    split = keyed.select("_k1", "_k2", F.split("text", "\n", -1).alias("_lines"), "_rest")
     places = F.sequence(F.lit(0), F.size("_lines") - 1)
     kept = F.transform(F.array_except(places, F.col("_gone")), lambda i: F.get(F.col("_lines"), i))
     text = F.array_join(F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(kept), "\n")
     n_lines = F.size(F.filter(F.col("_lines"), lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
+    row = F.struct(*[(text if c == "text" else field(f"_rest.{c}", 1)).alias(c) for c in docs.columns])
     return (split.join(gone, ["_k1", "_k2"], "left")
-            .select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
+            .select(row.alias("_row"),
                     F.when(F.col("_lines").isNull(), 0).otherwise(n_lines).cast("long").alias("_n_lines"),
                     F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("_n_removed")))
 
 
+def clean(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
+    """``docs`` with the text without its boilerplate lines, and _n_lines, _n_removed, which
+    replace columns of these names."""
+    own = [f"_row.{c}" for c in docs.columns if c not in ("_n_lines", "_n_removed")]
+    return cleaned(docs, min_sites).select(*[field(c, 1) for c in own], "_n_lines", "_n_removed")
+
+
 SQL = r"""
 WITH l AS (
   SELECT doc_id, coalesce('s' || source, 'n') AS site, unnest(string_split(text, chr(10))) AS line,

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import size_in_words, stored
+from .common import field, size_in_words, stored
 
 WEIGHTS = (3, 1, 2)      # of the sources in code point order, repeating
 SHARE = 1.5              # of all sizes, given out in total
@@ -85,7 +85,7 @@ def mix(docs: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The mix itself: each row as often as whole epochs take it, and once more if the
     last epoch takes at least half of its words; the columns of ``docs``."""
-    kept = F.struct(*docs.columns).alias("_row")
+    kept = F.struct(*map(field, docs.columns)).alias("_row")
     taken = _taken(_sized(docs, (kept,)))
     copies = (F.col("_epochs") + F.when((F.col("_part") > 0) & (2 * F.col("_part") >= F.col("size")), 1).otherwise(0)).cast("int")
     return (taken.where(copies > 0).select("_row", F.explode(F.sequence(F.lit(1), copies)).alias("_copy"))

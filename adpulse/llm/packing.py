@@ -217,7 +217,7 @@ def pack(docs: DataFrame, tokenizer: dict, capacity: int = CAPACITY) -> DataFram
     docs = columns(docs, "doc_id", "text")
     cut = stored(pieces(docs, tokenizer, capacity), "pieces").withColumns({
         "_class": F.ceil(F.col("length") / STEP).cast("int"),
-        "_salt": F.pmod(F.xxhash64("doc_id", "start"), F.lit(SALTS)).cast("int")})
+        "_salt": F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SALTS)).cast("int")})
     room = -(-capacity // STEP)
     parts = cut.groupBy("_class", "_salt").agg(F.count(F.lit(1)).alias("_n"))     # at most room * SALTS rows
     need = np.zeros(room, np.int64)

@@ -217,13 +217,14 @@ def score(docs: DataFrame, model: dict | None) -> DataFrame:
 
 def keep_good(docs: DataFrame, model: dict | None) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = _judge(model)
         for whole in batches:
             for i in range(0, whole.num_rows, SLICE_ROWS):
                 part = whole.slice(i, SLICE_ROWS)
-                yield part.filter(pa.array(judge(part.column(at).to_pylist())["kept"]))
+                yield part.filter(pa.array(judge(part.column(at).to_pylist())["kept"])).rename_columns(names)
 
-    return docs.mapInArrow(step, docs.schema)
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]).mapInArrow(step, docs.schema)
