@@ -13,8 +13,8 @@ from adpulse.llm import jaccard_join, line_dedup, mixing, packing, quality
 from adpulse.llm.common import stored, table
 from adpulse.llm.queries import byte_tokenizer
 
-#: The learned quality model and packing have no SQL form; a test holds the stages
-#: against a brute-force version.
+#: The learned quality model and packing have no SQL form; tests hold every stage's rows
+#: and run()'s against a brute-force version.
 ORACLE_SQL = None
 
 
@@ -25,8 +25,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without boilerplate lines; those that had no other lines go."""
-    cleaned = line_dedup.clean(docs).where((F.col("_n_lines") == 0) | (F.col("_n_removed") < F.col("_n_lines")))
-    return cleaned.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    kept = (line_dedup.cleaned(docs).where((F.col("_n_lines") == 0) | (F.col("_n_removed") < F.col("_n_lines")))
+            .select("_row.*"))
+    if "n_chars" not in docs.columns:
+        return kept
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
