@@ -38,6 +38,7 @@ KEEP_AT = 0.3           # least calibrated probability of good quality
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
+SLICE_BYTES = 1 << 18   # of text, or one document, that the arrays of a step are made for
 
 BASE_SCHEMA = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 
@@ -46,6 +47,13 @@ def _bytes(texts: list) -> list[bytes]:
     return [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in texts]
 
 
+def _slices(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of documents of about SLICE_BYTES: what a step holds does not grow with the batch."""
+    place = np.cumsum([len(t) for t in texts]) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(place)) + 1), len(texts)]
+    return (texts[a:b] for a, b in zip(cuts, cuts[1:]))
+
+
 def _per_text(flag: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     total = np.concatenate(([0], np.cumsum(flag, dtype=np.int64)))
     return total[end] - total[start]
@@ -142,16 +150,17 @@ def _fit(rows: pd.DataFrame) -> pd.DataFrame:
     held = np.arange(len(y)) % HOLD_OUT == 0
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         return pd.DataFrame({"weights": [], "slope": [], "offset": []})
-    row, col, val = [], [], []
-    for at in range(0, len(texts), SLICE_ROWS):
-        part = texts[at:at + SLICE_ROWS]
+    row, col, val, at = [], [], [], 0
+    for part in _slices(texts):
         _, (words, doc_of) = _counts(part)
-        of, bucket = map(np.concatenate, zip(*_grams(part, words, doc_of), strict=True))
+        made = list(_grams(part, words, doc_of)) or [(np.zeros(0, np.int64), np.zeros(0, np.int64))]     # only empty texts
+        of, bucket = map(np.concatenate, zip(*made, strict=True))
         cell, n = np.unique(of << BITS | bucket, return_counts=True)
         size = np.bincount(of, minlength=len(part))
-        row.append((cell >> BITS) + at)
-        col.append(cell & (1 << BITS) - 1)
+        row.append(((cell >> BITS) + at).astype(np.int32))
+        col.append((cell & (1 << BITS) - 1).astype(np.int32))
         val.append(n / size[cell >> BITS] * SCALE)
+        at += len(part)
     row, col, val = map(np.concatenate, (row, col, val))
     use = ~held[row]
     row_u, col_u, val_u = row[use], col[use], val[use]
@@ -196,8 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict |
 
 
 def _judge(model: dict | None):
-    def judge(texts: list) -> dict:
-        raw = _bytes(texts)
+    def judge_slice(raw: list[bytes]) -> dict:
         out, (words, doc_of) = _counts(raw)
         out["base_failed"] = base_failed(out)
         if model is None:
@@ -207,6 +215,10 @@ def _judge(model: dict | None):
             out["probability"] = _logistic(model["slope"] * z + model["offset"])
         out["kept"] = ~out["base_failed"] & (out["probability"] >= KEEP_AT)
         return out
+
+    def judge(texts: list) -> dict:
+        parts = [judge_slice(raw) for raw in _slices(_bytes(texts))]
+        return {name: np.concatenate([p[name] for p in parts]) for name in parts[0]}
     return judge
 
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -209,6 +210,23 @@ def test_stages_on_empty_tables(spark, unlabelled):
             assert got.columns == COLUMNS + CLASHING
 
 
+def test_quality_does_not_depend_on_the_slices(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = ["", None, "", "x" * 700_000, "", " ".join(["word"] * 90_000), "\n", *[prose(rnd, rnd.randint(1, 400)) for _ in range(60)], ""]
+    labelled = pd.DataFrame({"doc_id": range(60), "text": [t or "" for t in texts[:60]], "good": [i % 2 for i in range(60)]})
+    made = []
+    for size in (1 << 10, 1 << 18, 1 << 30):
+        monkeypatch.setattr(quality, "SLICE_BYTES", size)
+        fitted = quality._fit(labelled).iloc[0]
+        model = {"weights": np.frombuffer(fitted.weights, np.int64), "slope": fitted.slope, "offset": fitted.offset}
+        judged = quality._judge(model)(texts)
+        made.append((fitted.weights, fitted.slope, {k: list(v) for k, v in judged.items()}))
+        assert len(judged["kept"]) == len(texts) and quality._judge(model)([])["kept"].size == 0
+    assert made[0] == made[1] == made[2]
+    nothing = labelled.assign(text="")
+    assert set(quality._fit(nothing).columns) == {"weights", "slope", "offset"}
+
+
 def test_quality_stage_keeps_what_the_model_keeps(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
