@@ -18,18 +18,18 @@ def partition_day(t: str) -> str:
     return f"{t}.year || '-' || lpad({t}.month, 2, '0') || '-' || lpad({t}.day, 2, '0')"
 
 
-def events(extra: str = "", blank_counts: bool = True, ip: str = "g.ip", within: str = "true") -> str:
-    """Web events of tracked pixels; a conversion or click goes by its own name."""
+def events(extra: str = "", blank_counts: bool = True, ip: str = "g.ip", within: str = "true", own_name: bool = True) -> str:
+    """Web events of tracked pixels; a conversion or click goes by its own name, or all as they were logged."""
     own = "CAST({} AS VARCHAR)" if blank_counts else "nullif(trim(CAST({} AS VARCHAR)), '')"
     return f"""happened AS (SELECT DISTINCT n.cmp_no, g.pid, {ip} AS ip, strptime(g.log_time, '%Y/%m/%d/%H:%M:%S') AS hit,
-   ifnull(CASE g.ev WHEN 'conversion' THEN {own.format('g.conv_type')} WHEN 'click' THEN {own.format('g.click')} END, g.ev) AS ev{extra}
+   {f"ifnull(CASE g.ev WHEN 'conversion' THEN {own.format('g.conv_type')} WHEN 'click' THEN {own.format('g.click')} END, g.ev)" if own_name else "g.ev"} AS ev{extra}
  FROM fx_info n, fx_gtm g WHERE g.pid = n.pixel_id_web AND trim(g.ip) <> '' AND {within})"""
 
 
-def views(until: str | None = None) -> str:
+def views(until: str | None = None, log: str = "fx_postback") -> str:
     cut = f" AND {partition_day('p')} <= '{until}'" if until else ""
     return f"""shown AS (SELECT DISTINCT p.cmp_no, p.ifa AS box, p.request_ip AS ip, strptime(p.created_at, '%Y-%m-%dT%H:%M:%SZ') AS t
- FROM fx_postback p WHERE p.log_type = 'v_complete'{cut})"""
+ FROM {log} p WHERE p.log_type = 'v_complete'{cut})"""
 
 
 # The months that a campaign's bridges and ips are taken from: that of its first view and five before.
@@ -66,9 +66,9 @@ def _with(way_names, event_sql: str, view_sql: str, select, **how) -> str:
     parts = [event_sql, view_sql]
     if any(TOUCHES[w][0] for w in way_names):
         parts.append(_BRIDGE)
-    near = how.pop("near", "true")
+    near, log = how.pop("near", "true"), how.pop("log", "fx_postback")
     parts += [least_touch(w, near=near if w == "Addi" else "true", **how) for w in way_names]
-    return with_fixtures("\nUNION ALL\n".join(select(w) for w in way_names), *FIX, ctes=parts)
+    return with_fixtures("\nUNION ALL\n".join(select(w) for w in way_names), log, *FIX[1:], ctes=parts)
 
 
 DAY_PARTS = "strftime({0}, '%Y') AS year, strftime({0}, '%m') AS month, strftime({0}, '%d') AS day"
@@ -92,8 +92,8 @@ def _in_range(start: str | None, end: str | None) -> str:
     return f"{partition_day('g')} BETWEEN '{start}' AND '{end}'" if start else "true"
 
 
-def v1(ways=WAYS, imp: bool = False, start: str | None = None, end: str | None = None) -> str:
-    return _with(ways, events(within=_in_range(start, end)), views(end),
+def v1(ways=WAYS, imp: bool = False, start: str | None = None, end: str | None = None, own_name: bool = True) -> str:
+    return _with(ways, events(within=_in_range(start, end), own_name=own_name), views(end),
                  _first_event(("CAST(f.t AS DATE) AS imp_dt, " if imp else "") + _TIMES))
 
 
@@ -102,19 +102,21 @@ ATTR_VISIT = v1(("Abi",))
 ATTR_GRAPH = v1(("ODM",))
 ATTR_WEB_V1 = v1()
 ATTR_WEB_IMP = v1(imp=True)
+ATTR_WEB_INITIAL = v1(own_name=False)
+ATTR_RANGE_DIRECT = v1(("Addi",), start=RANGE_START, end=RANGE_END)
 ATTR_RANGE_V1 = v1(start=RANGE_START, end=RANGE_END)
 
 
-def v2(until: str | None = None, months_back: int | None = None, start: str | None = None) -> str:
+def v2(until: str | None = None, months_back: int | None = None, start: str | None = None, log: str = "fx_postback") -> str:
     near = f"CAST(t AS DATE) >= DATE '{until}' - to_months({months_back})" if months_back else "true"
     payload = "conv_meta := conv_meta, conv_value := conv_value"
-    return _with(WAYS, events(", g.conv_meta, g.conv_value", within=_in_range(start, until)), views(until),
+    return _with(WAYS, events(", g.conv_meta, g.conv_value", within=_in_range(start, until)), views(until, log),
                  _first_event(f"e.conv_meta, e.conv_value, {_TIMES}, f.box AS stp_id, f.phone AS m_adid, f.raw AS raw_ip",
-                              f", {payload}"), near=near)
+                              f", {payload}"), near=near, log=log)
 
 
 ATTR_WEB_V2 = v2()
-ATTR_WEB_HOME = v2(HOME_END, 6)
+ATTR_WEB_HOME = v2(HOME_END, 6, log="fx_postback_long")
 
 
 def _every_event(way: str) -> str:

@@ -1,6 +1,6 @@
 """DuckDB oracles for the channel report and the consistency checks (every day)."""
 
-from ..sources.fixtures import with_fixtures
+from ..sources.fixtures import TARGET_ID, with_fixtures
 from .summary_sql import SUMMARY_DAILY, SUMMARY_HOUR
 
 _DAY = "year || '-' || month || '-' || day"
@@ -18,7 +18,7 @@ CHANNEL_DAILY = with_fixtures(f"""SELECT date, cmpno, agno, carrier, contentid,
 FROM (
   SELECT DISTINCT true AS own, {_DAY} AS date, year, month, day, req_id, cmp_no AS cmpno, ag_no AS agno, media_id AS mediacd, log_type,
     {_channel('ctv_media', 'lguplus')} AS carrier, content_id AS contentid
-  FROM fx_postback WHERE g_targetid = '174297362776'
+  FROM fx_postback WHERE g_targetid = '{TARGET_ID}'
   UNION ALL
   SELECT false, p.* FROM (
     SELECT h.* EXCLUDE (bids), unnest(ifnull(bids, [NULL])).carrier AS carrier, unnest(ifnull(bids, [NULL])).contentid AS contentid

@@ -4,17 +4,15 @@ A device that completed n views since the first running flight began is in reach
 every k up to n: each campaign's devices are listed with their view counts, and reach k
 is how many counts are at least k, less what earlier days of the flight reported."""
 
-from ..sources.fixtures import with_fixtures
+from ..sources.fixtures import GROUP_INVENTORY, MEDIA_CODES, with_fixtures
 
 REPORT_DATE = "2024-01-20"
 
-# Media of the exchange feed, and inventories named by ad group or media.
-_EXCHANGE = ["CX3NWBJED7HA", "9P4XDTQ81FPZ", "1FWMMFN3QDZ3"]
-_BY_GROUP = {688: "tv.anypoint.uplus.pp", 689: "tv.anypoint.kt", 691: "tv.anypoint.skb.pp"}
+_EXCHANGE = [*MEDIA_CODES[:2], MEDIA_CODES[3]]     # media of the exchange feed
 
 
 def _inventory() -> str:
-    named = "".join(f" WHEN {k} THEN '{v}'" for k, v in _BY_GROUP.items())
+    named = "".join(f" WHEN {k} THEN '{v}'" for k, v in GROUP_INVENTORY.items())
     return f"ifnull(CASE ag_no{named} END, CASE WHEN media_id IN {tuple(_EXCHANGE[:2])} THEN app_id WHEN media_id = '{_EXCHANGE[2]}' THEN 'test' END)"
 
 

@@ -3,7 +3,7 @@
 Lists instead of conditional counts: each group's rows are gathered once, and every
 figure is read off that list.  A month's rate is that of the month before."""
 
-from ..sources.fixtures import with_fixtures
+from ..sources.fixtures import MEDIA_CODES, TARGET_ID, with_fixtures
 
 FIX = ("fx_postback", "fx_media", "fx_rate")
 
@@ -86,11 +86,11 @@ SUMMARY_HOUR_DEDUP = _union(feed("hour", dedup=True))
 SUMMARY_HOUR = _union(feed("hour"), feed("hour", dedup=True), feed("hour"))
 SUMMARY_HOUR_OLD_RULE = _union(feed("hour", old_rule=True))
 
-# The target whose bundle names the inventory, and the exchange's media.
-_OWN = {"INVENTORYNM": "if(g_targetid = '174297362776', app_bundle, '')",
+# The target's bundle names the inventory; the exchange's media have the app's or none.
+_OWN = {"INVENTORYNM": f"if(g_targetid = '{TARGET_ID}', app_bundle, '')",
         "AREACD": "ifnull((SELECT any_value(a.areacd) FROM fx_area a WHERE a.google_ab_region = region), '-1')"}
-_EXCHANGE = {"AREACD": "if(media_id <> 'CX3NWBJED7HA', '', if(area_cd = 'undefined', '-1', area_cd))",
-             "INVENTORYNM": "CASE WHEN media_id IN ('CX3NWBJED7HA', '9P4XDTQ81FPZ', 'I4RHD1RPQAEG') THEN app_id "
-                            "WHEN media_id = '1FWMMFN3QDZ3' THEN 'test' ELSE '' END"}
+_EXCHANGE = {"AREACD": f"if(media_id <> '{MEDIA_CODES[0]}', '', if(area_cd = 'undefined', '-1', area_cd))",
+             "INVENTORYNM": f"CASE WHEN media_id IN {tuple(MEDIA_CODES[:3])} THEN app_id "
+                            f"WHEN media_id = '{MEDIA_CODES[3]}' THEN 'test' ELSE '' END"}
 _PARTNER = {"INVENTORYNM": "''", "AREACD": "if(ifnull(area_cd, '') IN ('', '-99'), '-1', area_cd)"}
 SUMMARY_DAILY = _union(feed("day", _OWN), feed("day", _EXCHANGE, dedup=True), feed("day", _PARTNER), fix=(*FIX, "fx_area"))

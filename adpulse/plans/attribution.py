@@ -36,10 +36,11 @@ PAYLOAD = ("conv_meta", "conv_value")
 
 
 def web_events(gtm: DataFrame, info: DataFrame, start: str | None = None, end: str | None = None,
-               blank_aware: bool = False, extra: bool = False, payload: bool = False, ip: Column | None = None) -> DataFrame:
+               blank_aware: bool = False, extra: bool = False, payload: bool = False, ip: Column | None = None,
+               raw_ev: bool = False) -> DataFrame:
     """Distinct web events of tracked pixels with a non-blank ip, events in [start, end];
     ``payload`` adds the conversion payload, ``extra`` every column of v3, ``ip`` is the
-    form in which the address is compared."""
+    form in which the address is compared; ``raw_ev`` leaves event names as they were logged."""
     day = yyyymmdd("year", F.lpad("month", 2, "0"), F.lpad("day", 2, "0"))
     g = gtm.where(is_present(F.col("ip").cast("string")))
     if start is not None:
@@ -49,8 +50,8 @@ def web_events(gtm: DataFrame, info: DataFrame, start: str | None = None, end: s
     pixels = info.where(F.col("pixel_id_web").isNotNull()).select("cmp_no", F.col("pixel_id_web").alias("pid")).distinct()
     cols = [F.regexp_replace(F.substring("log_time", 1, 10), "/", "-").alias("mall_dt"),
             F.to_timestamp("log_time", "yyyy/MM/dd/HH:mm:ss").alias("mall_datetime"),
-            event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string"),
-                       blank_aware).alias("ev"), "pid", (F.col("ip") if ip is None else ip).alias("ip"), "cmp_no"]
+            F.col("ev") if raw_ev else event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string"),
+                                                  blank_aware).alias("ev"), "pid", (F.col("ip") if ip is None else ip).alias("ip"), "cmp_no"]
     if extra:
         cols += ["log_time", "eid",
                  F.nullif(F.trim(F.col("scroll").cast("string")), F.lit("")).try_cast("bigint").alias("scroll"),
@@ -192,11 +193,12 @@ def first_match(touch: DataFrame, mall: DataFrame, cate: str, per_day: bool = Tr
 def attribute_v1(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: DataFrame, skb: DataFrame,
                  tg: DataFrame, start: str | None = None, end: str | None = None,
                  routes: tuple[str, ...] = ("direct", "visit", "graph"), imp_date: bool = False,
-                 visit_days: int = 180) -> DataFrame:
-    """C4 (v1 union), C5 (``imp_date``) and their range forms (C10): one call
+                 visit_days: int = 180, raw_ev: bool = False) -> DataFrame:
+    """C4 (v1 union), C5 (``imp_date``), the initial table's form (C11, ``raw_ev``: event
+    names as they were logged) and their range forms (C10): one call
     covers every event day in [start, end]; ``mall_dt`` is part of the dedup
     key, so the range result is the union of the daily results."""
-    mall = web_events(gtm, info, start, end)
+    mall = web_events(gtm, info, start, end, raw_ev=raw_ev)
     cmps = mall.select("cmp_no").distinct()
     parts = []
     if "direct" in routes:
@@ -402,35 +404,36 @@ def attribute_via_mapping(postback: DataFrame, gtm: DataFrame, info: DataFrame,
         vis = vis.where(day <= _day_int(end))
     abi_ip = (vis.select(norm_id(F.col("ifa").cast("string")).alias("m_adid"),
                          norm_ip(F.col("request_ip").cast("string")).alias("ip"))
-              .where(valid_id_attr("m_adid")).distinct())
+              .where(valid_id_attr("m_adid")))
     map_ip = (wk.where(is_present(F.col("ip").cast("string")))
               .select(norm_id(F.col("ad_id").cast("string")).alias("m_adid"),
                       norm_ip(F.col("ip").cast("string")).alias("ip"))
-              .where(valid_id_attr("m_adid")).distinct())
-
-    def route(ips: DataFrame, cate: str) -> DataFrame:
-        # Best (view, device, view ip, carrier) per (campaign, mobile id) first, then
-        # spread to the mobile id's ips: same lexicographic minimum, no device x ip pairs.
-        per_id = (stb_mobile.join(first, "stp_id").groupBy("cmp_no", "m_adid")
-                  .agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), "stp_id",
-                                      F.col("_v.raw_ip").alias("r"), "carrier")).alias("_m")))
-        touch = (ips.join(per_id, "m_adid")
-                 .groupBy("cmp_no", "ip").agg(F.min(F.struct(F.col("_m.t").alias("t"), F.col("_m.stp_id").alias("stp_id"),
-                                                             "m_adid", F.col("_m.r").alias("r"),
-                                                             F.col("_m.carrier").alias("carrier"))).alias("_c")))
-        j = mall.join(touch, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("_c.t"))
-        best = j.groupBy("cmp_no", "ip", *(["mall_dt"] if per_day else [])).agg(
-            F.first("_c").alias("_c"),
-            F.min(F.struct("mall_datetime", "pid", "ev", "conv_meta", "conv_value", F.col("mall_dt").alias("mall_dt"))).alias("_e"))
-        return best.select("cmp_no", F.col("_e.pid").alias("pid"), F.col("_e.ev").alias("ev"),
-                           F.col("_e.conv_meta").alias("conv_meta"), F.col("_e.conv_value").alias("conv_value"),
-                           F.col("_e.mall_dt").alias("mall_dt"),
-                           F.date_format("_c.t", TS_FMT).alias("post_datetime"),
-                           F.date_format("_e.mall_datetime", TS_FMT).alias("mall_datetime"),
-                           F.col("ip").alias("mall_ip"), F.lit(cate).alias("cate"),
-                           F.col("_c.stp_id").alias("stp_id"), F.col("_c.m_adid").alias("m_adid"),
-                           F.col("_c.r").alias("raw_ip"), F.col("_c.carrier").alias("carrier"),
-                           F.substring(F.col("_e.mall_dt"), 1, 4).alias("year"),
-                           F.substring(F.col("_e.mall_dt"), 6, 2).alias("month"),
-                           F.substring(F.col("_e.mall_dt"), 9, 2).alias("day"))
-    return route(abi_ip, "ABI").unionByName(route(map_ip, "STB_MOBILE_MAPPING"))
+              .where(valid_id_attr("m_adid")))
+
+    # Best (view, device, view ip, carrier) per (campaign, mobile id) first, then spread to the
+    # mobile id's ips, of which only those with events are looked at: same lexicographic
+    # minimum, no device x ip pairs.  Both routes go through the same joins.
+    per_id = (stb_mobile.join(first, "stp_id").groupBy("cmp_no", "m_adid")
+              .agg(F.min(F.struct(F.col("_v.post_datetime").alias("t"), "stp_id",
+                                  F.col("_v.raw_ip").alias("r"), "carrier")).alias("_m")))
+    ips = (abi_ip.withColumn("cate", F.lit("ABI")).unionByName(map_ip.withColumn("cate", F.lit("STB_MOBILE_MAPPING")))
+           .join(mall.select("ip").distinct(), "ip", "left_semi").distinct())
+    touch = (ips.join(per_id, "m_adid")
+             .groupBy("cmp_no", "ip", "cate").agg(F.min(F.struct(F.col("_m.t").alias("t"), F.col("_m.stp_id").alias("stp_id"),
+                                                                 "m_adid", F.col("_m.r").alias("r"),
+                                                                 F.col("_m.carrier").alias("carrier"))).alias("_c")))
+    j = mall.join(touch, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("_c.t"))
+    best = j.groupBy("cmp_no", "ip", "cate", *(["mall_dt"] if per_day else [])).agg(
+        F.first("_c").alias("_c"),
+        F.min(F.struct("mall_datetime", "pid", "ev", "conv_meta", "conv_value", F.col("mall_dt").alias("mall_dt"))).alias("_e"))
+    return best.select("cmp_no", F.col("_e.pid").alias("pid"), F.col("_e.ev").alias("ev"),
+                       F.col("_e.conv_meta").alias("conv_meta"), F.col("_e.conv_value").alias("conv_value"),
+                       F.col("_e.mall_dt").alias("mall_dt"),
+                       F.date_format("_c.t", TS_FMT).alias("post_datetime"),
+                       F.date_format("_e.mall_datetime", TS_FMT).alias("mall_datetime"),
+                       F.col("ip").alias("mall_ip"), "cate",
+                       F.col("_c.stp_id").alias("stp_id"), F.col("_c.m_adid").alias("m_adid"),
+                       F.col("_c.r").alias("raw_ip"), F.col("_c.carrier").alias("carrier"),
+                       F.substring(F.col("_e.mall_dt"), 1, 4).alias("year"),
+                       F.substring(F.col("_e.mall_dt"), 6, 2).alias("month"),
+                       F.substring(F.col("_e.mall_dt"), 9, 2).alias("day"))

@@ -8,17 +8,15 @@ from pyspark.sql import functions as F
 from ..functions.normalize import carrier_channel
 from ..operators.joins import broadcast_if_bounded
 
-TARGET_ID = "174297362776"
-
 
 def _day(df: DataFrame):
     return F.to_date(F.concat_ws("-", "year", "month", "day"))
 
 
-def channel_daily(apm_postback: DataFrame, abi_postback: DataFrame, bids: DataFrame, media: DataFrame,
+def channel_daily(apm_postback: DataFrame, abi_postback: DataFrame, bids: DataFrame, media: DataFrame, target_id: str,
                   start: str | None = None, end: str | None = None) -> DataFrame:
     """Per day D: APM postbacks (distinct rows) left-joined on req_id to the
-    bids of D and D-1 for carrier/content; ABI postbacks carry their own.
+    bids of D and D-1 for carrier/content; ABI postbacks of the target carry their own.
 
     The "today or yesterday" partition filter becomes an equi-join key: each
     bid is offered to its own day and to the next one (2 copies), so every day
@@ -60,7 +58,7 @@ def channel_daily(apm_postback: DataFrame, abi_postback: DataFrame, bids: DataFr
             F.sum(F.when(F.col("log_type") == "i", 1).otherwise(0)).cast("bigint").alias("impcnt"),
             F.sum(F.when(F.col("log_type") == "v_complete", 1).otherwise(0)).cast("bigint").alias("q4cnt"))
     abi = (in_range(abi_postback).where(F.col("cmp_no").isNotNull() & F.col("ag_no").isNotNull()
-                                        & (F.col("g_targetid") == TARGET_ID))
+                                        & (F.col("g_targetid") == target_id))
            .join(m, F.col("media_id") == F.col("mediacd"), "left_semi")
            .select(F.concat("year", F.lit("-"), "month", F.lit("-"), "day").alias("date"), "req_id",
                    F.col("media_id").alias("mediacd"), F.col("cmp_no").alias("cmpno"), F.col("ag_no").alias("agno"),

@@ -14,21 +14,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import broadcast_if_bounded
+from .rules import ReachRules
 
-# Media read by the reach reports and the inventory names per ad group.
-REACH_MEDIA = ["CX3NWBJED7HA", "9P4XDTQ81FPZ", "1FWMMFN3QDZ3"]
-DAILY_MEDIA = "CX3NWBJED7HA"
-AG_INVENTORY = {688: "tv.anypoint.uplus.pp", 689: "tv.anypoint.kt", 691: "tv.anypoint.skb.pp"}
-APP_MEDIA = ["CX3NWBJED7HA", "9P4XDTQ81FPZ"]
-TEST_MEDIA = "1FWMMFN3QDZ3"
 
-
-def _inventory():
-    e = None
-    for ag, name in AG_INVENTORY.items():
-        e = F.when(F.col("ag_no") == ag, name) if e is None else e.when(F.col("ag_no") == ag, name)
-    return (e.when(F.col("media_id").isin(*APP_MEDIA), F.col("app_id"))
-            .when(F.col("media_id") == TEST_MEDIA, F.lit("test")).otherwise(F.lit(None).cast("string")))
+def _inventory(rules: ReachRules):
+    e = F
+    for ag, name in rules.group_inventory.items():
+        e = e.when(F.col("ag_no") == ag, name)
+    return (e.when(F.col("media_id").isin(*rules.app_media), F.col("app_id"))
+            .when(F.col("media_id") == rules.test_media, F.lit("test")).otherwise(F.lit(None).cast("string")))
 
 
 def _day():
@@ -39,13 +33,14 @@ def _d(c):
     return F.date_format(F.to_timestamp(F.col(c)), "yyyy-MM-dd")
 
 
-def _feeds(apm: DataFrame, abi: DataFrame, media: list[str], cols: list[str]) -> DataFrame:
+def _feeds(apm: DataFrame, abi: DataFrame, media: tuple[str, ...], cols: list[str]) -> DataFrame:
     abi_ctv = F.col("ctv_media").isNotNull() & (F.col("ctv_media") != "")
     return (apm.where(F.col("media_id").isin(*media)).select(_day().alias("_d"), *cols)
             .unionByName(abi.where(abi_ctv).select(_day().alias("_d"), *cols)))
 
 
-def reach_reported(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_date: str, grain: str = "ag") -> DataFrame:
+def reach_reported(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_date: str, rules: ReachRules,
+                   grain: str = "ag") -> DataFrame:
     """What the daily runs from each flight's start to the day before ``input_date`` reported,
     one row for each flight running on ``input_date`` and day (its rows of the day together),
     in one job: the prior table of ``reach_daily``.  A flight key has one flight.
@@ -68,7 +63,7 @@ def reach_reported(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_dat
     spans = since.groupBy("_from").agg(F.max("_d").alias("_to"))
     flight = broadcast_if_bounded(running.select(pkey, "_s"))
     yesterday = F.date_format(last, "yyyy-MM-dd")
-    views = (_feeds(apm, abi, REACH_MEDIA, ["cmp_no", "ag_no", "log_type", "ifa"])
+    views = (_feeds(apm, abi, rules.media, ["cmp_no", "ag_no", "log_type", "ifa"])
              .where((F.col("log_type") == "v_complete") & F.col("ifa").isNotNull()
                     & (F.col("_d") >= F.lit(spans.agg(F.min("_from")).scalar())) & (F.col("_d") <= yesterday))
              .join(flight.select(pkey), pkey)
@@ -77,8 +72,8 @@ def reach_reported(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_dat
              .withColumn("_after", F.sum("_n").over(Window.partitionBy("_from", *keys, "ifa").orderBy("_d"))))
     gained = views.groupBy("_from", *keys, F.col("_d").alias("_v")).agg(*[
         F.count(F.when((F.col("_after") >= k) & (F.col("_after") - F.col("_n") < k), 1)).alias(f"_new{k}") for k in (1, 2, 3)])
-    rows = (_feeds(apm, abi, [DAILY_MEDIA], ["cmp_no", "ag_no", "media_id", "app_id"])
-            .withColumn("_inv", _inventory() if ag else F.lit(None).cast("string")).join(flight, pkey)
+    rows = (_feeds(apm, abi, (rules.daily_media,), ["cmp_no", "ag_no", "media_id", "app_id"])
+            .withColumn("_inv", _inventory(rules) if ag else F.lit(None).cast("string")).join(flight, pkey)
             .where(F.col("_d").between(F.col("_s"), yesterday)).select("_d", *keys, "_inv").distinct()
             .groupBy("_d", *keys).agg(F.count(F.lit(1)).alias("_rows")).join(F.broadcast(since), "_d"))
     cumulative = (rows.join(gained, ["_from", *keys]).where(F.col("_v") <= F.col("_d"))
@@ -96,8 +91,8 @@ def reach_reported(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_dat
             .select(F.col(pkey).alias(name), F.expr(f"inline({fold})")))
 
 
-def reach_daily(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_date: str, grain: str = "ag",
-                prior: DataFrame | None = None) -> DataFrame:
+def reach_daily(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_date: str, rules: ReachRules,
+                grain: str = "ag", prior: DataFrame | None = None) -> DataFrame:
     """R6 (``grain='ag'``, flights = ad groups with logparsefg) / R7 (``'cmp'``,
     flights = campaigns) for ``input_date`` ('yyyy-MM-dd')."""
     ag = grain == "ag"
@@ -110,7 +105,7 @@ def reach_daily(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_date:
     min_start = F.date_format(F.to_timestamp(fl.agg(F.min("startdt")).scalar()), "yyyy-MM-dd")
     abi_ctv = F.col("ctv_media").isNotNull() & (F.col("ctv_media") != "")
     cols = ["cmp_no", "ag_no", "log_type", "ifa", "media_id", "app_id"]
-    hist = (apm.where(F.col("media_id").isin(*REACH_MEDIA)).select(_day().alias("_d"), *cols)
+    hist = (apm.where(F.col("media_id").isin(*rules.media)).select(_day().alias("_d"), *cols)
             .unionByName(abi.where(abi_ctv).select(_day().alias("_d"), *cols))
             .where((F.col("_d") >= min_start) & (F.col("_d") <= input_date))
             .join(fl.select(F.col(fkey).alias(pkey)), pkey))
@@ -120,11 +115,11 @@ def reach_daily(apm: DataFrame, abi: DataFrame, flights: DataFrame, input_date:
     cum = views.groupBy(*keys).agg(*[F.sum(F.when(F.col("_n") >= k, 1).otherwise(0)).cast("bigint")
                                      .alias(f"_cum{k}") for k in (1, 2, 3)])
     y, m, dd = input_date.split("-")
-    today = (apm.where((F.col("media_id") == DAILY_MEDIA)).select(*cols, "year", "month", "day")
+    today = (apm.where(F.col("media_id") == rules.daily_media).select(*cols, "year", "month", "day")
              .unionByName(abi.where(abi_ctv).select(*cols, "year", "month", "day"))
              .where((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == dd)))
     dkeys = keys + (["_inv"] if ag else [])
-    daily = (today.withColumn("_inv", _inventory()).groupBy(*dkeys).agg(
+    daily = (today.withColumn("_inv", _inventory(rules)).groupBy(*dkeys).agg(
         F.count(F.when(F.col("log_type") == "i", 1)).alias("impressions"),
         F.count(F.when(F.col("log_type") == "v_complete", 1)).alias("views"),
         F.count_distinct(F.when(F.col("log_type") == "v_complete", F.col("ifa"))).alias("unique_reach")))

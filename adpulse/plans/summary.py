@@ -14,18 +14,13 @@ from ..functions.normalize import area_code
 from ..operators.aggregates import distinct_flag_counts
 from ..operators.joins import broadcast_if_bounded, match_weights
 from ..operators.lookups import previous_month_rate, text_max
+from .rules import DailyRules
 
 HOUR = ["year", "month", "day", "hour"]
 DAY = ["year", "month", "day"]
 METRICS = ["IMPS", "CLICKS", "PAYMENT", "PAYMENTCNT", "Q1", "Q2", "Q3", "Q4",
            "ERRORIMPS", "ERRORPAYMENT"]
 
-# Media-specific rules of the daily report.
-TARGET_ID = "174297362776"
-AREA_MEDIA = "CX3NWBJED7HA"
-APP_INVENTORY_MEDIA = ["CX3NWBJED7HA", "9P4XDTQ81FPZ", "I4RHD1RPQAEG"]
-TEST_MEDIA = "1FWMMFN3QDZ3"
-
 
 def _label(grain: list[str]) -> Column:
     if grain == HOUR:
@@ -150,15 +145,15 @@ def summary_hour(abi: DataFrame, apm: DataFrame, nhn: DataFrame, media: DataFram
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def summary_daily(abi: DataFrame, apm: DataFrame, nhn: DataFrame, media: DataFrame | None = None,
+def summary_daily(abi: DataFrame, apm: DataFrame, nhn: DataFrame, rules: DailyRules, media: DataFrame | None = None,
                   rates: DataFrame | None = None, area: DataFrame | None = None) -> DataFrame:
     """Day grain plus INVENTORYNM (N10) and AREACD (N11), one rule set per feed."""
-    abi_dims = {"INVENTORYNM": F.when(F.col("g_targetid") == TARGET_ID, F.col("app_bundle")).otherwise(""),
+    abi_dims = {"INVENTORYNM": F.when(F.col("g_targetid") == rules.target_id, F.col("app_bundle")).otherwise(""),
                 "AREACD": F.when(F.col("areacd").isNotNull(), F.col("areacd")).otherwise("-1")}
-    apm_dims = {"AREACD": F.when(F.col("media_id") != AREA_MEDIA, F.lit(""))
+    apm_dims = {"AREACD": F.when(F.col("media_id") != rules.area_media, F.lit(""))
                 .when(F.col("area_cd") == "undefined", F.lit("-1")).otherwise(F.col("area_cd")),
-                "INVENTORYNM": F.when(F.col("media_id").isin(*APP_INVENTORY_MEDIA), F.col("app_id"))
-                .when(F.col("media_id") == TEST_MEDIA, F.lit("test")).otherwise(F.lit(""))}
+                "INVENTORYNM": F.when(F.col("media_id").isin(*rules.app_media), F.col("app_id"))
+                .when(F.col("media_id") == rules.test_media, F.lit("test")).otherwise(F.lit(""))}
     nhn_dims = {"INVENTORYNM": F.lit(""), "AREACD": area_code("area_cd", ("", "-99"))}
     parts = [summary_lookup(abi, DAY, media, rates, abi_dims, area=area),
              summary_dedup(apm, DAY, media, rates, apm_dims),

@@ -35,7 +35,7 @@ def q_summary_hour(spark, sf):
 def q_summary_daily(spark, sf):
     """Daily summary with inventory name and area code."""
     pb = fx.fx_postback(spark, sf)
-    return summary.summary_daily(pb, pb, pb, fx.fx_media(spark, sf), fx.fx_rate(spark, sf),
+    return summary.summary_daily(pb, pb, pb, fx.DAILY_RULES, fx.fx_media(spark, sf), fx.fx_rate(spark, sf),
                                  fx.fx_area(spark, sf))
 
 
@@ -49,6 +49,11 @@ def _attr_inputs(spark, sf):
                 visits=fx.fx_visit(spark, sf), skb=fx.fx_skb(spark, sf), tg=fx.fx_tg(spark, sf))
 
 
+def _home(spark, sf):
+    inputs = _attr_inputs(spark, sf) | dict(postback=fx.fx_postback_long(spark, sf))
+    return attr.attribute_v2(**inputs, end=asql.HOME_END, direct_lookback_months=6)
+
+
 @register("attr_direct_first", asql.ATTR_DIRECT)
 def q_attr_direct_first(spark, sf):
     """Direct-ip first touch, every event day."""
@@ -79,6 +84,12 @@ def q_attr_web_imp(spark, sf):
     return attr.attribute_v1(**_attr_inputs(spark, sf), imp_date=True)
 
 
+@register("attr_web_initial", asql.ATTR_WEB_INITIAL)
+def q_attr_web_initial(spark, sf):
+    """C11: what the initial table is created from, event names as they were logged."""
+    return attr.attribute_v1(**_attr_inputs(spark, sf), raw_ev=True)
+
+
 # ---------------------------------------------------------------- reports
 from .oracle import reports_sql as rsql  # noqa: E402
 from .plans import reports  # noqa: E402
@@ -122,7 +133,7 @@ from .sinks.tables import stored  # noqa: E402
 
 def _weekly(spark, sf):
     return mapping.mapping_weekly(fx.fx_apm_flat(spark, sf), fx.fx_addi_bid(spark, sf), fx.fx_postback(spark, sf),
-                                  fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
+                                  fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf), fx.OWN_MEDIA)
 
 
 def _current(spark, sf):
@@ -184,8 +195,8 @@ def q_mapping_once(spark, sf):
 
 @register("mapping_report", msql.MAPPING_REPORT)
 def q_mapping_report(spark, sf):
-    """M7: per-carrier report of the M1 table."""
-    return mapping.mapping_report(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
+    """M7: per-carrier report of the M1 table, in listed order (O2)."""
+    return mapping.by_carrier(mapping.mapping_report(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf)))
 
 
 # ---------------------------------------------------------------- channel and checks
@@ -195,7 +206,7 @@ from .plans import channel, quality  # noqa: E402
 
 def _channel(spark, sf):
     pb = fx.fx_postback(spark, sf)
-    return channel.channel_daily(pb, pb, fx.fx_bid_log(spark, sf), fx.fx_media(spark, sf))
+    return channel.channel_daily(pb, pb, fx.fx_bid_log(spark, sf), fx.fx_media(spark, sf), fx.TARGET_ID)
 
 
 @register("channel_daily", csql.CHANNEL_DAILY)
@@ -209,7 +220,7 @@ def q_check_hour_vs_daily(spark, sf):
     """Q1: per-day consistency of hour and day summaries."""
     pb, media, rates = fx.fx_postback(spark, sf), fx.fx_media(spark, sf), fx.fx_rate(spark, sf)
     return quality.check_hour_vs_daily(summary.summary_hour(pb, pb, pb, media, rates),
-                                       summary.summary_daily(pb, pb, pb, media, rates, fx.fx_area(spark, sf)))
+                                       summary.summary_daily(pb, pb, pb, fx.DAILY_RULES, media, rates, fx.fx_area(spark, sf)))
 
 
 @register("check_daily_vs_channel", csql.CHECK_DAILY_VS_CHANNEL)
@@ -217,7 +228,7 @@ def q_check_daily_vs_channel(spark, sf):
     """Q2: per-day consistency of the daily summary and the channel report."""
     pb, media, rates = fx.fx_postback(spark, sf), fx.fx_media(spark, sf), fx.fx_rate(spark, sf)
     return quality.check_daily_vs_channel(
-        summary.summary_daily(pb, pb, pb, media, rates, fx.fx_area(spark, sf)), _channel(spark, sf))
+        summary.summary_daily(pb, pb, pb, fx.DAILY_RULES, media, rates, fx.fx_area(spark, sf)), _channel(spark, sf))
 
 
 # ---------------------------------------------------------------- flatten
@@ -350,8 +361,8 @@ from .plans import reach  # noqa: E402
 def _reach(spark, sf, grain):
     pb = fx.fx_postback(spark, sf)
     flights = fx.fx_adgroup(spark, sf) if grain == "ag" else fx.fx_adcampaign(spark, sf)
-    prior = reach.reach_reported(pb, pb, flights, rchsql.REPORT_DATE, grain)
-    return reach.reach_daily(pb, pb, flights, rchsql.REPORT_DATE, grain, prior=prior)
+    prior = reach.reach_reported(pb, pb, flights, rchsql.REPORT_DATE, fx.REACH_RULES, grain)
+    return reach.reach_daily(pb, pb, flights, rchsql.REPORT_DATE, fx.REACH_RULES, grain, prior=prior)
 
 
 @register("reach_adgroup_daily", rchsql.REACH_ADGROUP)
@@ -381,8 +392,7 @@ def q_attr_web_v3(spark, sf):
 @register("attr_mapping_new", msql.ATTR_MAPPING_NEW)
 def q_attr_mapping_new(spark, sf):
     """Attribution through the weekly set-top/mobile mapping, whole range."""
-    return attr.attribute_via_mapping(fx.fx_postback(spark, sf), fx.fx_gtm(spark, sf), fx.fx_info(spark, sf),
-                                      _weekly(spark, sf), fx.fx_visit(spark, sf))
+    return _by_mapping(spark, sf)
 
 
 @register("attr_web_v2", asql.ATTR_WEB_V2)
@@ -393,14 +403,15 @@ def q_attr_web_v2(spark, sf):
 
 @register("attr_web_home", asql.ATTR_WEB_HOME)
 def q_attr_web_home(spark, sf):
-    """v2 with the direct route's views limited to six months before the end date."""
-    return attr.attribute_v2(**_attr_inputs(spark, sf), end=asql.HOME_END, direct_lookback_months=6)
+    """v2 with the direct route's views limited to six months before the end date; the
+    log reaches further back."""
+    return _home(spark, sf)
 
 
 @register("mapping_analysis", msql.MAPPING_ANALYSIS)
 def q_mapping_analysis(spark, sf):
     """M8: per-carrier mapping summary with union rates, all months."""
-    return mapping.mapping_analysis(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf))
+    return mapping.by_carrier(mapping.mapping_analysis(fx.fx_apm_flat(spark, sf), fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf)))
 
 
 # ---------------------------------------------------------------- range (backfill) forms and gates
@@ -462,7 +473,7 @@ def q_check_raw_loads(spark, sf):
     inp = _attr_inputs(spark, sf)
     return quality.load_summary({
         "raw_conv_web": attr.attribute_v1(**inp),
-        "raw_conv_web_home": attr.attribute_v2(**inp, end=asql.HOME_END, direct_lookback_months=6),
+        "raw_conv_web_home": _home(spark, sf),
         "raw_conv_web_v2": attr.attribute_v2(**inp), "raw_conv_web_v3": attr.attribute_v3(**inp),
         "raw_conv_web_imp": attr.attribute_v1(**inp, imp_date=True)})
 
@@ -496,8 +507,10 @@ def q_attr_range_v3(spark, sf):
 
 
 def _by_mapping(spark, sf, **how):
+    """The weekly table is a stored one; of it the job reads the ids, their ips and the carrier."""
+    weekly = stored(_weekly(spark, sf).where("record_type = 'MAPPING'").select("plattform_id", "ad_id", "ip", "carrier"), "weekly")
     return attr.attribute_via_mapping(fx.fx_postback(spark, sf), fx.fx_gtm(spark, sf), fx.fx_info(spark, sf),
-                                      _weekly(spark, sf), fx.fx_visit(spark, sf), **how)
+                                      weekly, fx.fx_visit(spark, sf), **how)
 
 
 @register("attr_mapping_daily", msql.ATTR_MAPPING_DAILY)

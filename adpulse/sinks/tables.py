@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import broadcast_if_bounded
 from ..session import shared_folder
@@ -27,6 +28,25 @@ def write_partitioned(df: DataFrame, path: str, partition_cols: list[str], mode:
     (df.write.mode(mode).option("compression", compression).partitionBy(*partition_cols).parquet(path))
 
 
+def create_table(spark: SparkSession, name: str, schema: T.StructType, path: str, partition_cols: list[str]) -> None:
+    """A table without rows, known to the session's catalog by its columns and its folder.
+    A table of that name that exists already stays as it is."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parts = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {parts} LOCATION '{path}'")
+
+
+def append_rows(df: DataFrame, name: str) -> None:
+    """Rows appended to a table of the catalog, columns matched by name; new partitions
+    become known with the insert."""
+    df.select(*df.sparkSession.table(name).columns).write.insertInto(name, overwrite=False)
+
+
+def register_partitions(spark: SparkSession, name: str) -> None:
+    """Partitions whose folders another job wrote become known to the catalog."""
+    spark.catalog.recoverPartitions(name)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder's path in the shared folder."""
     return f"{shared_folder(spark)}/adpulse-{name}-{uuid.uuid4().hex}"

@@ -10,15 +10,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.rules import DailyRules, ReachRules
 from .tables import load
 
-# Media codes that carry meaning in the daily, reach and channel
-# reports, the app bundle names the carrier rules are written for, and the
-# ctv_media values of the channel report.
-MEDIA_CODES = ["CX3NWBJED7HA", "9P4XDTQ81FPZ", "I4RHD1RPQAEG", "1FWMMFN3QDZ3", "M4"]
+# The look-alike installation: its media, its target and its inventories by ad group, app
+# bundles that the carrier rules tell apart, and the ctv_media values of the channel report.
+MEDIA_CODES = ["EXCHANGE1", "EXCHANGE2", "EXCHANGE3", "TRYOUT", "M4"]
+OWN_MEDIA = "OWNBIDS"
+GROUP_INVENTORY = {8: "tv.first", 9: "tv.second", 11: "tv.third"}
 APP_BUNDLES = ["com.kt.tv", "skb.kt", "uplus.tv", "lguplus.app", "market", "u+tv"]
 CTV_MEDIA = ["KT_olleh", "lguplus", "skb_btv", "other"]
-TARGET_ID = "174297362776"
+TARGET_ID = "tv-target"
+DAILY_RULES = DailyRules(target_id=TARGET_ID, area_media=MEDIA_CODES[0], app_media=tuple(MEDIA_CODES[:3]), test_media=MEDIA_CODES[3])
+REACH_RULES = ReachRules(media=(*MEDIA_CODES[:2], MEDIA_CODES[3]), daily_media=MEDIA_CODES[0], app_media=tuple(MEDIA_CODES[:2]),
+                         test_media=MEDIA_CODES[3], group_inventory=GROUP_INVENTORY)
 
 
 def _pick(values: list[str], idx: str, dialect: str) -> str:
@@ -75,9 +80,27 @@ def fx_postback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "events").selectExpr(*_postback_cols("spark"))
 
 
+# A third of the boxes also logged eight months earlier, when ids were not yet sent.
+_EARLIER = "user_id % 3 = 0 AND event_id % 2 = 0"
+_LONG_FROM = (f"(SELECT event_id, user_id, event_type, value, CASE WHEN {_EARLIER} THEN ts - INTERVAL 240 DAY ELSE ts END AS ts, "
+              f"{_EARLIER} AS earlier FROM {{}})")
+
+
+def _long_cols(dialect: str) -> list[str]:
+    return [c.removesuffix(" AS ifa").join(("CASE WHEN NOT earlier THEN ", " END AS ifa")) if c.endswith(" AS ifa") else c
+            for c in _postback_cols(dialect)]
+
+
+def fx_postback_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The postback log with a part that lies before a six-month lookback."""
+    spark_from = _LONG_FROM.format("{events}")
+    return spark.sql(f"SELECT {', '.join(_long_cols('spark'))} FROM {spark_from}", events=load(spark, sf_dir, "events"))
+
+
 def fx_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Media dimension (mediacd, logparsefg) projected from ``region``."""
-    return load(spark, sf_dir, "region").selectExpr(
+    """Media dimension (mediacd, logparsefg) projected from ``region``; the third code is listed twice."""
+    region = load(spark, sf_dir, "region")
+    return region.unionByName(region.where("r_regionkey = 2")).selectExpr(
         f"{_pick(MEDIA_CODES, 'r_regionkey', 'spark')} AS mediacd",
         "CASE WHEN r_regionkey = 3 THEN 'N' ELSE 'Y' END AS logparsefg")
 
@@ -140,9 +163,8 @@ def _gtm_cols(dialect: str) -> list[str]:
 
 
 def fx_gtm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Web (GTM) event log projected from click/purchase/signup ``events``."""
-    return (load(spark, sf_dir, "events").where(F.col("event_type").isin("click", "purchase", "signup"))
-            .selectExpr(*_gtm_cols("spark")))
+    """Web (GTM) event log projected from ``events``."""
+    return load(spark, sf_dir, "events").selectExpr(*_gtm_cols("spark"))
 
 
 def _info_cols(dialect: str) -> list[str]:
@@ -283,7 +305,7 @@ def _addi_bid_cols(dialect: str) -> list[str]:
     d = x["addd"]("2024-01-01", "o_orderkey % 30")
     ts = (f"(cast({d} as timestamp) + make_interval(0, 0, 0, 0, cast(o_orderkey % 24 as int), 0, 0))"
           if dialect == "spark" else f"({d} + INTERVAL 1 HOUR * CAST(o_orderkey % 24 AS INTEGER))")
-    return ["CASE WHEN o_orderkey % 3 = 0 THEN 'B8BKL2YDDVZQ' ELSE 'M4' END AS media_id",
+    return [f"CASE WHEN o_orderkey % 3 = 0 THEN '{OWN_MEDIA}' ELSE 'M4' END AS media_id",
             f"concat('stb-', cast(o_custkey % 150 as {s})) AS device_ifa",
             f"CASE WHEN o_orderkey % 13 = 0 THEN '10.9.9.9' ELSE concat('10.0.', cast(o_orderkey % 40 as {s}), '.', "
             f"cast(o_orderkey % 5 as {s})) END AS device_ip",
@@ -314,7 +336,8 @@ def fx_nhn_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _bid_log_cols(dialect: str) -> list[str]:
     x = _dialect(dialect)
     s, div = x["s"], x["div"]
-    rid = f"concat('r', cast(event_id {div} 4 as {s}))"
+    # Of a request's four ids the first won the postbacks; the others were bids without one.
+    rid = f"CASE WHEN event_id % 4 = 0 THEN concat('r', cast(event_id {div} 4 as {s})) ELSE concat('lost', cast(event_id as {s})) END"
     fields = [("req_id", rid), ("media_id", _pick(MEDIA_CODES, 'cast(user_id % 5 as int)', dialect)),
               ("app_bundle", _pick(APP_BUNDLES, 'cast(user_id % 6 as int)', dialect)),
               ("content_id", f"concat('ct', cast(user_id % 9 as {s}))")]
@@ -326,11 +349,9 @@ def _bid_log_cols(dialect: str) -> list[str]:
 
 
 def fx_bid_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat bid log with a ``req`` struct: one bid per request, taken from the
-    request's first event (all events are read; the earliest per request wins)."""
-    ev = load(spark, sf_dir, "events")
-    first = ev.groupBy(F.expr("event_id div 4").alias("_r")).agg(F.min("event_id").alias("event_id"))
-    return ev.join(first, "event_id", "left_semi").selectExpr(*_bid_log_cols("spark"))
+    """Flat bid log with a ``req`` struct, one bid for each row of ``events``; one in four
+    is of a request that has postbacks."""
+    return load(spark, sf_dir, "events").selectExpr(*_bid_log_cols("spark"))
 
 
 def _flight_cols(dialect: str, campaign: bool) -> list[str]:
@@ -358,15 +379,16 @@ def fx_adcampaign(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 FX_SQL = {
     "fx_postback": "SELECT " + ",\n  ".join(_postback_cols("duckdb")) + " FROM events",
+    "fx_postback_long": "SELECT " + ", ".join(_long_cols("duckdb")) + " FROM " + _LONG_FROM.format("events"),
     "fx_media": f"SELECT {_pick(MEDIA_CODES, 'r_regionkey', 'duckdb')} AS mediacd, "
-                "CASE WHEN r_regionkey = 3 THEN 'N' ELSE 'Y' END AS logparsefg FROM region",
+                "CASE WHEN r_regionkey = 3 THEN 'N' ELSE 'Y' END AS logparsefg "
+                "FROM (SELECT * FROM region UNION ALL SELECT * FROM region WHERE r_regionkey = 2)",
     "fx_rate": "SELECT CAST(CASE WHEN n_nationkey < 12 THEN 20231201 + n_nationkey * 2 "
                "ELSE 20240101 + (n_nationkey - 12) * 2 END AS BIGINT) AS regd, "
                "1300.0 + n_nationkey * 1.25 AS exchangerate FROM nation",
     "fx_area": "SELECT cast(n_nationkey + 100 as varchar) AS areacd, "
                "'RG' || cast(n_nationkey as varchar) AS google_ab_region FROM nation",
-    "fx_gtm": "SELECT " + ", ".join(_gtm_cols("duckdb")) +
-              " FROM events WHERE event_type IN ('click', 'purchase', 'signup')",
+    "fx_gtm": "SELECT " + ", ".join(_gtm_cols("duckdb")) + " FROM events",
     "fx_info": "SELECT " + ", ".join(_info_cols("duckdb")) + " FROM nation",
     "fx_visit": "SELECT " + ", ".join(_visit_cols("duckdb")) + " FROM orders",
     "fx_skb": "SELECT " + ", ".join(_skb_cols("duckdb")) + " FROM part",
@@ -380,8 +402,7 @@ FX_SQL = {
     "fx_nhn_flat": "SELECT " + ", ".join(_nhn_flat_cols("duckdb")) + " FROM lineitem",
     "fx_adgroup": "SELECT " + ", ".join(_flight_cols("duckdb", False)) + " FROM nation",
     "fx_adcampaign": "SELECT " + ", ".join(_flight_cols("duckdb", True)) + " FROM nation",
-    "fx_bid_log": "SELECT " + ", ".join(_bid_log_cols("duckdb")) +
-                  " FROM events QUALIFY row_number() OVER (PARTITION BY event_id // 4 ORDER BY event_id) = 1",
+    "fx_bid_log": "SELECT " + ", ".join(_bid_log_cols("duckdb")) + " FROM events",
 }
 
 

@@ -7,8 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .oracle import attribution_sql as asql
+from .oracle import mapping_sql as msql
 from .oracle import stored_sql as sql
-from .plans import quality, summary
+from .plans import attribution as attr
+from .plans import backfill, mapping, quality, summary
 from .registry import register
 from .sinks import publish
 from .sinks import tables as sinks
@@ -35,12 +38,44 @@ def q_stream_summary_hour(spark, sf):
     return spark.read.parquet(f"{root}/out")
 
 
+@register("backfill_days", asql.ATTR_RANGE_DIRECT)
+def q_backfill_days(spark, sf):
+    """B1: a table of days, first filled day by day for the days before the range's last,
+    then once more by one job over the whole range, which replaces every day of it."""
+    inputs = dict(postback=fx.fx_postback(spark, sf), gtm=fx.fx_gtm(spark, sf), info=fx.fx_info(spark, sf), visits=None, skb=None, tg=None)
+    root = sinks.scratch(spark, "backfill")
+    days = backfill.date_range(asql.RANGE_START, asql.RANGE_END)
+
+    def job(start, end):
+        return attr.attribute_v1(**inputs, start=start, end=end, routes=("direct",))
+
+    backfill.backfill_by_day(job, days[0], days[2], root)
+    backfill.backfill_range(job, days[1], days[-1], root)
+    return read_partitioned_parquet(spark, root)
+
+
+@register("mapping_weekly_table", msql.MAPPING_WEEKLY)
+def q_mapping_weekly_table(spark, sf):
+    """The weekly mapping's table is created without rows, the odd weeks are
+    inserted, the even ones are written to its folder by themselves and then registered."""
+    weekly = sinks.stored(mapping.mapping_weekly(fx.fx_apm_flat(spark, sf), fx.fx_addi_bid(spark, sf), fx.fx_postback(spark, sf),
+                                                 fx.fx_nhn_flat(spark, sf), fx.fx_tg(spark, sf), fx.OWN_MEDIA), "weekly")
+    root = sinks.scratch(spark, "weekly-table")
+    name = f"weekly_{root.rsplit('-', 1)[1]}"
+    sinks.create_table(spark, name, weekly.schema, root, ["batch_week"])
+    odd = F.weekofyear(F.to_date("batch_week")) % 2 == 1
+    sinks.append_rows(weekly.where(odd), name)
+    sinks.write_partitioned(weekly.where(~odd), root, ["batch_week"])
+    sinks.register_partitions(spark, name)
+    return spark.table(name)
+
+
 def _publish(spark, sf, table, codes):
     """The serving table after a first publish of older figures and a second one of three days."""
     pb, root = fx.fx_postback(spark, sf), sinks.scratch(spark, "serving")
-    older = summary.summary_daily(pb, pb, pb, area=fx.fx_area(spark, sf))    # before media and rates were known
+    older = summary.summary_daily(pb, pb, pb, fx.DAILY_RULES, fx.fx_media(spark, sf), area=fx.fx_area(spark, sf))    # before rates were known
     publish.publish(older, root, table, F.lit(True), sql.FAMILIES)
-    report = summary.summary_daily(pb, pb, pb, fx.fx_media(spark, sf), fx.fx_rate(spark, sf), fx.fx_area(spark, sf))
+    report = summary.summary_daily(pb, pb, pb, fx.DAILY_RULES, fx.fx_media(spark, sf), fx.fx_rate(spark, sf), fx.fx_area(spark, sf))
     return publish.publish(report.where(F.col("DATE").between(*sql.SCOPE)), root, table, F.col("day").between(*sql.SCOPE), sql.FAMILIES, codes)
 
 

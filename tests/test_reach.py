@@ -6,8 +6,10 @@ from datetime import date, timedelta
 import pytest
 
 from adpulse.plans import reach
+from adpulse.plans.rules import ReachRules
 
 DATE = "2024-01-06"
+RULES = ReachRules(media=("X1", "X2", "X3"), daily_media="X1", app_media=("X1", "X2"), test_media="X3")
 FLIGHTS = [(1, "2024-01-01", "2024-01-03"), (2, "2024-01-02", "2024-01-09"), (3, "2024-01-03", "2024-01-09"), (4, "2024-01-06", "2024-01-09")]
 
 
@@ -19,7 +21,7 @@ def events():
         if group == 3 and day == 5:
             continue                    # idle on the day before the report
         out.append((f"{day:02d}", 10 + i % 2, group, ("v_complete", "v_complete", "i")[i % 3], None if i % 17 == 0 else f"d{i * i % 23}",
-                    "CX3NWBJED7HA" if i % 4 else "9P4XDTQ81FPZ", f"app{i % 3}", "tv" if i % 5 == 0 else None))
+                    "X1" if i % 4 else "X2", f"app{i % 3}", "tv" if i % 5 == 0 else None))
     return out
 
 
@@ -37,7 +39,7 @@ def brute(key):
             tv = bool(e[7])
             if e[at] in running and e[3] == "v_complete" and e[4] and min(running.values()) <= day <= str(d):
                 n[whole(e), e[4]] += 1 + tv
-            if day == str(d) and (e[5] == "CX3NWBJED7HA" or tv):
+            if day == str(d) and (e[5] == "X1" or tv):
                 rows[whole(e)].add(e[6] if key == "ag" else None)
         new = []
         for k, inventories in rows.items():
@@ -58,14 +60,14 @@ def test_reach_subtracts_every_earlier_day(spark, key):
                                  "year string, month string, day string, cmp_no long, ag_no long, log_type string, ifa string, media_id string, app_id string, ctv_media string")
     name = "agno" if key == "ag" else "cmpno"
     fl = spark.createDataFrame([(f, s + " 00:00:00", e + " 23:59:59", "Y") for f, s, e in flights], f"{name} long, startdt string, enddt string, logparsefg string")
-    got = reach.reach_daily(logs, logs, fl, DATE, key, prior=reach.reach_reported(logs, logs, fl, DATE, key))
+    got = reach.reach_daily(logs, logs, fl, DATE, RULES, key, prior=reach.reach_reported(logs, logs, fl, DATE, RULES, key))
     cols = ["CMPNO", "AGNO"] if key == "ag" else ["CMPNO"]
     assert sorted((tuple(r[c] for c in cols), (r.REACH1, r.REACH2, r.REACH3)) for r in got.collect()) == want
     # The daily runs themselves, each with the rows of those before it, give the same.
     rows, schema = [], None
     for day in range(1, 7):
         prior = spark.createDataFrame(rows, schema) if rows else None
-        one = reach.reach_daily(logs, logs, fl, f"2024-01-{day:02d}", key, prior=prior)
+        one = reach.reach_daily(logs, logs, fl, f"2024-01-{day:02d}", RULES, key, prior=prior)
         last = one.collect()
         rows, schema = rows + last, one.schema
     assert sorted((tuple(r[c] for c in cols), (r.REACH1, r.REACH2, r.REACH3)) for r in last) == want

@@ -75,3 +75,17 @@ def test_consistency_checks_equal_unequal_empty(spark):
     assert [r["error_cnt"] for r in quality.check_hour_vs_daily(h, d_same).collect()] == [0]
     assert [r["error_cnt"] for r in quality.check_hour_vs_daily(h, d_diff).collect()] == [1]
     assert quality.expect(quality.check_hour_vs_daily(h, d_same)).first()["passed"] is True
+
+
+def test_created_table_appends_and_registers(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="adpulse-created-"), "t")
+    rows = spark.createDataFrame([(1, ["a"], "2024-01-01"), (2, None, "2024-01-08")], "v bigint, tags array<string>, week string")
+    sinks.create_table(spark, "created_t", rows.schema, path, ["week"])
+    assert spark.table("created_t").schema == rows.schema and spark.table("created_t").count() == 0
+    sinks.append_rows(rows.where("v = 1").select("week", "tags", "v"), "created_t")       # by name, not by place
+    sinks.create_table(spark, "created_t", rows.schema, path, ["week"])                   # stays as it is
+    sinks.write_partitioned(rows.where("v = 2"), path, ["week"])
+    assert [r.v for r in spark.table("created_t").collect()] == [1]                       # the other folder is not known yet
+    sinks.register_partitions(spark, "created_t")
+    assert sorted(map(tuple, spark.table("created_t").collect())) == [(1, ["a"], "2024-01-01"), (2, None, "2024-01-08")]
+    spark.sql("DROP TABLE created_t")

@@ -52,7 +52,7 @@ def test_hour_completeness_counts_files(spark):
 def test_foreach_batch_merge_state(spark):
     weekly = mapping.mapping_weekly(fx.fx_apm_flat(spark, SF_SMALL), fx.fx_addi_bid(spark, SF_SMALL),
                                     fx.fx_postback(spark, SF_SMALL), fx.fx_nhn_flat(spark, SF_SMALL),
-                                    fx.fx_tg(spark, SF_SMALL))
+                                    fx.fx_tg(spark, SF_SMALL), fx.OWN_MEDIA)
     root = tempfile.mkdtemp(prefix="adpulse-t6-")
     src = os.path.join(root, "weekly")
     weekly = weekly.cache()

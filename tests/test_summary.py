@@ -43,3 +43,15 @@ def test_dedup_feed_counts_distinct_rows(spark):
             ("r2", "c", "0", "1.0", "M", 1, 1, 1), (None, "i", "1", "5", "M", 1, 1, 1)]
     out = summary.summary_dedup(_pb(spark, rows)).collect()[0]
     assert out["IMPS"] == 1 and out["CLICKS"] == 1 and out["PAYMENT"] == 2.0 and out["ERRORIMPS"] == 0
+
+
+def test_listed_twice_medium_counts_twice(spark):
+    """The fixture's third medium is listed twice, so its rows weigh 2 where rows are counted."""
+    from adpulse.plans import summary
+    from adpulse.sources import fixtures as fx
+    from tests.conftest import SF_SMALL
+    pb, media = fx.fx_postback(spark, SF_SMALL), fx.fx_media(spark, SF_SMALL)
+    sums = {m: {r.MEDIACD: r.n for r in summary.summary_lookup(pb, summary.HOUR, t).groupBy("MEDIACD").agg({"CLICKS": "sum"})
+                .withColumnRenamed("sum(CLICKS)", "n").collect()} for m, t in (("listed", media), ("once", media.distinct()))}
+    for code in fx.MEDIA_CODES:
+        assert sums["listed"][code] == (2 if code == fx.MEDIA_CODES[2] else 1) * sums["once"][code] > 0

@@ -165,7 +165,7 @@ def test_hourly_figures_of_the_stream_equal_the_report(spark):
     days = [r[0] for r in pb.select(F.substring("created_at", 1, 10)).distinct().orderBy(1).collect()]
     cuts = [days[len(days) // 3], days[2 * len(days) // 3], "9999"]
     src, out = tempfile.mkdtemp(prefix="adpulse-hours-"), tempfile.mkdtemp(prefix="adpulse-hours-out-")
-    media = spark.createDataFrame([("CX3NWBJED7HA", "Y"), ("CX3NWBJED7HA", "Y"), ("M4", "N")], "mediacd string, logparsefg string")
+    media = spark.createDataFrame([("EXCHANGE1", "Y"), ("EXCHANGE1", "Y"), ("M4", "N")], "mediacd string, logparsefg string")
     low = ""
     for k, cut in enumerate(cuts):
         part = pb.where((F.col("created_at") >= low) & (F.col("created_at") < cut))
