@@ -71,16 +71,20 @@ def report_click_utm(gtm: DataFrame, gclids: DataFrame, info: DataFrame, start:
     """Web events credited to an ad-platform campaign by click id (gclid
     route) or by the campaign tag in the url (utm route); distinct ips per day."""
     day = F.date_format(F.to_date(F.substring("log_time", 1, 10), "yyyy/MM/dd"), "yyyy-MM-dd")
+    # Distinct ips are counted, so copies of a click id or of a campaign change nothing: they
+    # go before the events meet them, which they would multiply.
     g = (gtm.withColumn("dt", day).where(_between(F.col("dt"), start, end))
          .select("dt", "pid", regexp_extract_or_null("url", utm_pattern).alias("utm_campaign"), "gclid",
                  event_name("ev", F.col("conv_type").cast("string"), F.col("click").cast("string")).alias("ev"), "ip"))
-    inf = broadcast_if_bounded(info.select("cmp_no", "cmp_you_no", "pixel_id"))
-    by_click = (g.join(gclids.select(F.col("cmp_you_no").cast("string").alias("_cy"), "gclid"), "gclid")
-                .join(inf, F.col("_cy") == F.col("cmp_you_no"), "left")
+    inf = info.where(F.col("cmp_no").isNotNull())
+    clicks = (gclids.select(F.col("cmp_you_no").cast("string").alias("cmp_you_no"), "gclid")
+              .join(broadcast_if_bounded(inf.select("cmp_no", "cmp_you_no").distinct()), "cmp_you_no").distinct())
+    by_click = (g.join(broadcast_if_bounded(clicks), "gclid")
                 .select("dt", "cmp_no", "pid", "cmp_you_no", "ev", "ip"))
-    by_utm = (g.join(inf, (F.col("pixel_id") == F.col("pid")) & (F.col("cmp_you_no") == F.col("utm_campaign")))
+    pixels = inf.select("cmp_no", F.col("pixel_id").alias("pid"), "cmp_you_no").distinct()
+    by_utm = (g.withColumnRenamed("utm_campaign", "cmp_you_no").join(broadcast_if_bounded(pixels), ["pid", "cmp_you_no"])
               .select("dt", "cmp_no", "pid", "cmp_you_no", "ev", "ip"))
-    agg = (by_click.unionByName(by_utm).where(F.col("cmp_no").isNotNull())
+    agg = (by_click.unionByName(by_utm)
            .groupBy("cmp_no", "pid", "cmp_you_no", "ev", "dt").agg(F.count_distinct("ip").alias("daily_unique_ip")))
     return agg.select("cmp_no", "pid", "cmp_you_no", "ev", F.to_date("dt").alias("dt"), "daily_unique_ip",
                       *_parts("dt"))
