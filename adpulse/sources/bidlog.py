@@ -115,40 +115,50 @@ def _s(c) -> F.Column:
     return c.cast("string")
 
 
-def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                "l_discount", "l_tax", "l_extendedprice")
-    ln, pk, sk = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    m_view = F.struct(F.lit("viewability").alias("type"), F.round(F.col("l_tax") * 10, 4).alias("value"),
+def _line_lists(o: DataFrame, li: DataFrame) -> DataFrame:
+    """The requests with ``_n``, the number of their lines, and ``_lines``, the lines as they
+    are in the table, sorted.  Impressions and bids are made from the lines after that, so
+    that what is shuffled and gathered stays narrow."""
+    fields = [c for c in li.columns if c != "l_orderkey"]
+    # collect_list has no order, and line numbers repeat within an order: every field is a sort key.
+    return (o.join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left").groupBy(*o.columns)
+            .agg(F.count("l_orderkey").alias("_n"), F.sort_array(F.collect_list(F.struct(*fields))).alias("_lines")))
+
+
+def _nested_imp(z) -> F.Column:
+    ln, pk, sk = z["l_linenumber"], z["l_partkey"], z["l_suppkey"]
+    m_view = F.struct(F.lit("viewability").alias("type"), F.round(z["l_tax"] * 10, 4).alias("value"),
                       F.lit("ias").alias("vendor"))
-    m_ctr = F.struct(F.lit("click_through_rate").alias("type"), F.col("l_discount").alias("value"),
+    m_ctr = F.struct(F.lit("click_through_rate").alias("type"), z["l_discount"].alias("value"),
                      F.lit("moat").alias("vendor"))
     metric = (F.when(sk % 3 == 0, F.array(m_view, m_ctr)).when(sk % 3 == 1, F.array(m_ctr))
               .otherwise(F.array().cast("array<struct<type:string,value:double,vendor:string>>")))
     deals = F.array(F.struct(F.concat(F.lit("d"), _s(pk % 9)).alias("id"), F.lit("KRW").alias("bidfloorcur"),
-                             F.col("l_tax").alias("bidfloor"), F.lit(1).alias("at")))
-    imp = F.struct(F.concat(F.lit("imp"), _s(ln)).alias("id"), F.concat(F.lit("t"), _s(pk % 50)).alias("tagid"),
-                   F.col("l_discount").alias("bidfloor"), F.lit("KRW").alias("bidfloorcur"),
-                   F.when(ln % 2 == 0, "pmp").otherwise("open").alias("deal_type"), deals.alias("deals"),
-                   F.struct((300 + ln).cast("int").alias("w"), F.lit(250).alias("h"),
-                            (ln % 3).cast("int").alias("pos"),
-                            F.array(F.concat(F.lit("f"), _s(ln % 4))).alias("format")).alias("banner"),
-                   metric.alias("metric"), F.lit("video").alias("ad_type"), F.lit(1).alias("secure"),
-                   *_spark_fields(MORE_IMP, pk + ln))
-    bid = F.struct(F.concat(F.lit("imp"), _s(F.when(ln == 2, 9).otherwise(ln))).alias("impid"),
-                   F.format_string("%.2f", F.col("l_extendedprice")).alias("price"),
-                   F.concat(F.lit("cr"), _s(pk % 30)).alias("crid"), (pk % 60).cast("int").alias("crtv_no"),
-                   (pk % 10).cast("int").alias("cmp_no"), (pk % 30).cast("int").alias("ag_no"),
-                   F.concat(F.lit("d"), _s(pk % 9)).alias("deal_id"))
-    j = o.join(li, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    # Lines are sorted by line number inside each request (collect_list has no order).
-    # Line numbers repeat within an order, so the sort key is every line field used.
-    k = F.struct(ln, pk, sk, "l_extendedprice", "l_discount", "l_tax")
-    g = j.groupBy("o_orderkey", "o_custkey").agg(
-        F.count("l_orderkey").alias("_n"),
-        F.array_sort(F.collect_list(F.struct(k.alias("k"), imp.alias("v")))).alias("_imps"),
-        F.array_sort(F.collect_list(F.struct(k.alias("k"), bid.alias("v")))).alias("_bids"))
+                             z["l_tax"].alias("bidfloor"), F.lit(1).alias("at")))
+    return F.struct(F.concat(F.lit("imp"), _s(ln)).alias("id"), F.concat(F.lit("t"), _s(pk % 50)).alias("tagid"),
+                    z["l_discount"].alias("bidfloor"), F.lit("KRW").alias("bidfloorcur"),
+                    F.when(ln % 2 == 0, "pmp").otherwise("open").alias("deal_type"), deals.alias("deals"),
+                    F.struct((300 + ln).cast("int").alias("w"), F.lit(250).alias("h"),
+                             (ln % 3).cast("int").alias("pos"),
+                             F.array(F.concat(F.lit("f"), _s(ln % 4))).alias("format")).alias("banner"),
+                    metric.alias("metric"), F.lit("video").alias("ad_type"), F.lit(1).alias("secure"),
+                    *_spark_fields(MORE_IMP, pk + ln))
+
+
+def _nested_bid(z) -> F.Column:
+    ln, pk = z["l_linenumber"], z["l_partkey"]
+    return F.struct(F.concat(F.lit("imp"), _s(F.when(ln == 2, 9).otherwise(ln))).alias("impid"),
+                    F.format_string("%.2f", z["l_extendedprice"]).alias("price"),
+                    F.concat(F.lit("cr"), _s(pk % 30)).alias("crid"), (pk % 60).cast("int").alias("crtv_no"),
+                    (pk % 10).cast("int").alias("cmp_no"), (pk % 30).cast("int").alias("ag_no"),
+                    F.concat(F.lit("d"), _s(pk % 9)).alias("deal_id"))
+
+
+def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The fields of a line in the order in which they sort.
+    g = _line_lists(load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
+                    load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                                           "l_extendedprice", "l_discount", "l_tax"))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
     ts = (F.date_add(F.lit("2024-01-01").cast("date"), (ok % 30).cast("int")).cast("timestamp")
           + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), (ok % 24).cast("int")))
@@ -158,7 +168,7 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok % 3 == 0, F.array(F.lit("KRW"), F.lit("USD"))).otherwise(F.array(F.lit("KRW"))).alias("cur"),
         _pick(MEDIA_CODES, ok % 5).alias("media_id"),
         F.struct(F.concat(F.lit("u"), _s(ck)).alias("id")).alias("user"),
-        F.when(F.col("_n") > 0, F.transform("_imps", lambda z: z["v"])).alias("imp"),
+        F.when(F.col("_n") > 0, F.transform("_lines", _nested_imp)).alias("imp"),
         F.struct(F.concat(F.lit("10.0."), _s(ok % 40), F.lit("."), _s(ok % 7)).alias("ip"),
                  F.concat(F.lit("ad-"), _s(ck % 500)).alias("ifa"),
                  F.struct((37.5 + (ok % 10) / 100.0).alias("lat"), (127.0 + (ok % 7) / 100.0).alias("lon"),
@@ -169,8 +179,7 @@ def fx_bid_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.struct(F.concat(F.lit("pub"), _s(ck % 20)).alias("id")).alias("publisher"),
                  *_spark_fields(MORE_APP, ok)).alias("app"), *_spark_fields(MORE_REQ, ok))
     res = F.when(ok % 11 != 0, F.struct(F.concat(F.lit("res"), _s(ok)).alias("id"),
-                                        F.when(F.col("_n") > 0, F.transform("_bids", lambda z: z["v"]))
-                                        .alias("seatbid")))
+                                        F.when(F.col("_n") > 0, F.transform("_lines", _nested_bid)).alias("seatbid")))
     return g.select(req.alias("req"),
                     F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit("T"), F.date_format(ts, "HH:mm:ss"),
                              F.lit("Z")).alias("created_at"),
@@ -232,22 +241,25 @@ SHAPES = {"fx_bid_native": ("id", "impid", NESTED_REQ, NESTED_IMP, NESTED_BID),
 
 def _shaped(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     req_id, imp_id, req_shape, imp_shape, bid_shape = SHAPES[name]
-    o = load(spark, sf_dir, "orders").select("o_orderkey")
-    li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    ok, ln, key = F.col("o_orderkey"), F.col("l_linenumber"), F.col("l_partkey") + F.col("l_linenumber")
-    imp = F.struct(F.concat(F.lit("imp"), _s(ln)).alias("id"), *_spark_fields(imp_shape, key))
-    bid = F.struct(F.concat(F.lit("imp"), _s(F.when(ln % 3 == 2, 1).otherwise(ln))).alias(imp_id), *_spark_fields(bid_shape, key + 1))
-    line = F.struct(ln, F.col("l_partkey"))
-    g = o.join(li, F.col("l_orderkey") == ok, "left").groupBy("o_orderkey").agg(
-        F.count("l_orderkey").alias("_n"), F.array_sort(F.collect_list(F.struct(line.alias("k"), imp.alias("v")))).alias("_imps"),
-        F.array_sort(F.collect_list(F.struct(line.alias("k"), bid.alias("v")))).alias("_bids"))
+    ok = F.col("o_orderkey")
+    g = _line_lists(load(spark, sf_dir, "orders").select("o_orderkey"),
+                    load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"))
+
+    def imp(z):
+        return F.struct(F.concat(F.lit("imp"), _s(z["l_linenumber"])).alias("id"),
+                        *_spark_fields(imp_shape, z["l_partkey"] + z["l_linenumber"]))
+
+    def bid(z):
+        on = F.when(z["l_linenumber"] % 3 == 2, 1).otherwise(z["l_linenumber"])
+        return F.struct(F.concat(F.lit("imp"), _s(on)).alias(imp_id), *_spark_fields(bid_shape, z["l_partkey"] + z["l_linenumber"] + 1))
+
     ts = (F.date_add(F.lit("2024-01-01").cast("date"), (ok % 30).cast("int")).cast("timestamp")
           + F.make_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(0), (ok % 24).cast("int")))
     return g.select(
-        F.struct(F.concat(F.lit("q"), _s(ok)).alias(req_id), F.when(F.col("_n") > 0, F.transform("_imps", lambda z: z["v"])).alias("imp"),
+        F.struct(F.concat(F.lit("q"), _s(ok)).alias(req_id), F.when(F.col("_n") > 0, F.transform("_lines", imp)).alias("imp"),
                  *_spark_fields(req_shape, ok)).alias("req"),
         F.when(ok % 11 != 0, F.struct(F.concat(F.lit("res"), _s(ok)).alias("id"),
-                                      F.when(F.col("_n") > 0, F.transform("_bids", lambda z: z["v"])).alias("seatbid"))).alias("res"),
+                                      F.when(F.col("_n") > 0, F.transform("_lines", bid)).alias("seatbid"))).alias("res"),
         F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit("T"), F.date_format(ts, "HH:mm:ss"), F.lit("Z")).alias("created_at"),
         (ok % 4).cast("int").alias("fail_code"), F.date_format(ts, "yyyy").alias("year"), F.date_format(ts, "MM").alias("month"),
         F.date_format(ts, "dd").alias("day"), F.date_format(ts, "HH").alias("hour"))
