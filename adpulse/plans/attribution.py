@@ -273,14 +273,15 @@ def first_view_visit(views: DataFrame, visits: DataFrame, skb: DataFrame, visit_
 
 
 def all_after(first: DataFrame, mall: DataFrame, cate: str, keep_m_adid: bool = True) -> DataFrame:
-    """v3: every distinct web event on the ip strictly after the first view (1:N)."""
+    """v3: every web event on the ip strictly after the first view (1:N).  The events are
+    distinct and ``first`` has one row per (campaign, ip), so the rows are distinct as well."""
     j = mall.join(first, ["cmp_no", "ip"]).where(F.col("mall_datetime") > F.col("post_datetime"))
     m = F.col("m_adid") if keep_m_adid else F.lit(None).cast("string")
     return j.select(*V3_EVENT_COLS, F.date_format("post_datetime", TS_FMT).alias("post_datetime"),
                     F.date_format("mall_datetime", TS_FMT).alias("mall_datetime"), F.col("ip").alias("mall_ip"),
                     F.lit(cate).alias("cate"), "stp_id", m.alias("m_adid"), "raw_ip",
                     F.substring("mall_dt", 1, 4).alias("year"), F.substring("mall_dt", 6, 2).alias("month"),
-                    F.substring("mall_dt", 9, 2).alias("day")).distinct()
+                    F.substring("mall_dt", 9, 2).alias("day"))
 
 
 def attribute_v3(postback: DataFrame, gtm: DataFrame, info: DataFrame, visits: DataFrame | None = None,

@@ -120,3 +120,21 @@ def test_listed_order(spark):
     df = spark.createDataFrame([(c,) for c in ("x", None, "KT", "SKB", "a", "U+")], "c string")
     assert [r.c for r in in_listed_order(df, "c", ("SKB", "U+", "KT")).collect()] == ["SKB", "U+", "KT", "a", "x", None]
     assert [r.c for r in in_listed_order(df, "c", ()).collect()][-1] is None
+
+
+def test_v3_groups_its_rows_no_further(spark):
+    mall = "cmp_no int, pid string, eid string, log_time string, ev string, scroll long, click string, conv_type string, " \
+           "conv_value string, conv_meta string, mall_dt string, mall_datetime timestamp, ip string"
+    row = lambda eid, ip, day: (1, "p", eid, str(_ts(day)), "ev", None, None, None, None, None, "d", _ts(day), ip)
+    m = spark.createDataFrame([row("e1", "a", 2), row("e2", "a", 2), row("e2", None, 2), row("e1", "a", 0), row("e1", "b", 2)], mall)
+    first = attr.first_view_direct(spark.createDataFrame(
+        [(1, "a", _ts(1), "x"), (1, "a", _ts(1), "x"), (1, "a", _ts(1, 5), "w"), (1, None, _ts(1), "y")],
+        "cmp_no int, post_ip string, post_datetime timestamp, ifa string"))
+    out = attr.all_after(first, m, "Addi")
+    assert sorted((r.eid, r.mall_ip, r.stp_id) for r in out.collect()) == [("e1", "a", "x"), ("e2", "a", "x")]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1       # the first views' own
+
+    from adpulse.queries import _attr_inputs
+    from tests.conftest import SF_SMALL
+    v3 = attr.attribute_v3(**_attr_inputs(spark, SF_SMALL)).cache()
+    assert v3.count() == v3.distinct().count() > 0
