@@ -59,3 +59,10 @@ def test_area_code(spark):
     rows = [(None,), ("",), ("-99",), ("undefined",), ("11",)]
     assert _one(spark, rows, "a string", N.area_code("a")) == ["-1", "-1", "-1", "-1", "11"]
     assert _one(spark, rows, "a string", F.coalesce(N.round_pct(F.lit(1), F.lit(3)), F.lit(0.0))) == [33.33] * 5
+
+
+def test_carrier_tests_agree_with_the_carriers(spark):
+    vals = ["com.kt.tv", "KT", "market", "u+tv", "skb.kt", "LGuplus.app", "lg+", "lguplu", "ktx", "akt", "a-kt b", "u", "", None]
+    df = spark.createDataFrame([(v,) for v in vals], "b string")
+    for test, carrier in ((N.carrier_in_bundle, N.carrier_from_bundle), (N.carrier_in_ctv, N.carrier_from_ctv)):
+        assert [r[0] for r in df.where(test("b")).collect()] == [r[0] for r in df.where(carrier("b").isNotNull()).collect()]
