@@ -38,7 +38,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import broadcast_if_bounded
 from .common import SLICE_ROWS, field, stored, with_row_key
 from .graph import components
 from .hashing import join_texts, mix, prefix_sums, range_hashes, window_hashes, word_bounds
@@ -56,6 +55,7 @@ AGREE = 18                # places that sketches of linked sets agree in
 TOGETHER = 1024           # sets with a shingle in common that are held against each other
 CLUSTER_SETS = 2048
 CLUSTER_SHINGLES = 1 << 22
+FEW = 1 << 18             # rows that are broadcast, at most; the driver takes some 200 bytes for each
 BITS = 4096
 LEAF = 16
 
@@ -412,10 +412,11 @@ def labelled(docs: DataFrame) -> DataFrame:
     keyed = with_row_key(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).select("_k1", "_k2", "doc_id", "text")
     survey = stored(keyed.mapInArrow(_survey, "kind int, _k1 bigint, _k2 bigint, doc_id bigint, n bigint, id bigint"), "survey")
     sets = survey.where("kind = 0").select("_k1", "_k2", "doc_id", "n", "id")
-    noted = (survey.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))
-             .orderBy(F.desc("n"), "id").limit(FREQUENT).collect())               # at most FREQUENT rows
-    frequent = np.array([r["id"] for r in noted], np.int64).view(np.uint64)
-    level = np.array([r["n"] for r in noted], np.int64)
+    # Stored first: collecting the limit would bring as many rows of every task to the driver.
+    noted = stored(survey.where("kind = 1").groupBy("id").agg(F.sum("n").alias("n"))
+                   .orderBy(F.desc("n"), "id").limit(FREQUENT), "frequent").toArrow()     # at most FREQUENT rows
+    frequent = noted["id"].to_numpy().view(np.uint64)
+    level = noted["n"].to_numpy()
     order = np.argsort(frequent)
     list_ = spark.sparkContext.broadcast((frequent[order], level[order]))
 
@@ -425,9 +426,13 @@ def labelled(docs: DataFrame) -> DataFrame:
     one = stored(sets.where("n > 0").groupBy(F.col("id").alias("u")).agg(F.min(F.struct("_k1", "_k2")).alias("_k"), F.first("n").alias("n"))
                  .join(shares, "u").where(F.col("_shares") > F.floor(F.col("n") / MORE)).select("u", "n", "_k._k1", "_k._k2"), "sharing")
     # Each remaining set once, from one document; the keys are broadcast while they are few.
-    wanted = broadcast_if_bounded(one.select("_k1", "_k2"))
-    kept = stored(keyed.join(wanted, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("text")
-                  .mapInArrow(_sets_of, "u bigint, shingles binary"), "sets")
+    # Otherwise rows that are alike become one before the exchange, so that no key is hot.
+    wanted, key = one.select("_k1", "_k2"), ["_k1", "_k2"]
+    if one.count() <= FEW:
+        texts = keyed.join(F.broadcast(wanted), key, "left_semi").dropDuplicates(key)
+    else:
+        texts = keyed.dropDuplicates(key).join(wanted.hint("merge"), key, "left_semi")
+    kept = stored(texts.select("text").mapInArrow(_sets_of, "u bigint, shingles binary"), "sets")
 
     met = stored(kept.mapInArrow(lambda it: _dealing(*list_.value, buckets)(it), PACKED)
                  .groupBy("bucket").applyInPandas(_meet, "u bigint, v bigint, shingle bigint"), "met")
@@ -442,14 +447,17 @@ def labelled(docs: DataFrame) -> DataFrame:
     size = one.groupBy("cluster").agg(F.count(F.lit(1)).alias("_m"), F.sum("n").alias("_n")).select(
         "cluster", F.greatest(F.ceil(F.col("_m") / CLUSTER_SETS), F.ceil(F.col("_n") / CLUSTER_SHINGLES)).cast("int").alias("parts"))
     size = stored(size, "clusters")
+    placed = stored(one.select("u", "cluster").join(size, "cluster").select("u", "cluster", "parts"), "placed")
+    # One row a set, broadcast while they are few: then only those sets are exchanged.  Pairs of
+    # parts are made after the join; their number may grow faster than that of the sets.
+    placed = F.broadcast(placed) if placed.count() <= FEW else placed.hint("merge")
     part = F.pmod(F.xxhash64("u"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    tasks = stored(one.select("u", "cluster").join(size, "cluster").withColumn("part", part).withColumn("_other", other)
+    tasks = (kept.join(placed, "u").withColumn("part", part).withColumn("_other", other)
              .withColumns({"a": F.least("part", "_other"), "b": F.greatest("part", "_other")})
              .withColumn("task", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("cluster"), F.lit(buckets)))
-                         .otherwise(F.xxhash64("cluster", "a", "b"))), "tasks")
-    # The tasks name the sets wanted: while they are few, only those sets are exchanged.
-    links = stored(kept.join(broadcast_if_bounded(tasks), "u").select("task", "cluster", "parts", "a", "b", "part", "u", "shingles")
+                         .otherwise(F.xxhash64("cluster", "a", "b"))))
+    links = stored(tasks.select("task", "cluster", "parts", "a", "b", "part", "u", "shingles")
                    .groupBy("task").applyInPandas(_verify, "u bigint, v bigint, whole boolean"), "links")
     groups = links.where("whole").select(F.col("u").alias("id"), F.col("v").alias("_root"))
     cut = links.where("not whole").select("u", "v")

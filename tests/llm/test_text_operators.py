@@ -225,6 +225,26 @@ def test_jaccard_join_matches_brute_force(spark, monkeypatch, sets, very):
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr) == brute_groups(rows)
 
 
+def test_jaccard_join_broadcasts_few_rows_only(spark, monkeypatch):
+    """Clusters of many parts and more keys than may be broadcast: what reaches the driver
+    stays within its bound, and the groups are the same."""
+    rows, sent, broadcast = near_rows(), [], jaccard_join.F.broadcast
+    monkeypatch.setattr(jaccard_join.F, "broadcast", lambda df: sent.append(df.count()) or broadcast(df))
+    monkeypatch.setattr(jaccard_join, "CLUSTER_SETS", 2)
+
+    def groups(few, frequent):
+        monkeypatch.setattr(jaccard_join, "FEW", few, raising=False)
+        monkeypatch.setattr(jaccard_join, "FREQUENT", frequent)
+        got = jaccard_join.join(frame(spark, rows))
+        return sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=repr)
+
+    assert groups(len(rows), 100_000) == brute_groups(rows)
+    assert 0 < max(sent) <= len(rows)        # rows of sets, not of pairs of parts
+    sent.clear()
+    assert groups(5, 10) == brute_groups(rows)
+    assert not sent
+
+
 def test_keep_one_of_each_group(spark):
     rows = near_rows()
     kept = [r.doc_id for r in jaccard_join.keep_one(frame(spark, rows)).collect()]
